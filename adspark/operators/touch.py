@@ -15,6 +15,7 @@ conversion counts. Rows without a key or a time take part in nothing.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -23,63 +24,45 @@ from adspark.functions.columns import as_col
 SLICE_MINUTES = 60
 
 
-def _sliced(df: DataFrame, slice_minutes: int) -> DataFrame:
-    """Add the day number and the slice of the day of ``_ts``."""
-    minute = F.hour("_ts") * 60 + F.minute("_ts")
-    return (df.withColumn("_day", F.unix_date(F.to_date("_ts")))
-            .withColumn("_slice", F.floor(minute / slice_minutes).cast("int")))
-
-
 def _keyed(df: DataFrame, keys: Sequence[str], ts: str, slice_minutes: int) -> DataFrame:
-    df = df.withColumn("_ts", F.col(ts).cast("timestamp_ntz")).where(F.col("_ts").isNotNull())
-    for k in keys:
-        df = df.where(F.col(k).isNotNull())
-    return _sliced(df, slice_minutes)
+    """Rows with a key and a time, their day number and the slice of the day."""
+    at = F.col(ts).cast("timestamp_ntz")
+    minute = F.hour(at) * 60 + F.minute(at)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.col(ts).isNotNull())
+    return df.where(known).withColumns({
+        "_ts": at, "_day": F.unix_date(F.to_date(at)), "_slice": F.floor(minute / slice_minutes).cast("int")})
 
 
-def _nearest(touches: DataFrame, probes: DataFrame, keys: Sequence[str], forward: bool) -> DataFrame:
-    """Each probe with the nearest touch at or before it (``forward``: at or after it), or NULL.
+def _nearest(exposures: DataFrame, probes: DataFrame, keys: Sequence[str], exposure_ts: str,
+             carry: Sequence[str], forward: bool, slice_minutes: int) -> DataFrame:
+    """Each probe with the nearest exposure at or before it (``forward``: at or after it), or NULL.
 
-    ``touches`` has one row per key and time, with ``_touch``; ``probes`` has its row in ``_probe``.
-    Both have the key, ``_ts``, ``_day`` and ``_slice``.
+    Of several exposures at the same time the one with the lowest ``carry`` is taken.
     """
     slice_of = [*keys, "_day", "_slice"]
-    order = (lambda c: F.col(c).desc()) if forward else (lambda c: F.col(c).asc())
-    pick = F.min_by if forward else F.max_by
-
-    # What each slice with probes inherits from the slices before it: one row per slice.
-    in_slice = touches.groupBy(*slice_of).agg(pick("_touch", "_ts").alias("_touch"))
-    asked = probes.select(*slice_of).distinct().withColumn("_touch", F.lit(None))
-    known = in_slice.withColumn("_asked", F.lit(0)).unionByName(asked.withColumn("_asked", F.lit(1)))
-    per_slice = known.groupBy(*slice_of).agg(
-        F.max("_touch").alias("_touch"), F.max("_asked").alias("_asked"))
-    earlier = (Window.partitionBy(*keys).orderBy(order("_day"), order("_slice"))
-               .rowsBetween(Window.unboundedPreceding, -1))
-    inherited = (per_slice.withColumn("_touch", F.last("_touch", ignorenulls=True).over(earlier))
-                 .where((F.col("_asked") == 1) & F.col("_touch").isNotNull())
-                 .select(*slice_of, F.lit(0).alias("_kind"), F.lit(None).cast("timestamp_ntz").alias("_ts"),
-                         "_touch"))
-
-    # Inherited row first, then touches and probes in time order, a touch before a probe.
-    line = (inherited
-            .unionByName(touches.select(*slice_of, F.lit(1).alias("_kind"), "_ts", "_touch"))
-            .unionByName(probes.select(*slice_of, F.lit(2).alias("_kind"), "_ts", "_probe"),
-                         allowMissingColumns=True))
-    ts_order = F.col("_ts").desc_nulls_first() if forward else F.col("_ts").asc_nulls_first()
-    so_far = (Window.partitionBy(*slice_of).orderBy(ts_order, F.col("_kind"))
+    touches = _keyed(exposures, keys, exposure_ts, slice_minutes).select(
+        *slice_of, "_ts", F.struct(F.col("_ts").alias("ts"), F.struct(*carry).alias("at")).alias("_touch"))
+    line = touches.unionByName(probes, allowMissingColumns=True)
+
+    # In time order, an exposure before a probe of the same time, and the lowest carry last.
+    by_time = F.col("_ts").desc() if forward else F.col("_ts").asc()
+    so_far = (Window.partitionBy(*slice_of)
+              .orderBy(by_time, F.col("_probe").isNotNull(), F.col("_touch.at").desc())
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (line.withColumn("_touch", F.last("_touch", ignorenulls=True).over(so_far))
-            .where(F.col("_kind") == 2).select("_probe", "_touch"))
-
-
-def _touches(exposures: DataFrame, keys: Sequence[str], ts: str, carry: Sequence[str],
-             slice_minutes: int) -> DataFrame:
-    """One exposure per key and time. Of several at the same time the lowest ``carry`` wins."""
-    df = _keyed(exposures, keys, ts, slice_minutes)
-    return (df.groupBy(*keys, "_ts", "_day", "_slice")
-            .agg(F.min(F.struct(*carry)).alias("_at"))
-            .withColumn("_touch", F.struct(F.col("_ts").alias("ts"), F.col("_at").alias("at")))
-            .drop("_at"))
+    line = line.withColumn("_found", F.last("_touch", ignorenulls=True).over(so_far))
+
+    # What a slice passes on: its latest find. Counting the probes keeps both readers of ``line``
+    # on the same columns, so that Spark shuffles it once and reuses the exchange.
+    outermost = F.min_by if forward else F.max_by
+    per_slice = line.groupBy(*slice_of).agg(
+        outermost("_found", "_found.ts").alias("_found"), F.count("_probe").alias("_probes"))
+    order = [F.col(c).desc() if forward else F.col(c).asc() for c in ("_day", "_slice")]
+    earlier = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inherited = (per_slice.withColumn("_inherited", F.last("_found", ignorenulls=True).over(earlier))
+                 .where((F.col("_probes") > 0) & F.col("_inherited").isNotNull())
+                 .select(*slice_of, "_inherited"))
+    return (line.where(F.col("_probe").isNotNull()).join(inherited, slice_of, "left")
+            .select("_probe", F.coalesce("_found", "_inherited").alias("_touch")))
 
 
 def last_touch(exposures: DataFrame, conversions: DataFrame, keys: Sequence[str], exposure_ts: str,
@@ -89,9 +72,9 @@ def last_touch(exposures: DataFrame, conversions: DataFrame, keys: Sequence[str]
 
     The latest exposure is within ``max_days`` if any exposure is, so only that one is tested.
     """
-    touches = _touches(exposures, keys, exposure_ts, carry, slice_minutes)
     probes = _probes(conversions, keys, F.col(conversion_ts), slice_minutes)
-    found = _nearest(touches, probes, keys, forward=False).where(F.col("_touch").isNotNull())
+    found = _nearest(exposures, probes, keys, exposure_ts, carry, False, slice_minutes)
+    found = found.where(F.col("_touch").isNotNull())
     if max_days is not None:
         found = found.where(F.date_diff(F.col(f"_probe.{conversion_ts}"), F.col("_touch.ts")) <= max_days)
     return _flat(found, exposure_ts, carry)
@@ -105,18 +88,17 @@ def first_touch(exposures: DataFrame, conversions: DataFrame, keys: Sequence[str
     The window opens ``max_days`` calendar days before; the first exposure after that moment is the
     one, if it is not later than the conversion.
     """
-    touches = _touches(exposures, keys, exposure_ts, carry, slice_minutes)
     opens = F.date_sub(F.to_date(conversion_ts), max_days).cast("timestamp_ntz")
     probes = _probes(conversions, keys, opens, slice_minutes)
-    found = _nearest(touches, probes, keys, forward=True).where(
-        F.col("_touch.ts") <= F.col(f"_probe.{conversion_ts}").cast("timestamp_ntz"))
+    found = _nearest(exposures, probes, keys, exposure_ts, carry, True, slice_minutes)
+    found = found.where(F.col("_touch.ts") <= F.col(f"_probe.{conversion_ts}").cast("timestamp_ntz"))
     return _flat(found, exposure_ts, carry)
 
 
 def _probes(conversions: DataFrame, keys: Sequence[str], at: Column, slice_minutes: int) -> DataFrame:
     whole = F.struct(*conversions.columns)
     df = conversions.withColumn("_at", at).withColumn("_probe", whole)
-    return _keyed(df, keys, "_at", slice_minutes).select(*keys, "_ts", "_day", "_slice", "_probe")
+    return _keyed(df, keys, "_at", slice_minutes).select(*keys, "_day", "_slice", "_ts", "_probe")
 
 
 def _flat(found: DataFrame, exposure_ts: str, carry: Sequence[str]) -> DataFrame:
@@ -133,18 +115,23 @@ def pair_totals(exposures: DataFrame, conversions: DataFrame, keys: Sequence[str
     Gives ``pairs`` and the sum of each measure (a column of the conversions) over the pairs. With
     ``by_conversion_day`` also one row per ``conversion_day``. An exposure sees the conversions
     after it in its slice, then the later slices of its day, then the days after that; the three
-    are added up from per-slice and per-day sums.
+    are added up from per-slice and per-day sums. Two shuffles: the rows by key and slice, then one
+    row per slice and dims by key.
     """
     measures = {"pairs": F.lit(1), **(measures or {})}
     names = list(measures)
 
+    def summed(prefix: str) -> list[Column]:
+        return [F.sum(f"{prefix}{n}").alias(f"{prefix}{n}") for n in names]
+
+    def zero(c: str) -> Column:
+        return F.coalesce(F.col(c), F.lit(0))
+
     shown = (_keyed(exposures, keys, exposure_ts, slice_minutes)
-             .groupBy(*keys, "_ts", "_day", "_slice", *dims).agg(F.count("*").alias("_w")))
+             .select(*keys, "_day", "_slice", "_ts", *dims, F.lit(1).cast("long").alias("_w")))
     done = conversions.select(*keys, F.col(conversion_ts).alias("_at"),
                               *[as_col(c).alias(f"_m_{n}") for n, c in measures.items()])
-    done = (_keyed(done, keys, "_at", slice_minutes)
-            .groupBy(*keys, "_ts", "_day", "_slice")
-            .agg(*[F.coalesce(F.sum(f"_m_{n}"), F.lit(0)).alias(f"_m_{n}") for n in names]))
+    done = _keyed(done, keys, "_at", slice_minutes).drop("_at")
     line = shown.unionByName(done, allowMissingColumns=True)
 
     # Inside a slice: conversions at or after the exposure, as a running sum from the end.
@@ -152,58 +139,36 @@ def pair_totals(exposures: DataFrame, conversions: DataFrame, keys: Sequence[str
               .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     line = line.withColumns({f"_o_{n}": F.sum(f"_m_{n}").over(onward) for n in names})
     slices = line.groupBy(*keys, "_day", "_slice", *dims).agg(
-        F.sum("_w").alias("_w"),
-        *[F.sum(F.col("_w") * F.col(f"_o_{n}")).alias(f"_p_{n}") for n in names],
-        *[F.sum(f"_m_{n}").alias(f"_m_{n}") for n in names])
-
-    # Later slices of the same day, and later days: sums over the slice rows of the key.
-    rest_of_day = (Window.partitionBy(*keys, "_day").orderBy(F.col("_slice").desc())
-                   .rangeBetween(Window.unboundedPreceding, -1))
-    if by_conversion_day:
-        within = slices.withColumns({f"_r_{n}": F.sum(f"_m_{n}").over(rest_of_day) for n in names})
+        F.sum("_w").alias("_w"), *summed("_m_"),
+        *[F.sum(F.col("_w") * F.col(f"_o_{n}")).alias(f"_p_{n}") for n in names])
+
+    # The rest of the day, from the slice rows of the key; then one row per day and dims.
+    rest = (Window.partitionBy(*keys, "_day").orderBy(F.col("_slice").desc())
+            .rangeBetween(Window.unboundedPreceding, -1))
+    slices = slices.repartition(*keys).withColumns({f"_r_{n}": F.sum(f"_m_{n}").over(rest) for n in names})
+    days = slices.groupBy(*keys, "_day", *dims).agg(
+        F.sum("_w").alias("_w"), *summed("_m_"),
+        *[F.sum(zero(f"_p_{n}") + F.col("_w") * zero(f"_r_{n}")).alias(f"_p_{n}") for n in names])
+
+    # Later days.
+    if max_days is None:
+        later = (Window.partitionBy(*keys).orderBy(F.col("_day").desc())
+                 .rangeBetween(Window.unboundedPreceding, -1))
     else:
-        if max_days is None:
-            next_days = (Window.partitionBy(*keys).orderBy(F.col("_day").desc())
-                         .rangeBetween(Window.unboundedPreceding, -1))
-        else:
-            next_days = Window.partitionBy(*keys).orderBy("_day").rangeBetween(1, max(max_days, 1))
-        within = slices.withColumns({f"_n_{n}": F.sum(f"_m_{n}").over(next_days) for n in names})
-        within = within.withColumns({f"_r_{n}": F.sum(f"_m_{n}").over(rest_of_day) for n in names})
-        if max_days == 0:
-            within = within.withColumns({f"_n_{n}": F.lit(0) for n in names})
-    within = within.where(F.col("_w").isNotNull())
-
-    def zero(c: str) -> Column:
-        return F.coalesce(F.col(c), F.lit(0))
-
+        later = Window.partitionBy(*keys).orderBy("_day").rangeBetween(1, max(max_days, 1))
     if not by_conversion_day:
-        total = within.groupBy(*keys, *dims).agg(*[
-            F.sum(zero(f"_p_{n}") + F.col("_w") * (zero(f"_r_{n}") + zero(f"_n_{n}"))).alias(n)
-            for n in names])
+        reach = {f"_n_{n}": F.lit(0) if max_days == 0 else F.sum(f"_m_{n}").over(later) for n in names}
+        total = days.withColumns(reach).where(F.col("_w").isNotNull()).groupBy(*keys, *dims).agg(*[
+            F.sum(zero(f"_p_{n}") + F.col("_w") * zero(f"_n_{n}")).alias(n) for n in names])
         return total.where(F.col("pairs") > 0)
 
-    same_day = within.select(*keys, *dims, "_day", *[
-        (zero(f"_p_{n}") + F.col("_w") * zero(f"_r_{n}")).alias(n) for n in names])
-    shown_days = shown.groupBy(*keys, *dims, "_day").agg(F.sum("_w").alias("_w"))
-    done_days = done.groupBy(*keys, "_day").agg(*[F.sum(f"_m_{n}").alias(f"_m_{n}") for n in names])
-    if max_days == 0:
-        pairs = same_day
-    else:
-        if max_days is not None:
-            # max_days rows per key, dims and day.
-            reach = F.sequence(F.col("_day") + 1, F.col("_day") + max_days)
-            seen = (shown_days.withColumn("_day", F.explode(reach))
-                    .groupBy(*keys, *dims, "_day").agg(F.sum("_w").alias("_w")))
-            later = seen.join(done_days, on=[*keys, "_day"])
-        else:
-            points = shown_days.select(*keys, *dims).distinct().join(done_days, on=list(keys))
-            before = (Window.partitionBy(*keys, *dims).orderBy("_day")
-                      .rangeBetween(Window.unboundedPreceding, -1))
-            later = (shown_days.unionByName(points, allowMissingColumns=True)
-                     .withColumn("_w", F.sum("_w").over(before))
-                     .where(F.col("_m_pairs").isNotNull() & F.col("_w").isNotNull()))
-        pairs = same_day.unionByName(later.select(*keys, *dims, "_day", *[
-            (F.col("_w") * F.col(f"_m_{n}")).alias(n) for n in names]))
-    return (pairs.groupBy(*keys, *dims, F.date_from_unix_date("_day").alias("conversion_day"))
-            .agg(*[F.sum(n).alias(n) for n in names])
+    # One entry per later day with conversions, next to the day itself.
+    entry = F.struct(F.col("_day").alias("day"), *[zero(f"_m_{n}").alias(n) for n in names])
+    ahead = F.array() if max_days == 0 else F.collect_list(F.when(F.col("_m_pairs") > 0, entry)).over(later)
+    today = F.struct(F.col("_day").alias("day"), *[zero(f"_p_{n}").alias(n) for n in names])
+    pairs = days.withColumn("_ahead", ahead).where(F.col("_w").isNotNull())
+    pairs = pairs.select(*keys, *dims, F.explode(F.concat(F.array(today), F.transform("_ahead", lambda d: F.struct(
+        d["day"].alias("day"), *[(d[n] * F.col("_w")).alias(n) for n in names])))).alias("_d"))
+    return (pairs.groupBy(*keys, *dims, F.date_from_unix_date("_d.day").alias("conversion_day"))
+            .agg(*[F.sum(f"_d.{n}").alias(n) for n in names])
             .where(F.col("pairs") > 0))

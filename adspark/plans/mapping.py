@@ -233,7 +233,7 @@ META_COLUMNS = ("target_country", "country", "order_number", "advertiser_id", "a
 
 def campaign_meta(mapping: DataFrame, p: ReportParams) -> DataFrame:
     """Line items with an open end of the report window (start before it, end on or after its start)."""
-    active = overlaps("line_item_start", "line_item_end", ts_literal(p.window_end), ts_literal(p.window_start),
+    active = overlaps("line_item_start", "line_item_end", ts_literal(p.window_start), ts_literal(p.window_end),
                       inclusive="left")
     rows = mapping.where(active)
     if p.countries:

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from adspark.workload.registry import QUERIES, SQL
 
-_MODULES = ("relational", "measurement")
+_MODULES = ("relational", "measurement", "reports")
 
 
 def _load() -> None:

@@ -10,7 +10,7 @@ from adspark.functions import time as T
 from adspark.operators.relational import cond_sum, in_list
 from adspark.plans import attribution, audience, conversions, delivery, finance, identity, lift, mapping
 from adspark.plans.reports import KEYS, TIME_LABELS, TIME_THRESHOLDS, universe_of
-from adspark.workload.registry import query
+from adspark.workload.registry import once, query
 from adspark.workload.sql import PAGE0, W0, W1, WA
 from adspark.workload.tables import PARAMS as P, Source
 
@@ -18,30 +18,37 @@ IDS = ["campaign_id", "creative_id"]
 LEGACY = P.but(attribution_days=None)
 
 
+@once
 def cmap(s: Source) -> DataFrame:
     return mapping.creative_map(s.mapping, P)
 
 
+@once
 def universe(s: Source) -> DataFrame:
     return universe_of(s.report_tables, cmap(s), P)
 
 
+@once
 def shown(s: Source) -> DataFrame:
     return delivery.exposures(s.log, cmap(s), P, universe(s))
 
 
+@once
 def usage(s: Source) -> DataFrame:
     return conversions.app_usage(s.sessions, s.id_map, s.apps, P)
 
 
+@once
 def used(s: Source) -> DataFrame:
     return conversions.usage_since_first_line(usage(s), cmap(s))
 
 
+@once
 def first(s: Source) -> DataFrame:
     return conversions.first_app_open(usage(s), P, universe(s))
 
 
+@once
 def visits(s: Source) -> DataFrame:
     return conversions.page_visits(s.log, identity.ip_device_map(s.log, s.id_map, P), universe(s), P)
 
@@ -488,11 +495,13 @@ def q_booked_budget(s: Source):
 
 # ---- lift
 
+@once
 def subscribers(s: Source) -> DataFrame:
     listed = s.customer.where("c_mktsegment = 'MACHINERY'").select(F.lower("c_name").alias("source_id"))
     return audience.subscriber_ids(listed, s.id_map)
 
 
+@once
 def matched(s: Source) -> DataFrame:
     hours = conversions.app_usage_hours(s.sessions, s.id_map, s.apps, universe(s), P)
     return audience.matched_usage(hours, audience.matched_audience(universe(s), subscribers(s)))
@@ -530,7 +539,7 @@ def _lift_sql(by: str, group: str = "") -> str:
     inner = f"SELECT {shown_by}, device_id, SUM(imps) AS imps FROM imps GROUP BY ALL"
     keys = shown_by
     if group:
-        inner = f"SELECT country, order_number, LEAST(imps, 20) AS impression_group, device_id, imps FROM ({inner})"
+        inner = f"SELECT country, order_number, CAST(LEAST(imps, 20) AS BIGINT) AS impression_group, device_id, imps FROM ({inner})"
         keys = "country, order_number, impression_group"
     return f"""
     SELECT *, round(exposed_rate_ / NULLIF(unexposed_rate_, 0) - 1, 6) AS lift, round(avg_e / NULLIF(avg_u, 0) - 1, 6) AS lift_time_spent,

@@ -28,3 +28,15 @@ def query(name: str, sql: str | None = None, *views: str):
         return fn
 
     return register
+
+
+def once(fn: Callable[[Source], DataFrame]) -> Callable[[Source], DataFrame]:
+    """Build a shared step once per :class:`Source`, so that its readers hold the same plan."""
+
+    def get(s: Source) -> DataFrame:
+        key = f"_step_{fn.__name__}"
+        if key not in s.__dict__:
+            s.__dict__[key] = fn(s)
+        return s.__dict__[key]
+
+    return get

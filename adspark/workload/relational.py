@@ -88,12 +88,12 @@ def conform_types(s: Source):
 
 @query("derive_alias_reuse", """
     SELECT l_orderkey, l_linenumber::BIGINT AS line, round(SUM(l_extendedprice * (1 - l_discount)), 4) AS net,
-           round(round(SUM(l_extendedprice * (1 - l_discount)), 4) / 7, 2) AS net_7
+           round(round(SUM(l_extendedprice * (1 - l_discount)), 4) / 7, 6) AS net_7
     FROM lineitem GROUP BY l_orderkey, l_linenumber""")
 def derive_alias(s: Source):
     net = s.lineitem.groupBy("l_orderkey", F.col("l_linenumber").cast("long").alias("line")).agg(
         F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 4).alias("net"))
-    return R.derive(net, net_7=F.round(F.col("net") / 7, 2))
+    return R.derive(net, net_7=F.round(F.col("net") / 7, 6))
 
 
 @query("alias_in_filter_and_window", """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 W0, W1, WA = ("TIMESTAMP '2024-01-08 00:00:00'", "TIMESTAMP '2024-01-14 23:59:59'",
               "TIMESTAMP '2024-01-21 23:59:59'")
 USAGE0, PAGE0 = "TIMESTAMP '2023-12-08 00:00:00'", "TIMESTAMP '2024-01-01 00:00:00'"
@@ -146,9 +148,10 @@ VIEWS = {
         SELECT country, COUNT(DISTINCT device_id) AS total_universe FROM uni GROUP BY country""",
 }
 
-# Which views each view reads, found from its text.
-_NEEDS = {name: [v for v in VIEWS if v != name and f" {v} " in f" {body.replace(chr(10), ' ').replace('(', ' ').replace(')', ' ')} "]
-          for name, body in VIEWS.items()}
+def _needs(name: str) -> list[str]:
+    """Which views a view reads, found from its text."""
+    words = set(re.findall(r"\w+", VIEWS[name]))
+    return [v for v in VIEWS if v != name and v in words]
 
 
 def with_views(query: str, *names: str) -> str:
@@ -156,7 +159,7 @@ def with_views(query: str, *names: str) -> str:
     order: list[str] = []
 
     def add(name: str) -> None:
-        for need in _NEEDS[name]:
+        for need in _needs(name):
             if need not in order:
                 add(need)
         if name not in order:

@@ -26,6 +26,7 @@ ORDER_RUN = date(2001, 6, 1)
 MAP_RUN = date(2024, 2, 1)
 EPOCH_DAY = "2024-01-01 00:00:00"
 
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 MEDIA = {0: "native", 1: "ctv", 2: "stvp"}
 TRACKERS = {0: "start", 1: "first_quartile", 2: "midpoint", 3: "third_quartile", 4: "complete"}
 
@@ -41,7 +42,11 @@ class Source:
     folder: str
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in TABLES:
+            raise AttributeError(name)
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        self.__dict__[name] = table  # the schema is read from the file once
+        return table
 
     @cached_property
     def markets(self) -> DataFrame:
