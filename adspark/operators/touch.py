@@ -5,7 +5,8 @@ rows on both sides then gives the product of the two, in one task. Nothing here
 no device is ever handled whole: its time line is cut into slices (an hour, unless told otherwise),
 slices are worked on apart, and only one small row per slice is carried from one to the next.
 
-* :func:`last_touch` and :func:`first_touch` choose one exposure for each conversion.
+* :func:`last_touch` and :func:`first_touch` choose one exposure for each conversion,
+  :func:`next_touch` the first one after a point in time.
 * :func:`pair_totals` counts and sums over all pairs, from running sums.
 
 ``max_days`` counts calendar days; None means no limit. An exposure at the very time of the
@@ -41,7 +42,7 @@ def _nearest(exposures: DataFrame, probes: DataFrame, keys: Sequence[str], expos
     """
     slice_of = [*keys, "_day", "_slice"]
     touches = _keyed(exposures, keys, exposure_ts, slice_minutes).select(
-        *slice_of, "_ts", F.struct(F.col("_ts").alias("ts"), F.struct(*carry).alias("at")).alias("_touch"))
+        *slice_of, "_ts", F.struct(F.col("_ts").alias("ts"), F.struct(*carry, F.lit(0)).alias("at")).alias("_touch"))
     line = touches.unionByName(probes, allowMissingColumns=True)
 
     # In time order, an exposure before a probe of the same time, and the lowest carry last.
@@ -95,6 +96,14 @@ def first_touch(exposures: DataFrame, conversions: DataFrame, keys: Sequence[str
     return _flat(found, exposure_ts, carry)
 
 
+def next_touch(exposures: DataFrame, probes: DataFrame, keys: Sequence[str], exposure_ts: str, probe_ts: str,
+               carry: Sequence[str] = (), slice_minutes: int = SLICE_MINUTES) -> DataFrame:
+    """Each probe with the earliest exposure at or after it; probes that nothing follows are left out."""
+    at = _probes(probes, keys, F.col(probe_ts), slice_minutes)
+    found = _nearest(exposures, at, keys, exposure_ts, carry, True, slice_minutes)
+    return _flat(found.where(F.col("_touch").isNotNull()), exposure_ts, carry)
+
+
 def _probes(conversions: DataFrame, keys: Sequence[str], at: Column, slice_minutes: int) -> DataFrame:
     whole = F.struct(*conversions.columns)
     df = conversions.withColumn("_at", at).withColumn("_probe", whole)
@@ -163,12 +172,15 @@ def pair_totals(exposures: DataFrame, conversions: DataFrame, keys: Sequence[str
         return total.where(F.col("pairs") > 0)
 
     # One entry per later day with conversions, next to the day itself.
-    entry = F.struct(F.col("_day").alias("day"), *[zero(f"_m_{n}").alias(n) for n in names])
-    ahead = F.array() if max_days == 0 else F.collect_list(F.when(F.col("_m_pairs") > 0, entry)).over(later)
-    today = F.struct(F.col("_day").alias("day"), *[zero(f"_p_{n}").alias(n) for n in names])
-    pairs = days.withColumn("_ahead", ahead).where(F.col("_w").isNotNull())
-    pairs = pairs.select(*keys, *dims, F.explode(F.concat(F.array(today), F.transform("_ahead", lambda d: F.struct(
-        d["day"].alias("day"), *[(d[n] * F.col("_w")).alias(n) for n in names])))).alias("_d"))
+    entries = F.array(F.struct(F.col("_day").alias("day"), *[zero(f"_p_{n}").alias(n) for n in names]))
+    pairs = days
+    if max_days != 0:
+        entry = F.struct(F.col("_day").alias("day"), *[F.col(f"_m_{n}").alias(n) for n in names])
+        ahead = F.collect_list(F.when(F.col("_m_pairs") > 0, entry)).over(later)
+        pairs = days.withColumn("_ahead", ahead)
+        entries = F.concat(entries, F.transform("_ahead", lambda d: F.struct(
+            d["day"].alias("day"), *[(F.coalesce(d[n], F.lit(0)) * F.col("_w")).alias(n) for n in names])))
+    pairs = pairs.where(F.col("_w").isNotNull()).select(*keys, *dims, F.explode(entries).alias("_d"))
     return (pairs.groupBy(*keys, *dims, F.date_from_unix_date("_d.day").alias("conversion_day"))
             .agg(*[F.sum(f"_d.{n}").alias(n) for n in names])
             .where(F.col("pairs") > 0))

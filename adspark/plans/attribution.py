@@ -120,7 +120,7 @@ def attribute(exposed: DataFrame, conversions: DataFrame, p: ReportParams, ts: s
 def exposed_converters(exposed: DataFrame, conversions: DataFrame, ts: str, max_days: int | None,
                        keys: Sequence[str] = DEVICE) -> DataFrame:
     """Devices with an exposure before a conversion. Which exposure does not matter."""
-    return touch.last_touch(exposed, conversions, keys, "exposure_time", ts, ["event"],
+    return touch.last_touch(exposed, conversions, keys, "exposure_time", ts, [],
                             max_days).select(*keys).distinct()
 
 

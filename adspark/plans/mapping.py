@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from adspark.functions.columns import normalise, text_part, try_number, without_commas
 from adspark.functions.time import date_literal, shift_date, ts_from_parts, ts_literal
 from adspark.operators.relational import (
-    distinct_rows, eq_ci, in_rel, inner, lookup, not_dropped, overlaps, point_in_interval, present,
-    recent_or_null, union_distinct, with_parent)
+    distinct_rows, eq_ci, in_rel, inner, lookup, not_dropped, overlaps, present, recent_or_null,
+    union_distinct, with_parent)
+from adspark.operators.touch import next_touch
 from adspark.operators.windows import latest_per_key
 from adspark.params import ReportParams, mapping_window
 from adspark.plans.finance import booked_budget
@@ -168,11 +169,14 @@ def creative_mapping(book: DataFrame, campaigns: DataFrame, oms: DataFrame, log:
                     book.select("sales_order_id", "order_number").distinct(), "sales_order_id")
     seen_home = inner(logged, ordered.drop("sales_order_id").distinct(), "campaign_id")
 
+    # A combination ran for a line if its first exposure after the line's start is within the line's
+    # time: one look-up per line and combination, and not a comparison per line and exposure.
     spans = abroad.select("order_number", "campaign_id", "line_item_id", "line_item_start", "line_item_end").distinct()
-    seen_abroad = point_in_interval(
-        regional.select("order_number", "country", *ran, "exposure_time"), spans,
-        ["order_number", "campaign_id"], "exposure_time", "line_item_start", "line_item_end",
-    ).select("order_number", "line_item_id", "line_item_start", "line_item_end", "country", *ran).distinct()
+    combination = ["order_number", "country", *ran]
+    candidates = inner(spans, regional.select(*combination).distinct(), ["order_number", "campaign_id"])
+    seen_abroad = next_touch(
+        regional.select(*combination, "exposure_time"), candidates, combination, "exposure_time", "line_item_start",
+    ).where(F.col("exposure_time") <= F.col("line_item_end")).drop("exposure_time")
 
     code = F.when(F.col("product_country") == "USA", "US").otherwise(F.col("country_code"))
     flight = flights.select("flight_id", "campaign_id", "flight_name", "flight_start", "flight_end")

@@ -20,13 +20,19 @@ CSV_DIALECT = {
 MAX_ROWS = 999_999
 
 
-def export_csv(df: DataFrame, path: str, order_cols: Sequence[str] = ()) -> str:
+class TooLargeForOneFile(ValueError):
+    """The list does not fit one file; deliver it with :func:`export_paged`."""
+
+
+def export_csv(df: DataFrame, path: str, order_cols: Sequence[str] = (), max_rows: int = 5_000_000) -> str:
     """One headered, uncompressed file at ``path``, replacing what is there.
 
-    For lists that must arrive as a single file. Reports of unknown size go through
-    :func:`export_paged`.
+    For lists that must arrive as a single file, which one task has to write; their size is checked
+    first. Reports of unknown size go through :func:`export_paged`.
     """
     spark = df.sparkSession
+    if df.count() > max_rows:
+        raise TooLargeForOneFile(f"more than {max_rows} rows for {path}")
     one = df.repartition(1)
     one = one.sortWithinPartitions(*order_cols) if order_cols else one
     parts = f"{path}.parts-{uuid.uuid4().hex}"

@@ -15,24 +15,41 @@ def shared_dir(spark: SparkSession) -> str | None:
     return spark.conf.get(CHECKPOINT_CONF, None) or None
 
 
+def _base(spark: SparkSession) -> str | None:
+    shared = shared_dir(spark)
+    return shared and f"{shared.rstrip('/')}/adspark-{spark.sparkContext.applicationId}"
+
+
 def stage(df: DataFrame, name: str | None = None) -> DataFrame:
-    """Cut the lineage of ``df`` and read it back from the shared folder.
+    """Write ``df`` to the shared folder and read it back.
 
-    Written as a checkpoint, so a lost executor costs a re-read and not a re-computation. Without
-    a shared folder the plan stays lazy: results are the same, shared steps are computed again.
-    ``name`` also registers the result as a temporary view.
+    This cuts the lineage: a lost executor costs a re-read and not a re-computation, and readers
+    prune columns and know the size. Without a shared folder the plan stays lazy: results are the
+    same, shared steps are computed again. ``name`` also registers the result as a temporary view.
     """
-    out = df.checkpoint(eager=True) if shared_dir(df.sparkSession) else df
+    base = _base(df.sparkSession)
+    if base:
+        path = f"{base}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        df = df.sparkSession.read.schema(df.schema).parquet(path)
     if name:
-        out.createOrReplaceTempView(name)
-    return out
+        df.createOrReplaceTempView(name)
+    return df
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete what this application staged. Call it when the results have been written."""
+    base = _base(spark)
+    if base:
+        path = spark._jvm.org.apache.hadoop.fs.Path(base)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def work_dir(spark: SparkSession) -> str:
     """A new folder for written results: in the shared folder, or local if Spark itself is local."""
-    base = shared_dir(spark)
+    base = _base(spark)
     if base:
-        return f"{base.rstrip('/')}/adspark-{uuid.uuid4().hex}"
+        return f"{base}/{uuid.uuid4().hex}"
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix="adspark-")
     raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder")

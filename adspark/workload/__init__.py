@@ -6,7 +6,7 @@ from importlib import import_module
 
 from adspark.workload.registry import QUERIES, SQL
 
-_MODULES = ("relational", "measurement", "reports")
+_MODULES = ("relational", "measurement", "reports", "files")
 
 
 def _load() -> None:
