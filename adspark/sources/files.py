@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from adspark.stage import shared_dir, stage
+
 CORRUPT = "_corrupt_record"
 
 
@@ -25,28 +27,19 @@ def _permissive(spark: SparkSession, path: str, schema: T.StructType, **options)
             .options(**options).csv(path))
 
 
-def bad_row_count(spark: SparkSession, path: str, schema: T.StructType, **options) -> int:
-    """Rows that do not parse, summed in one aggregate over all columns.
-
-    A filter on the corrupt column alone would let Spark prune the data columns, and then nothing
-    is parsed; counting over the whole row keeps them.
-    """
-    df = _permissive(spark, path, schema, **options)
-    probe = F.struct(*[F.col(f.name) for f in schema])
-    row = df.select(F.col(CORRUPT), F.xxhash64(probe).alias("h")).agg(
-        F.count(F.when(F.col(CORRUPT).isNotNull(), 1)).alias("bad"), F.max("h").alias("h")).first()
-    return row["bad"]
-
-
 def read_csv_tolerant(spark: SparkSession, path: str, schema: T.StructType,
                       max_errors: int = 250, **options) -> DataFrame:
-    """CSV that may hold up to ``max_errors`` bad rows, which are left out."""
-    bad = bad_row_count(spark, path, schema, **options)
+    """CSV that may hold up to ``max_errors`` bad rows, which are left out.
+
+    Parsed once, into the shared folder (or the cache): Spark refuses to query the column of broken
+    rows alone on the raw file, because nothing else would be parsed then.
+    """
+    parsed = _permissive(spark, path, schema, **options)
+    parsed = stage(parsed) if shared_dir(spark) else parsed.persist()
+    bad = parsed.where(F.col(CORRUPT).isNotNull()).count()
     if bad > max_errors:
         raise BadRowsError(f"{bad} bad rows in {path}, at most {max_errors} allowed")
-    df = _permissive(spark, path, schema, **options)
-    # The good rows are recognised from the parsed columns, so the parser must read them all.
-    return df.where(F.col(CORRUPT).isNull()).select(*[F.col(f.name) for f in schema])
+    return parsed.where(F.col(CORRUPT).isNull()).select(*[F.col(f.name) for f in schema])
 
 
 def report_manifest(spark: SparkSession, folder: str, name_pattern: str = "*.csv") -> DataFrame:

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from adspark.functions import time as T
-from adspark.operators.relational import cond_sum, in_list
+from adspark.operators.relational import in_list
 from adspark.plans import attribution, audience, conversions, delivery, finance, identity, lift, mapping
 from adspark.plans.reports import KEYS, TIME_LABELS, TIME_THRESHOLDS, universe_of
 from adspark.workload.registry import once, query
@@ -15,7 +14,6 @@ from adspark.workload.sql import PAGE0, W0, W1, WA
 from adspark.workload.tables import PARAMS as P, Source
 
 IDS = ["campaign_id", "creative_id"]
-LEGACY = P.but(attribution_days=None)
 
 
 @once
@@ -165,6 +163,35 @@ def q_video_tiles(s: Source):
     return delivery.video_tiles(s.log, cmap(s), P)
 
 
+@query("exposure_log", """
+    SELECT country, CAST(exposure_time AS DATE) AS exposure_day, campaign_id, creative_id, COUNT(device_id) AS click
+    FROM shown WHERE event = 'click' GROUP BY ALL""", "shown")
+def q_exposure_log(s: Source):
+    rows = delivery.exposure_log(shown(s), "click")
+    return rows.groupBy("country", "exposure_day", *IDS).agg(F.count("device_id").alias("click"))
+
+
+@query("impressions_with_product", f"""
+    SELECT l.device_id, l.event_time AS exposure_time, l.campaign_id, l.flight_id, l.creative_id, p.p_partkey AS product_id, p.p_name AS product_name
+    FROM log l JOIN part p ON p.p_partkey = l.creative_id
+    WHERE l.event = 'impression' AND l.dropped IS NULL AND l.partition_time BETWEEN {W0} AND {W1}""", "log")
+def q_impressions_with_product(s: Source):
+    meta = s.mapping.select("campaign_id", "flight_id", "creative_id", F.col("line_item_id").alias("product_id"),
+                            F.col("creative_name").alias("product_name"))
+    seen = delivery.only(delivery.exposures(s.log, s.mapping, P, keys=("campaign_id",)), "impression")
+    return delivery.with_product(seen, meta).drop("country", "event")
+
+
+@query("creative_counts", f"""
+    SELECT creative_id, country, COUNT(*) AS impressions FROM log
+    WHERE event = 'impression' AND partition_time BETWEEN {W0} AND {W1} AND creative_id IN (3, 7, 20) GROUP BY ALL""", "log")
+def q_creative_counts(s: Source):
+    # An ad-hoc list of creatives, dropped events included.
+    seen = delivery.exposures(s.log, s.mapping, P, keep_dropped=True)
+    return in_list(delivery.only(seen, "impression"), "creative_id", [3, 7, 20]).groupBy("creative_id", "country").agg(
+        F.count("*").alias("impressions"))
+
+
 # ---- conversions
 
 @query("app_usage", "SELECT * FROM usage", "usage")
@@ -407,6 +434,20 @@ def q_attr_last_visits(s: Source):
     return rows.groupBy(*IDS, "segment_id").agg(F.count("*").alias("visits"))
 
 
+@query("attr_last_first_visits", """
+    SELECT campaign_id, creative_id, segment_id, COUNT(*) AS visits FROM (
+      SELECT s.campaign_id, s.creative_id, v.segment_id, row_number() OVER (
+          PARTITION BY v.device_id, v.country, v.segment_id, v.visit_time
+          ORDER BY s.exposure_time DESC, s.campaign_id, s.flight_id, s.creative_id) AS rn
+      FROM shown s JOIN first_visits v ON v.device_id = s.device_id AND v.country = s.country
+       AND s.exposure_time <= v.visit_time AND datediff('day', s.exposure_time, v.visit_time) <= 7)
+    WHERE rn = 1 GROUP BY ALL""", "shown", "first_visits")
+def q_attr_last_first_visits(s: Source):
+    new = conversions.first_visit(visits(s), P)
+    return attribution.last_touch(shown(s), new, "visit_time", P.attribution_days, KEYS).groupBy(*IDS, "segment_id").agg(
+        F.count("*").alias("visits"))
+
+
 @query("attr_visit_devices", """
     SELECT campaign_id, creative_id, COUNT(*) AS conversions, COUNT(DISTINCT s.device_id) AS devices
     FROM shown s JOIN visits v ON v.device_id = s.device_id AND v.country = s.country AND s.exposure_time <= v.visit_time
@@ -751,5 +792,13 @@ def q_roll_control(s: Source):
 @query("audience_minus_control", f"""
     SELECT country, source_id FROM ({_MONTH}) WHERE source_id NOT IN ({_HELD} UNION {_OLD})""", "ev", "markets")
 def q_audience(s: Source):
-    _, people = audience.audience_job(voice(s), s.id_map, old_control(s), RUN.date(), CATEGORY, APP, GOAL, seed=3)
-    return people
+    return _audiences(s)[1]
+
+
+@query("audience_control", f"{_HELD} UNION {_OLD}", "ev", "markets")
+def q_audience_control(s: Source):
+    return _audiences(s)[0]
+
+
+def _audiences(s: Source) -> tuple[DataFrame, DataFrame]:
+    return audience.audience_job(voice(s), s.id_map, old_control(s), RUN.date(), CATEGORY, APP, GOAL, seed=3)

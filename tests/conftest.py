@@ -16,7 +16,8 @@ from adspark.stage import CHECKPOINT_CONF, drop_stages  # noqa: E402
 def spark(tmp_path_factory):
     builder = (SparkSession.builder.master("local[8]").appName("adspark-tests")
                .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
-               .config("spark.sql.shuffle.partitions", "8"))
+               .config("spark.sql.shuffle.partitions", "8")
+               .config("spark.sql.maxMetadataStringLength", "2000"))
     for key, value in CONF.items():
         builder = builder.config(key, value)
     session = builder.getOrCreate()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import math
+import re
 
 import duckdb
 import pytest
@@ -15,6 +16,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "labels conversations").split()
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
          "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+# Steps that pair up whole groups or leave the JVM.
+BAD_STEPS = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|PythonUDF|ArrowEval|MapInPandas")
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
@@ -50,3 +53,5 @@ def test_query(name, spark, duck):
     order = [columns.index(c) for c in df.columns]
     expected = sorted(tuple(text(r[i]) for i in order) for r in got.fetchall())
     assert sorted(tuple(text(v) for v in r) for r in df.collect()) == expected
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not BAD_STEPS.search(plan)
