@@ -36,15 +36,17 @@ def exposures(log: DataFrame, creative_map: DataFrame, p: ReportParams, universe
     """Impressions and clicks of mapped campaigns in the report window, on universe devices.
 
     A semi join on the map, so an exposure appears once however many line items share its creative;
-    with ``attach`` it appears once per combination of those map columns.
+    with ``attach`` it appears once per combination of those map columns. The map goes first: it is
+    small and takes out most of the log before the universe asks for a shuffle.
     """
     shown = _delivered(log, p, ("impression", "click"), p.in_window(F.col("partition_time")), keep_dropped)
     shown = shown.select("device_id", "country", F.col("event_time").alias("exposure_time"),
                          "campaign_id", "flight_id", "creative_id", "event")
-    if universe is not None:
-        shown = in_rel(shown, universe, ["country", "device_id"])
-    wanted = creative_map.select(*keys, *attach).distinct()
-    return inner(shown, wanted, list(keys)) if attach else in_rel(shown, wanted, list(keys))
+    if attach:
+        shown = inner(shown, creative_map.select(*keys, *attach).distinct(), list(keys))
+    else:
+        shown = in_rel(shown, creative_map.select(*keys), list(keys))
+    return shown if universe is None else in_rel(shown, universe, ["country", "device_id"])
 
 
 def delivery(log: DataFrame, creative_map: DataFrame, p: ReportParams) -> DataFrame:
@@ -113,7 +115,7 @@ def video_tiles(log: DataFrame, creative_map: DataFrame, p: ReportParams) -> Dat
     """How far videos played. A step nobody reached is NULL here and 0 in the report."""
     seen = _delivered(log, p, ("tracker",), p.in_attribution(F.col("partition_time")))
     wanted = creative_map.select("campaign_id", "flight_id", "creative_id",
-                                 F.col("target_country").alias("country")).distinct()
+                                 F.col("target_country").alias("country"))
     return cond_sum(in_rel(seen, wanted, list(BY_CREATIVE)), BY_CREATIVE,
                     {n: F.col("tracker").isin(*names) for n, names in VIDEO_STEPS.items()}, zero=False)
 

@@ -38,8 +38,8 @@ def device_universe(hardware: DataFrame, delivery: DataFrame, app_opens: DataFra
                     p: ReportParams, start: DataFrame | None = None) -> DataFrame:
     """Devices seen in the window by hardware, by our own impressions or by an app opening.
 
-    Every arm is reduced to distinct keys before it is mapped to devices. ``start`` is the one-row
-    result of :func:`qualified_start`.
+    Source ids are reduced to distinct ones before they are mapped to devices. ``start`` is the
+    one-row result of :func:`qualified_start`.
     """
     lo: Column = ts_literal(p.window_start) if start is None else start.select("universe_start").scalar()
     hi = ts_literal(p.window_end)
@@ -48,14 +48,12 @@ def device_universe(hardware: DataFrame, delivery: DataFrame, app_opens: DataFra
         t = F.col("partition_time")
         return df.where((t >= lo) & (t <= hi) & p.in_country(F.col("country")))
 
-    def mapped(df: DataFrame) -> DataFrame:
-        return inner(seen(df).select("country", "source_id").distinct(),
-                     id_map.select("source_id", "device_id"), "source_id").select("country", "device_id")
-
+    sources = union_distinct(*[seen(df).select("country", "source_id") for df in (hardware, app_opens)])
+    mapped = inner(sources, id_map.select("source_id", "device_id"), "source_id").select("country", "device_id")
     own = (not_dropped(seen(delivery)).where(F.col("event") == "impression")
            .where((F.col("exchange_id") == OWN_EXCHANGE) | (F.col("seller_id") == OWN_SELLER))
            .select("country", F.coalesce("device_id", first_of("device_ids").cast("long")).alias("device_id")))
-    return (union_distinct(mapped(hardware), own, mapped(app_opens))
+    return (union_distinct(mapped, own)
             .where(F.col("device_id").isNotNull()))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from adspark.functions.columns import safe_ratio, without_commas
 from adspark.functions.time import day_of
-from adspark.operators.relational import attach_scalar, left_star, pivot_counts
+from adspark.operators.relational import attach_scalar, in_rel, left_star, pivot_counts
 from adspark.operators.windows import row_rank
 from adspark.params import ReportParams
 from adspark.plans import attribution, conversions, delivery, finance, identity, mapping
@@ -72,10 +72,10 @@ def partner_weekly_report(t: Tables, p: ReportParams) -> DataFrame:
 
     shown = stage(delivery.delivery(t.delivery, creatives, p))
     impressions = delivery.only(shown, "impression")
-    usage = stage(conversions.app_usage(t.sessions, t.id_map, t.apps, p).join(markets, "country", "left_semi"))
+    usage = stage(conversions.app_usage(in_rel(t.sessions, markets, "country"), t.id_map, t.apps, p))
     in_window = conversions.usage_in_window(usage, p)
     first = conversions.first_app_open(usage, p)
-    visits = stage(conversions.pixels(t.delivery, p).join(markets, "country", "left_semi"))
+    visits = stage(conversions.pixels(in_rel(t.delivery, markets, "country"), p))
     first_visits = conversions.first_visit(visits, p)
 
     stats = delivery.delivery_stats(shown, BY_COUNTRY)
@@ -218,8 +218,8 @@ def creative_report(t: Tables, p: ReportParams) -> DataFrame:
 def regional_creative_report(t: Tables, p: ReportParams, opens_only: bool = False) -> DataFrame:
     """Per country and creative, without daily grain and without window; devices are counted.
 
-    Impressions and clicks are of the whole log, usage of the report window. ``opens_only`` is for
-    markets that log openings without duration.
+    First opens come from the whole lookback, credited usage and downloads from the report days.
+    ``opens_only`` is for markets that log openings without duration.
     """
     cmap = mapping.creative_map(t.mapping, p).withColumn("country", F.col("target_country"))
     by = ["country", "campaign_id", "creative_id"]

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adspark.operators import windows as W
+from adspark.operators.relational import in_rel
 from adspark.plans import attribution, conversions, delivery, identity, lift
 from adspark.plans.reports import KEYS, REPORT_COLUMNS, partner_weekly_report
 from adspark.workload import measurement as M, queries
@@ -55,6 +56,27 @@ def test_global_order_is_not_one_task(spark, source):
     assert "rangepartitioning" not in plan  # already done when the ranges were staged
 
 
+def test_hot_device_is_split_in_joins(spark):
+    """A third of the rows on one device: adaptive execution splits its side of the universe join."""
+    rows = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("device_id"), F.lit("x").alias("country"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    universe = rows.select("country", "device_id").distinct()
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        kept = in_rel(rows, universe, ["country", "device_id"])
+        assert len(kept.collect()) == 300_000
+        assert "skew=true" in plan_of(kept)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_last_touch_is_part_of_any_touch(staged):
     last = attribution.last_touch(staged["shown"], staged["used"], "usage_time", 7, KEYS)
     assert last.count() <= staged["used"].count()
