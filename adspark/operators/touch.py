@@ -2,8 +2,9 @@
 
 The textbook form joins on the device and keeps the pairs in time order. One device with many
 rows on both sides then gives the product of the two, in one task. Nothing here builds pairs, and
-no device is ever handled whole: its time line is cut into slices (an hour, unless told otherwise),
-slices are worked on apart, and only one small row per slice is carried from one to the next.
+no device is ever handled whole: its time line is cut into slices (a quarter of an hour, unless told
+otherwise), slices are worked on apart, and one small row per slice is carried from one to the next.
+Sparse devices have about as many slices as rows, so short slices cost them nothing.
 
 * :func:`last_touch` and :func:`first_touch` choose one exposure for each conversion,
   :func:`next_touch` the first one after a point in time.
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from adspark.functions.columns import as_col
 
-SLICE_MINUTES = 60
+SLICE_MINUTES = 15
 
 
 def _keyed(df: DataFrame, keys: Sequence[str], ts: str, slice_minutes: int) -> DataFrame:
@@ -82,14 +83,17 @@ def last_touch(exposures: DataFrame, conversions: DataFrame, keys: Sequence[str]
 
 
 def first_touch(exposures: DataFrame, conversions: DataFrame, keys: Sequence[str], exposure_ts: str,
-                conversion_ts: str, carry: Sequence[str], max_days: int,
+                conversion_ts: str, carry: Sequence[str], max_days: int | None = None,
                 slice_minutes: int = SLICE_MINUTES) -> DataFrame:
     """Each conversion that follows an exposure, with the earliest exposure of its window.
 
     The window opens ``max_days`` calendar days before; the first exposure after that moment is the
     one, if it is not later than the conversion.
     """
-    opens = F.date_sub(F.to_date(conversion_ts), max_days).cast("timestamp_ntz")
+    if max_days is None:
+        opens = F.lit("0001-01-01").cast("timestamp_ntz")
+    else:
+        opens = F.date_sub(F.to_date(conversion_ts), max_days).cast("timestamp_ntz")
     probes = _probes(conversions, keys, opens, slice_minutes)
     found = _nearest(exposures, probes, keys, exposure_ts, carry, True, slice_minutes)
     found = found.where(F.col("_touch.ts") <= F.col(f"_probe.{conversion_ts}").cast("timestamp_ntz"))

@@ -80,7 +80,7 @@ def nearest_touch(exposed: DataFrame, conversions: DataFrame, ts: str, keys: Seq
                                        F.col("exposure_time").asc(), F.col(ts).asc()])
 
 
-def first_touch(exposed: DataFrame, conversions: DataFrame, ts: str, max_days: int,
+def first_touch(exposed: DataFrame, conversions: DataFrame, ts: str, max_days: int | None,
                 keys: Sequence[str] = DEVICE, carry: Sequence[str] = IDS) -> DataFrame:
     return touch.first_touch(exposed, conversions, keys, "exposure_time", ts, carry, max_days)
 

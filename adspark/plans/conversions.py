@@ -134,6 +134,12 @@ def pixels(log: DataFrame, p: ReportParams, segments: Sequence[int] | None = Non
     return hits.select("device_id", "country", "segment_id", F.col("event_time").alias("visit_time"))
 
 
+def visits_of(events: DataFrame) -> DataFrame:
+    """The pixel events among the events of a report."""
+    return events.where(F.col("event") == "segment").select(
+        "device_id", "country", "segment_id", F.col("event_time").alias("visit_time"))
+
+
 def first_visit(visits: DataFrame, p: ReportParams) -> DataFrame:
     return first_event(visits, ["device_id", "country", "segment_id"], "visit_time", "visit_time",
                        p.window_start, p.attribution_end)

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from adspark.functions.columns import safe_ratio
-from adspark.functions.time import day_of
+from adspark.functions.time import day_of, ts_literal
 from adspark.operators.relational import cond_sum, in_rel, inner, lookup, not_dropped
 from adspark.operators.windows import with_group_min
 from adspark.params import ReportParams
+from adspark.sources.scan import scan_events
 
 BY_CREATIVE = ("campaign_id", "flight_id", "creative_id", "country")
 
@@ -111,13 +112,44 @@ def impressions_per_device(log: DataFrame, meta: DataFrame, p: ReportParams, by:
     return shown.groupBy(*group).agg(F.count("*").alias("imps"))
 
 
-def video_tiles(log: DataFrame, creative_map: DataFrame, p: ReportParams) -> DataFrame:
+def video_counts(seen: DataFrame) -> DataFrame:
     """How far videos played. A step nobody reached is NULL here and 0 in the report."""
+    return cond_sum(seen.where(F.col("event") == "tracker"), BY_CREATIVE,
+                    {n: F.col("tracker").isin(*names) for n, names in VIDEO_STEPS.items()}, zero=False)
+
+
+def video_tiles(log: DataFrame, creative_map: DataFrame, p: ReportParams) -> DataFrame:
+    """Video progress of mapped creatives in the report and its attribution window."""
     seen = _delivered(log, p, ("tracker",), p.in_attribution(F.col("partition_time")))
     wanted = creative_map.select("campaign_id", "flight_id", "creative_id",
                                  F.col("target_country").alias("country"))
-    return cond_sum(in_rel(seen, wanted, list(BY_CREATIVE)), BY_CREATIVE,
-                    {n: F.col("tracker").isin(*names) for n, names in VIDEO_STEPS.items()}, zero=False)
+    return video_counts(in_rel(seen, wanted, list(BY_CREATIVE)))
+
+
+def report_events(log: DataFrame, creative_map: DataFrame, p: ReportParams) -> DataFrame:
+    """All rows of the log that a report needs, in one scan: mapped impressions, clicks and video
+    progress, and the pixel events of the report's segments, each in its own window.
+    """
+    kind, at = F.col("event"), F.col("partition_time")
+    segments = [v for v in (p.signup_segment, p.homepage_segment) if v is not None]
+    pixel = (kind == "segment") & F.col("segment_id").isin(*segments) if segments else F.lit(False)
+    rows = scan_events(not_dropped(log), min(p.page_lookback, p.window_start), p.attribution_end, p.countries)
+    rows = rows.where((kind.isin("impression", "click") & p.in_window(at))
+                      | ((kind == "tracker") & p.in_attribution(at))
+                      | (pixel & at.between(ts_literal(p.page_lookback), ts_literal(p.attribution_end))))
+    wanted = creative_map.select("campaign_id", "flight_id", "creative_id",
+                                 F.col("target_country").alias("country")).distinct()
+    rows = rows.select("event", "event_time", "device_id", "country", "campaign_id", "flight_id", "creative_id",
+                       "segment_id", "tracker")
+    rows = lookup(rows, wanted.withColumn("_mapped", F.lit(True)), list(BY_CREATIVE))
+    return rows.where((kind == "segment") | F.col("_mapped")).drop("_mapped")
+
+
+def delivered(events: DataFrame) -> DataFrame:
+    """The exposures among the events of a report."""
+    rows = events.where(F.col("event").isin("impression", "click"))
+    return rows.select("device_id", "country", F.col("event_time").alias("exposure_time"), "campaign_id",
+                       "flight_id", "creative_id", "event")
 
 
 def with_product(impressions: DataFrame, meta: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from adspark.functions.columns import safe_ratio, without_commas
 from adspark.functions.time import day_of
-from adspark.operators.relational import attach_scalar, in_rel, left_star, pivot_counts
+from adspark.operators.relational import attach_scalar, cond_sum, in_rel, left_star
 from adspark.operators.windows import row_rank
 from adspark.params import ReportParams
 from adspark.plans import attribution, conversions, delivery, finance, identity, mapping
@@ -56,26 +56,23 @@ def universe_of(t: Tables, creative_map: DataFrame, p: ReportParams) -> DataFram
     return identity.device_universe(t.hardware, t.delivery, t.app_opens, t.id_map, p, start)
 
 
-def _segment_counts(visits: DataFrame, by: Sequence[str], p: ReportParams, signup: str, homepage: str) -> DataFrame:
-    return visits.groupBy(*by).agg(*[
-        F.sum(F.when(test, 1)).alias(n) for n, test in conversions.by_segment(p, signup, homepage).items()])
-
-
 def partner_weekly_report(t: Tables, p: ReportParams) -> DataFrame:
     """43 columns per campaign, flight, line item and creative, for all countries in one job.
 
+    The delivery log is scanned once, for all kinds of event.
     The caller checks the mapping's age first (:func:`adspark.plans.mapping.assert_fresh`).
     """
     meta = mapping.campaign_meta(t.mapping, p)
     creatives = mapping.report_creatives(meta)
     markets = creatives.select(F.col("target_country").alias("country")).distinct()
 
-    shown = stage(delivery.delivery(t.delivery, creatives, p))
+    events = stage(delivery.report_events(t.delivery, creatives, p))
+    shown = delivery.delivered(events)
     impressions = delivery.only(shown, "impression")
     usage = stage(conversions.app_usage(in_rel(t.sessions, markets, "country"), t.id_map, t.apps, p))
     in_window = conversions.usage_in_window(usage, p)
     first = conversions.first_app_open(usage, p)
-    visits = stage(conversions.pixels(in_rel(t.delivery, markets, "country"), p))
+    visits = in_rel(conversions.visits_of(events), markets, "country")
     first_visits = conversions.first_visit(visits, p)
 
     stats = delivery.delivery_stats(shown, BY_COUNTRY)
@@ -96,7 +93,7 @@ def partner_weekly_report(t: Tables, p: ReportParams) -> DataFrame:
         "booked_budget", F.col("target_country").alias("country")).distinct()
     rows = left_star(spine, [
         (stats, BY_COUNTRY), (reach, BY_COUNTRY), (exposed, BY_COUNTRY),
-        (delivery.video_tiles(t.delivery, creatives, p), BY_COUNTRY),
+        (delivery.video_counts(events), BY_COUNTRY),
         (conversions.installs_by_country(first), ["country"]),
         (conversions.visits_by_country(visits, p), ["country"])])
     rows = rows.withColumns({
@@ -312,10 +309,8 @@ def campaign_table(t: Tables, p: ReportParams,
 
     def visited(rows: DataFrame, signup: str, homepage: str) -> DataFrame:
         credited = attribution.last_touch(shown, rows, "visit_time", p.attribution_days, KEYS, carry, per)
-        counts = credited.groupBy(day_of("visit_time").alias("exposure_day"), "segment_id", *match).agg(
-            F.count("*").alias("n"))
-        return pivot_counts(counts, ["exposure_day", *match], "segment_id",
-                            {p.signup_segment: signup, p.homepage_segment: homepage}, "n")
+        days = credited.withColumn("exposure_day", day_of("visit_time"))
+        return cond_sum(days, ["exposure_day", *match], conversions.by_segment(p, signup, homepage))
 
     seen = visited(visits, "exposed_page_visits_count_signup", "exposed_page_visits_count_homepage")
     seen_first = visited(first_visits, "exposed_first_page_visits_count_signup",

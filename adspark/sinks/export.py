@@ -61,7 +61,7 @@ def report_path(prefix: str, country: Column | str, p: ReportParams, page: Colum
     """``weekly/<prefix><country>_weekly_campaign_<start>_<end>_001.csv``"""
     country = F.lit(country) if isinstance(country, str) else country
     page = F.lit(page) if isinstance(page, int) else page
-    seq = F.right(F.concat(F.lit("000"), page.cast("string")), F.lit(3))
+    seq = F.format_string("%03d", page.cast("long"))  # more than 999 pages get longer numbers
     return F.concat(F.lit(f"{interval}/{prefix}"), F.lower(country),
                     F.lit(f"_{interval}_campaign_{p.start}_{p.end}_"), seq, F.lit(".csv"))
 

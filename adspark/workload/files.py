@@ -33,12 +33,12 @@ def csv_conform(s: Source):
     return read_csv(s.spark, f"{folder}/orders", ORDERS, timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
 
 
-@query("csv_single_file", "SELECT n_nationkey::BIGINT AS id, n_name AS name, CAST(NULL AS VARCHAR) AS note FROM nation")
+@query("csv_single_file", "SELECT s_suppkey AS id, s_name AS name, CAST(NULL AS VARCHAR) AS note FROM supplier")
 def csv_single_file(s: Source):
-    # A reference table, delivered as one named file.
-    rows = s.nation.select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name"),
-                           F.lit(None).cast("string").alias("note"))
-    path = export_csv(rows, f"{work_dir(s.spark)}/out/nations.csv", ["id"])
+    # A list, delivered as one named file.
+    rows = s.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
+                             F.lit(None).cast("string").alias("note"))
+    path = export_csv(rows, f"{work_dir(s.spark)}/out/advertisers.csv", ["id"])
     return read_csv(s.spark, path, schema(id="int", name="str", note="str"))
 
 

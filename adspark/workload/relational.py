@@ -9,13 +9,12 @@ from pyspark.sql import DataFrame, functions as F
 from adspark.functions import columns as C, time as T
 from adspark.operators import relational as R, windows as W
 from adspark.params import default_window, mapping_window, window_edges
-from adspark.schemas import schema
+from adspark.schemas import conform, schema
 from adspark.sources import map_rows, scan_between_dim, scan_events, split_column
 from adspark.sinks import page_of, report_path, rows_to_append, route, with_placeholder
 from adspark.sinks.export import dated_path
-from adspark.schemas import conform
 from adspark.workload.registry import query
-from adspark.workload.tables import PARAMS, TRACKERS, Source
+from adspark.workload.tables import PARAMS, Source
 
 
 def count(df: DataFrame, *keys: str) -> DataFrame:
@@ -63,15 +62,13 @@ def split_rows(s: Source):
     return count(split_column(s.part, "p_name", " ", "word"), "word")
 
 
-@query("map_regions", """
-    SELECT r_name AS region, n_name AS country FROM nation JOIN region ON n_regionkey = r_regionkey""")
-def map_regions(s: Source):
-    # Region -> its countries as one map column, then a row per entry.
-    nations = s.nation.join(s.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    lists = R.collect_distinct_text(nations, ["r_name"], "n_name", "countries")
-    as_map = lists.select(F.create_map("r_name", "countries").alias("m"))
-    return split_column(map_rows(as_map, "m", "region", "countries"), "countries", ",", "country").select(
-        "region", "country")
+@query("map_rows", "SELECT DISTINCT country, segment FROM markets", "markets")
+def q_map_rows(s: Source):
+    # Country -> its segments as one map column, then a row per entry.
+    lists = R.collect_distinct_text(s.markets, ["country"], "segment", "segments")
+    as_map = lists.select(F.create_map("country", "segments").alias("m"))
+    return split_column(map_rows(as_map, "m", "country", "segments"), "segments", ",", "segment").select(
+        "country", "segment")
 
 
 @query("conform_types", """
@@ -715,11 +712,13 @@ def placeholder_row(s: Source):
 
 
 @query("report_paths", """
-    SELECT r_name, 'weekly/adv_' || lower(r_name) || '_weekly_campaign_2024-01-08_2024-01-14_' || right('000' || (r_regionkey + 1), 3) || '.csv' AS path,
-           CASE WHEN lower(r_name) = 'us' THEN 'home' ELSE 'abroad' END AS destination, 'mapping/20240122_map.csv' AS dated FROM region""")
+    SELECT DISTINCT c_mktsegment AS market, page, 'weekly/adv_' || lower(c_mktsegment) || '_weekly_campaign_2024-01-08_2024-01-14_' ||
+           CASE WHEN page < 1000 THEN right('000' || page, 3) ELSE CAST(page AS VARCHAR) END || '.csv' AS path,
+           CASE WHEN lower(c_mktsegment) = 'us' THEN 'home' ELSE 'abroad' END AS destination, 'mapping/20240122_map.csv' AS dated
+    FROM (SELECT c_mktsegment, c_custkey // 100 + 1 AS page FROM customer)""")
 def report_paths(s: Source):
-    page = F.col("r_regionkey") + 1
-    return s.region.select(
-        "r_name", report_path("adv_", F.col("r_name"), PARAMS, page).alias("path"),
-        route(F.col("r_name"), "home", "abroad").alias("destination"),
+    pages = s.customer.select(F.col("c_mktsegment").alias("market"), (F.floor(F.col("c_custkey") / 100) + 1).alias("page")).distinct()
+    return pages.select(
+        "market", "page", report_path("adv_", F.col("market"), PARAMS, F.col("page")).alias("path"),
+        route(F.col("market"), "home", "abroad").alias("destination"),
         dated_path("mapping/<date>_map.csv", day("2024-01-22")).alias("dated"))

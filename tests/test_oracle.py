@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import math
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 import duckdb
 import pytest
@@ -29,6 +30,20 @@ def duck():
     return con
 
 
+@pytest.fixture(scope="module")
+def results(request, spark):
+    """The chosen queries, several at a time: on tables this small most of the time is planning."""
+
+    def run(name):
+        df = QUERIES[name](spark, FOLDER)
+        rows = df.collect()
+        return df.dtypes, rows, df._jdf.queryExecution().executedPlan().toString()
+
+    names = [i.callspec.params["name"] for i in request.session.items if i.originalname == "test_query"]
+    with ThreadPoolExecutor(6) as pool:
+        yield {name: pool.submit(run, name) for name in names}
+
+
 def text(v) -> str:
     if v is None:
         return ""
@@ -44,14 +59,12 @@ def test_every_query_has_sql():
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query(name, spark, duck):
-    df = QUERIES[name](spark, FOLDER)
+def test_query(name, results, duck):
+    dtypes, rows, plan = results[name].result()
     got = duck.execute(SQL[name])
     columns = [d[0] for d in got.description]
-    assert sorted(df.columns) == sorted(columns)
-    assert {n: TYPES[t] for n, t in df.dtypes} == {d[0]: str(d[1]) for d in got.description}
-    order = [columns.index(c) for c in df.columns]
+    assert {n: TYPES[t] for n, t in dtypes} == {d[0]: str(d[1]) for d in got.description}
+    order = [columns.index(c) for c, _ in dtypes]
     expected = sorted(tuple(text(r[i]) for i in order) for r in got.fetchall())
-    assert sorted(tuple(text(v) for v in r) for r in df.collect()) == expected
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(text(v) for v in r) for r in rows) == expected
     assert not BAD_STEPS.search(plan)

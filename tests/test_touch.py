@@ -48,7 +48,7 @@ def test_last_touch(spark, make, max_days, slice_minutes):
     assert Counter(tuple(r) for r in got.collect()) == expected
 
 
-@pytest.mark.parametrize("max_days", [0, 1, 7])
+@pytest.mark.parametrize("max_days", [None, 0, 7])
 def test_first_touch(spark, make, max_days):
     shown, done = sample(2, 120)
     expected = Counter()

@@ -12,6 +12,8 @@ from adspark.operators import relational as R, windows as W
 from adspark.params import ReportParams, default_window, report_window
 from adspark.plans import attribution, audience, conversions, delivery, finance, identity, imports, lift, mapping
 from adspark.schemas import DELIVERY, conform
+from adspark.sinks import report_path
+from adspark.sources import numbers, one_row
 
 P = ReportParams(date(2024, 1, 8), date(2024, 1, 14), lookback_months=1, page_lookback_days=7,
                  run_date=date(2024, 1, 22), signup_segment=0, homepage_segment=1)
@@ -71,6 +73,11 @@ def test_window_edges(spark):
     assert row["page_lookback"] == datetime(2024, 3, 1)
 
 
+def test_small_relations(spark):
+    assert [r["num"] for r in numbers(spark, 3).collect()] == [1, 2, 3]
+    assert one_row(spark, a=F.lit(1), b=F.lit("x")).collect()[0].asDict() == {"a": 1, "b": "x"}
+
+
 def test_empty_array_and_missing_parts(make):
     df = make("a array<string>, s string", ([], "a|b"))
     row = df.select(C.first_of("a").alias("x"), C.split_part("s", "|", 3).alias("y"), C.text_part("s", "|", 3).alias("z"),
@@ -95,6 +102,11 @@ def test_unset_segment_gives_no_visits(make):
                   "total_homepage_page_visits") == [(None, 1)]
 
 
+def test_pages_beyond_three_digits_keep_their_names(spark):
+    page = spark.range(1).select(report_path("adv_", "US", P, 1000).alias("p")).first()["p"]
+    assert page == "weekly/adv_us_weekly_campaign_2024-01-08_2024-01-14_1000.csv"
+
+
 def test_dropped_is_null_tolerant(make):
     assert values(R.not_dropped(make("i long, dropped boolean", (1, True), (2, False), (3, None))), "i") == [(2,), (3,)]
 
