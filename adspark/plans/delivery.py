@@ -155,7 +155,3 @@ def delivered(events: DataFrame) -> DataFrame:
 def with_product(impressions: DataFrame, meta: DataFrame) -> DataFrame:
     keys = ["campaign_id", "flight_id", "creative_id"]
     return inner(impressions, meta.select(*keys, "product_id", "product_name").distinct(), keys)
-
-
-def with_names(stats: DataFrame, creative_map: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    return lookup(stats, creative_map.select(*keys, *cols).distinct(), list(keys))

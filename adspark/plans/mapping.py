@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from adspark.functions.columns import normalise, text_part, try_number, without_commas
 from adspark.functions.time import date_literal, shift_date, ts_from_parts, ts_literal
 from adspark.operators.relational import (
-    distinct_rows, eq_ci, in_rel, inner, lookup, not_dropped, overlaps, present, recent_or_null,
+    distinct_rows, in_rel, inner, lookup, not_dropped, overlaps, present, recent_or_null,
     union_distinct, with_parent)
 from adspark.operators.touch import next_touch
 from adspark.operators.windows import latest_per_key
@@ -290,7 +290,3 @@ def campaign_meta_by_order(order_numbers: DataFrame, opportunities: DataFrame, o
     if products is not None:
         meta = inner(meta, products.select("product_id", "product_name").distinct(), "product_id")
     return meta.distinct()
-
-
-def country_is(df: DataFrame, country: str) -> DataFrame:
-    return df.where(eq_ci("target_country", F.lit(country)))

@@ -6,11 +6,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from adspark.operators.relational import in_list
+from adspark.operators.relational import in_rel
 from adspark.plans import attribution, audience, conversions, delivery, finance, identity, lift, mapping
 from adspark.plans.reports import KEYS, TIME_LABELS, TIME_THRESHOLDS, universe_of
 from adspark.workload.registry import once, query
-from adspark.workload.sql import PAGE0, W0, W1, WA
+from adspark.workload.sql import W0, W1, WA
 from adspark.workload.tables import PARAMS as P, Source
 
 IDS = ["campaign_id", "creative_id"]
@@ -184,11 +184,12 @@ def q_impressions_with_product(s: Source):
 
 @query("creative_counts", f"""
     SELECT creative_id, country, COUNT(*) AS impressions FROM log
-    WHERE event = 'impression' AND partition_time BETWEEN {W0} AND {W1} AND creative_id IN (3, 7, 20) GROUP BY ALL""", "log")
+    WHERE event = 'impression' AND partition_time BETWEEN {W0} AND {W1} AND creative_id IN (SELECT p_partkey FROM part WHERE p_type = 'PROMO') GROUP BY ALL""", "log")
 def q_creative_counts(s: Source):
-    # An ad-hoc list of creatives, dropped events included.
+    # The creatives of one product type, dropped events included.
+    wanted = s.part.where("p_type = 'PROMO'").select(F.col("p_partkey").alias("creative_id"))
     seen = delivery.exposures(s.log, s.mapping, P, keep_dropped=True)
-    return in_list(delivery.only(seen, "impression"), "creative_id", [3, 7, 20]).groupBy("creative_id", "country").agg(
+    return in_rel(delivery.only(seen, "impression"), wanted, "creative_id").groupBy("creative_id", "country").agg(
         F.count("*").alias("impressions"))
 
 
@@ -689,7 +690,7 @@ def q_media_combos_exclusive(s: Source):
     return lift.media_combos(s.media, exclusive=True)
 
 
-def _product_sql(combo_5: str, out: str) -> str:
+def _product_sql(out: str) -> str:
     return f"""
     SELECT combo AS media_ad_type, impressions, reach, conv AS website_conversions,
            round(CASE WHEN reach = 0 THEN 0 ELSE conv::DOUBLE / reach END, 6) AS exposed_conversion_rate,
@@ -713,13 +714,13 @@ def _product_views(combo_5: str) -> str:
 PRODUCT_RATES = ("exposed_conversion_rate", "unexposed_conversion_rate", "website_visitation_lift")
 
 
-@query("product_lift", _product_views(COMBO_5) + _product_sql(COMBO_5, "combos"), "media", "pixels", "uni")
+@query("product_lift", _product_views(COMBO_5) + _product_sql("combos"), "media", "pixels", "uni")
 def q_product_lift(s: Source):
     rows = lift.product_lift(s.media, conversions.pixels(s.log, P), universe(s), P.attribution_days)
     return rounded(rows, *PRODUCT_RATES)
 
 
-@query("product_lift_literal", _product_views(COMBO_5_LITERAL) + _product_sql(COMBO_5_LITERAL, "conv"), "media", "pixels", "uni")
+@query("product_lift_literal", _product_views(COMBO_5_LITERAL) + _product_sql("conv"), "media", "pixels", "uni")
 def q_product_lift_literal(s: Source):
     rows = lift.product_lift(s.media, conversions.pixels(s.log, P), universe(s), P.attribution_days,
                              unexposed="not_converted", literal=True)
@@ -738,11 +739,12 @@ def voice(s: Source) -> DataFrame:
     return s.ev.select("source_id", F.col("event_type").alias("category"), payload.alias("payload"), "country", "partition_time")
 
 
-_REG = """SELECT DISTINCT country, source_id FROM ev WHERE event_type = 'signup' AND k % 2 = 0
+_REG = """SELECT DISTINCT country, source_id FROM ev WHERE event_type = 'signup'
+          AND CASE WHEN k % 2 = 0 THEN 'LOGIN_ACTIVATE' ELSE 'LOGIN' END LIKE '%ACTIVATE%'
           AND partition_time BETWEEN TIMESTAMP '{lo}' AND TIMESTAMP '2024-01-30 23:00:00'"""
 _DAY, _MONTH = _REG.format(lo="2024-01-30 00:00:00"), _REG.format(lo="2023-12-17 00:00:00")
 RUN = datetime(2024, 1, 31)
-_OLD = "SELECT source_id FROM markets WHERE device_id % 7 = 0 AND segment = 'MACHINERY'"
+_OLD = "SELECT source_id FROM markets WHERE segment = 'MACHINERY'"
 _HELD = f"""SELECT source_id FROM ({_DAY}) WHERE ('0x' || substr(md5('3:' || source_id), 1, 8))::BIGINT % 100 < 10"""
 
 
@@ -753,7 +755,7 @@ def registered(s: Source, days: int) -> DataFrame:
 
 
 def old_control(s: Source) -> DataFrame:
-    return s.markets.where((F.col("device_id") % 7 == 0) & (F.col("segment") == "MACHINERY")).select("source_id")
+    return s.markets.where(F.col("segment") == "MACHINERY").select("source_id")
 
 
 @query("registrations", _MONTH, "ev")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from adspark.plans import conversions, delivery, imports, mapping, reports
 from adspark.sinks import page_of
-from adspark.workload.measurement import TIME_SQL, _CPM, cmap, first, rounded, shown, universe, usage, visits
+from adspark.workload.measurement import TIME_SQL, _CPM, first, rounded, shown, visits
 from adspark.workload.registry import query
 from adspark.workload.sql import D0, USAGE0, VIEWS, W0, W1, WA
 from adspark.workload.tables import MAP_RUN, ORDER_RUN, PARAMS as P, Source
@@ -78,7 +78,8 @@ VIEWS["book"] = f"""
            p_partkey AS line_item_id, p_brand AS line_item_name, p_size % 3 = 0 AS added, p_size::DOUBLE AS added_value_amount,
            p_retailprice / 100 AS rate, p_retailprice AS net_cost, CASE WHEN p_size % 4 <> 0 THEN CAST(p_size * 1000 AS BIGINT) END AS production_quantity,
            {D0} + to_days(CAST(p_partkey % 15 AS INTEGER)) AS line_item_start, {D0} + to_days(CAST(p_partkey % 15 + 14 AS INTEGER)) AS line_item_end,
-           p_partkey % 25 AS campaign_id FROM part WHERE p_partkey % 25 <> 24"""
+           p_partkey % 25 AS campaign_id
+    FROM (SELECT *, CASE WHEN p_partkey % 25 = 24 THEN 'archived' ELSE 'live' END AS state FROM part) WHERE state <> 'archived'"""
 VIEWS["seen"] = """
     SELECT DISTINCT country, campaign_id, flight_id, creative_id FROM log
     WHERE event IN ('impression', 'click', 'tracker') AND dropped IS NULL"""
@@ -197,13 +198,13 @@ def q_import_exposures(s: Source):
 _USED = """
     SELECT device_id, {at} AS usage_time, country, app_id, {minutes} AS minutes, COUNT(*) AS usage_count, DATE '2024-01-22' AS date_imported
     FROM sessions WHERE app_id IN (SELECT app_id FROM apps WHERE product_name = 'app_0') {more}
-      AND partition_time BETWEEN TIMESTAMP '2024-01-08' AND TIMESTAMP '2024-01-21 23:59:59' AND NOT (device_id % 2 = 0 AND start_time < TIMESTAMP '2024-01-15')
+      AND partition_time BETWEEN TIMESTAMP '2024-01-08' AND TIMESTAMP '2024-01-21 23:59:59' AND NOT (country = 'ASIA' AND start_time < TIMESTAMP '2024-01-15')
     GROUP BY ALL"""
 
 
 def _usage_import(s: Source, source: DataFrame, region: str) -> DataFrame:
     old = imports.regional_usage(source, s.id_map, s.apps, P, region, RUN).where(
-        (F.col("device_id") % 2 == 0) & (F.col("usage_time") < F.lit("2024-01-15").cast("timestamp_ntz")))
+        (F.col("country") == "ASIA") & (F.col("usage_time") < F.lit("2024-01-15").cast("timestamp_ntz")))
     return imports.import_app_usage(source, s.id_map, s.apps, old, P, region, RUN)
 
 
