@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from adspark.llm import contamination, private, sentences, simhash, substrings, toxicity
+from adspark.llm import archive, contamination, huffman, private, sentences, simhash, substrings, toxicity
 
 QUERIES = {f.__name__: f for f in (
+    huffman.op1_token_ids,
     contamination.op3_benchmark_decontamination,
     toxicity.op4_toxicity,
     substrings.op5_substring_dedup,
     private.op7_pii,
+    archive.op8_warc,
     sentences.op9_sentencepiece,
     simhash.op10_simhash_near_dedup,
 )}
 SQL = {
     "op3_benchmark_decontamination": contamination.SQL,
     "op5_substring_dedup": substrings.SQL,
+    "op8_warc": archive.SQL,
 }
