@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from adspark.llm import archive, contamination, huffman, private, sentences, simhash, substrings, toxicity
+from adspark.llm import archive, contamination, embeddings, huffman, private, sentences, simhash, substrings, toxicity
 
 QUERIES = {f.__name__: f for f in (
     huffman.op1_token_ids,
+    embeddings.op2_embedding_near_dedup,
     contamination.op3_benchmark_decontamination,
     toxicity.op4_toxicity,
     substrings.op5_substring_dedup,
@@ -15,6 +16,7 @@ QUERIES = {f.__name__: f for f in (
     simhash.op10_simhash_near_dedup,
 )}
 SQL = {
+    "op2_embedding_near_dedup": embeddings.SQL,
     "op3_benchmark_decontamination": contamination.SQL,
     "op5_substring_dedup": substrings.SQL,
     "op8_warc": archive.SQL,
