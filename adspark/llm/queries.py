@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from adspark.llm import archive, contamination, embeddings, huffman, private, sentences, simhash, substrings, toxicity
+from adspark.llm import archive, contamination, embeddings, huffman, pages, private, sentences, simhash, substrings, toxicity
 
 QUERIES = {f.__name__: f for f in (
     huffman.op1_token_ids,
@@ -10,6 +10,7 @@ QUERIES = {f.__name__: f for f in (
     contamination.op3_benchmark_decontamination,
     toxicity.op4_toxicity,
     substrings.op5_substring_dedup,
+    pages.op6_html_extraction,
     private.op7_pii,
     archive.op8_warc,
     sentences.op9_sentencepiece,
