@@ -26,11 +26,13 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from adspark.llm.common import keep, map_arrow, table
 
-END, LIMIT, BLOCK, STEP, SHARD, TABLE_WORDS = 1, 18, 1 << 18, 256, 1 << 22, 300_000
+END, LIMIT, BLOCK, STEP, SHARD, TABLE_WORDS = 1, 18, 1 << 18, 256, 1 << 22, 400_000
 LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
 #: Letters up to punctuation, punctuation (no apostrophe) up to a letter, or whatever else stands between white space.
 PIECE = re.compile(rf"[{LETTERS}]+(?![^\s{MARKS}])|[{MARKS}]+(?![^\sA-Za-z])|\S+", re.ASCII)
 
+SIMPLE = re.compile(rf"[{LETTERS}]+|[{MARKS}]+")
+
 
 def default_tokenizer() -> str:
     import public_tokenizers
@@ -46,21 +48,40 @@ class Encoder:
         self.size = self.tokenizer.get_vocab_size()
         if self.size > 1 << 16:
             raise ValueError("ids of more than 16 bits")
+        self.ends = np.zeros(1 << 16, bool)  # pieces that end a word
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, words: list[str]) -> None:
+        """Words of letters or punctuation alone are encoded as one text and parted after the pieces that end a word."""
+        simple = [w for w in words if SIMPLE.fullmatch(w)]
+        rest = [w for w in words if not SIMPLE.fullmatch(w)]
+        for k in range(0, len(simple), 1000):
+            part = simple[k:k + 1000]
+            ids = self._ids([" ".join(part)])[0]
+            at = (2 * np.flatnonzero(self.ends[np.frombuffer(ids, "<u2")]) + 2).tolist()
+            if len(at) == len(part):
+                self.known.update(zip(part, (ids[a:b] for a, b in zip([0, *at], at))))
+            else:
+                rest += part
+        self.known.update(zip(rest, self._ids(rest)))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         whole = [k for k, t in enumerate(texts) if "<|" in t]
-        split = [[] if "<|" in t else PIECE.findall(t) for t in texts]
+        split = [[] if "<|" in t else PIECE.findall(lowered(t)) for t in texts]
         new = set().union(*split) - self.known.keys() if split else set()
-        if len(self.known) + len(new) > TABLE_WORDS:
-            self.known.clear()
+        if len(self.known) + len(new) > TABLE_WORDS:  # the words in use stay, those of two tables ago go
+            self.known, self.older = {}, self.known
             new = set().union(*split)
-        order = list(new)
-        for k in range(0, len(order), 20_000):
-            self.known.update(zip(order[k:k + 20_000], self._ids(order[k:k + 20_000])))
+        if self.older:
+            again = new & self.older.keys()
+            self.known.update((w, self.older[w]) for w in again)
+            new -= again
+        self._learn(list(new))
         get, end = self.known.__getitem__, np.array([END], "<u2").tobytes()
         out = [b"".join(map(get, words)) + end for words in split]
         for k, ids in zip(whole, self._ids([texts[k] for k in whole])):
@@ -68,6 +89,14 @@ class Encoder:
         return out
 
 
+def lowered(text: str) -> str:
+    """Lower case where the tokenizer's own lower case can't differ: in texts of Latin-1 alone."""
+    try:
+        return text.lower() if text.isascii() or text.encode("latin-1") else text
+    except UnicodeEncodeError:
+        return text
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
