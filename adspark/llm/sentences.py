@@ -16,7 +16,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from os.path import commonprefix
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 
 from adspark.llm.common import map_arrow, small_batches, table
 
-MARK, UNKNOWN_PENALTY, TABLE_WORDS = "▁", 10.0, 200_000
+MARK, UNKNOWN_PENALTY, TABLE_WORDS = "▁", 10.0, 400_000
 WORD = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -57,22 +57,30 @@ class Vocabulary:
                 self.out.append(piece.replace(MARK, " ").encode())
         if len(self.byte) < 256:
             raise ValueError("the vocabulary has no byte pieces")
-        self.longest = max(map(len, self.score))
         self.unknown = min(s for s, _ in self.score.values()) - UNKNOWN_PENALTY
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        #: By the last three characters of pieces, their lengths, longest first.
+        self.lengths: dict[str, list[int]] = {}
+        for piece in sorted(self.score, key=len, reverse=True):
+            if len(piece) > 2 and len(piece) not in (known := self.lengths.setdefault(piece[-3:], [])):
+                known.append(len(piece))
 
     def _extend(self, word: str, start: int, best: list[float], back: list[int]) -> None:
         """Forward scores of the prefixes of ``word`` longer than ``start``."""
-        score, longest = self.score, self.longest
+        score, lengths = self.score, self.lengths
         del best[start + 1:], back[start + 1:]
         for j in range(start + 1, len(word) + 1):
             top, at = float("-inf"), -1
-            for i in range(max(0, j - longest), j):
-                got = score.get(word[i:j])
-                if got is not None and best[i] + got[0] > top:
-                    top, at = best[i] + got[0], i
-            if word[j - 1] not in score and best[j - 1] + self.unknown > top:
-                top, at = best[j - 1] + self.unknown, j - 1
+            for n in lengths.get(word[j - 3:j], ()) if j > 2 else ():
+                if n <= j and (got := score.get(word[j - n:j])) is not None and best[j - n] + got[0] > top:
+                    top, at = best[j - n] + got[0], j - n
+            if j > 1 and (got := score.get(word[j - 2:j])) is not None and best[j - 2] + got[0] > top:
+                top, at = best[j - 2] + got[0], j - 2
+            got = score.get(word[j - 1])
+            value = best[j - 1] + (self.unknown if got is None else got[0])
+            if value > top:
+                top, at = value, j - 1
             best.append(top)
             back.append(at)
 
@@ -81,15 +89,22 @@ class Vocabulary:
         while j > 0:
             i = back[j]
             got = self.score.get(word[i:j])
-            out.append([got[1]] if got else [self.byte[b] for b in word[i:j].encode()])
+            if got:
+                out.append(got[1])
+            else:
+                out += [self.byte[b] for b in reversed(word[i:j].encode())]
             j = i
-        return np.array([x for ids in reversed(out) for x in ids], "<u4").tobytes()
+        out.reverse()
+        return pack(f"<{len(out)}I", *out)
 
     def learn(self, words: set[str]) -> None:
         """Ids of marked words, in the order of their trie."""
         best, back, before = [0.0], [-1], ""
         for word in sorted(words):
-            self._extend(word, len(commonprefix((before, word))), best, back)
+            shared, most = 1 if before else 0, min(len(before), len(word))
+            while shared < most and before[shared] == word[shared]:
+                shared += 1
+            self._extend(word, shared, best, back)
             self.known[word] = self._ids(word, back)
             before = word
 
@@ -97,9 +112,13 @@ class Vocabulary:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         split = [WORD.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         new = set().union(*split) - self.known.keys() if split else set()
-        if len(self.known) + len(new) > TABLE_WORDS:
-            self.known.clear()
+        if len(self.known) + len(new) > TABLE_WORDS:  # the words in use stay, those of two tables ago go
+            self.known, self.older = {}, self.known
             new = set().union(*split)
+        if self.older:
+            again = new & self.older.keys()
+            self.known.update((w, self.older[w]) for w in again)
+            new -= again
         self.learn(new)
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in split]
