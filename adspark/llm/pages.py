@@ -257,7 +257,9 @@ def main_text(page: Page, beta: np.ndarray, pair: np.ndarray) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars for each row of ``pages``."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    sample = pages.select(F.xxhash64("page_id").alias("h"), "html").orderBy("h").limit(SAMPLE).select("html")
+    h = F.xxhash64("page_id")
+    last = pages.select(h.alias("h")).orderBy("h").limit(SAMPLE).agg(F.max("h")).first()[0]  # hashes alone are sorted, not pages
+    sample = pages.where(h <= last).select("html").limit(SAMPLE) if last is not None else pages.select("html").limit(0)
     beta, pair = train([Page(r.html or "") for r in sample.toLocalIterator()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
