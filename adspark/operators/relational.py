@@ -146,6 +146,13 @@ def not_exists(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFram
     return df.join(other.select(*keys), on=list(keys), how="left_anti")
 
 
+def not_held(df: DataFrame, held: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` without an equal key in ``held``, where NULL equals NULL."""
+    other = held.select(*[F.col(k).alias(f"_held_{k}") for k in keys])
+    on = reduce(lambda a, b: a & b, [df[k].eqNullSafe(other[f"_held_{k}"]) for k in keys])
+    return df.join(other, on, "left_anti")
+
+
 def left_star(spine: DataFrame, arms: Iterable[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """Left-join aggregates, each on its own keys, to a spine."""
     return reduce(lambda acc, arm: lookup(acc, arm[0], list(arm[1])), arms, spine)

@@ -60,7 +60,10 @@ def regional_usage(source: DataFrame, id_map: DataFrame, apps: DataFrame, p: Rep
         raise ValueError(f"unknown region: {region}")
     per_source = rows.groupBy("source_id", at.alias("usage_time"), "country", "app_id").agg(
         minutes.cast("long").alias("minutes"), F.count("*").alias("usage_count"))
-    return conform(with_ad_id(per_source, id_map), REGIONAL_USAGE).drop("date_imported")
+    # Several sources may be one device; those without a device are one group, the NULL device.
+    per_device = with_ad_id(per_source, id_map).groupBy("device_id", "usage_time", "country", "app_id").agg(
+        F.sum("minutes").alias("minutes"), F.sum("usage_count").alias("usage_count"))
+    return conform(per_device, REGIONAL_USAGE).drop("date_imported")
 
 
 def import_app_usage(source: DataFrame, id_map: DataFrame, apps: DataFrame, target: DataFrame, p: ReportParams,

@@ -215,9 +215,9 @@ def creative_map(mapping: DataFrame, p: ReportParams) -> DataFrame:
         "line_item_start", "line_item_end", "rate_type", "rate", "booked_impressions", "booked_budget").distinct()
 
 
-def creative_map_from_csv(spark: SparkSession, path: str, p: ReportParams, max_errors: int = 250) -> DataFrame:
+def creative_map_from_csv(spark: SparkSession, path: str, p: ReportParams, max_errors: int) -> DataFrame:
     """The same from a delivered mapping file, in which a limited number of rows may be broken."""
-    rows = read_csv_tolerant(spark, path, MAPPING_CSV, max_errors)
+    rows, _ = read_csv_tolerant(spark, path, MAPPING_CSV, max_errors)
     rows = (rows.withColumn("line_item_start", F.col("campaign_start").cast("timestamp_ntz"))
             .withColumn("line_item_end", F.col("campaign_end").cast("timestamp_ntz")))
     active = overlaps(F.to_date("line_item_start"), F.to_date("line_item_end"),

@@ -194,7 +194,7 @@ def creative_report(t: Tables, p: ReportParams) -> DataFrame:
     opened = attribution.any_touch(shown, used, by, "usage_time", p.attribution_days, KEYS)
     opened = opened.select(*by, F.col("conversions").alias("count_exposed_app_opens"),
                            F.col("minutes").alias("total_time_spent_min"))
-    firsts = attribution.attribute(shown, new, p, "first_open", "last", by, KEYS).select(
+    firsts = attribution.attribute(shown, new, p, "first_open", "last", by, KEYS, per=[*KEYS, "first_open"]).select(
         *by, F.col("conversions").alias("count_exposed_first_app_opens"))
 
     rows = left_star(cmap, [(stats, by), (opened, by), (firsts, by)])

@@ -11,28 +11,23 @@ from adspark.operators.windows import row_rank
 from adspark.params import ReportParams
 from adspark.sinks.tables import _fs
 from adspark.sources.relations import one_row
+from adspark.stage import stage
 
 CSV_DIALECT = {
     "header": True, "quoteAll": True, "nullValue": "", "emptyValue": "", "escape": '"',
-    "compression": "none", "dateFormat": "yyyy-MM-dd",
+    "compression": "none", "maxRecordsPerFile": 0, "dateFormat": "yyyy-MM-dd",
     "timestampFormat": "yyyy-MM-dd HH:mm:ss", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
 }
 MAX_ROWS = 999_999
 
 
-class TooLargeForOneFile(ValueError):
-    """The list does not fit one file; deliver it with :func:`export_paged`."""
-
-
-def export_csv(df: DataFrame, path: str, order_cols: Sequence[str] = (), max_rows: int = 5_000_000) -> str:
+def export_csv(df: DataFrame, path: str, order_cols: Sequence[str] = ()) -> str:
     """One headered, uncompressed file at ``path``, replacing what is there.
 
-    For lists that must arrive as a single file, which one task has to write; their size is checked
-    first. Reports of unknown size go through :func:`export_paged`.
+    For lists that must arrive as a single file, which one task has to write. Reports of unknown size
+    go through :func:`export_paged`.
     """
     spark = df.sparkSession
-    if df.count() > max_rows:
-        raise TooLargeForOneFile(f"more than {max_rows} rows for {path}")
     one = df.repartition(1)
     one = one.sortWithinPartitions(*order_cols) if order_cols else one
     parts = f"{path}.parts-{uuid.uuid4().hex}"
@@ -42,8 +37,12 @@ def export_csv(df: DataFrame, path: str, order_cols: Sequence[str] = (), max_row
 
 
 def _move_single(spark, folder: str, path: str) -> None:
+    """Move the only part file of a folder; several would mean that rows are left behind."""
     fs, src = _fs(spark, folder)
-    part = next(s.getPath() for s in fs.listStatus(src) if s.getPath().getName().startswith("part-"))
+    parts = [s.getPath() for s in fs.listStatus(src) if s.getPath().getName().startswith("part-")]
+    if len(parts) != 1:
+        raise RuntimeError(f"{len(parts)} part files instead of one for {path}")
+    part = parts[0]
     _, dst = _fs(spark, path)
     fs.mkdirs(dst.getParent())
     if fs.exists(dst):
@@ -87,9 +86,11 @@ def export_paged(report: DataFrame, folder: str, order_cols: Sequence[str], file
                  max_rows: int = MAX_ROWS) -> list[str]:
     """Write at most ``max_rows`` ranks per file and name the files ``file_name(page)``.
 
-    Pages are written in parallel, one task each. An empty report gives one file with a header.
+    Pages are written in parallel, one task each. An empty report gives one file with a header. The
+    report is staged, because ranking reads it twice.
     """
     spark = report.sparkSession
+    report = stage(report)
     ranked = row_rank(report, order_cols, "_rank").withColumn("_page", page_of(F.col("_rank"), max_rows))
     parts = f"{folder.rstrip('/')}/.parts-{uuid.uuid4().hex}"
     (ranked.repartition("_page").sortWithinPartitions("_page", "_rank").drop("_rank")

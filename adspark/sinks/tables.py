@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from adspark.operators.relational import not_exists
+from adspark.operators.relational import not_held
 
 POINTER = "_current"
 
@@ -45,8 +45,8 @@ def current(spark: SparkSession, folder: str) -> DataFrame:
 
 def rows_to_append(df: DataFrame, target: DataFrame, keys: Sequence[str],
                    imported: Column | None = None) -> DataFrame:
-    """Rows of ``df`` not yet in ``target`` (all business keys equal), one of each."""
-    fresh = not_exists(df.dropDuplicates(list(keys)), target, keys)
+    """Rows of ``df`` not yet in ``target`` (all business keys equal, NULL to NULL), one of each."""
+    fresh = not_held(df.dropDuplicates(list(keys)), target, keys)
     return fresh if imported is None else fresh.withColumn("date_imported", imported)
 
 

@@ -28,8 +28,8 @@ def _permissive(spark: SparkSession, path: str, schema: T.StructType, **options)
 
 
 def read_csv_tolerant(spark: SparkSession, path: str, schema: T.StructType,
-                      max_errors: int = 250, **options) -> DataFrame:
-    """CSV that may hold up to ``max_errors`` bad rows, which are left out.
+                      max_errors: int, **options) -> tuple[DataFrame, DataFrame]:
+    """The readable rows of a CSV, and the text of the rejected ones, at most ``max_errors``.
 
     Parsed once, into the shared folder (or the cache): Spark refuses to query the column of broken
     rows alone on the raw file, because nothing else would be parsed then.
@@ -39,7 +39,8 @@ def read_csv_tolerant(spark: SparkSession, path: str, schema: T.StructType,
     bad = parsed.where(F.col(CORRUPT).isNotNull()).count()
     if bad > max_errors:
         raise BadRowsError(f"{bad} bad rows in {path}, at most {max_errors} allowed")
-    return parsed.where(F.col(CORRUPT).isNull()).select(*[F.col(f.name) for f in schema])
+    return (parsed.where(F.col(CORRUPT).isNull()).select(*[F.col(f.name) for f in schema]),
+            parsed.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("rejected")))
 
 
 def report_manifest(spark: SparkSession, folder: str, name_pattern: str = "*.csv") -> DataFrame:

@@ -44,7 +44,18 @@ def csv_single_file(s: Source):
 
 @query("csv_tolerant", _ORDERS_SQL + " WHERE o_totalprice <= 499000")
 def csv_tolerant(s: Source):
-    # Rows with an unreadable price are left out, as long as they are few.
+    return _tolerant(s)[0]
+
+
+@query("csv_rejected", """
+    SELECT '"' || o_orderkey || '","' || o_custkey || '","' || o_orderstatus || '","n/a","' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '"' AS rejected
+    FROM orders WHERE o_totalprice > 499000""")
+def csv_rejected(s: Source):
+    return _tolerant(s)[1]
+
+
+def _tolerant(s: Source):
+    # Rows with an unreadable price are set aside, as long as they are few.
     folder = work_dir(s.spark)
     price = F.when(F.col("price") > 499000, "n/a").otherwise(F.col("price").cast("string"))
     orders(s).withColumn("price", price).write.options(**CSV_DIALECT).csv(f"{folder}/orders")
@@ -61,7 +72,7 @@ def creative_map_csv(s: Source):
     rows = s.mapping.withColumns({
         "campaign_start": F.col("line_item_start").cast("string"), "campaign_end": F.col("line_item_end").cast("string")})
     conform(rows, MAPPING_CSV).write.options(**CSV_DIALECT).csv(f"{folder}/mapping")
-    return mapping.creative_map_from_csv(s.spark, f"{folder}/mapping", P)
+    return mapping.creative_map_from_csv(s.spark, f"{folder}/mapping", P, max_errors=250)
 
 
 @query("table_by_name", "SELECT o_orderstatus, COUNT(*) AS n FROM orders GROUP BY 1")

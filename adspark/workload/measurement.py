@@ -377,7 +377,7 @@ def q_attr_last_unbounded(s: Source):
                                    ORDER BY exposure_time DESC, campaign_id, flight_id, creative_id) AS rn FROM first_pairs)
     WHERE rn = 1 GROUP BY ALL""", "first_pairs")
 def q_attr_last_first_event(s: Source):
-    return attribution.attribute(shown(s), first(s), P, "first_open", "last", IDS, KEYS)
+    return attribution.attribute(shown(s), first(s), P, "first_open", "last", IDS, KEYS, per=[*KEYS, "first_open"])
 
 
 _PER_DEVICE = """

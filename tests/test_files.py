@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from adspark.functions.time import date_literal
 from adspark.schemas import schema
 from adspark.sinks import append_new, current, export_csv, export_paged, refresh_table, with_placeholder
-from adspark.sinks.export import TooLargeForOneFile
+from adspark.sinks.export import _move_single
 from adspark.sources import BadRowsError, read_csv, read_csv_tolerant, report_manifest, split_to_rows
 
 ROWS = schema(id="int", name="str")
@@ -21,12 +21,13 @@ def test_bad_row_budget(spark, tmp_path, bad, fits):
     path = tmp_path / "in.csv"
     path.write_text("id,name\n" + "".join(f'{i},"n, {i}"\n' for i in range(300)) + "broken,x\n" * bad)
     if fits:
-        rows = read_csv_tolerant(spark, str(path), ROWS)
+        rows, rejected = read_csv_tolerant(spark, str(path), ROWS, max_errors=250)
+        assert {r["rejected"] for r in rejected.collect()} == {"broken,x"} and rejected.count() == bad
         assert rows.count() == 300
         assert rows.agg(F.sum("id")).first()[0] == sum(range(300))
     else:
         with pytest.raises(BadRowsError):
-            read_csv_tolerant(spark, str(path), ROWS)
+            read_csv_tolerant(spark, str(path), ROWS, max_errors=250)
 
 
 def test_pages(spark, tmp_path):
@@ -54,14 +55,27 @@ def test_placeholder(spark):
     assert [(r["id"], str(r["report_execution_date"])) for r in rows] == [(None, "2024-01-22")]
 
 
-def test_single_file_replaces_and_checks_size(spark, tmp_path):
+def test_single_file_replaces(spark, tmp_path):
     path = str(tmp_path / "list.csv")
     for n in (5, 2):
         export_csv(spark.range(n).toDF("id"), path, ["id"])
     with open(path) as f:
         assert f.read() == '"id"\n"0"\n"1"\n'
-    with pytest.raises(TooLargeForOneFile):
-        export_csv(spark.range(5).toDF("id"), path, max_rows=4)
+
+
+def test_session_that_splits_files_loses_nothing(spark, tmp_path):
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "2")
+    try:
+        export_csv(spark.range(10).toDF("id"), str(tmp_path / "list.csv"), ["id"])
+        files = export_paged(spark.range(10).toDF("id"), str(tmp_path / "out"), ["id"], lambda n: f"p_{n}.csv", max_rows=7)
+        spark.range(10).repartition(1).write.csv(str(tmp_path / "split"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    one = schema(id="int")
+    assert read_csv(spark, str(tmp_path / "list.csv"), one).count() == 10
+    assert [read_csv(spark, f, one).count() for f in files] == [7, 3]
+    with pytest.raises(RuntimeError, match="part files"):
+        _move_single(spark, str(tmp_path / "split"), str(tmp_path / "x.csv"))
 
 
 def test_append_is_idempotent(spark, tmp_path):
@@ -72,6 +86,14 @@ def test_append_is_idempotent(spark, tmp_path):
     assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == [0, 1, 2]
 
 
+def test_append_of_null_keys_is_idempotent(spark, tmp_path):
+    path = str(tmp_path / "t")
+    batch = spark.createDataFrame([(None, 1), (2, None), (2, None)], "k long, v long")
+    for _ in range(3):
+        append_new(batch, path, ["k", "v"], date_literal("2024-01-22"))
+    assert spark.read.parquet(path).count() == 2
+
+
 def test_refresh_reads_what_it_replaces(spark, tmp_path):
     folder = str(tmp_path / "t")
     refresh_table(spark.range(5).toDF("id"), folder)

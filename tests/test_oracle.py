@@ -10,7 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from adspark import workload
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -19,7 +19,7 @@ TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "D
          "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 # Steps that pair up whole groups or leave the JVM.
 BAD_STEPS = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|PythonUDF|ArrowEval|MapInPandas")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = workload.queries(), workload.oracle_sql()
 
 
 @pytest.fixture(scope="module")
