@@ -364,6 +364,13 @@ def downloads_vs_exposures(shown: DataFrame, first: DataFrame, by: Sequence[str]
     return left_star(opened, [(led, ["day", *by])]).withColumn("imps", F.coalesce("imps", F.lit(0)))
 
 
+def profile_additive(counts: DataFrame, whole: str) -> DataFrame:
+    """One row: the rows of the stage ``whole``, those of all other stages together, and whether they are equal."""
+    of = F.coalesce(F.sum(F.when(F.col("stage") == whole, F.col("rows"))), F.lit(0))
+    parts = F.coalesce(F.sum(F.when(F.col("stage") != whole, F.col("rows"))), F.lit(0))
+    return counts.agg(of.alias("whole"), parts.alias("parts"), (of == parts).alias("additive"))
+
+
 def profile_counts(stages: dict[str, DataFrame]) -> DataFrame:
     """Rows of each stage, in one job."""
     counts = [df.agg(F.count("*").alias("rows")).select(F.lit(n).alias("stage"), "rows")

@@ -322,6 +322,22 @@ def point_in_interval(s: Source):
         F.count("*").alias("n"), F.min("event_time").alias("first_seen"))
 
 
+@query("point_in_interval_left", """
+    SELECT l.campaign_id, i.name, COUNT(*) AS n, MIN(l.event_time) AS first_seen FROM log l
+    LEFT JOIN (SELECT campaign_id, name, line_item_start AS lo, line_item_end + to_days(days) AS hi
+               FROM mapping, (VALUES ('as booked', 0), ('with a day after', 1)) v(name, days) WHERE line_item_id % 2 = 0) i
+      ON i.campaign_id = l.campaign_id AND l.event_time BETWEEN i.lo AND i.hi
+    GROUP BY ALL""", "log", "mapping")
+def point_in_interval_left(s: Source):
+    # Overlapping intervals of one campaign, and campaigns with none.
+    rows = s.mapping.where("line_item_id % 2 = 0")
+    spans = [rows.select("campaign_id", F.lit(name).alias("name"), F.col("line_item_start").alias("lo"),
+                         F.expr(f"line_item_end + INTERVAL {days} DAY").alias("hi"))
+             for name, days in (("as booked", 0), ("with a day after", 1))]
+    rows = R.point_in_interval(s.log, spans[0].unionByName(spans[1]), ["campaign_id"], "event_time", "lo", "hi", how="left")
+    return rows.groupBy("campaign_id", "name").agg(F.count("*").alias("n"), F.min("event_time").alias("first_seen"))
+
+
 @query("same_day_join", """
     SELECT DISTINCT a.user_id, CAST(a.ts AS DATE) AS day FROM events a JOIN events b
     ON a.user_id = b.user_id AND date_trunc('day', a.ts) = date_trunc('day', b.ts)

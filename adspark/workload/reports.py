@@ -487,3 +487,11 @@ def q_downloads_vs_exposures(s: Source):
 def q_profile_counts(s: Source):
     parts = {m: s.media.where(F.col("media") == m) for m in ("native", "ctv", "stvp")}
     return reports.profile_counts({"shown": s.media, **parts})
+
+
+@query("profile_additive", """
+    SELECT CAST(COUNT(*) AS BIGINT) AS whole, CAST(COUNT(*) FILTER (media IN ('native', 'ctv', 'stvp')) AS BIGINT) AS parts,
+           COUNT(*) = COUNT(*) FILTER (media IN ('native', 'ctv', 'stvp')) AS additive FROM media""", "media")
+def q_profile_additive(s: Source):
+    parts = {m: s.media.where(F.col("media") == m) for m in ("native", "ctv", "stvp")}
+    return reports.profile_additive(reports.profile_counts({"shown": s.media, **parts}), "shown")

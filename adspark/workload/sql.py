@@ -38,7 +38,7 @@ VIEWS = {
         FROM ev WHERE event_type = 'purchase'""",
     "hardware": f"""
         SELECT device_id, source_id, country, {D0} + to_days(CAST(device_id % 30 AS INTEGER)) AS partition_time
-        FROM markets WHERE segment = 'MACHINERY'""",
+        FROM markets""",
     "apps": """
         SELECT 'app_' || (p_size % 2) AS product_name, CAST(p_partkey AS VARCHAR) AS app_id FROM part""",
     "mapping": f"""

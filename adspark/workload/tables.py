@@ -95,8 +95,7 @@ class Source:
 
     @cached_property
     def hardware(self) -> DataFrame:
-        rows = self.markets.where(F.col("segment") == "MACHINERY").withColumn(
-            "partition_time", later(F.col("device_id") % 30))
+        rows = self.markets.withColumn("partition_time", later(F.col("device_id") % 30))
         return conform(rows, HARDWARE)
 
     @cached_property

@@ -280,3 +280,23 @@ def test_regional_import_rejects_unknown_regions(make):
     with pytest.raises(ValueError):
         ids, apps = make("source_id string, device_id long", ("s", 1)), make("product_name string, app_id string", ("p", "app"))
         imports.regional_usage(sessions(make, ("2024-01-09 10:00:00", "2024-01-09 10:01:00")), ids, apps, P, "moon", date(2024, 1, 22))
+
+
+def test_usage_of_several_sources_is_one_device(make):
+    rows = [(s, "app", "US", "2024-01-10 10:00:00", f"2024-01-10 10:0{m}:00", "2024-01-10 10:00:00")
+            for s, m in (("s1", 2), ("s2", 3), ("s3", 4), ("s4", 5))]
+    sessions = make("source_id string, app_id string, country string, start_time timestamp_ntz, end_time timestamp_ntz, "
+                    "partition_time timestamp_ntz", *rows)
+    ids = make("source_id string, device_id long", ("s1", 1), ("s2", 1))
+    apps = make("product_name string, app_id string", ("App", "app"))
+    got = imports.regional_usage(sessions, ids, apps, P, "eu", date(2024, 1, 22))
+    assert values(got, "device_id", "minutes", "usage_count") == [(1, 5, 2), (None, 9, 2)]
+
+
+def test_interval_join_keeps_points_in_none(make):
+    points = make("k long, t timestamp_ntz", (1, "2024-01-01 05:00:00"), (1, "2024-01-09 00:00:00"), (2, "2024-01-01 00:00:00"))
+    spans = make("k long, name string, lo timestamp_ntz, hi timestamp_ntz", (1, "a", "2024-01-01 00:00:00", "2024-01-02 00:00:00"),
+                 (1, "b", "2024-01-01 04:00:00", "2024-01-03 00:00:00"))
+    got = R.point_in_interval(points, spans, ["k"], "t", "lo", "hi", how="left")
+    assert values(got, "k", "name") == sorted([(1, "a"), (1, "b"), (1, None), (2, None)], key=repr)
+    assert R.point_in_interval(points, spans, ["k"], "t", "lo", "hi").count() == 2
