@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from functools import lru_cache
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -22,13 +28,17 @@ def scratch(spark: SparkSession) -> str:
     """
     base = spark.conf.get(CHECKPOINT_CONF, None)
     if not base:
-        if not spark.sparkContext.master.startswith(("local[", "local")) or "cluster" in spark.sparkContext.master:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="adspark-llm-")
-        spark.conf.set(CHECKPOINT_CONF, base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/llm-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="adspark-llm-")
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage is cut, a lost executor costs a re-read."""
     path = scratch(df.sparkSession)
@@ -41,8 +51,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of few rows, so that long texts don't fill a Python worker."""
+    """Arrow batches of few rows, so that long texts don't fill a Python worker; and this package for the workers."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    _ship(spark.sparkContext)
+
+
+@lru_cache(maxsize=8)
+def _ship(context: SparkContext) -> None:
+    """Send this package's code to the workers once, so that they need no PYTHONPATH."""
+    root = Path(__file__).resolve().parents[1]
+    name = Path(os.path.realpath(tempfile.mkdtemp(prefix="adspark-code-"))) / "adspark_code.zip"
+    with zipfile.ZipFile(name, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    context.addPyFile(str(name))
 
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
