@@ -38,6 +38,13 @@ def app_usage(sessions: DataFrame, id_map: DataFrame, apps: DataFrame, p: Report
     return with_ad_id(per_source, id_map)
 
 
+def regional_app_usage(copy: DataFrame, p: ReportParams) -> DataFrame:
+    """Minutes per device and time from the regional copy, which knows devices and no source ids."""
+    rows = scan_events(copy, p.usage_lookback, p.attribution_end, p.countries, partition_col="usage_time")
+    rows = rows.groupBy("device_id", "country", "usage_time").agg(F.sum("minutes").alias("minutes"))
+    return rows.withColumn("source_id", F.lit(None).cast("string"))
+
+
 def app_opens(opens: DataFrame, id_map: DataFrame, apps: DataFrame, p: ReportParams) -> DataFrame:
     """Usage where only openings are logged: one row per day, no duration."""
     rows = app_sessions(opens, apps, p, p.usage_lookback, p.attribution_end)

@@ -11,6 +11,7 @@ from adspark.functions.time import day_of, ts_literal
 from adspark.operators.relational import cond_sum, in_rel, inner, lookup, not_dropped
 from adspark.operators.windows import with_group_min
 from adspark.params import ReportParams
+from adspark.schemas import DELIVERY, conform
 from adspark.sources.scan import scan_events
 
 BY_CREATIVE = ("campaign_id", "flight_id", "creative_id", "country")
@@ -145,6 +146,12 @@ def report_events(log: DataFrame, creative_map: DataFrame, p: ReportParams) -> D
     return rows.where((kind == "segment") | F.col("_mapped")).drop("_mapped")
 
 
+def regional_log(copy: DataFrame) -> DataFrame:
+    """The regional copy in the shape of the log; what it does not hold is NULL."""
+    at = F.col("exposure_time")
+    return conform(copy.withColumns({"event_time": at, "partition_time": at}), DELIVERY)
+
+
 def delivered(events: DataFrame) -> DataFrame:
     """The exposures among the events of a report."""
     rows = events.where(F.col("event").isin("impression", "click"))

@@ -8,15 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from adspark.functions.columns import safe_ratio, without_commas
-from adspark.functions.time import day_of
+from adspark.functions.time import date_literal, day_of
 from adspark.operators.relational import attach_scalar, cond_sum, in_rel, left_star
-from adspark.operators.windows import row_rank
+from adspark.operators.windows import latest_per_key, row_rank
 from adspark.params import ReportParams
 from adspark.plans import attribution, conversions, delivery, finance, identity, mapping
+from adspark.sinks.export import MAX_ROWS, export_by_country, report_path, route
 from adspark.stage import stage
 
 
@@ -31,11 +33,14 @@ class Tables:
     mapping: DataFrame
     hardware: DataFrame | None = None
     app_opens: DataFrame | None = None
+    regional_exposures: DataFrame | None = None
+    regional_usage: DataFrame | None = None
 
 
 BY_COUNTRY = ("campaign_id", "flight_id", "creative_id", "country")
 KEYS = ("device_id", "country")
 
+# The recipients' column order, and the order of the rows.
 REPORT_COLUMNS = (
     "report_execution_date", "advertiser_id", "advertiser", "insertion_order_name", "campaign_id",
     "campaign_name", "campaign_start_date", "campaign_end_date", "flight_id", "flight_name",
@@ -56,20 +61,31 @@ def universe_of(t: Tables, creative_map: DataFrame, p: ReportParams) -> DataFram
     return identity.device_universe(t.hardware, t.delivery, t.app_opens, t.id_map, p, start)
 
 
-def partner_weekly_report(t: Tables, p: ReportParams) -> DataFrame:
+def partner_weekly_report(t: Tables, p: ReportParams, source: str = "log") -> DataFrame:
     """43 columns per campaign, flight, line item and creative, for all countries in one job.
 
-    The delivery log is scanned once, for all kinds of event.
-    The caller checks the mapping's age first (:func:`adspark.plans.mapping.assert_fresh`).
+    The delivery log is scanned once, for all kinds of event. With ``source='regional'`` exposures and
+    usage come from the regional copies, which know devices and no source ids, trackers or segments:
+    a device's openings at one time get one credit, video steps are 0 and page visits NULL.
+    A mapping that is too old for the run date stops the report.
     """
+    if source not in ("log", "regional"):
+        raise ValueError(f"unknown source: {source}")
+    regional = source == "regional"
+    if p.run_date is not None:
+        mapping.assert_fresh(t.mapping, p.run_date)
     meta = mapping.campaign_meta(t.mapping, p)
     creatives = mapping.report_creatives(meta)
     markets = creatives.select(F.col("target_country").alias("country")).distinct()
 
-    events = stage(delivery.report_events(t.delivery, creatives, p))
+    log = delivery.regional_log(t.regional_exposures) if regional else t.delivery
+    events = stage(delivery.report_events(log, creatives, p))
     shown = delivery.delivered(events)
     impressions = delivery.only(shown, "impression")
-    usage = stage(conversions.app_usage(in_rel(t.sessions, markets, "country"), t.id_map, t.apps, p))
+    if regional:
+        usage = stage(conversions.regional_app_usage(in_rel(t.regional_usage, markets, "country"), p))
+    else:
+        usage = stage(conversions.app_usage(in_rel(t.sessions, markets, "country"), t.id_map, t.apps, p))
     in_window = conversions.usage_in_window(usage, p)
     first = conversions.first_app_open(usage, p)
     visits = in_rel(conversions.visits_of(events), markets, "country")
@@ -81,6 +97,9 @@ def partner_weekly_report(t: Tables, p: ReportParams) -> DataFrame:
     # One last-touch pass for all four kinds of conversion: they share exposures, keys and window.
     kinds = _conversion_kinds(in_window, first, visits, first_visits)
     credited = attribution.last_touch(impressions, kinds, "conversion_time", p.attribution_days, KEYS)
+    if regional:  # also where one device was seen in several countries
+        credited = latest_per_key(credited, ["device_id", "kind", "conversion_time"], [
+            F.col("exposure_time").desc(), *[F.col(c) for c in BY_COUNTRY]])
     exposed = _credited_counts(credited, p)
 
     spine = meta.select(
@@ -170,12 +189,42 @@ def ranked_report(report: DataFrame) -> DataFrame:
     return row_rank(report, RANK_COLUMNS)
 
 
-def partner_weekly_reports(t: Tables, regions: dict[str, Sequence[str]], p: ReportParams) -> DataFrame:
-    """Every country of every region in one job, with the region each row is delivered to."""
-    countries = tuple(dict.fromkeys(c for group in regions.values() for c in group))
-    report = partner_weekly_report(t, p.but(countries=countries))
-    names = F.array(*[F.when(F.col("country").isin(*group), F.lit(region)) for region, group in regions.items()])
-    return report.withColumn("region", F.explode(F.array_compact(names)))
+def partner_weekly_reports(t: Tables, regions: dict[str, Sequence[str]], p: ReportParams,
+                           home: Sequence[str] | None = None) -> DataFrame:
+    """Every country of every region, with the region each row is delivered to.
+
+    Regions in ``home`` are read from the log, all others from the regional copies; one job for each
+    of the two sources, whatever the number of countries. Without ``home`` all come from the log.
+    """
+    def of(chosen: dict[str, Sequence[str]], source: str) -> DataFrame:
+        countries = tuple(dict.fromkeys(c for group in chosen.values() for c in group))
+        report = partner_weekly_report(t, p.but(countries=countries), source)
+        names = F.array(*[F.when(F.col("country").isin(*group), F.lit(region)) for region, group in chosen.items()])
+        return report.withColumn("region", F.explode(F.array_compact(names)))
+
+    near = {r: group for r, group in regions.items() if home is None or r in home}
+    far = {r: group for r, group in regions.items() if r not in near}
+    parts = [of(chosen, source) for chosen, source in ((near, "log"), (far, "regional")) if chosen]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def weekly_delivery(t: Tables, regions: dict[str, Sequence[str]], p: ReportParams, prefix: str, home_folder: str,
+                    abroad_folder: str, home: Sequence[str] | None = None, max_rows: int = MAX_ROWS,
+                    interval: str = "weekly") -> list[str]:
+    """The files of all countries: ranked and paged inside the country, named and routed by it.
+
+    A configured country without data gets one row with the run date. Gives the paths written.
+    """
+    countries = list(dict.fromkeys(c for group in regions.values() for c in group))
+    report = partner_weekly_reports(t, regions, p, home).select(*REPORT_COLUMNS, "country").distinct()
+
+    def path(country: Column, page: Column) -> Column:
+        return F.concat(route(country, home_folder, abroad_folder), F.lit("/"),
+                        report_path(prefix, country, p, page, interval))
+
+    order = [c for c in RANK_COLUMNS if c != "country"]
+    return export_by_country(report, countries, "report_execution_date", date_literal(p.run_date or p.end), order,
+                             path, max_rows)
 
 
 def creative_report(t: Tables, p: ReportParams) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -82,6 +83,47 @@ def with_placeholder(report: DataFrame, run_date: Column, column: str = "report_
     return report.unionByName(blank, allowMissingColumns=True)
 
 
+def export_by_country(report: DataFrame, countries: Sequence[str], date_column: str, run_date: Column,
+                      order_cols: Sequence[str], path, max_rows: int = MAX_ROWS) -> list[str]:
+    """Files of at most ``max_rows`` ranks for each country, at ``path(country, page)``.
+
+    Ranks count inside the country. Of ``countries`` those without a row get one that holds only the
+    run date; rows without a country go nowhere. All files are written in one job, one task each.
+    """
+    spark = report.sparkSession
+    report = stage(report.where(F.col("country") != "").withColumn(date_column, run_date))
+    # One order over all countries, and each country's first rank taken off: no task holds a country.
+    ranked = row_rank(report, ["country", *order_cols], "_global")
+    first = ranked.groupBy("country").agg(F.min("_global").alias("_first"))
+    ranked = ranked.join(first, "country").withColumn("_rank", F.col("_global") - F.col("_first") + 1)
+    configured = spark.createDataFrame([(c,) for c in countries], "country string")
+    silent = configured.join(report.select("country").distinct(), "country", "left_anti").withColumns(
+        {date_column: run_date, "_rank": F.lit(1).cast("long")})
+    rows = ranked.drop("_global", "_first").unionByName(silent, allowMissingColumns=True)
+    rows = stage(rows.withColumn("_page", page_of(F.col("_rank"), max_rows)))
+
+    targets = (rows.select("country", "_page").distinct()
+               .select("country", "_page", path(F.col("country"), F.col("_page")).alias("path"))
+               .orderBy("path").collect())  # one row per file
+    base = f"{_parent(targets[0]['path'])}/.parts-{uuid.uuid4().hex}" if targets else ""
+    if targets:
+        (rows.repartition("country", "_page").sortWithinPartitions("country", "_page", "_rank").drop("_rank")
+         .withColumnsRenamed({"country": "_country"}).write.partitionBy("_country", "_page")
+         .options(**CSV_DIALECT).csv(base))
+        fs, root = _fs(spark, base)
+        written = {(unquote(c.getPath().getName().split("=", 1)[1]), int(g.getPath().getName().split("=")[1])): g.getPath()
+                   for c in fs.listStatus(root) if c.isDirectory()
+                   for g in fs.listStatus(c.getPath())}
+        for t in targets:
+            _move_single(spark, written[t["country"], t["_page"]].toString(), t["path"])
+        fs.delete(root, True)
+    return [t["path"] for t in targets]
+
+
+def _parent(path: str) -> str:
+    return path.rsplit("/", 1)[0]
+
+
 def export_paged(report: DataFrame, folder: str, order_cols: Sequence[str], file_name,
                  max_rows: int = MAX_ROWS) -> list[str]:
     """Write at most ``max_rows`` ranks per file and name the files ``file_name(page)``.

@@ -7,7 +7,10 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from adspark.plans import conversions, delivery, imports, mapping, reports
+from adspark.schemas import schema
 from adspark.sinks import page_of
+from adspark.sources import read_csv
+from adspark.stage import work_dir
 from adspark.workload.measurement import TIME_SQL, _CPM, first, rounded, shown, visits
 from adspark.workload.registry import query
 from adspark.workload.sql import D0, USAGE0, VIEWS, W0, W1, WA
@@ -264,7 +267,7 @@ def _steps(names) -> str:
     return ", ".join(f"CAST(SUM(CASE WHEN tracker IN {tuple(t)} THEN 1 END) AS BIGINT) AS {n}" for n, t in names.items())
 
 
-WEEKLY_SQL = f"""
+_WEEKLY = f"""
     SELECT DISTINCT DATE '2024-01-22' AS report_execution_date, m.advertiser_id, m.advertiser_name AS advertiser, replace(m.order_name, ',', '') AS insertion_order_name,
       m.campaign_id, replace(m.campaign_name, ',', '') AS campaign_name, m.campaign_start AS campaign_start_date, m.campaign_end AS campaign_end_date,
       m.flight_id, m.flight_name, m.line_item_start AS flight_start_date, m.line_item_end AS flight_end_date, m.line_item_id, m.line_item_name,
@@ -282,15 +285,22 @@ WEEKLY_SQL = f"""
       m.target_country AS country
     FROM meta m"""
 _SEG = ("CAST(SUM(CASE WHEN segment_id = 0 THEN 1 END) AS BIGINT) AS signup, CAST(SUM(CASE WHEN segment_id = 1 THEN 1 END) AS BIGINT) AS homepage")
-WEEKLY_SQL += (
-    _arm("i", "COUNT(*) AS n, COUNT(DISTINCT device_id) AS reach", "delivered", "event = 'impression'")
-    + _arm("k", "COUNT(*) AS n", "delivered", "event = 'click'")
-    + _arm("o", "COUNT(*) AS n, AVG(minutes) AS minutes, COUNT(DISTINCT device_id) AS openers", "opened")
-    + _arm("e", "COUNT(DISTINCT device_id) AS n", "converted")
-    + _arm("v", _steps(delivery.VIDEO_STEPS), "log", f"event = 'tracker' AND partition_time BETWEEN {W0} AND {WA}")
-    + _arm("ev2", _SEG, "visited") + _arm("fv", _SEG, "first_visited")
-    + _arm("ins", "COUNT(DISTINCT device_id) AS installs", "installed", by="country", on="x.country = m.target_country")
-    + _arm("tv", _SEG, "pixels", by="country", on="x.country = m.target_country"))
+
+
+def _weekly(r: str = "") -> str:
+    """The report from the views of the log, or with ``r_`` from those of the regional copies."""
+    return (
+        _WEEKLY + _arm("i", "COUNT(*) AS n, COUNT(DISTINCT device_id) AS reach", f"{r}delivered", "event = 'impression'")
+        + _arm("k", "COUNT(*) AS n", f"{r}delivered", "event = 'click'")
+        + _arm("o", "COUNT(*) AS n, AVG(minutes) AS minutes, COUNT(DISTINCT device_id) AS openers", f"{r}opened")
+        + _arm("e", "COUNT(DISTINCT device_id) AS n", f"{r}converted")
+        + _arm("v", _steps(delivery.VIDEO_STEPS), f"{r}log", f"event = 'tracker' AND partition_time BETWEEN {W0} AND {WA}")
+        + _arm("ev2", _SEG, f"{r}visited") + _arm("fv", _SEG, f"{r}first_visited")
+        + _arm("ins", "COUNT(DISTINCT device_id) AS installs", f"{r}installed", by="country", on="x.country = m.target_country")
+        + _arm("tv", _SEG, f"{r}pixels", by="country", on="x.country = m.target_country"))
+
+
+WEEKLY_SQL = _weekly()
 _WEEKLY_VIEWS = ("meta", "delivered", "opened", "converted", "visited", "first_visited", "installed", "pixels", "log")
 _WEEKLY_ROUND = ("budget_delivered", "ctr", "cpc", "frequency", "average_exposed_time_spent_minutes")
 
@@ -300,6 +310,35 @@ def q_partner_weekly_report(s: Source):
     return rounded(reports.partner_weekly_report(s.report_tables, P), *_WEEKLY_ROUND)
 
 
+_SHARED = "CASE WHEN device_id % 17 <> 0 THEN device_id - device_id % 2 END AS device_id"
+VIEWS["r_log"] = f"""
+    SELECT event, event_time, {_SHARED}, country, campaign_id, flight_id, creative_id, CAST(NULL AS BIGINT) AS segment_id,
+           CAST(NULL AS VARCHAR) AS tracker, dropped, event_time AS partition_time FROM log WHERE dropped IS NULL"""
+VIEWS["r_usage"] = f"""
+    SELECT * REPLACE (CASE WHEN device_id % 17 <> 0 THEN device_id - device_id % 2 END AS device_id) FROM (
+      SELECT device_id, country, start_time AS usage_time, datediff('minute', start_time, end_time) AS m FROM sessions
+      WHERE start_time BETWEEN {USAGE0} AND {WA})"""
+VIEWS["r_used"] = "SELECT device_id, country, usage_time, CAST(SUM(m) AS BIGINT) AS minutes FROM r_usage GROUP BY ALL"
+VIEWS["r_delivered"] = VIEWS["delivered"].replace("FROM log l", "FROM r_log l")
+VIEWS["r_installed"] = f"""
+    SELECT device_id, country, MIN(usage_time) AS first_open FROM r_used GROUP BY ALL HAVING MIN(usage_time) BETWEEN {W0} AND {WA}"""
+VIEWS["r_pixels"] = VIEWS["pixels"].replace("FROM log", "FROM r_log")
+VIEWS["r_first_pixels"] = VIEWS["first_pixels"].replace("FROM pixels", "FROM r_pixels")
+for _name, _conv, _ts, _part, _col in (
+        ("opened", f"(SELECT * FROM r_used WHERE usage_time BETWEEN {W0} AND {WA})", "usage_time", "c.device_id, c.usage_time", "c.minutes"),
+        ("converted", "r_installed", "first_open", "c.device_id, c.first_open", "c.first_open"),
+        ("visited", "r_pixels", "visit_time", _VISIT_PART, "c.segment_id"),
+        ("first_visited", "r_first_pixels", "visit_time", _VISIT_PART, "c.segment_id")):
+    VIEWS[f"r_{_name}"] = _touched(_conv, _ts, _part, _col).replace("FROM delivered i", "FROM r_delivered i").replace(
+        "i.creative_id) AS rn", "i.creative_id, i.country) AS rn")
+_REGIONAL_VIEWS = ("meta", *[f"r_{v}" for v in _WEEKLY_VIEWS if v != "meta"])
+
+
+@query("partner_weekly_report_regional", _weekly("r_"), *_REGIONAL_VIEWS)
+def q_partner_weekly_report_regional(s: Source):
+    return rounded(reports.partner_weekly_report(s.report_tables, P, "regional"), *_WEEKLY_ROUND)
+
+
 _REGIONS = {"na": ("AMERICA",), "eu": ("EUROPE",), "rest": ("ASIA", "AFRICA", "MIDDLE EAST")}
 
 
@@ -309,6 +348,43 @@ def q_partner_weekly_reports(s: Source):
     return rounded(reports.partner_weekly_reports(s.report_tables, _REGIONS, P), *_WEEKLY_ROUND)
 
 
+_MIXED = f"""
+    SELECT * FROM ({WEEKLY_SQL}) WHERE country = 'AMERICA' UNION ALL SELECT * FROM ({_weekly("r_")}) WHERE country <> 'AMERICA'"""
+
+
+@query("partner_weekly_reports_mixed", f"""
+    SELECT *, CASE country WHEN 'AMERICA' THEN 'na' WHEN 'EUROPE' THEN 'eu' ELSE 'rest' END AS region FROM ({_MIXED})""",
+       *_WEEKLY_VIEWS, *_REGIONAL_VIEWS)
+def q_partner_weekly_reports_mixed(s: Source):
+    return rounded(reports.partner_weekly_reports(s.report_tables, _REGIONS, P, home=["na"]), *_WEEKLY_ROUND)
+
+
+_IN_COUNTRY = "rank() OVER (PARTITION BY country ORDER BY advertiser, campaign_id, flight_id, line_item_id, creative_id, impressions_delivered)"
+_FILED = ("campaign_id", "flight_id", "line_item_id", "creative_id", "impressions_delivered", "clicks", "reach", "installs",
+          "total_exposed_app_openers", "total_exposed_app_opens", "total_signup_page_visit", "budget_delivered")
+_OUT = "'international/weekly/brand_' || lower({}) || '_weekly_campaign_2024-01-08_2024-01-14_'"
+
+
+@query("weekly_delivery", f"""
+    SELECT report_execution_date, advertiser, {', '.join(_FILED)},
+           {_OUT.format('country')} || right('000' || CAST(ceil({_IN_COUNTRY} / 20.0) AS BIGINT), 3) || '.csv' AS file_name
+    FROM ({_MIXED})
+    UNION ALL SELECT DATE '2024-01-22', NULL, {', '.join(['NULL'] * len(_FILED))}, {_OUT.format("'nowhere'")} || '001.csv'""",
+       *_WEEKLY_VIEWS, *_REGIONAL_VIEWS)
+def q_weekly_delivery(s: Source):
+    # Files of all countries, one of which has no data, read back.
+    folder = work_dir(s.spark)
+    reports.weekly_delivery(s.report_tables, {**_REGIONS, "none": ("NOWHERE",)}, P, "brand_", f"{folder}/us",
+                            f"{folder}/international", home=["na"], max_rows=20)
+    numbers = {"budget_delivered": "float"}
+    columns = schema(**{c: "date" if c == "report_execution_date" else "int" if c in _FILED else "str"
+                        for c in reports.REPORT_COLUMNS} | numbers)
+    rows = read_csv(s.spark, f"{folder}/*/weekly", columns)
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/weekly/[^/]+)$", 1)
+    rows = rows.select("report_execution_date", "advertiser", *_FILED, F.replace(name, F.lit("%20"), F.lit(" ")).alias("file_name"))
+    return rounded(rows, "budget_delivered")
+
+
 _RANK = "rank() OVER (ORDER BY advertiser, country, campaign_id, flight_id, line_item_id, creative_id, impressions_delivered)"
 
 

@@ -10,13 +10,15 @@ from dataclasses import dataclass
 from datetime import date
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from adspark.functions.columns import json_path, label
-from adspark.functions.time import date_literal, ts_literal
+from adspark.functions.time import date_literal, diff_units, ts_literal
 from adspark.params import ReportParams
+from adspark.plans.identity import with_ad_id
 from adspark.plans.reports import Tables
-from adspark.schemas import APP_OPENS, CREATIVE_MAPPING, DELIVERY, HARDWARE, SESSIONS, conform
+from adspark.schemas import (
+    APP_OPENS, CREATIVE_MAPPING, DELIVERY, HARDWARE, REGIONAL_EXPOSURE, REGIONAL_USAGE, SESSIONS, conform)
 
 PARAMS = ReportParams(
     start=date(2024, 1, 8), end=date(2024, 1, 14), attribution_days=7, lookback_months=1,
@@ -134,7 +136,8 @@ class Source:
     @cached_property
     def report_tables(self) -> Tables:
         return Tables(delivery=self.log, sessions=self.sessions, id_map=self.id_map, apps=self.apps,
-                      mapping=self.mapping, hardware=self.hardware, app_opens=self.app_opens)
+                      mapping=self.mapping, hardware=self.hardware, app_opens=self.app_opens,
+                      regional_exposures=self.regional_copy, regional_usage=self.regional_use)
 
     # ---- order system
 
@@ -264,6 +267,24 @@ class Source:
         seen = self.log.where(F.col("event").isin("impression", "click") & F.col("dropped").isNull())
         return seen.withColumn("order_number", 1000 + F.col("campaign_id")).withColumn("exposure_time", F.col("event_time"))
 
+    def _shared(self, device) -> Column:
+        """Two source ids on a device, some without a device."""
+        return F.when(device % 17 != 0, device - device % 2)
+
+    @cached_property
+    def regional_copy(self) -> DataFrame:
+        seen = self.log.where(F.col("dropped").isNull()).withColumns({
+            "order_number": 1000 + F.col("campaign_id"), "exposure_time": F.col("event_time"),
+            "device_id": self._shared(F.col("device_id"))})
+        return conform(seen, REGIONAL_EXPOSURE)
+
+    @cached_property
+    def regional_use(self) -> DataFrame:
+        rows = with_ad_id(self.sessions, self.id_map).withColumns({
+            "device_id": self._shared(F.col("device_id")), "usage_time": F.col("start_time"),
+            "minutes": diff_units("minute", "start_time", "end_time")})
+        return conform(rows, REGIONAL_USAGE)
+
     # ---- lift and cross-media
 
     @cached_property

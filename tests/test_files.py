@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from adspark.functions.time import date_literal
 from adspark.schemas import schema
 from adspark.sinks import append_new, current, export_csv, export_paged, refresh_table, with_placeholder
-from adspark.sinks.export import _move_single
+from adspark.sinks.export import _move_single, export_by_country
 from adspark.sources import BadRowsError, read_csv, read_csv_tolerant, report_manifest, split_to_rows
 
 ROWS = schema(id="int", name="str")
@@ -104,3 +105,24 @@ def test_refresh_reads_what_it_replaces(spark, tmp_path):
 
 def test_split_parameter(spark):
     assert sorted(r["value"] for r in split_to_rows(spark, " US, CA ,,").collect()) == ["CA", "US"]
+
+
+def test_files_by_country(spark, tmp_path):
+    df = spark.range(7).select("id", F.when(F.col("id") < 5, "US").when(F.col("id") == 5, "SOUTH/X").alias("country"))
+    before = spark.conf.get("spark.sql.files.maxRecordsPerFile")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 1)
+    try:
+        files = export_by_country(
+            df, ["US", "SOUTH/X", "BR"], "run_date", date_literal("2024-01-22"), ["id"],
+            lambda c, page: F.concat(F.lit(f"{tmp_path}/"), F.when(c == "US", "home").otherwise("abroad"),
+                                     F.lit("/"), F.replace(c, F.lit("/"), F.lit("-")), F.lit("_"), page, F.lit(".csv")), 2)
+    finally:
+        spark.conf.set("spark.sql.files.maxRecordsPerFile", before)
+    names = ["abroad/BR_1.csv", "abroad/SOUTH-X_1.csv", "home/US_1.csv", "home/US_2.csv", "home/US_3.csv"]
+    assert [os.path.relpath(f, tmp_path) for f in files] == names
+    rows = {n: [tuple(r) for r in read_csv(spark, f, schema(id="int", run_date="date")).collect()]
+            for n, f in zip(names, files)}
+    day = date(2024, 1, 22)
+    assert rows["abroad/BR_1.csv"] == [(None, day)]
+    assert rows["abroad/SOUTH-X_1.csv"] == [(5, day)]
+    assert [r for n in names[2:] for r in rows[n]] == [(i, day) for i in range(5)]
