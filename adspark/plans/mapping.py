@@ -19,6 +19,7 @@ from adspark.plans.finance import booked_budget
 from adspark.schemas import CREATIVE_MAPPING, MAPPING_CSV, conform
 from adspark.sources.files import read_csv_tolerant
 from adspark.sources.scan import scan_between_dim
+from adspark.stage import stage
 
 # Fixed values of the order system.
 ORDER_NUMBER_FIELD = "JIRA ID"
@@ -92,12 +93,12 @@ def order_book(orders: DataFrame, custom_fields: DataFrame, line_items: DataFram
     A line item that belongs to a package takes each value from the package line, and its own
     value where the package has none.
     """
-    live = latest_orders(orders, advertiser_ids)
+    live = stage(latest_orders(orders, advertiser_ids))
     lines = latest_lines(line_items, live)
     bookable = latest_per_key(products.where(F.col("booking_types") != NOT_BOOKABLE), ["product_id"], VERSION)
     lines = lookup(lines, bookable.select("product_id", "creative_spec"), "product_id")
     lines = lookup(lines, product_countries(product_fields), "product_id")
-    lines = with_parent(lines, "parent_line_item_id", "line_item_id", PACKAGE)
+    lines = with_parent(stage(lines), "parent_line_item_id", "line_item_id", PACKAGE)
 
     book = lookup(live.select(
         "sales_order_id", "sales_order_name", "order_start", "order_end", "advertiser_id", "advertiser_name",
@@ -143,14 +144,46 @@ def active_campaigns(book: DataFrame, campaigns: DataFrame, oms: DataFrame, run_
     return lines.select("order_number", "campaign_id").distinct()
 
 
+def ran_for_lines(spans: DataFrame, regional: DataFrame) -> DataFrame:
+    """Each line (order number, campaign, line item, start, end) with every combination of country, flight
+    and creative that the regional copy shows in its time. NULL is a value of a combination.
+
+    The copy is read between the first start and the last end, and reduced to the first and last
+    exposure of a combination and day. A combination ran for a line if the first of these times at or
+    after the line's start is within the line: exact, unless the line lies inside one day. For
+    such lines the exposures of that campaign and day are looked at one by one.
+    """
+    order = ["order_number", "campaign_id"]
+    at = F.col("exposure_time")
+    edges = spans.agg(F.min("line_item_start").alias("lo"), F.max("line_item_end").alias("hi"))
+    shown = regional.where((at >= edges.select("lo").scalar()) & (at <= edges.select("hi").scalar())).select(
+        *order, F.struct("country", "flight_id", "creative_id").alias("_ran"), "exposure_time")
+    keys = [*order, "_ran"]
+    within_day = F.to_date("line_item_start") == F.to_date("line_item_end")
+
+    def first_after_start(lines: DataFrame, times: DataFrame) -> DataFrame:
+        candidates = inner(lines, times.select(*keys).distinct(), order)
+        found = next_touch(times, candidates, keys, "exposure_time", "line_item_start")
+        return found.where(at <= F.col("line_item_end")).drop("exposure_time")
+
+    days = stage(in_rel(shown, spans, order).groupBy(*keys, F.to_date(at).alias("_day")).agg(
+        F.min(at).alias("_first"), F.max(at).alias("_last")))
+    times = days.select(*keys, F.explode(F.array("_first", "_last")).alias("exposure_time"))
+    short = spans.where(within_day)
+    busy = short.select(*order, F.to_date("line_item_start").alias("_day")).distinct()
+    single = in_rel(shown.withColumn("_day", F.to_date(at)), busy, [*order, "_day"]).drop("_day")
+    found = first_after_start(spans.where(~within_day), times).unionByName(first_after_start(short, single))
+    return found.select("*", "_ran.*").drop("_ran")
+
+
 def creative_mapping(book: DataFrame, campaigns: DataFrame, oms: DataFrame, log: DataFrame,
                      regional: DataFrame, creatives: DataFrame, flights: DataFrame, countries: DataFrame,
                      run_date: date, last_update: Column | None = None) -> DataFrame:
     """Which campaign, flight and creative ran for which order line, per country.
 
     North America takes what was seen from the delivery log, other countries from the regional
-    copy, there only exposures within the line item's time. Both logs are reduced to distinct
-    combinations before they meet the order book.
+    copy, there only exposures within the line item's time (:func:`ran_for_lines`). Both logs are
+    reduced in the map tasks before they meet the order book.
     """
     today = date_literal(run_date)
     lo, hi = mapping_window(today)
@@ -169,14 +202,8 @@ def creative_mapping(book: DataFrame, campaigns: DataFrame, oms: DataFrame, log:
                     book.select("sales_order_id", "order_number").distinct(), "sales_order_id")
     seen_home = inner(logged, ordered.drop("sales_order_id").distinct(), "campaign_id")
 
-    # A combination ran for a line if its first exposure after the line's start is within the line's
-    # time: one look-up per line and combination, and not a comparison per line and exposure.
-    spans = abroad.select("order_number", "campaign_id", "line_item_id", "line_item_start", "line_item_end").distinct()
-    combination = ["order_number", "country", *ran]
-    candidates = inner(spans, regional.select(*combination).distinct(), ["order_number", "campaign_id"])
-    seen_abroad = next_touch(
-        regional.select(*combination, "exposure_time"), candidates, combination, "exposure_time", "line_item_start",
-    ).where(F.col("exposure_time") <= F.col("line_item_end")).drop("exposure_time")
+    spans = stage(abroad.select("order_number", "campaign_id", "line_item_id", "line_item_start", "line_item_end").distinct())
+    seen_abroad = ran_for_lines(spans, regional)
 
     code = F.when(F.col("product_country") == "USA", "US").otherwise(F.col("country_code"))
     flight = flights.select("flight_id", "campaign_id", "flight_name", "flight_start", "flight_end")

@@ -87,7 +87,8 @@ VIEWS["seen"] = """
     SELECT DISTINCT country, campaign_id, flight_id, creative_id FROM log
     WHERE event IN ('impression', 'click', 'tracker') AND dropped IS NULL"""
 VIEWS["seen_abroad"] = """
-    SELECT DISTINCT b.line_item_id, l.country, l.campaign_id, l.flight_id, l.creative_id FROM log l JOIN book b
+    SELECT DISTINCT b.line_item_id, l.country, l.campaign_id, CASE WHEN l.creative_id % 7 <> 0 THEN l.flight_id END AS flight_id,
+           l.creative_id FROM log l JOIN book b
       ON b.campaign_id = l.campaign_id AND l.event_time BETWEEN b.line_item_start AND b.line_item_end
     WHERE l.event IN ('impression', 'click') AND l.dropped IS NULL"""
 _MAPPED = """
@@ -111,7 +112,9 @@ _MAPPED = """
     creative="s.creative_id", seen="seen_abroad s ON s.line_item_id = b.line_item_id", where="NOT IN", budget="b.net_cost",
     booked="b.production_quantity", delivered="COALESCE(b.net_cost, b.added_value_amount, 0)"), "book", "seen", "seen_abroad")
 def q_creative_mapping(s: Source):
-    return mapping.creative_mapping(s.book, s.campaigns, s.oms, s.log, s.regional, s.creatives, s.flights,
+    # Some exposures abroad have no flight.
+    regional = s.regional.withColumn("flight_id", F.when(F.col("creative_id") % 7 != 0, F.col("flight_id")))
+    return mapping.creative_mapping(s.book, s.campaigns, s.oms, s.log, regional, s.creatives, s.flights,
                                     s.country_map, MAP_RUN).drop("last_update")
 
 

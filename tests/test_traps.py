@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -300,3 +300,47 @@ def test_interval_join_keeps_points_in_none(make):
     got = R.point_in_interval(points, spans, ["k"], "t", "lo", "hi", how="left")
     assert values(got, "k", "name") == sorted([(1, "a"), (1, "b"), (1, None), (2, None)], key=repr)
     assert R.point_in_interval(points, spans, ["k"], "t", "lo", "hi").count() == 2
+
+
+# ---- regional copies
+
+def test_lines_abroad_against_all_pairs(spark):
+    """Lines of every length, also within a day; exposures without a country, flight or creative."""
+    import random
+    rnd = random.Random(3)
+    day = datetime(2024, 1, 1)
+    lines = []
+    for i in range(40):
+        start = day + timedelta(minutes=rnd.randrange(6 * 1440))
+        lines.append((rnd.randrange(3), rnd.randrange(2), i, start, start + timedelta(minutes=rnd.choice([0, 5, 90, 700, 3000]))))
+    shown = [(rnd.randrange(3), rnd.randrange(2), rnd.choice(["A", None]), rnd.choice([1, None]), rnd.choice([1, 2, None]),
+              day + timedelta(minutes=rnd.randrange(7 * 1440))) for _ in range(150)] + [(0, 0, "A", 1, 1, None)]
+    spans = spark.createDataFrame(lines, "order_number long, campaign_id long, line_item_id long, "
+                                         "line_item_start timestamp_ntz, line_item_end timestamp_ntz")
+    copy = spark.createDataFrame(shown, "order_number long, campaign_id long, country string, flight_id long, "
+                                        "creative_id long, exposure_time timestamp_ntz")
+    got = mapping.ran_for_lines(spans, copy)
+    pairs = {(li[2], *s[2:5]) for li in lines for s in shown if s[:2] == li[:2] and s[5] and li[3] <= s[5] <= li[4]}
+    assert pairs and values(got, "line_item_id", "country", "flight_id", "creative_id") == sorted(pairs, key=repr)
+
+
+def test_one_regional_credit_per_device_and_time(make):
+    """Usage at one time in two countries: the later exposure has it, and a stale mapping stops the report."""
+    from adspark.plans.reports import Tables, partner_weekly_report
+    from adspark.schemas import CREATIVE_MAPPING, REGIONAL_EXPOSURE, REGIONAL_USAGE
+    shown = conform(make("device_id long, exposure_time timestamp_ntz, country string, campaign_id long, creative_id long, flight_id long, event string",
+                         (1, "2024-01-09 10:00:00", "AT", 1, 1, 1, "impression"),
+                         (1, "2024-01-09 11:00:00", "DE", 1, 1, 1, "impression")), REGIONAL_EXPOSURE)
+    used = conform(make("device_id long, usage_time timestamp_ntz, country string, minutes long",
+                        (1, "2024-01-09 12:00:00", "AT", 4), (1, "2024-01-09 12:00:00", "DE", 6),
+                        (None, "2024-01-09 12:00:00", "DE", 6)), REGIONAL_USAGE)
+    lines = [(c, 1, 1, 1, i, "2024-01-01 00:00:00", "2024-01-31 00:00:00", "2024-01-20 00:00:00") for i, c in enumerate(["AT", "DE"])]
+    mapped = conform(make("target_country string, campaign_id long, flight_id long, creative_id long, line_item_id long, "
+                          "line_item_start timestamp_ntz, line_item_end timestamp_ntz, last_update timestamp_ntz", *lines), CREATIVE_MAPPING)
+    t = Tables(None, None, None, None, mapped, regional_exposures=shown, regional_usage=used)
+    report = partner_weekly_report(t, P, "regional")
+    assert values(report, "country", "impressions_delivered", "total_exposed_app_opens", "first_time_exposed_app_opens",
+                  "average_exposed_time_spent_minutes", "installs", "video_start", "total_signup_page_visit") == [
+        ("AT", 1, None, None, None, 1, 0, None), ("DE", 1, 1, 1, 6.0, 1, 0, None)]
+    with pytest.raises(mapping.StaleMappingError):
+        partner_weekly_report(t, P.but(run_date=date(2024, 1, 27)), "regional")
