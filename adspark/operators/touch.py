@@ -22,6 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from adspark.functions.columns import as_col
+from adspark.stage import stage
 
 SLICE_MINUTES = 15
 
@@ -127,64 +128,68 @@ def pair_totals(exposures: DataFrame, conversions: DataFrame, keys: Sequence[str
 
     Gives ``pairs`` and the sum of each measure (a column of the conversions) over the pairs. With
     ``by_conversion_day`` also one row per ``conversion_day``. An exposure sees the conversions
-    after it in its slice, then the later slices of its day, then the days after that; the three
-    are added up from per-slice and per-day sums. Two shuffles: the rows by key and slice, then one
-    row per slice and dims by key.
+    after it in its slice, then the later slices of its day, then the days after that. What comes
+    after a slice does not depend on ``dims``: it is found from one row per key and slice, and joined
+    to the exposures of the slice. So a task holds a key's slices, but never its rows by ``dims``.
     """
     measures = {"pairs": F.lit(1), **(measures or {})}
     names = list(measures)
-
-    def summed(prefix: str) -> list[Column]:
-        return [F.sum(f"{prefix}{n}").alias(f"{prefix}{n}") for n in names]
+    slot = [*keys, "_day", "_slice"]
 
     def zero(c: str) -> Column:
         return F.coalesce(F.col(c), F.lit(0))
 
     shown = (_keyed(exposures, keys, exposure_ts, slice_minutes)
-             .select(*keys, "_day", "_slice", "_ts", *dims, F.lit(1).cast("long").alias("_w")))
+             .select(*slot, "_ts", *dims, F.lit(1).cast("long").alias("_w")))
     done = conversions.select(*keys, F.col(conversion_ts).alias("_at"),
                               *[as_col(c).alias(f"_m_{n}") for n, c in measures.items()])
     done = _keyed(done, keys, "_at", slice_minutes).drop("_at")
-    line = shown.unionByName(done, allowMissingColumns=True)
 
     # Inside a slice: conversions at or after the exposure, as a running sum from the end.
-    onward = (Window.partitionBy(*keys, "_day", "_slice").orderBy(F.col("_ts").desc())
+    line = shown.unionByName(done, allowMissingColumns=True)
+    onward = (Window.partitionBy(*slot).orderBy(F.col("_ts").desc())
               .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     line = line.withColumns({f"_o_{n}": F.sum(f"_m_{n}").over(onward) for n in names})
-    slices = line.groupBy(*keys, "_day", "_slice", *dims).agg(
-        F.sum("_w").alias("_w"), *summed("_m_"),
-        *[F.sum(F.col("_w") * F.col(f"_o_{n}")).alias(f"_p_{n}") for n in names])
+    slices = line.where(F.col("_w").isNotNull()).groupBy(*slot, *dims).agg(
+        F.sum("_w").alias("_w"), *[F.sum(f"_o_{n}").alias(f"_p_{n}") for n in names])
 
-    # The rest of the day, from the slice rows of the key; then one row per day and dims.
+    # After a slice, one row per key and slice: the rest of its day, and the days after it.
+    slots = shown.select(*slot).distinct().unionByName(done, allowMissingColumns=True).groupBy(*slot).agg(
+        *[F.sum(f"_m_{n}").alias(f"_m_{n}") for n in names])
     rest = (Window.partitionBy(*keys, "_day").orderBy(F.col("_slice").desc())
-            .rangeBetween(Window.unboundedPreceding, -1))
-    slices = slices.repartition(*keys).withColumns({f"_r_{n}": F.sum(f"_m_{n}").over(rest) for n in names})
-    days = slices.groupBy(*keys, "_day", *dims).agg(
-        F.sum("_w").alias("_w"), *summed("_m_"),
-        *[F.sum(zero(f"_p_{n}") + F.col("_w") * zero(f"_r_{n}")).alias(f"_p_{n}") for n in names])
-
-    # Later days.
+            .rowsBetween(Window.unboundedPreceding, -1))
     if max_days is None:
         later = (Window.partitionBy(*keys).orderBy(F.col("_day").desc())
                  .rangeBetween(Window.unboundedPreceding, -1))
     else:
         later = Window.partitionBy(*keys).orderBy("_day").rangeBetween(1, max(max_days, 1))
+    ahead = {f"_r_{n}": F.sum(f"_m_{n}").over(rest) for n in names}
+    if not by_conversion_day and max_days != 0:
+        ahead |= {f"_n_{n}": F.sum(f"_m_{n}").over(later) for n in names}
+    after = slots.repartition(*keys).withColumns(ahead).select(*slot, *ahead)
+    seen = slices.join(after, slot).withColumns({
+        n: zero(f"_p_{n}") + F.col("_w") * sum((zero(c) for c in (f"_r_{n}", f"_n_{n}") if c in ahead), F.lit(0))
+        for n in names})
     if not by_conversion_day:
-        reach = {f"_n_{n}": F.lit(0) if max_days == 0 else F.sum(f"_m_{n}").over(later) for n in names}
-        total = days.withColumns(reach).where(F.col("_w").isNotNull()).groupBy(*keys, *dims).agg(*[
-            F.sum(zero(f"_p_{n}") + F.col("_w") * zero(f"_n_{n}")).alias(n) for n in names])
-        return total.where(F.col("pairs") > 0)
-
-    # One entry per later day with conversions, next to the day itself.
-    entries = F.array(F.struct(F.col("_day").alias("day"), *[zero(f"_p_{n}").alias(n) for n in names]))
-    pairs = days
+        return (seen.groupBy(*keys, *dims).agg(*[F.sum(n).alias(n) for n in names])
+                .where(F.col("pairs") > 0))
+
+    # Conversion days of the key next to the exposure days of each ``dims``: a row for a day to report,
+    # and a running sum of the exposures before it.
+    days = stage(seen.groupBy(*keys, "_day", *dims).agg(
+        F.sum("_w").alias("_w"), *[F.sum(n).alias(f"_p_{n}") for n in names]))
     if max_days != 0:
-        entry = F.struct(F.col("_day").alias("day"), *[F.col(f"_m_{n}").alias(n) for n in names])
-        ahead = F.collect_list(F.when(F.col("_m_pairs") > 0, entry)).over(later)
-        pairs = days.withColumn("_ahead", ahead)
-        entries = F.concat(entries, F.transform("_ahead", lambda d: F.struct(
-            d["day"].alias("day"), *[(F.coalesce(d[n], F.lit(0)) * F.col("_w")).alias(n) for n in names])))
-    pairs = pairs.where(F.col("_w").isNotNull()).select(*keys, *dims, F.explode(entries).alias("_d"))
-    return (pairs.groupBy(*keys, *dims, F.date_from_unix_date("_d.day").alias("conversion_day"))
-            .agg(*[F.sum(f"_d.{n}").alias(n) for n in names])
+        spans = days.groupBy(*keys, *dims).agg(F.min("_day").alias("_first"), F.max("_day").alias("_last"))
+        reported = done.groupBy(*keys, "_day").agg(*[F.sum(f"_m_{n}").alias(f"_m_{n}") for n in names])
+        in_reach = F.col("_day") > F.col("_first")
+        if max_days is not None:
+            in_reach = in_reach & (F.col("_day") <= F.col("_last") + max_days)
+        reported = spans.join(reported, list(keys)).where(in_reach).drop("_first", "_last")
+        days = days.unionByName(reported, allowMissingColumns=True)
+        before = Window.partitionBy(*keys, *dims).orderBy("_day").rangeBetween(
+            Window.unboundedPreceding if max_days is None else -max_days, -1)
+        days = days.withColumn("_before", F.sum("_w").over(before)).withColumns({
+            f"_p_{n}": zero(f"_p_{n}") + zero(f"_m_{n}") * zero("_before") for n in names})
+    return (days.groupBy(*keys, *dims, F.date_from_unix_date("_day").alias("conversion_day"))
+            .agg(*[F.sum(f"_p_{n}").alias(n) for n in names])
             .where(F.col("pairs") > 0))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 
@@ -137,14 +138,35 @@ def test_hot_device(spark):
     assert last.where("exposure_time = usage_time").count() == last.count() == 3 * n // 2
 
 
+def test_hot_device_of_many_creatives(spark):
+    """One device, 2,000 creatives over 60 days, by conversion day and without a limit."""
+    step = F.timestamp_add("SECOND", F.col("id") * 259, F.lit(str(T0)).cast("timestamp_ntz"))
+    rows = spark.range(0, 20_000).withColumn("device_id", F.lit(1).cast("long"))
+    shown = rows.select("device_id", step.alias("exposure_time"), (F.col("id") % 2000).alias("campaign_id"))
+    done = rows.select("device_id", step.alias("usage_time"), F.lit(2).cast("long").alias("minutes"))
+    total = touch.pair_totals(shown, done, ["device_id"], "exposure_time", "usage_time", ["campaign_id"],
+                              {"minutes": "minutes"}, None, by_conversion_day=True)
+    got = {r["conversion_day"]: (r["pairs"], r["minutes"]) for r in total.groupBy("conversion_day").agg(
+        F.sum("pairs").alias("pairs"), F.sum("minutes").alias("minutes")).collect()}
+    expected = Counter()
+    for i in range(20_000):
+        expected[(T0 + timedelta(seconds=i * 259)).date()] += i + 1
+    assert got == {day: (n, 2 * n) for day, n in expected.items()}
+
+
 def test_plans_build_no_pairs(spark, make):
+    """Joins meet one row per slice; no task holds a device's rows by creative, and no list is collected."""
     shown, done = sample(4, 5)
     shown, done = make(SHOWN, *shown), make(DONE, *done)
     args = (["device_id"], "exposure_time", "usage_time", ["campaign_id"])
     for max_days in (None, 7):
         for daily in (False, True):
             plan = touch.pair_totals(shown, done, *args, max_days=max_days, by_conversion_day=daily)
-            assert "Join" not in plan._jdf.queryExecution().executedPlan().toString()
+            text = plan._jdf.queryExecution().executedPlan().toString()
+            assert not re.search("CartesianProduct|NestedLoop|collect_list", text)
+            if not daily:  # by day that step has run and been staged
+                by_device = text[text.index("REPARTITION_BY"):].split("Exchange")[0]
+                assert "campaign_id" not in by_device
     last = touch.last_touch(shown, done, *args, 7)
     last.collect()
     plan = last._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
