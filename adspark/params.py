@@ -11,7 +11,7 @@ from adspark.functions.time import (
     date_literal, day_end, day_start, previous_day, quarter_start, shift, shift_date, ts_literal)
 
 
-def _months_back(day: date, months: int) -> date:
+def months_back(day: date, months: int) -> date:
     index = day.year * 12 + day.month - 1 - months
     year, month = divmod(index, 12)
     last = (date(year + (month == 11), (month + 1) % 12 + 1, 1) - timedelta(days=1)).day
@@ -48,7 +48,7 @@ class ReportParams:
 
     @property
     def usage_lookback(self) -> datetime:
-        return datetime.combine(_months_back(self.start, abs(self.lookback_months)), time())
+        return datetime.combine(months_back(self.start, abs(self.lookback_months)), time())
 
     @property
     def page_lookback(self) -> datetime:

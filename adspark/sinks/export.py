@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -100,28 +99,25 @@ def export_by_country(report: DataFrame, countries: Sequence[str], date_column:
     silent = configured.join(report.select("country").distinct(), "country", "left_anti").withColumns(
         {date_column: run_date, "_rank": F.lit(1).cast("long")})
     rows = ranked.drop("_global", "_first").unionByName(silent, allowMissingColumns=True)
-    rows = stage(rows.withColumn("_page", page_of(F.col("_rank"), max_rows)))
-
-    targets = (rows.select("country", "_page").distinct()
-               .select("country", "_page", path(F.col("country"), F.col("_page")).alias("path"))
-               .orderBy("path").collect())  # one row per file
-    base = f"{_parent(targets[0]['path'])}/.parts-{uuid.uuid4().hex}" if targets else ""
-    if targets:
-        (rows.repartition("country", "_page").sortWithinPartitions("country", "_page", "_rank").drop("_rank")
-         .withColumnsRenamed({"country": "_country"}).write.partitionBy("_country", "_page")
-         .options(**CSV_DIALECT).csv(base))
-        fs, root = _fs(spark, base)
-        written = {(unquote(c.getPath().getName().split("=", 1)[1]), int(g.getPath().getName().split("=")[1])): g.getPath()
-                   for c in fs.listStatus(root) if c.isDirectory()
-                   for g in fs.listStatus(c.getPath())}
-        for t in targets:
-            _move_single(spark, written[t["country"], t["_page"]].toString(), t["path"])
-        fs.delete(root, True)
-    return [t["path"] for t in targets]
-
-
-def _parent(path: str) -> str:
-    return path.rsplit("/", 1)[0]
+    rows = rows.withColumn("_path", path(F.col("country"), page_of(F.col("_rank"), max_rows)))
+    return export_named(rows, "_path", ["_rank"], ["country", "_rank"])
+
+
+def export_named(rows: DataFrame, path: str, order_cols: Sequence[str], leave_out: Sequence[str] = ()) -> list[str]:
+    """Each row goes to the file that its column ``path`` names. One job writes all files, a task each."""
+    spark = rows.sparkSession
+    rows = stage(rows.withColumn("_file", F.md5(path)))
+    files = rows.select("_file", path).distinct().orderBy(path).collect()  # one row per file
+    if not files:
+        return []
+    base = f"{files[0][path].rsplit('/', 1)[0]}/.parts-{uuid.uuid4().hex}"
+    (rows.repartition("_file").sortWithinPartitions("_file", *order_cols).drop(path, *leave_out)
+     .write.partitionBy("_file").options(**CSV_DIALECT).csv(base))
+    for f in files:
+        _move_single(spark, f"{base}/_file={f['_file']}", f[path])
+    fs, root = _fs(spark, base)
+    fs.delete(root, True)
+    return [f[path] for f in files]
 
 
 def export_paged(report: DataFrame, folder: str, order_cols: Sequence[str], file_name,

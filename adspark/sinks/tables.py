@@ -36,6 +36,11 @@ def refresh_table(df: DataFrame, folder: str, partition_by: Sequence[str] = ())
     return version
 
 
+def has_version(spark: SparkSession, folder: str) -> bool:
+    fs, base = _fs(spark, f"{folder.rstrip('/')}/{POINTER}")
+    return fs.exists(base) and len(fs.listStatus(base)) > 0
+
+
 def current(spark: SparkSession, folder: str) -> DataFrame:
     """The version of a refreshed table that is in force."""
     fs, base = _fs(spark, f"{folder.rstrip('/')}/{POINTER}")

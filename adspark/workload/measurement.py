@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
 from adspark.operators.relational import in_rel
 from adspark.plans import attribution, audience, conversions, delivery, finance, identity, lift, mapping
 from adspark.plans.reports import KEYS, TIME_LABELS, TIME_THRESHOLDS, universe_of
+from adspark.schemas import schema
+from adspark.sinks import export_csv
+from adspark.sources import read_csv
+from adspark.stage import work_dir
 from adspark.workload.registry import once, query
 from adspark.workload.sql import W0, W1, WA
 from adspark.workload.tables import PARAMS as P, Source
@@ -802,5 +806,35 @@ def q_audience_control(s: Source):
     return _audiences(s)[0]
 
 
+_NIGHT = "SELECT country, source_id FROM ({day}) WHERE ('0x' || substr(md5('3:' || source_id), 1, 8))::BIGINT % 100 < 10"
+_NIGHTS = f"""{_NIGHT.format(day=_DAY)} UNION {_NIGHT.format(day=_REG.format(lo='2024-01-29 00:00:00').replace('2024-01-30 23', '2024-01-29 23'))}"""
+
+
+@query("audience_delivery", f"""
+    SELECT 'control_' || country || '.csv' AS file_name, source_id FROM ({_NIGHTS})
+    UNION ALL SELECT 'segment_' || country || '.csv', source_id FROM ({_MONTH} EXCEPT ({_NIGHTS}))""", "ev")
+def q_audience_delivery(s: Source):
+    # Two nights: the second adds to the control groups of the first, and replaces the files.
+    folder = work_dir(s.spark)
+    for night in (RUN - timedelta(days=1), RUN):
+        audience.audience_delivery(voice(s), s.id_map, f"{folder}/tables", lambda kind, country: F.concat(
+            F.lit(f"{folder}/out/"), kind, F.lit("_"), F.replace(country, F.lit(" "), F.lit("-")), F.lit(".csv")), night.date(),
+            CATEGORY, APP, GOAL, seed=3)
+    rows = read_csv(s.spark, f"{folder}/out", schema(source_id="str"))
+    name = F.replace(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1), F.lit("-"), F.lit(" "))
+    return rows.select(name.alias("file_name"), "source_id")
+
+
+@query("registrations_18_months", """
+    SELECT DISTINCT source_id FROM ev WHERE event_type = 'signup' AND k % 10 = 7 AND country = 'AMERICA'
+    AND partition_time BETWEEN TIMESTAMP '2022-07-31' AND TIMESTAMP '2024-01-30 23:00:00'""", "ev")
+def q_registrations_18_months(s: Source):
+    events = s.ev.select("source_id", F.col("event_type").alias("category"), "country", "partition_time", F.format_string(
+        '{"appid": "app", "exe_goal": "%s"}', (F.col("k") % 10).cast("string")).alias("payload"))
+    listed = audience.registered_months(events, RUN.date(), CATEGORY, audience.payload_match("app", "7", "json"), countries=("AMERICA",))
+    path = export_csv(listed, f"{work_dir(s.spark)}/out/registered.csv", ["source_id"])
+    return read_csv(s.spark, path, schema(source_id="str"))
+
+
 def _audiences(s: Source) -> tuple[DataFrame, DataFrame]:
     return audience.audience_job(voice(s), s.id_map, old_control(s), RUN.date(), CATEGORY, APP, GOAL, seed=3)
