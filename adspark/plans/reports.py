@@ -132,7 +132,7 @@ def partner_weekly_report(t: Tables, p: ReportParams, source: str = "log") -> Da
     return rows.select(*REPORT_COLUMNS, "country")
 
 
-def _conversion_kinds(usage: DataFrame, first: DataFrame, visits: DataFrame, first_visits: DataFrame) -> DataFrame:
+def _conversion_kinds(usage: DataFrame | None, first: DataFrame, visits: DataFrame, first_visits: DataFrame) -> DataFrame:
     """All conversions in one shape. Visits of the same device, segment and time are one."""
     none = F.lit(None).cast("long")
     visit = ["device_id", "country", "segment_id", "visit_time"]
@@ -141,10 +141,12 @@ def _conversion_kinds(usage: DataFrame, first: DataFrame, visits: DataFrame, fir
         return df.select("device_id", "country", F.col(ts).alias("conversion_time"),
                          F.lit(kind).alias("kind"), segment.alias("segment_id"), minutes.alias("minutes"))
 
-    return (shape(usage, "open", "usage_time", none, F.col("minutes"))
-            .unionByName(shape(first, "install", "first_open", none, none))
-            .unionByName(shape(visits.select(*visit).distinct(), "visit", "visit_time", F.col("segment_id"), none))
-            .unionByName(shape(first_visits, "first_visit", "visit_time", F.col("segment_id"), none)))
+    kinds = [shape(first, "install", "first_open", none, none),
+             shape(visits.select(*visit).distinct(), "visit", "visit_time", F.col("segment_id"), none),
+             shape(first_visits, "first_visit", "visit_time", F.col("segment_id"), none)]
+    if usage is not None:
+        kinds.append(shape(usage, "open", "usage_time", none, F.col("minutes")))
+    return reduce(DataFrame.unionByName, kinds)
 
 
 def _credited_counts(credited: DataFrame, p: ReportParams) -> DataFrame:
@@ -350,25 +352,23 @@ def campaign_table(t: Tables, p: ReportParams,
                            F.col("conversions").alias("exposed_app_open_count"),
                            F.col("minutes").alias("total_time_spent_min"))
     carry = (*attribution.IDS, *attach)
-    latest = attribution.last_touch_per_device(shown, first, "first_open", p.attribution_days, KEYS, carry)
-    firsts = latest.groupBy(day_of("first_open").alias("exposure_day"), *match).agg(
-        F.count("*").alias("exposed_first_app_open_count"))
-
-    per = ["device_id", "country", "segment_id", "visit_time"]
-
-    def visited(rows: DataFrame, signup: str, homepage: str) -> DataFrame:
-        credited = attribution.last_touch(shown, rows, "visit_time", p.attribution_days, KEYS, carry, per)
-        days = credited.withColumn("exposure_day", day_of("visit_time"))
-        return cond_sum(days, ["exposure_day", *match], conversions.by_segment(p, signup, homepage))
-
-    seen = visited(visits, "exposed_page_visits_count_signup", "exposed_page_visits_count_homepage")
-    seen_first = visited(first_visits, "exposed_first_page_visits_count_signup",
-                         "exposed_first_page_visits_count_homepage")
+    # One last-touch pass for first opens, visits and first visits. Of a device's first opens only the
+    # one with the latest exposure counts; every visit is its own group.
+    kind = F.col("kind")
+    kinds = _conversion_kinds(None, first, visits, first_visits)
+    credited = attribution.last_touch(shown, kinds, "conversion_time", p.attribution_days, KEYS, carry)
+    each = F.when(kind != "install", F.struct("segment_id", "conversion_time")).alias("_each")
+    credited = latest_per_key(credited.select("*", each), ["kind", *KEYS, "_each"],
+                              [F.col("exposure_time").desc(), F.col("conversion_time").asc()])
+    tests = {"exposed_first_app_open_count": kind == "install"}
+    for of, stem in (("visit", "exposed_page_visits_count"), ("first_visit", "exposed_first_page_visits_count")):
+        tests |= {n: (kind == of) & test for n, test in conversions.by_segment(p, f"{stem}_signup", f"{stem}_homepage").items()}
+    credits = cond_sum(credited.withColumn("exposure_day", day_of("conversion_time")), ["exposure_day", *match], tests)
 
     stats = delivery.delivery_stats(shown, dims, daily=True)
     rows = stats.join(cmap.select(*dims, *money).distinct(), dims)
     key = ["exposure_day", *match]
-    rows = left_star(rows, [(opened, key), (firsts, key), (seen, key), (seen_first, key)])
+    rows = left_star(rows, [(opened, key), (credits, key)])
     counted = ["exposed_app_open_count", "exposed_first_app_open_count", "exposed_page_visits_count_signup",
                "exposed_first_page_visits_count_signup", "exposed_page_visits_count_homepage",
                "exposed_first_page_visits_count_homepage"]

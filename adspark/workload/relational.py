@@ -13,6 +13,7 @@ from adspark.schemas import conform, schema
 from adspark.sources import map_rows, scan_between_dim, scan_events, split_column
 from adspark.sinks import page_of, report_path, rows_to_append, route, with_placeholder
 from adspark.sinks.export import dated_path
+from adspark.stage import work_dir
 from adspark.workload.registry import query
 from adspark.workload.tables import PARAMS, Source
 
@@ -40,7 +41,11 @@ def scan_window(s: Source):
     SELECT event_type, COUNT(*) AS n FROM events
     WHERE strftime(ts, '%Y%m%d%H') BETWEEN '2024010800' AND '2024011423' GROUP BY event_type""")
 def scan_partition_text(s: Source):
-    rows = s.events.withColumn("partition_hour", T.fmt("ts", "yyyyMMddHH"))
+    # A copy of the events kept by hour: only the folders of the hours wanted are listed and read.
+    folder = f"{work_dir(s.spark)}/events"
+    hourly = s.events.withColumn("partition_hour", T.fmt("ts", "yyyyMMddHH"))
+    hourly.repartition("partition_hour").write.partitionBy("partition_hour").parquet(folder)
+    rows = s.spark.read.schema(hourly.schema).parquet(folder)
     rows = scan_events(rows, datetime(2024, 1, 8), datetime(2024, 1, 14, 23), partition_col="partition_hour",
                        partition_format="%Y%m%d%H")
     return count(rows, "event_type")

@@ -130,3 +130,28 @@ def test_downloads_per_day_add_up(staged):
     total = conversions.downloads_total(staged["first"]).first()["downloads"]
     days = conversions.downloads_daily(staged["first"]).agg(F.coalesce(F.sum("downloads"), F.lit(0))).first()[0]
     assert total == days
+
+
+def test_partitions_are_pruned(spark, source, tmp_path):
+    """Bounds on the partition column reach the scan as partition filters, also those found at run time."""
+    from adspark.plans import mapping
+    from adspark.sources import scan_events
+    plan = plan_of(queries()["scan_partition_text"](spark, FOLDER))
+    assert re.search(r"PartitionFilters: \[[^\]]*partition_hour", plan)
+
+    log, sessions, opens, hardware = (
+        _kept(spark, df, f"{tmp_path}/{n}") for n, df in
+        (("log", source.log), ("sessions", source.sessions), ("opens", source.app_opens), ("hardware", source.hardware)))
+    cmap = mapping.creative_map(source.mapping, P)
+    start = identity.qualified_start(log, cmap, P)
+    plans = [delivery.exposures(log, cmap, P), conversions.app_usage(sessions, source.id_map, source.apps, P),
+             identity.device_universe(hardware, log, opens, source.id_map, P, start)]
+    for df in plans:
+        scans = [s for s in plan_of(df).split("\n") if "FileScan" in s and f"{tmp_path}" in s]
+        assert scans and all(re.search(r"PartitionFilters: \[[^\]]*partition_time", s) for s in scans)
+
+
+def _kept(spark, df, path):
+    """A copy of ``df`` in folders by partition time."""
+    df.repartition("partition_time").write.partitionBy("partition_time").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
