@@ -14,6 +14,7 @@ from adspark.params import ReportParams
 from adspark.schemas import DELIVERY, conform
 from adspark.sources.scan import scan_events
 
+IN_CAMPAIGN = ("campaign_id", "flight_id", "creative_id")
 BY_CREATIVE = ("campaign_id", "flight_id", "creative_id", "country")
 
 # Video progress columns and the tracker names that count for each.
@@ -113,6 +114,19 @@ def impressions_per_device(log: DataFrame, meta: DataFrame, p: ReportParams, by:
     return shown.groupBy(*group).agg(F.count("*").alias("imps"))
 
 
+def creative_impressions_per_device(log: DataFrame, meta: DataFrame, p: ReportParams) -> DataFrame:
+    """Impressions per device and creative of the campaign metadata, for several cuts to share."""
+    shown = _delivered(log, p, ("impression",), p.in_attribution(F.col("partition_time")), keep_dropped=True)
+    shown = in_rel(shown, meta.select(*IN_CAMPAIGN).distinct(), list(IN_CAMPAIGN))
+    return shown.groupBy("country", "device_id", *IN_CAMPAIGN).agg(F.count("*").alias("imps"))
+
+
+def cut_impressions(counts: DataFrame, meta: DataFrame, by: Sequence[str]) -> DataFrame:
+    """These counts by columns of the metadata: the same as :func:`impressions_per_device` with ``by``."""
+    dims = meta.select(*IN_CAMPAIGN, *[c for c in by if c not in IN_CAMPAIGN]).distinct()
+    return inner(counts, dims, list(IN_CAMPAIGN)).groupBy("country", "device_id", *by).agg(F.sum("imps").alias("imps"))
+
+
 def video_counts(seen: DataFrame) -> DataFrame:
     """How far videos played. A step nobody reached is NULL here and 0 in the report."""
     return cond_sum(seen.where(F.col("event") == "tracker"), BY_CREATIVE,

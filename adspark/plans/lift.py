@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -11,6 +11,9 @@ from adspark.functions.time import day_of
 from adspark.operators import touch
 from adspark.operators.relational import (
     attach_scalar, derive, lookup, same_day_keys, union_all, with_const)
+from adspark.params import ReportParams
+from adspark.plans import delivery
+from adspark.stage import stage
 
 MEDIA = ("native", "ctv", "stvp")
 
@@ -61,6 +64,30 @@ def lift(imps: DataFrame, usage: DataFrame, universe_size: DataFrame, by: Sequen
         lift_time_spent=safe_ratio("avg_exposed_hours", "avg_unexposed_hours") - 1)
 
 
+CUTS = {"overall": None, "frequency": None, "placement": "line_item_name", "creative": "creative_id", "flight": "flight_id"}
+
+
+def subscriber_lift(log: DataFrame, meta: DataFrame, matched: DataFrame, universe_size: DataFrame, p: ReportParams,
+                    frequency_cap: int, cuts: Mapping[str, str | None] = CUTS) -> DataFrame:
+    """All cuts of :func:`lift` in one run, as rows of ``cut`` and ``value``.
+
+    Usage, universe and the impressions of each device and creative are staged: the log is read once,
+    and every cut starts from the counts.
+    """
+    counts = stage(delivery.creative_impressions_per_device(log, meta, p))
+    usage, size = stage(matched), stage(universe_size)
+
+    def cut(name: str, column: str | None) -> DataFrame:
+        by = [column] if column else []
+        imps = delivery.cut_impressions(counts, meta, ["order_number", *by])
+        rows = lift(imps, usage, size, by, frequency_cap if name == "frequency" else None)
+        value = "impression_group" if name == "frequency" else column
+        rows = rows.withColumns({"cut": F.lit(name), "value": (F.col(value) if value else F.lit(None)).cast("string")})
+        return rows.drop(value) if value else rows
+
+    return union_all(*[cut(name, column) for name, column in cuts.items()])
+
+
 def daily_exposure(imps: DataFrame, usage: DataFrame, universe_size: DataFrame) -> DataFrame:
     """Per day: reach, users, and users that were shown the campaign the same day."""
     key = ["country", "day"]

@@ -626,6 +626,19 @@ def q_lift_frequency(s: Source):
     return rounded(lift.lift(imps(s), matched(s), identity.universe_size(universe(s)), frequency_cap=20), *RATES)
 
 
+_CUT_SQL = " UNION ALL BY NAME ".join(
+    f"SELECT '{name}' AS cut, CAST({column or 'NULL'} AS VARCHAR) AS value, *{f' EXCLUDE ({column})' if column else ''} FROM ({sql})"
+    for name, column, sql in (
+        ("overall", None, _lift_columns("")), ("frequency", "impression_group", _lift_columns("", "frequency")),
+        *[(name, column, _lift_columns(f", {column}")) for name, column in lift.CUTS.items() if column]))
+
+
+@query("subscriber_lift", _CUT_SQL, *_LIFT_VIEWS)
+def q_subscriber_lift(s: Source):
+    size = identity.universe_size(universe(s))
+    return rounded(lift.subscriber_lift(s.log, s.mapping, matched(s), size, P, frequency_cap=20), *RATES)
+
+
 @query("lift_by_placement", _lift_columns(", line_item_name"), *_LIFT_VIEWS)
 def q_lift_placement(s: Source):
     return rounded(lift.lift(imps(s, "line_item_name"), matched(s), identity.universe_size(universe(s)), ["line_item_name"]), *RATES)
