@@ -20,7 +20,11 @@ def months_back(day: date, months: int) -> date:
 
 @dataclass(frozen=True)
 class ReportParams:
-    """One reporting period. ``countries`` empty means all of them, in one job."""
+    """One reporting period. ``countries`` empty means all of them, in one job.
+
+    ``known_sellers`` are those whose delivery carries resolved device ids; ``own_exchange`` and
+    ``own_seller`` mark our own delivery, which the device universe takes in.
+    """
 
     start: date
     end: date
@@ -33,6 +37,9 @@ class ReportParams:
     signup_segment: int | None = None
     homepage_segment: int | None = None
     min_seconds: int = 60
+    known_sellers: tuple[str, ...] = ()
+    own_exchange: int | None = None
+    own_seller: str | None = None
 
     @property
     def window_start(self) -> datetime:

@@ -10,23 +10,18 @@ from adspark.operators.relational import in_rel, inner, lookup, not_dropped, uni
 from adspark.operators.windows import latest_per_key
 from adspark.params import ReportParams
 
-# Sellers whose delivery carries resolved device ids, and our own exchange and seller.
-KNOWN_SELLERS = ("86", "88", "1", "256027", "237147", "escg8-6k2bc", "amgyk-mxvjr")
-OWN_EXCHANGE = 6
-OWN_SELLER = "86"
 EXTRA_DAYS = 30
 
 
-def qualified_start(delivery: DataFrame, creative_map: DataFrame, p: ReportParams,
-                    sellers=KNOWN_SELLERS) -> DataFrame:
+def qualified_start(delivery: DataFrame, creative_map: DataFrame, p: ReportParams) -> DataFrame:
     """One row: where the universe starts.
 
-    30 days before the report if none of the sellers that delivered is a known one, and also if
+    30 days before the report if none of the sellers that delivered is in ``p.known_sellers``, and also if
     nothing was delivered.
     """
     shown = (delivery.where(p.in_window(F.col("partition_time")) & (F.col("event") == "impression")
                             & p.in_country(F.col("country"))))
-    known = F.coalesce(F.bool_or(F.col("seller_id").isin(*sellers)), F.lit(False))
+    known = F.coalesce(F.bool_or(F.col("seller_id").isin(*p.known_sellers)), F.lit(False))
     start = ts_literal(p.window_start)
     return (in_rel(shown, creative_map.select("campaign_id"), "campaign_id")
             .agg(known.alias("known_seller"))
@@ -51,7 +46,8 @@ def device_universe(hardware: DataFrame, delivery: DataFrame, app_opens: DataFra
     sources = union_distinct(*[seen(df).select("country", "source_id") for df in (hardware, app_opens)])
     mapped = inner(sources, id_map.select("source_id", "device_id"), "source_id").select("country", "device_id")
     own = (not_dropped(seen(delivery)).where(F.col("event") == "impression")
-           .where((F.col("exchange_id") == OWN_EXCHANGE) | (F.col("seller_id") == OWN_SELLER))
+           .where((F.col("exchange_id") == F.lit(p.own_exchange).cast("long"))
+                  | (F.col("seller_id") == F.lit(p.own_seller).cast("string")))
            .select("country", F.coalesce("device_id", first_of("device_ids").cast("long")).alias("device_id")))
     return (union_distinct(mapped, own)
             .where(F.col("device_id").isNotNull()))

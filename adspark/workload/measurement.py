@@ -67,13 +67,13 @@ def q_creative_map(s: Source):
 
 
 @query("campaign_meta", f"""
-    SELECT DISTINCT target_country, advertiser_name, order_number, campaign_id, flight_id, line_item_id, creative_id,
-           rate_type, rate, line_item_start, line_item_end, booked_budget, DATE '2024-01-22' AS report_execution_date
+    SELECT DISTINCT target_country, target_country AS country, order_number, advertiser_id, advertiser_name, order_name, campaign_id,
+           campaign_name, campaign_start, campaign_end, flight_id, flight_name, line_item_start AS flight_start, line_item_end AS flight_end,
+           line_item_id, line_item_name, creative_id, creative_name, rate_type, rate, line_item_start, line_item_end, booked_impressions,
+           booked_budget, 0::DOUBLE AS budget_delivered, DATE '2024-01-22' AS report_execution_date
     FROM mapping WHERE line_item_start < {W1} AND line_item_end >= {W0}""", "mapping")
 def q_campaign_meta(s: Source):
-    return mapping.campaign_meta(s.mapping, P).select(
-        "target_country", "advertiser_name", "order_number", "campaign_id", "flight_id", "line_item_id", "creative_id",
-        "rate_type", "rate", "line_item_start", "line_item_end", "booked_budget", "report_execution_date")
+    return mapping.campaign_meta(s.mapping, P)
 
 
 @query("qualified_start", "SELECT known_seller, universe_start FROM qualifier", "qualifier")

@@ -20,10 +20,13 @@ from adspark.plans.reports import Tables
 from adspark.schemas import (
     APP_OPENS, CREATIVE_MAPPING, DELIVERY, HARDWARE, REGIONAL_EXPOSURE, REGIONAL_USAGE, SESSIONS, conform)
 
+# Sellers with resolved device ids, and the own exchange and seller.
+SELLERS = {"known_sellers": ("86", "88", "1", "256027", "237147", "escg8-6k2bc", "amgyk-mxvjr"), "own_exchange": 6,
+           "own_seller": "86"}
 PARAMS = ReportParams(
     start=date(2024, 1, 8), end=date(2024, 1, 14), attribution_days=7, lookback_months=1,
     page_lookback_days=7, app_name="app_0", run_date=date(2024, 1, 22), signup_segment=0,
-    homepage_segment=1)
+    homepage_segment=1, **SELLERS)
 ORDER_RUN = date(2001, 6, 1)
 MAP_RUN = date(2024, 2, 1)
 EPOCH_DAY = "2024-01-01 00:00:00"

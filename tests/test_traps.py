@@ -14,9 +14,10 @@ from adspark.plans import attribution, audience, conversions, delivery, finance,
 from adspark.schemas import DELIVERY, conform
 from adspark.sinks import report_path
 from adspark.sources import numbers, one_row
+from adspark.workload.tables import SELLERS
 
 P = ReportParams(date(2024, 1, 8), date(2024, 1, 14), lookback_months=1, page_lookback_days=7,
-                 run_date=date(2024, 1, 22), signup_segment=0, homepage_segment=1)
+                 run_date=date(2024, 1, 22), signup_segment=0, homepage_segment=1, **SELLERS)
 
 
 def log(make, ddl: str, *rows):
