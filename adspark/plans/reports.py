@@ -1,7 +1,8 @@
 """Reports: the weekly partner report and the creative, download, campaign and time tables.
 
-Aggregates are joined to a spine of campaign rows. Both are small next to the logs; the logs are
-each read once per kind of row. Steps read by several aggregates are staged.
+Aggregates are joined to a spine of campaign rows. Both are small next to the logs. Steps read by
+several aggregates are staged. The weekly report reads the delivery log once; those with a device
+universe read it for the seller test, for the universe and for the exposures.
 """
 
 from __future__ import annotations
