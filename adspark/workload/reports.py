@@ -279,7 +279,7 @@ _WEEKLY = f"""
       round(CASE WHEN rate_type = 'CPM' THEN COALESCE(i.n, 0)::DOUBLE / 1000 * rate WHEN rate_type = 'Flat Rate' THEN booked_budget END, 6) AS budget_delivered,
       COALESCE(k.n, 0) AS clicks, round(CASE WHEN COALESCE(i.n, 0) = 0 THEN 0 ELSE COALESCE(k.n, 0)::DOUBLE / i.n END, 6) AS ctr,
       round(CASE WHEN COALESCE(k.n, 0) = 0 THEN 0 ELSE CASE WHEN rate_type = 'CPM' THEN COALESCE(i.n, 0)::DOUBLE / 1000 * rate ELSE booked_budget END / k.n END, 6) AS cpc,
-      COALESCE(i.reach, 0) AS reach, round(CASE WHEN COALESCE(i.n, 0) = 0 THEN 0 ELSE i.n::DOUBLE / i.reach END, 6) AS frequency,
+      COALESCE(i.reach, 0) AS reach, round(CASE WHEN COALESCE(i.n, 0) = 0 THEN 0 ELSE i.n::DOUBLE / NULLIF(i.reach, 0) END, 6) AS frequency,
       ins.installs, round(o.minutes, 6) AS average_exposed_time_spent_minutes, COALESCE(v.video_start, 0) AS video_start, COALESCE(v.video_25, 0) AS video_25,
       COALESCE(v.video_50, 0) AS video_50, COALESCE(v.video_75, 0) AS video_75, COALESCE(v.video_completions, 0) AS video_completions,
       o.openers AS total_exposed_app_openers, o.n AS total_exposed_app_opens, e.n AS first_time_exposed_app_opens,
