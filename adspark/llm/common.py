@@ -14,7 +14,7 @@ from pathlib import Path
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import SparkContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 #: Rows in an Arrow batch. Texts may be long, so batches are far below Spark's default.
@@ -50,6 +50,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def digest(text: Column) -> Column:
+    """SHA-256 of a text, null as empty. Rows with equal doc_id and digest are one document; neither alone tells rows apart."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
+
+
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of few rows, so that long texts don't fill a Python worker; and this package for the workers."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

@@ -12,6 +12,7 @@ fingerprints lie within two bits just if they list one in common, so linking mem
 
 Null texts count as empty. Documents without words have fingerprint zero and are linked like others. Rows with equal doc_id each
 get a row. A null doc_id is kept; it never names a component unless no document of it has an id. Columns besides doc_id and text are ignored.
+Groups with one component_id (texts that share an id, groups without ids) stay apart: the stage keeps a document of each.
 """
 
 from __future__ import annotations
@@ -25,13 +26,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from adspark.llm.common import components, keep, map_arrow, pieces, table
+from adspark.llm.common import components, digest, keep, map_arrow, pieces, table
 from adspark.llm.words import Words
 
 SEED, SHINGLE, BITS, MOST = 42, 3, 64, 2
 GROUPS, BUCKET, RANDOM_PIVOTS = 6, 64, 8
 #: Shingles whose bits are counted at once.
 AT_ONCE = 1 << 17
+#: A column of the stage that no table of documents has.
+DIGEST = "__digest"
 
 
 def _signed(x: int) -> int:
@@ -79,16 +82,18 @@ def fingerprint_arrays(column: pa.Array) -> np.ndarray:
     return np.packbits(set_bits, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, *digests: Column) -> DataFrame:
+    """doc_id and fp, the fingerprint as a signed long; and the digest of the text if it is given."""
+    also = ["digest"] * len(digests)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
                 fp = fingerprint_arrays(part.column("text")).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fp), *map(part.column, also)], ["doc_id", "fp", *also])
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, fp long")
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[x.alias("digest") for x in digests]), run,
+                     ", ".join(["doc_id long", "fp long", *[f"{c} binary" for c in also]]))
 
 
 def distance(fp: Column, pivot: int) -> Column:
@@ -140,13 +145,17 @@ def links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
     return pairs.unionByName(around.join(common, "b").select("a", "b"))
 
 
+def _rooted(fps: DataFrame) -> DataFrame:
+    """The rows of ``fps``, one for each fingerprint ``fp``, with the smallest fingerprint of its group as ``root``."""
+    roots = components(links(fps.select("fp")), "a", "b")
+    return keep(fps.join(roots, F.col("fp") == F.col("node"), "left").select(*fps.columns, F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id, the smallest doc_id reachable over links."""
     each = keep(fingerprints(docs))
     fps = keep(each.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    roots = components(links(fps.select("fp")), "a", "b")
-    rooted = keep(fps.join(roots, F.col("fp") == F.col("node"), "left")
-                  .select("fp", "low", F.coalesce("root", "fp").alias("root")))
+    rooted = _rooted(fps)
     lowest = keep(rooted.groupBy("root").agg(F.min("low").alias("component_id")))
     named = keep(rooted.join(lowest, "root").select("fp", "component_id"))
     return each.join(named, "fp").select(
@@ -158,7 +167,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest doc_id; of rows with one id, any one."""
-    kept = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates(["doc_id"])
+    """One document of each group stays: the smallest doc_id, null last, then the smallest digest of its text; of rows equal in both, any one."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest"))
+    fps = keep(fingerprints(docs, digest(F.col("text"))).groupBy("fp").agg(first.alias("first")))
+    kept = keep(_rooted(fps).groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.digest"))
+    docs = docs.withColumn(DIGEST, digest(F.col("text")))
+    same = docs["doc_id"].eqNullSafe(kept["doc_id"]) & (docs[DIGEST] == kept["digest"])
+    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", DIGEST]).drop(DIGEST)

@@ -95,6 +95,15 @@ def test_simhash_keeps_one_of_each_group(spark):
     assert sorted(x.doc_id for x in kept.collect()) == sorted(groups)
 
 
+def test_simhash_stage_keeps_groups_whose_documents_share_an_id_or_have_none(spark):
+    r = random.Random(5)
+    a, b, c, d = (" ".join(f"w{r.randrange(10**6)}" for _ in range(60)) for _ in range(4))
+    rows = [(0, b), (1, b), (1, a), (None, b), (None, c), (None, c), (None, d), (None, None), (None, ""), (7, c + " " + d), (7, d + " " + a)]
+    kept = simhash.stage(spark, frame(spark, rows), "").collect()
+    want = [(0, b), (1, a), (None, c), (None, d), (None, ""), (7, c + " " + d), (7, d + " " + a)]
+    assert sorted(((x.doc_id, x.text or "") for x in kept), key=str) == sorted(want, key=str)
+
+
 def test_empty_tables(spark):
     none = frame(spark, rows=[])
     assert simhash.near_duplicates(none).collect() == []
