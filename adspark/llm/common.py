@@ -55,6 +55,12 @@ def digest(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
 
 
+def without(docs: DataFrame, bad: DataFrame) -> DataFrame:
+    """The rows of ``docs`` but those whose doc_id and digest of the text are a row ``doc_id``, ``digest`` of ``bad``."""
+    bad = keep(bad.select("doc_id", "digest").distinct())
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]) & (digest(docs["text"]) == bad["digest"]), "left_anti")
+
+
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches of few rows, so that long texts don't fill a Python worker; and this package for the workers."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from adspark.llm.common import keep, map_arrow, pieces, table
+from adspark.llm.common import digest, keep, map_arrow, pieces, table, without
 from adspark.llm.words import Words, gram, sums
 
 WINDOW, SHINGLE, MAP_BITS = 13, 3, 1 << 24
@@ -60,7 +60,8 @@ def _bit_map(windows: DataFrame) -> tuple[np.ndarray, dict[int, int]]:
 
 
 def _runs(spark: SparkSession, docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """doc_id, n_words and the runs of words that can hold windows."""
+    """n_words and the runs of words that can hold windows, and the columns of ``docs`` but the text."""
+    also = [c for c in docs.columns if c != "text"]
     bits, shortest = _bit_map(windows)
     shared = spark.sparkContext.broadcast(bits)  # MAP_BITS / 8 bytes
 
@@ -91,17 +92,17 @@ def _runs(spark: SparkSession, docs: DataFrame, windows: DataFrame) -> DataFrame
                                          "keys": key[lo:lo + k].view(np.int64).tolist()})
                 kind = pa.list_(pa.struct([("size", pa.int32()), ("start", pa.int32()), ("words", pa.list_(pa.string())), ("keys", pa.list_(pa.int64()))]))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(w.count.astype(np.int64)), pa.array(found, kind)], ["doc_id", "n_words", "runs"])
+                    [*map(part.column, also), pa.array(w.count.astype(np.int64)), pa.array(found, kind)], [*also, "n_words", "runs"])
 
-    return map_arrow(docs, run, f"doc_id long, n_words long, runs {RUN}")
+    return map_arrow(docs, run, ", ".join([*[f"{c} {docs.schema[c].dataType.simpleString()}" for c in also], "n_words long", f"runs {RUN}"]))
 
 
-def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated for each row of ``docs``."""
+def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *also: str) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and the columns ``also`` for each row of ``docs``."""
     items = keep(map_arrow(benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text"), _item_windows,
                            "item_id long, window string, width int, size int, keys array<long>"))
     windows = items.select("window", "width", "size", "keys").dropDuplicates(["window"])
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *also)
     each = keep(_runs(spark, docs, items).withColumn("row", F.monotonically_increasing_id()))
     runs = each.select("row", F.explode("runs").alias("r")).select("row", "r.*")
     places = runs.select("row", F.col("start").alias("run"), "size", F.size("words").alias("run_words"), F.posexplode("keys").alias("at", "key"))
@@ -130,10 +131,10 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
     listed = (equal.select("row", "window").distinct().join(of, "window").select("row", "item").distinct()
               .groupBy("row").agg(F.sort_array(F.collect_set("item")).alias("items")))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return (each.select("row", "doc_id", "n_words").join(hits, "row", "left").join(listed, "row", "left")
+    return (each.select("row", "doc_id", "n_words", *also).join(hits, "row", "left").join(listed, "row", "left")
             .select("doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
                     F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
-                    ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated")))
+                    ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"), *also))
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,10 +142,9 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated documents go; documents that share an id go together."""
-    bad = contamination(spark, docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(F.col("doc_id").alias("bad_id")).distinct()
-    bad = keep(bad)
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("bad_id")), "left_anti")
+    """Contaminated documents go, each row by its own text."""
+    found = contamination(spark, docs.select("doc_id", "text", digest(F.col("text")).alias("digest")), table(spark, sf_dir, "benchmark"), "digest")
+    return without(docs, found.where("contaminated"))
 
 
 SQL = r"""

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from adspark.llm.common import keep, map_arrow, pieces, table
+from adspark.llm.common import digest, keep, map_arrow, pieces, table, without
 from adspark.llm.words import Words
 
 BUCKETS, SAMPLE, PRIOR, SIGNIFICANT, DRIFT, THRESHOLD, E_VALUE = 1 << 20, 50_000, 2_000.0, 4.0, 0.5, 0.3, 0.05
@@ -139,6 +139,8 @@ def segments(s: np.ndarray) -> list[tuple[int, int, float]]:
 
 
 def _segments(docs: DataFrame, weight: np.ndarray) -> DataFrame:
+    """n_words and segments, and the columns of ``docs`` but the text."""
+    also = [c for c in docs.columns if c != "text"]
     shared = docs.sparkSession.sparkContext.broadcast(weight)  # BUCKETS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,9 +156,9 @@ def _segments(docs: DataFrame, weight: np.ndarray) -> DataFrame:
                 for r in hot.tolist():
                     found[r] = [{"start": a, "end": b, "score": x} for a, b, x in segments(s[w.first[r]:w.first[r + 1]])]
                 kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(w.count), pa.array(found, kind)], ["doc_id", "n_words", "segments"])
+                yield pa.RecordBatch.from_arrays([*map(part.column, also), pa.array(w.count), pa.array(found, kind)], [*also, "n_words", "segments"])
 
-    return map_arrow(docs, run, f"doc_id long, n_words long, segments {SEGMENTS}")
+    return map_arrow(docs, run, ", ".join([*[f"{c} {docs.schema[c].dataType.simpleString()}" for c in also], "n_words long", f"segments {SEGMENTS}"]))
 
 
 def _features(found: DataFrame, scale: float, k: float) -> DataFrame:
@@ -188,9 +190,9 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30)
     return beta
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted, n_words and passages (significant segments) for each row of ``docs``."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def toxicity(docs: DataFrame, labels: DataFrame, *also: str) -> DataFrame:
+    """doc_id, held_out, score, predicted, n_words, passages (significant segments) and the columns ``also`` for each row of ``docs``."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *also)
     ids, toxic = _sample(labels)
     trained = toxic.any() and not toxic.all()
     weight, scale = _weights(_counts(docs, ids, toxic)) if trained else (np.full(BUCKETS, -DRIFT), 1.0)
@@ -214,7 +216,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     score = 1 / (1 + F.exp(-F.greatest(F.least(line, F.lit(30.0)), F.lit(-30.0)))) if trained else F.lit(0.0)
     return (_features(found, scale, k).withColumn("score", score)
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
-                    (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "n_words", "passages"))
+                    (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "n_words", "passages", *also))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,6 +225,6 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are predicted toxic go; documents that share an id go together."""
-    bad = keep(toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 1").select(F.col("doc_id").alias("bad_id")).distinct())
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("bad_id")), "left_anti")
+    """Documents that are predicted toxic go, each row by its own text."""
+    found = toxicity(docs.select("doc_id", "text", digest(F.col("text")).alias("digest")), table(spark, sf_dir, "labels"), "digest")
+    return without(docs, found.where("predicted = 1"))

@@ -12,7 +12,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from adspark.llm import huffman, private, sentences, toxicity
+from adspark.llm import contamination, huffman, private, sentences, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, ids string, start string"
 ODD = [None, "", "   ", "a", "<|endoftext|> don't <|x", "it's WE'LL o'clock''s 'S", "é́x …, a≠b ≠ ≠", "İstanbul ΣΑΣ ﬁ ① x²", "日本語 text nb em",
@@ -254,3 +254,17 @@ def test_pipeline_stages(spark, tmp_path):
     assert set(got) == groups - {1200}
     assert all(k < 1000 or k >= 1100 for k in got if k is not None)
     assert 1102 not in got or got[1102].startswith("write to [EMAIL] ")
+
+
+def test_filters_judge_each_row_by_its_own_text(spark, tmp_path):
+    rows, labels = labelled(6)
+    vile, bench = " ".join(f"vile{k}" for k in range(30)), " ".join(f"bench{k}" for k in range(30))
+    clean = [rows[k][1] for k, y in labels if not y][:3]
+    folder = str(tmp_path)
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(folder + "/labels.parquet")
+    spark.createDataFrame([(7, bench)], "item_id long, text string").write.parquet(folder + "/benchmark.parquet")
+    extra = lambda bad: [(None, bad), (None, clean[0]), (None, None), (9000, bad), (9000, clean[1]), (9001, bad), (9002, clean[2]), (9002, clean[2])]
+    want = [(None, clean[0]), (None, None), (9000, clean[1]), (9002, clean[2]), (9002, clean[2])]
+    for stage, bad in ((toxicity.stage, vile), (contamination.stage, bench)):
+        kept = stage(spark, frame(spark, rows + extra(bad)), folder).collect()
+        assert sorted(((x.doc_id, x.text) for x in kept if x.doc_id is None or x.doc_id >= 9000), key=str) == sorted(want, key=str)
