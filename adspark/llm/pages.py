@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from adspark.llm.common import map_arrow, table
 
 SAMPLE, ACCEPT, RIDGE = 2_000, 0.5, 1.0
-TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>"']|"[^"]{0,10000}+"|'[^']{0,10000}+')*+)>|<[!?/][^>]*+>?|<[a-zA-Z][^>]*+>""", re.S)
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)|<[!?/][^>]*+>?""", re.S)
+MARK = re.compile(r"""[>"']""")
 ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 # Elements of HTML by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,6 +45,25 @@ BAD_WORDS = re.compile(r"(?i)\b(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\
 GOOD_WORDS = re.compile(r"(?i)\b(?:article|content|main|post|entry|story|body|text|prose)\b")
 
 
+def tag_end(html: str, at: int, dead: set[int]) -> int:
+    """Where the > is that ends the tag whose name ends at ``at``, outside quoted values of any length; the first one if a quote stays open, -1 if there is none.
+
+    ``dead`` holds the places from which no such > follows; a later tag stops there, so that a page is scanned in linear time.
+    """
+    seen, k = [], at
+    while k >= 0 and k not in dead:
+        seen.append(k)
+        m = MARK.search(html, k)
+        if m is None:
+            break
+        if m[0] == ">":
+            return m.start()
+        close = html.find(m[0], m.end())
+        k = close + 1 if close >= 0 else -1
+    dead.update(seen)
+    return html.find(">", at)
+
+
 class Page:
     """Block elements of a page (parent before child) and its runs of text in order."""
 
@@ -81,7 +100,7 @@ class Page:
                 if in_link:
                     self.links[block] += len(s)
 
-        size = len(html)
+        size, last, dead = len(html), html.rfind(">"), set()
         while at < size:
             m = TOKEN.search(html, at)
             block = stack[-1][1]
@@ -94,6 +113,11 @@ class Page:
             tag = (m["tag"] or "").lower()
             if not tag:
                 continue
+            end = tag_end(html, at, dead) if at <= last else -1
+            if end < 0:
+                found(m[0], block)
+                continue
+            rest, at = html[at:end], end + 1
             if m["close"]:
                 depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
                 if depth:
@@ -107,7 +131,7 @@ class Page:
             if tag in INLINE:
                 if tag == "br":
                     parts.append(" ")
-                elif tag not in VOID and not m["rest"].endswith("/"):
+                elif tag not in VOID and not rest.endswith("/"):
                     stack.append((tag, block))
                     in_link += tag == "a"
                 continue
@@ -123,13 +147,13 @@ class Page:
             new = len(self.tag)
             self.tag.append(tag)
             self.parent.append(block)
-            self.words.append(" ".join(v.strip("\"'") for _, v in ATTRIBUTE.findall(m["rest"])) if m["rest"] else "")
+            self.words.append(" ".join(v.strip("\"'") for _, v in ATTRIBUTE.findall(rest)) if rest else "")
             self.hidden.append(self.hidden[block] or tag in HIDDEN)
             self.links.append(0)
             if tag in RAW:
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(html, at)
                 at = end.end() if end else size
-            elif tag not in VOID and not (m["rest"].endswith("/") and tag in ("svg", "math", "path")):
+            elif tag not in VOID and not (rest.endswith("/") and tag in ("svg", "math", "path")):
                 stack.append((tag, new))
         run(stack[-1][1])
 

@@ -98,6 +98,13 @@ def test_pages_of_other_layouts():
     assert text == "A long text, with commas. And sentences that read well.\n\nAnother paragraph, long enough again. Yes."
 
 
+def test_attribute_values_of_any_length():
+    long = 'x > "' * 4000
+    page = pages.Page(f"<body><aside data-x='{long}'>Also read this.</aside><script data-x='{long}'>var code;</script><div><div class=a data-x='{long}'>In.</div></div><p b=\">Open.</p></body>")
+    assert page.tag[1:] == ["body", "aside", "script", "div", "div", "p"] and page.words[5] == "a"
+    assert list(zip(page.node, page.text)) == [(2, "Also read this."), (5, "In."), (6, "Open.")]
+
+
 def test_marginals_are_exact():
     r = np.random.default_rng(2)
     for _ in range(20):
