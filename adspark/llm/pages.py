@@ -7,7 +7,8 @@ content with ``ACCEPT`` or more are kept, in page order.
 
 Both kinds of potentials are trained on labelled pages: a bounded sample of ``SAMPLE`` pages by hash of page_id, labelled by the
 elements that HTML gives a meaning (article or main against nav, aside, footer, form, notices and comments), from a Gaussian prior
-that holds what such elements and class words mean. Pages without article and main teach nothing. Elements whose text is never shown (scripts, styles, head, templates) are never content. Null html counts as empty
+that holds what such elements and class words mean. Pages without article and main teach nothing. Elements whose text is never shown (scripts, styles, head, templates) are never content. Text outside all elements belongs to a body of its own, and what follows
+</body> or </html> to the open element, as in browsers. Null html counts as empty
 and gives an empty text. Rows that share a page_id are independent. Other columns are ignored. Pages are read whole; parsing is linear.
 """
 
@@ -38,7 +39,7 @@ SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr
 SCOPES = frozenset("ul ol dl table body html article section div nav aside main form footer header blockquote".split())
 TAGS = ("html", "body", "article", "main", "section", "div", "p", "h1", "h2", "h3", "h4", "li", "ul", "ol", "table", "tr", "td", "th", "blockquote", "pre", "dl", "dt", "dd",
         "figure", "figcaption", "nav", "aside", "header", "footer", "form", "hr", "details", "address", "fieldset", "menu", "center")
-OUTER = frozenset({"#page", "html", "body"})
+OUTER = frozenset({"#page", "#body", "html", "body"})
 GOOD, BAD = frozenset({"article", "main"}), frozenset({"nav", "aside", "footer", "form", "menu", "fieldset"})
 BAD_WORDS = re.compile(r"(?i)\b(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu|sidebar|side|footer|header|masthead|breadcrumbs?|comments?|replies|disqus|cookies?|consent|notice|alert|"
                        r"popup|modal|newsletter|subscribe|signup|share|sharing|social|related|recommend\w*|widget|toolbar|pager|pagination|login|search)\b")
@@ -94,6 +95,11 @@ class Page:
             del stack[depth:]
 
         def found(tag: str, block: int) -> None:
+            if not block and not tag.isspace():  # text outside all blocks: a body holds it and what follows
+                block = len(self.tag)
+                for values, value in ((self.tag, "#body"), (self.parent, 0), (self.words, ""), (self.hidden, False), (self.links, 0)):
+                    values.append(value)
+                stack[:] = [stack[0], ("#body", block), *((t, block) for t, _ in stack[1:])]
             if not self.hidden[block]:
                 s = unescape(tag)
                 parts.append(s)
@@ -119,6 +125,8 @@ class Page:
                 continue
             rest, at = html[at:end], end + 1
             if m["close"]:
+                if tag in ("html", "body"):
+                    continue
                 depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
                 if depth:
                     if tag in INLINE:

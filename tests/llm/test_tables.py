@@ -105,6 +105,17 @@ def test_attribute_values_of_any_length():
     assert list(zip(page.node, page.text)) == [(2, "Also read this."), (5, "In."), (6, "Open.")]
 
 
+def test_text_outside_all_elements():
+    beta, pair = pages.train([pages.Page(PAGE.format(more="<p>More, and more.</p>" * k)) for k in range(20)])
+    text = "A plain page, with sentences. And one more, that reads well."
+    for model in ((beta, pair), pages.train([])):
+        assert pages.main_text(pages.Page(text), *model) == text
+        assert pages.main_text(pages.Page(f"<b>{text[:20]}</b>{text[20:]}<br><i>The end.</i>"), *model) == text + " The end."
+    page = pages.Page(f"<html><body><p>In, here.</p></body></html>{text}")
+    assert [page.tag[k] for k in page.node] == ["p", "body"] and page.text[1] == text
+    assert pages.main_text(page, *pages.train([])).endswith(text)
+
+
 def test_marginals_are_exact():
     r = np.random.default_rng(2)
     for _ in range(20):
