@@ -43,7 +43,7 @@ def capture_key(url: str, page: str) -> str:
     """com,example)/path?query, a space, and the page."""
     m = re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?([^#]*)", url)
     host, rest = (m[1].lower().removeprefix("www."), m[2] or "/") if m else ("", url.split("#")[0])
-    return f"{','.join(reversed(host.split('.')))}){clean(rest)} {page}"
+    return f"{clean(','.join(reversed(host.split('.'))))}){clean(rest)} {page}"
 
 
 def clean(s: str) -> str:

@@ -156,6 +156,15 @@ def test_archives(spark, monkeypatch):
     assert archive.capture_key("https://u@www.b.A.org:8/x?y#z", "3") == "org,a,b)/x?y 3"
 
 
+def test_archives_of_hosts_with_tabs_and_newlines(spark):
+    urls = ["http://a\nb/", "http://a\tb.org/x", "http://\n.a/", "http://a.org/", "http://b\r.org/\n"]
+    df = spark.createDataFrame([(k, u, f"text {k}") for k, u in enumerate(urls)], "page_id long, url string, html string")
+    warc, cdx = scratch(spark), scratch(spark)
+    shards = archive.write_index(archive.write_archives(df, warc), cdx, 2)
+    assert sorted(x[0] for x in archive.read_pages(df, warc, cdx, shards).collect()) == [0, 1, 2, 3, 4]
+    assert archive.capture_key("http://a\nb.Org/", "3") == "org,a%0Ab)/ 3"
+
+
 def test_no_pages(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     warc, cdx = scratch(spark), scratch(spark)
