@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from adspark.llm import archive, contamination, embeddings, huffman, pages, private, sentences, simhash, substrings, toxicity
+from adspark.llm import archive, chat, contamination, embeddings, huffman, pages, private, sentences, simhash, substrings, toxicity
 
 QUERIES = {f.__name__: f for f in (
     huffman.op1_token_ids,
@@ -15,10 +15,12 @@ QUERIES = {f.__name__: f for f in (
     archive.op8_warc,
     sentences.op9_sentencepiece,
     simhash.op10_simhash_near_dedup,
+    chat.op13_chat_formatting,
 )}
 SQL = {
     "op2_embedding_near_dedup": embeddings.SQL,
     "op3_benchmark_decontamination": contamination.SQL,
     "op5_substring_dedup": substrings.SQL,
     "op8_warc": archive.SQL,
+    "op13_chat_formatting": chat.SQL,
 }
