@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 import tempfile
@@ -96,6 +97,34 @@ def pieces(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
         yield batch.slice(start)
 
 
+def joined_sha256(pieces: DataFrame, key: str, order: list[str], piece: str, glue: str) -> DataFrame:
+    """``key`` and sha256 (hexadecimal) of its pieces of text in ``order``, joined by ``glue``; null pieces add nothing.
+
+    Such a digest is serial by definition. The pieces of a key stream through one task, of which it holds one batch.
+    """
+    kind = dict(pieces.dtypes)[key]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, state, empty = None, None, True
+        for batch in batches:
+            names, found = [], []
+            for at, text in zip(batch.column(key).to_pylist(), batch.column(piece).to_pylist()):
+                if state is None or at != name:
+                    if state is not None:
+                        names.append(name)
+                        found.append(state.hexdigest())
+                    name, state, empty = at, hashlib.sha256(), True
+                if text is not None:
+                    state.update((text if empty else glue + text).encode())
+                    empty = False
+            yield pa.RecordBatch.from_arrays([pa.array(names, batch.schema.field(key).type), pa.array(found, pa.string())], [key, "sha256"])
+        if state is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([name], batch.schema.field(key).type), pa.array([state.hexdigest()])], [key, "sha256"])
+
+    ordered = pieces.select(key, *order, piece).repartition(key).sortWithinPartitions(key, *order)
+    return map_arrow(ordered, run, f"{key} {kind}, sha256 string")
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """``node, root`` for every node of an edge that isn't its component's smallest node.
 

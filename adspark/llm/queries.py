@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from adspark.llm import archive, chat, contamination, embeddings, huffman, pages, private, repair, sentences, simhash, substrings, toxicity
+from adspark.llm import archive, chat, contamination, embeddings, huffman, pages, private, repair, sentences, simhash, substrings, toxicity, trie
 
 QUERIES = {f.__name__: f for f in (
     huffman.op1_token_ids,
@@ -15,6 +15,7 @@ QUERIES = {f.__name__: f for f in (
     archive.op8_warc,
     sentences.op9_sentencepiece,
     simhash.op10_simhash_near_dedup,
+    trie.op11_prefix_trie,
     repair.op12_structure_repair,
     chat.op13_chat_formatting,
 )}
@@ -23,6 +24,7 @@ SQL = {
     "op3_benchmark_decontamination": contamination.SQL,
     "op5_substring_dedup": substrings.SQL,
     "op8_warc": archive.SQL,
+    "op11_prefix_trie": trie.SQL,
     "op12_structure_repair": repair.SQL,
     "op13_chat_formatting": chat.SQL,
 }

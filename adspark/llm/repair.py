@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from adspark.llm.common import keep, map_arrow, table
+from adspark.llm.common import joined_sha256, keep, map_arrow, table
 
 KEEP, REROLE, DELETE, INSERT, CUT = 0, 1, 2, 5, 5
 START, S, U, A = range(4)
@@ -319,8 +319,8 @@ def _edits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for x in batch.to_pylist():
             audit, kept, _ = costs.trace(_codes(x["codes"]), tuple(x["used"]), x["state"], x["last"])
-            yield _batch([{"conv_id": x["conv_id"], "chunk": x["chunk"], "audit": audit, "kept": len(kept), "repaired": written(kept, x["roles"], x["texts"])}],
-                         pa.schema([("conv_id", pa.int64()), ("chunk", pa.int64()), ("audit", pa.string()), ("kept", pa.int64()), ("repaired", pa.string())]))
+            yield _batch([{"conv_id": x["conv_id"], "chunk": x["chunk"], "audit": audit, "repaired": written(kept, x["roles"], x["texts"]) if kept else None}],
+                         pa.schema([("conv_id", pa.int64()), ("chunk", pa.int64()), ("audit", pa.string()), ("repaired", pa.string())]))
 
 
 FOLDED = pa.schema([("conv_id", pa.int64()), ("chunk", pa.int64()), ("state", pa.int64()), ("total", pa.bool_()),
@@ -358,25 +358,6 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch([total()], FOLDED)
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ordered pieces of text of each conversation: the SHA-256 of them joined by new lines; chunks of which nothing stays add none."""
-    schema = pa.schema([("conv_id", pa.int64()), ("repaired_sha256", pa.string())])
-    name, begun, state, empty = None, False, None, True
-    for batch in batches:
-        out = []
-        for conv, kept, text in zip(*[batch.column(k).to_pylist() for k in ("conv_id", "kept", "repaired")]):
-            if not begun or conv != name:
-                if begun:
-                    out.append({"conv_id": name, "repaired_sha256": state.hexdigest()})
-                name, begun, state, empty = conv, True, hashlib.sha256(), True
-            if kept:
-                state.update((text if empty else "\n" + text).encode())
-                empty = False
-        yield _batch(out, schema)
-    if begun:
-        yield _batch([{"conv_id": name, "repaired_sha256": state.hexdigest()}], schema)
-
-
 def _same(a: DataFrame, b: DataFrame, *names: str) -> tuple[DataFrame, Column]:
     """``b`` with other names, and the condition that the columns ``names`` are equal, null being equal to null."""
     other = b
@@ -411,9 +392,8 @@ def _long(chunks: DataFrame) -> DataFrame:
     ready = keep(solved.select("conv_id", "chunk", "last", "codes", "used").join(other, same).drop("_conv_id", "_chunk"))
     other, same = _same(numbered, ready, "conv_id", "chunk")
     edits = keep(map_arrow(numbered.select("conv_id", "chunk", "roles", "texts").join(other, same).select(
-        "conv_id", "chunk", "last", "codes", "used", "state", "roles", "texts"), _edits, "conv_id long, chunk long, audit string, kept long, repaired string"))
-    digests = map_arrow(edits.select("conv_id", "chunk", "kept", "repaired").repartition("conv_id").sortWithinPartitions("conv_id", "chunk"), _digests,
-                        "conv_id long, repaired_sha256 string")
+        "conv_id", "chunk", "last", "codes", "used", "state", "roles", "texts"), _edits, "conv_id long, chunk long, audit string, repaired string"))
+    digests = joined_sha256(edits, "conv_id", ["chunk"], "repaired", "\n").withColumnRenamed("sha256", "repaired_sha256")
     audits = edits.groupBy("conv_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "audit"))), lambda x: x["audit"]), "").alias("audit"))
     other, same = _same(audits, digests, "conv_id")
     both = audits.join(other, same).drop("_conv_id")

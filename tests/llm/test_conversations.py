@@ -8,7 +8,7 @@ import re
 import zlib
 from functools import lru_cache
 
-from adspark.llm import repair
+from adspark.llm import chat, repair, trie
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 WHITE = " \t\n\v\f\r"
@@ -123,3 +123,91 @@ def test_costs_that_do_not_converge_pass_on_from_chunk_to_chunk(spark):
     rows = [(1, k, "user" if k % 2 else "assistant", f"Line {k}.") for k in range(300)]
     got = repair.repair(spark.createDataFrame(rows, SCHEMA), 10).collect()
     assert [tuple(x) for x in got] == [(1, *repair_brute(rows))]
+
+
+def rebuilt_brute(rows):
+    """Rebuilt turns of each conversation."""
+    own = {}
+    for c, t, role, text in rows:
+        if c is not None:
+            own.setdefault(c, []).append((t is not None, t or 0, sha(f"{len(role or '')}:{role or ''}{text or ''}")[:32], role or "", text or ""))
+    turns = {c: [x[3:] for x in sorted(xs)] for c, xs in own.items()}
+    out = {}
+    for c, mine in turns.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        base = c - (c % 100 if c >= 0 else -(-c % 100))
+        out[c] = turns.get(base, [])[:h] + mine[h:]
+    return out
+
+
+def trie_brute(turns):
+    members = {}
+    for c, t in turns.items():
+        for d in range(len(t) + 1):
+            members.setdefault(tuple(t[:d]), []).append(c)
+    kids, leaves, saved = {}, {}, {}
+    for p in sorted(members, key=len, reverse=True):
+        kids.setdefault(p, 0)
+        leaves[p] = leaves.get(p, 0) or 1
+        saved[p] = saved.get(p, 0) + ((len(members[p]) - 1) * len(p[-1][1]) if p else 0)
+        if p:
+            up = p[:-1]
+            kids[up] = kids.get(up, 0) + 1
+            leaves[up] = leaves.get(up, 0) + leaves[p]
+            saved[up] = saved.get(up, 0) + saved[p]
+    return sorted(((min(m), len(p), min(members[p[:-1]]) if p else None, len(m), kids[p], leaves[p], saved[p],
+                    sha(",".join(map(str, sorted(c for c in m if len(turns[c]) == len(p)))))) for p, m in members.items()), key=str)
+
+
+def test_trie_of_rebuilt_conversations(spark, tmp_path):
+    rows = some_rows(4, [*range(-130, 330, 3), 0, 100, 200, None, 10**12], 9)
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = trie.op11_prefix_trie(spark, str(tmp_path))
+    assert got.columns == trie.RESULT
+    assert sorted(map(tuple, got.collect()), key=str) == trie_brute(rebuilt_brute(rows))
+
+
+def some_turns(seed, n, longest, kinds):
+    """Conversations of few kinds of turns: shared prefixes, copies, prefixes of others, none at all."""
+    r = random.Random(seed)
+    turns = {c: [("user", f"T{r.randrange(kinds)}" * 2) for _ in range(r.randrange(longest))] for c in r.sample(range(10 * n), n)}
+    for c in r.sample(sorted(turns), n // 3):
+        turns[c] = turns[r.choice(sorted(turns))][:r.randrange(longest)]
+    return turns
+
+
+def lists_of(spark, turns):
+    rows = [(c, k, role, text) for c, t in turns.items() for k, (role, text) in enumerate(t)]
+    lists = trie.sequences(spark.createDataFrame(rows, SCHEMA))
+    none = [(c, b"", []) for c, t in turns.items() if not t]
+    return lists.unionByName(spark.createDataFrame(none, lists.schema)) if none else lists
+
+
+def test_trie_across_blocks_and_partitions(spark):
+    merge, before = "spark.sql.adaptive.coalescePartitions.enabled", spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set(merge, "false")
+    try:
+        _tries_across_blocks(spark)
+    finally:
+        spark.conf.set(merge, before)
+
+
+def _tries_across_blocks(spark):
+    for seed, n, longest, kinds, block, fan in ((1, 300, 6, 2, 1, 2), (2, 300, 5, 3, 7, 3), (3, 60, 40, 1, 5, 64), (4, 200, 8, 40, 50, 2)):
+        turns = some_turns(seed, n, longest, kinds)
+        got = trie.prefix_trie(lists_of(spark, turns), block, fan)
+        assert sorted(map(tuple, got.collect()), key=str) == trie_brute(turns), seed
+
+
+def test_trie_of_copies_and_of_nothing(spark):
+    same = {c: [("user", "Hi."), ("assistant", "Ho.")] for c in range(500)}
+    got = trie.prefix_trie(lists_of(spark, same), 20, 2)
+    assert sorted(map(tuple, got.collect()), key=str) == trie_brute(same)
+    empty = trie.sequences(spark.createDataFrame([], SCHEMA))
+    assert trie.prefix_trie(trie.rebuilt(empty)).collect() == []
+    alone = {7: [("user", "x")] * 3000}
+    assert sorted(map(tuple, trie.prefix_trie(lists_of(spark, alone)).collect()), key=str) == trie_brute_line(alone[7], 7)
+
+
+def trie_brute_line(turns, c):
+    return sorted(((c, d, c if d else None, 1, int(d < len(turns)), 1, 0, sha(str(c) if d == len(turns) else "")) for d in range(len(turns) + 1)), key=str)
