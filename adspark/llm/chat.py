@@ -41,8 +41,8 @@ def _links(messages: DataFrame) -> DataFrame:
             .join(named.withColumnRenamed("message_id", "parent_id"), "parent_id", "left").select("node", "parent", "score"))
 
 
-def _climb(links: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-    """The tables of jumps by 1, 2, 4, ... (node, up), and root, depth and total of each node.
+def _climb(links: DataFrame) -> tuple[DataFrame, list[DataFrame], DataFrame]:
+    """The links without cycles, the tables of jumps by 1, 2, 4, ... (node, up), and root, depth and total of each node.
 
     A cycle of replies keeps its nodes climbing; when they have gone further than there are messages, the smallest node of
     each cycle becomes a root and the climb starts again.
@@ -72,12 +72,12 @@ def _climb(links: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     reached = done[0]
     for part in done[1:]:
         reached = reached.unionByName(part)
-    return jumps, reached.select("node", F.col("top").alias("root"), "depth", "total")
+    return links, jumps, reached.select("node", F.col("top").alias("root"), "depth", "total")
 
 
 def branches(links: DataFrame, best: int) -> DataFrame:
     """The ``best`` branches of each tree by their sum of scores: root, leaf, rank, score, and for each message node and its place ``pos``."""
-    jumps, reached = _climb(links)
+    links, jumps, reached = _climb(links)
     inner = links.where("parent IS NOT NULL").groupBy(F.col("parent").alias("node")).agg(F.lit(1).alias("inner"))
     order = Window.partitionBy("root").orderBy(F.desc("total"), "leaf")
     chosen = keep(reached.join(inner, "node", "left_anti").withColumnRenamed("node", "leaf")

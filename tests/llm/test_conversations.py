@@ -8,6 +8,8 @@ import re
 import zlib
 from functools import lru_cache
 
+from pyspark.sql import functions as F
+
 from adspark.llm import chat, repair, trie
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -211,3 +213,83 @@ def test_trie_of_copies_and_of_nothing(spark):
 
 def trie_brute_line(turns, c):
     return sorted(((c, d, c if d else None, 1, int(d < len(turns)), 1, 0, sha(str(c) if d == len(turns) else "")) for d in range(len(turns) + 1)), key=str)
+
+
+MESSAGES = "message_id string, parent_id string, role string, text string, score double"
+
+
+def branches_brute(messages, best):
+    """(leaf's message_id, rank, turns) of the best branches of each tree; ids are distinct."""
+    by = {m[0]: m for m in messages}
+    parent = {m[0]: m[1] if m[1] in by else None for m in messages}
+    for m in parent:  # of each cycle the first row becomes a root
+        path, at = [], m
+        while at is not None and at not in path:
+            path.append(at)
+            at = parent[at]
+        if at is not None:
+            cycle = path[path.index(at):]
+            parent[min(cycle, key=[x[0] for x in messages].index)] = None
+    leaves = [m for m in parent if m not in set(parent.values())]
+    trees = {}
+    for leaf in leaves:
+        path, at = [], leaf
+        while at is not None:
+            path.append(at)
+            at = parent[at]
+        scores = [by[x][4] or 0.0 for x in path]
+        trees.setdefault(path[-1], []).append((-sum(0.0 if s != s else s for s in scores), [x[0] for x in messages].index(leaf), path[::-1]))
+    return sorted((p[-1], k + 1, [(by[x][2] or "", by[x][3] or "") for x in p]) for t in trees.values() for k, (_, _, p) in enumerate(sorted(t)[:best]))
+
+
+def test_branches_of_reply_trees(spark):
+    r = random.Random(7)
+    odd = ["", None, "\\", "###", "####x", "</turn>", "</turn></turn>", "<\\/turn>", "#\\##", "a\n### user:\n", "end\\", ":\n", "Ü😀", chat.PROBE]
+    rows = []
+    for k in range(150):
+        parent = None if r.random() < .1 else "gone" if r.random() < .05 else f"m{r.randrange(max(0, k - 6), k + 1) if k > 100 else r.randrange(k + 1)}"
+        rows.append((f"m{k}", parent, r.choice(["user", "assistant", "", None, "a:\nb", "x</turn>", "###", "r\\"]), r.choice(odd) if r.random() < .6 else f"Text {k}.",
+                     r.choice([None, float("nan"), 1.0, 0.5, 2.0, -1.0])))
+    rows += [("c0", "c2", "user", "x", 1.0), ("c1", "c0", "user", "y", 1.0), ("c2", "c1", "user", "z", 1.0), ("t", "c1", "assistant", "w", 1.0)]
+    for best in (1, 3):
+        frame = spark.createDataFrame(rows, MESSAGES).coalesce(1).selectExpr("*", "1 AS node", "2 AS leaf", "3 AS depth", "4 AS head")
+        got = chat.read_back(chat.format_trees(frame, best)).collect()
+        assert sorted((x.leaf, x["rank"], [(t["role"], t["text"]) for t in x.turns]) for x in got) == branches_brute(rows, best)
+        for x in got:
+            assert len(x.loss_mask) == len(x.turns)
+            for span, t in zip(x.loss_mask, x.turns):
+                under = x.formatted[span["start"]:span["end"]]
+                assert t["loss"] == (t["text"] if t["role"] == "assistant" else "") == re.sub(r"(?s)\\(.)", r"\1", under)
+                assert x.formatted[span["turn"]:].startswith("### ")
+
+
+def test_a_deep_branch_and_a_wide_tree(spark):
+    rows = [(f"d{k}", f"d{k - 1}" if k else None, "user", str(k), 0.0) for k in range(300)]
+    rows += [("w", None, "user", "root", 0.0), *((f"w{k}", "w", "assistant", str(k), float(k)) for k in range(2000))]
+    got = {x.leaf: x for x in chat.read_back(chat.format_trees(spark.createDataFrame(rows, MESSAGES))).collect()}
+    assert set(got) == {"d299", "w1999"}
+    assert [t["text"] for t in got["d299"].turns] == [str(k) for k in range(300)]
+    assert [t["text"] for t in got["w1999"].turns] == ["root", "1999"]
+
+
+def test_messages_repeated_without_id_and_none(spark):
+    rows = [("a", None, "user", "one", 0.0), ("a", None, "user", "one", 0.0), ("b", "a", "assistant", "two", 0.0), (None, "a", "user", "three", -1.0), (None, None, "user", "four", None)]
+    got = chat.read_back(chat.format_trees(spark.createDataFrame(rows, MESSAGES), best=5)).collect()
+    assert sorted([t["text"] for t in x.turns] for x in got) == [["four"], ["one"], ["one", "three"], ["one", "two"]]
+    assert chat.format_trees(spark.createDataFrame([], MESSAGES)).collect() == []
+
+
+def test_chat_formatting_reads_back_what_was_written(spark, tmp_path):
+    rows = some_rows(5, [*range(30), None, -7], 9)
+    rows = [x for x in {(c, t): (c, t, role, text) for c, t, role, text in rows}.values()]  # one row for each turn
+    spark.createDataFrame(rows, SCHEMA).withColumn("k", F.lit(1)).write.parquet(f"{tmp_path}/conversations.parquet")
+    every = {}
+    for c, t, role, text in [*rows, (-7, 0, "user", chat.PROBE), (-7, 1, "assistant", chat.PROBE)]:
+        every.setdefault(c, []).append((t is not None, t or 0, role is not None, role or "", text is not None, text or ""))
+    want = []
+    for c, xs in every.items():
+        turns = [(x[3], x[5]) for x in sorted(xs)]
+        loss = "".join(text for role, text in turns if role == "assistant")
+        want.append((c, len(turns), sha("".join(f"{role}\n{text}\n" for role, text in turns)), len(loss), sha(loss)))
+    got = chat.op13_chat_formatting(spark, str(tmp_path)).collect()
+    assert sorted((tuple(x)[:5] for x in got), key=str) == sorted(want, key=str)
