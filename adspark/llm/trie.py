@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from adspark.llm.common import joined_sha256, keep, map_arrow, table
 
-WIDTH, FAN, BLOCK_ROWS, BLOCK_BYTES = 16, 64, 20_000, 32 << 20
+WIDTH, FAN, BLOCK_ROWS, BLOCK_BYTES = 16, 16, 20_000, 32 << 20
 NOTHING = hashlib.sha256().hexdigest()
 
 #: kind node: a complete node, whose parent is known by conv_id or, if on a spine, by pid. Its own pid is given if it lay on a spine.
