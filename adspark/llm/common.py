@@ -9,30 +9,40 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import SparkContext
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 #: Rows in an Arrow batch. Texts may be long, so batches are far below Spark's default.
 BATCH_ROWS = 500
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder that all executors see: below spark.checkpoint.dir.
-
-    Only where that setting is missing and Spark runs in one JVM, as in tests, a local folder serves.
-    """
+def _home(spark: SparkSession) -> str:
     base = spark.conf.get(CHECKPOINT_CONF, None)
     if not base:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         base = _local_folder()
-    return f"{base.rstrip('/')}/llm-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/llm-{spark.sparkContext.applicationId}"
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder that all executors see: below spark.checkpoint.dir.
+
+    Only where that setting is missing and Spark runs in one JVM, as in tests, a local folder serves.
+    """
+    path = f"{_home(spark)}/{uuid.uuid4().hex}"
+    if _OWNERS:
+        _OWNERS[-1].append(path)
+    return path
 
 
 @lru_cache(maxsize=1)
@@ -40,6 +50,31 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="adspark-llm-")
 
 
+#: The folders made inside each :func:`owned` block that is open.
+_OWNERS: list[list[str]] = []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def owned(spark: SparkSession) -> Iterator[None]:
+    """What is kept inside the block is deleted at its end, so results that read it must have been written by then."""
+    _OWNERS.append([])
+    try:
+        yield
+    finally:
+        for path in _OWNERS.pop():
+            remove(spark, path)
+
+
+def drop_kept(spark: SparkSession) -> None:
+    """Delete all that this application kept. Call it when the results have been written."""
+    remove(spark, _home(spark))
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage is cut, a lost executor costs a re-read."""
     path = scratch(df.sparkSession)
@@ -51,15 +86,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def digest(text: Column) -> Column:
-    """SHA-256 of a text, null as empty. Rows with equal doc_id and digest are one document; neither alone tells rows apart."""
-    return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column that tells its rows apart whenever it is read, and the name of that column.
+
+    Rows of a table of files have their file and place in it. Other rows are numbered in a kept copy.
+    """
+    name = "row"
+    while name in map(str.lower, docs.columns):
+        name += "_"
+    if docs._jdf.queryExecution().analyzed().children().isEmpty():  # a scan
+        try:
+            at = docs.metadataColumn("_metadata")
+            return docs.withColumn(name, F.struct(F.xxhash64(at["file_path"]).alias("file"), at["row_index"].alias("place"))), name
+        except AnalysisException:
+            pass
+    return keep(docs.withColumn(name, F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("place")))), name
 
 
-def without(docs: DataFrame, bad: DataFrame) -> DataFrame:
-    """The rows of ``docs`` but those whose doc_id and digest of the text are a row ``doc_id``, ``digest`` of ``bad``."""
-    bad = keep(bad.select("doc_id", "digest").distinct())
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]) & (digest(docs["text"]) == bad["digest"]), "left_anti")
+def without(docs: DataFrame, row: str, bad: DataFrame) -> DataFrame:
+    """``docs`` of :func:`numbered` without the rows that ``bad`` has in its one column, and without their numbers."""
+    bad = keep(bad.toDF("bad"))
+    return docs.join(bad, docs[row] == bad["bad"], "left_anti").drop(row)
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -79,7 +126,7 @@ def _ship(context: SparkContext) -> None:
     context.addPyFile(str(name))
 
 
-def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     small_batches(df.sparkSession)
     return df.mapInArrow(fn, schema)
 

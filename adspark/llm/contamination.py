@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from adspark.llm.common import digest, keep, map_arrow, pieces, table, without
+from adspark.llm.common import keep, map_arrow, numbered, pieces, table, without
 from adspark.llm.words import Words, gram, sums
 
 WINDOW, SHINGLE, MAP_BITS = 13, 3, 1 << 24
@@ -143,8 +143,9 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go, each row by its own text."""
-    found = contamination(spark, docs.select("doc_id", "text", digest(F.col("text")).alias("digest")), table(spark, sf_dir, "benchmark"), "digest")
-    return without(docs, found.where("contaminated"))
+    docs, row = numbered(docs)
+    found = contamination(spark, docs.select("doc_id", "text", F.col(row).alias("of")), table(spark, sf_dir, "benchmark"), "of")
+    return without(docs, row, found.where("contaminated").select("of"))
 
 
 SQL = r"""

@@ -26,15 +26,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from adspark.llm.common import components, digest, keep, map_arrow, pieces, table
+from adspark.llm.common import components, keep, map_arrow, numbered, pieces, table, without
 from adspark.llm.words import Words
 
 SEED, SHINGLE, BITS, MOST = 42, 3, 64, 2
 GROUPS, BUCKET, RANDOM_PIVOTS = 6, 64, 8
 #: Shingles whose bits are counted at once.
 AT_ONCE = 1 << 17
-#: A column of the stage that no table of documents has.
-DIGEST = "__digest"
 
 
 def _signed(x: int) -> int:
@@ -82,9 +80,8 @@ def fingerprint_arrays(column: pa.Array) -> np.ndarray:
     return np.packbits(set_bits, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-def fingerprints(docs: DataFrame, *digests: Column) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long; and the digest of the text if it is given."""
-    also = ["digest"] * len(digests)
+def fingerprints(docs: DataFrame, *also: str) -> DataFrame:
+    """doc_id and fp, the fingerprint as a signed long, and the columns ``also``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,8 +89,8 @@ def fingerprints(docs: DataFrame, *digests: Column) -> DataFrame:
                 fp = fingerprint_arrays(part.column("text")).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fp), *map(part.column, also)], ["doc_id", "fp", *also])
 
-    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[x.alias("digest") for x in digests]), run,
-                     ", ".join(["doc_id long", "fp long", *[f"{c} binary" for c in also]]))
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *also), run,
+                     ", ".join(["doc_id long", "fp long", *[f"{c} {docs.schema[c].dataType.simpleString()}" for c in also]]))
 
 
 def distance(fp: Column, pivot: int) -> Column:
@@ -167,10 +164,14 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the smallest doc_id, null last, then the smallest digest of its text; of rows equal in both, any one."""
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest"))
-    fps = keep(fingerprints(docs, digest(F.col("text"))).groupBy("fp").agg(first.alias("first")))
-    kept = keep(_rooted(fps).groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.digest"))
-    docs = docs.withColumn(DIGEST, digest(F.col("text")))
-    same = docs["doc_id"].eqNullSafe(kept["doc_id"]) & (docs[DIGEST] == kept["digest"])
-    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", DIGEST]).drop(DIGEST)
+    """One document of each group stays: the smallest doc_id, null last, then the smallest hash of its text; of rows equal in both, any one.
+
+    Groups and their kept rows are found by numbers of rows alone; texts meet the numbers of the rows that go once.
+    """
+    docs, row = numbered(docs)
+    narrow = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"), F.col(row).alias("row"))
+    each = keep(fingerprints(narrow, "hash", "row"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash", "row"))
+    rooted = _rooted(keep(each.groupBy("fp").agg(first.alias("first"))))
+    kept = keep(rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.row"))
+    return without(docs, row, each.select("row").join(kept, "row", "left_anti"))

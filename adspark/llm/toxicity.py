@@ -17,12 +17,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from adspark.llm.common import digest, keep, map_arrow, pieces, table, without
+from adspark.llm.common import keep, map_arrow, pieces, table
 from adspark.llm.words import Words
 
 BUCKETS, SAMPLE, PRIOR, SIGNIFICANT, DRIFT, THRESHOLD, E_VALUE = 1 << 20, 50_000, 2_000.0, 4.0, 0.5, 0.3, 0.05
@@ -158,7 +160,8 @@ def _segments(docs: DataFrame, weight: np.ndarray) -> DataFrame:
                 kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
                 yield pa.RecordBatch.from_arrays([*map(part.column, also), pa.array(w.count), pa.array(found, kind)], [*also, "n_words", "segments"])
 
-    return map_arrow(docs, run, ", ".join([*[f"{c} {docs.schema[c].dataType.simpleString()}" for c in also], "n_words long", f"segments {SEGMENTS}"]))
+    added = StructType.fromDDL(f"n_words long, segments {SEGMENTS}")
+    return map_arrow(docs, run, StructType([docs.schema[c] for c in also] + added.fields))
 
 
 def _features(found: DataFrame, scale: float, k: float) -> DataFrame:
@@ -190,33 +193,51 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30)
     return beta
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, *also: str) -> DataFrame:
-    """doc_id, held_out, score, predicted, n_words, passages (significant segments) and the columns ``also`` for each row of ``docs``."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *also)
+@dataclass
+class Model:
+    """What is learnt: the score of each bucket, lambda, K, and the regression (None without labels of both kinds)."""
+
+    weight: np.ndarray
+    scale: float
+    k: float
+    beta: np.ndarray | None
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """The model of ``docs`` (doc_id, text). Of rows that share a labelled doc_id, the one with the smallest hash of its text trains."""
     ids, toxic = _sample(labels)
-    trained = toxic.any() and not toxic.all()
-    weight, scale = _weights(_counts(docs, ids, toxic)) if trained else (np.full(BUCKETS, -DRIFT), 1.0)
-    found = keep(_segments(docs, weight))
-    spark = docs.sparkSession
-    k, beta = 1.0, np.zeros(5)
-    if trained:
-        known = spark.createDataFrame(list(zip(ids.tolist(), toxic.astype(int).tolist())), "doc_id long, toxic int")
-        joined = keep(found.join(known, "doc_id").dropDuplicates(["doc_id"]))
-        clean = joined.where("toxic = 0 and n_words > 0").withColumn("best", F.coalesce(F.array_max(F.transform("segments", lambda x: x["score"])), F.lit(0.0)))
-        fit = clean.agg(F.sum((F.col("best") > 0).cast("double")), F.sum(F.col("n_words") * F.exp(-F.col("best") * scale))).first()
-        k = max(fit[0] or 0.0, 0.5) / max(fit[1] or 1.0, 1.0)
-        rows = np.array(_features(joined, scale, k).select("toxic", *_inputs()).collect(), float)  # at most SAMPLE rows
-        if len(rows) and 0 < rows[:, 0].sum() < len(rows):
-            beta = logistic(rows[:, 1:], rows[:, 0])
-        else:
-            trained = False
-    line = F.lit(float(beta[0]))
-    for b, x in zip(beta[1:].tolist(), _inputs()):
+    if not toxic.any() or toxic.all():
+        return Model(np.full(BUCKETS, -DRIFT), 1.0, 1.0, None)
+    weight, scale = _weights(_counts(docs, ids, toxic))
+    known = docs.sparkSession.createDataFrame(list(zip(ids.tolist(), toxic.astype(int).tolist())), "doc_id long, toxic int")
+    labelled = docs.withColumn("hash", F.xxhash64("text")).join(F.broadcast(known), "doc_id")  # at most SAMPLE rows of two numbers
+    first = F.min(F.struct("hash", "toxic", "n_words", "segments")).alias("first")
+    found = keep(_segments(labelled, weight).groupBy("doc_id").agg(first).select("first.*"))
+    best = F.coalesce(F.array_max(F.transform("segments", lambda x: x["score"])), F.lit(0.0))
+    counts = found.where("toxic = 0 and n_words > 0").withColumn("best", best).agg(
+        F.sum((F.col("best") > 0).cast("double")), F.sum(F.col("n_words") * F.exp(-F.col("best") * scale))).first()
+    k = max(counts[0] or 0.0, 0.5) / max(counts[1] or 1.0, 1.0)
+    rows = np.array(sorted(_features(found, scale, k).select("toxic", *_inputs()).collect()), float)  # at most SAMPLE rows
+    both = len(rows) and 0 < rows[:, 0].sum() < len(rows)
+    return Model(weight, scale, k, logistic(rows[:, 1:], rows[:, 0]) if both else None)
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """score, n_words and passages (significant segments) of each row of ``docs``, with its columns but the text."""
+    found = _features(_segments(docs, model.weight), model.scale, model.k)
+    if model.beta is None:
+        return found.withColumn("score", F.lit(0.0))
+    line = F.lit(float(model.beta[0]))
+    for b, x in zip(model.beta[1:].tolist(), _inputs()):
         line = line + x * b
-    score = 1 / (1 + F.exp(-F.greatest(F.least(line, F.lit(30.0)), F.lit(-30.0)))) if trained else F.lit(0.0)
-    return (_features(found, scale, k).withColumn("score", score)
-            .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
-                    (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "n_words", "passages", *also))
+    return found.withColumn("score", 1 / (1 + F.exp(-F.greatest(F.least(line, F.lit(30.0)), F.lit(-30.0)))))
+
+
+def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score, predicted, n_words and passages (significant segments) for each row of ``docs``."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return score(docs, fit(docs, labels)).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "n_words", "passages")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,6 +246,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are predicted toxic go, each row by its own text."""
-    found = toxicity(docs.select("doc_id", "text", digest(F.col("text")).alias("digest")), table(spark, sf_dir, "labels"), "digest")
-    return without(docs, found.where("predicted = 1"))
+    """Documents that are predicted toxic go, each row by its own text: rows pass through the scan of their text, so that nothing is joined or shuffled."""
+    model = fit(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), table(spark, sf_dir, "labels"))
+    own = [f"own_{k}" for k in range(len(docs.columns))]  # no name of theirs clashes with one of ours
+    found = score(docs.toDF(*own).withColumn("text", F.col(own[[c.lower() for c in docs.columns].index("text")])), model)
+    return found.where(F.col("score") < THRESHOLD).select(*own).toDF(*docs.columns)
