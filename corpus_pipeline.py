@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from adspark.llm import contamination, private, sentences, simhash, toxicity
-from adspark.llm.common import keep, table
+from adspark.llm.common import owned, remove, scratch, table
 
 STAGES = [
     ("toxicity", toxicity.stage),
@@ -19,8 +19,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to documents, each result written and read again."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = keep(stage(spark, docs, sf_dir))
+    """The stages applied to documents, each result written and read again.
+
+    When a stage's result is written, what the stage kept and the result before it are deleted.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES[:-1]:
+        path = scratch(spark)
+        with owned(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.schema(docs.schema).parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
