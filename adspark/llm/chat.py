@@ -34,11 +34,12 @@ def unescape(text: Column) -> Column:
 
 
 def _links(messages: DataFrame) -> DataFrame:
-    """node, parent (null at roots) and score of each row of ``messages``, which has a row number ``node``."""
+    """node, parent (null at roots) and score of each row of ``messages``, which has a row number ``node``. Rows that answer nothing meet no others."""
     first = F.min(F.struct(F.xxhash64("role", "text").alias("hash"), "node"))
-    named = messages.where("message_id IS NOT NULL").groupBy("message_id").agg(first["node"].alias("parent"))
-    return (messages.select("node", "parent_id", F.coalesce(F.nanvl("score", F.lit(0.0)), F.lit(0.0)).alias("score"))
-            .join(named.withColumnRenamed("message_id", "parent_id"), "parent_id", "left").select("node", "parent", "score"))
+    named = messages.where("message_id IS NOT NULL").groupBy(F.col("message_id").alias("parent_id")).agg(first["node"].alias("parent"))
+    scored = messages.select("node", "parent_id", F.coalesce(F.nanvl("score", F.lit(0.0)), F.lit(0.0)).alias("score"))
+    replies = scored.where("parent_id IS NOT NULL").join(named, "parent_id", "left").select("node", "parent", "score")
+    return replies.unionByName(scored.where("parent_id IS NULL").select("node", F.lit(None).cast("long").alias("parent"), "score"))
 
 
 def _climb(links: DataFrame) -> tuple[DataFrame, list[DataFrame], DataFrame]:
@@ -82,12 +83,12 @@ def branches(links: DataFrame, best: int) -> DataFrame:
     order = Window.partitionBy("root").orderBy(F.desc("total"), "leaf")
     chosen = keep(reached.join(inner, "node", "left_anti").withColumnRenamed("node", "leaf")
                   .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best))
-    path = chosen.select("leaf", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("above"))
-    for k, jump in enumerate(jumps):
-        here, there = F.struct("node", "above"), F.struct(F.col("up").alias("node"), (F.col("above") + (1 << k)).alias("above"))
-        path = (path.join(jump, "node", "left")
-                .select("leaf", F.explode(F.when(F.col("up").isNull(), F.array(here)).otherwise(F.array(here, there))).alias("x")).select("leaf", "x.*"))
-    return path.join(chosen, "leaf").select("root", "leaf", "rank", F.col("total").alias("score"), "node", (F.col("depth") - F.col("above") - 1).alias("pos"))
+    path = chosen.select("leaf", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("above"), "depth")
+    for k, jump in enumerate(jumps):  # only nodes that have an ancestor so far up take part
+        further = path.where(F.col("above") + (1 << k) < F.col("depth")).join(jump, "node").select(
+            "leaf", F.col("up").alias("node"), (F.col("above") + (1 << k)).alias("above"), "depth")
+        path = path.unionByName(keep(further))
+    return path.join(chosen.drop("depth"), "leaf").select("root", "leaf", "rank", F.col("total").alias("score"), "node", (F.col("depth") - F.col("above") - 1).alias("pos"))
 
 
 def format_trees(messages: DataFrame, best: int = 1) -> DataFrame:
