@@ -144,6 +144,22 @@ def pieces(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
         yield batch.slice(start)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: str, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in batches of about ``most`` bytes of text, or one row if that row is longer."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for part in pieces(batch, column, most):
+            n = part.column(column).nbytes
+            if held and size + n > most:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, size = [], 0
+            held.append(part)
+            size += n
+    if held and sum(map(len, held)):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def joined_sha256(pieces: DataFrame, key: str, order: list[str], piece: str, glue: str) -> DataFrame:
     """``key`` and sha256 (hexadecimal) of its pieces of text in ``order``, joined by ``glue``; null pieces add nothing.
 

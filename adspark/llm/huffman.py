@@ -5,9 +5,10 @@ doc_id order into shards and, inside them, into blocks of about ``BLOCK`` ids. A
 every ``STEP``-th id. Decoding looks up ``LIMIT`` bits at a time in a table and advances all checkpoints of a block in step. The file
 is a table of blocks (Parquet as container) beside the table of code lengths; both survive lost executors as any written table does.
 
-White space separates words for this tokenizer, and so do borders between letters and punctuation, so every distinct piece between them goes
-through the library once per worker; pieces already seen stay in a table of bounded size. Texts that hold the start of
-a special token (``<|``) go through it whole. Null texts count as empty and get the end id alone. A null doc_id sorts first. Rows with
+White space separates words for this tokenizer, and so do borders between letters and punctuation. Arrow splits some megabytes of text into words and numbers the distinct
+ones; of those only new ones are cut into pieces, and only new pieces go through the library. The ids of a batch are then gathered by
+number. Words and pieces already seen stay in tables of at most ``TABLE_BYTES``; long ones aren't kept. Texts that hold the start of
+a special token (``<|``) go through the library whole. Null texts count as empty and get the end id alone. A null doc_id sorts first. Rows with
 equal doc_id stand in order of a hash of their ids. Other columns are ignored.
 """
 
@@ -17,20 +18,26 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from adspark.llm.common import keep, map_arrow, table
+from adspark.llm.common import gathered, keep, map_arrow, table
 
-END, LIMIT, BLOCK, STEP, SHARD, TABLE_WORDS = 1, 18, 1 << 18, 256, 1 << 22, 400_000
+END, LIMIT, BLOCK, STEP, SHARD = 1, 18, 1 << 18, 256, 1 << 22
+#: Bytes of the tables of words and of pieces, what Python needs for an entry, and the longest word kept (characters).
+TABLE_BYTES, ENTRY, LONGEST = 128 << 20, 200, 64
 LETTERS, MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
-#: Letters up to punctuation, punctuation (no apostrophe) up to a letter, or whatever else stands between white space.
-PIECE = re.compile(rf"[{LETTERS}]+(?![^\s{MARKS}])|[{MARKS}]+(?![^\sA-Za-z])|\S+", re.ASCII)
+#: Letters up to punctuation, punctuation (no apostrophe) up to a letter, whatever else stands between white space, or the border of two words.
+PIECE = re.compile(rf"[{LETTERS}]+(?![^\s{MARKS}])|[{MARKS}]+(?![^\sA-Za-z])|\S+|\n", re.ASCII)
 
+#: Stands for the border of two words; no vocabulary is that large.
+BORDER = b"\xff\xff"
 SIMPLE = re.compile(rf"[{LETTERS}]+|[{MARKS}]+")
 
 
@@ -45,56 +52,116 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.size = self.tokenizer.get_vocab_size()
-        if self.size > 1 << 16:
+        if self.tokenizer.get_vocab_size() >= 1 << 16:
             raise ValueError("ids of more than 16 bits")
         self.ends = np.zeros(1 << 16, bool)  # pieces that end a word
         self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.piece_bytes = 0
+        self._empty()
+
+    def _empty(self) -> None:
+        """No words but the end id, which stands as word 0."""
+        self.numbers: dict[str, int] = {}
+        self.ids, self.used = np.array([END], "<u2"), 1
+        self.offset = np.array([0, 2], np.int32)  # where each word's ids begin, in bytes, and where the last ends
+        self.words, self.word_bytes = 1, 0
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> None:
-        """Words of letters or punctuation alone are encoded as one text and parted after the pieces that end a word."""
-        simple = [w for w in words if SIMPLE.fullmatch(w)]
-        rest = [w for w in words if not SIMPLE.fullmatch(w)]
+    def _learn(self, pieces: list[str]) -> list[tuple[str, bytes]]:
+        """Pieces of letters or punctuation alone are encoded as one text and parted after the pieces that end a word."""
+        simple = [w for w in pieces if SIMPLE.fullmatch(w)]
+        rest = [w for w in pieces if not SIMPLE.fullmatch(w)]
+        found: list[tuple[str, bytes]] = []
         for k in range(0, len(simple), 1000):
             part = simple[k:k + 1000]
             ids = self._ids([" ".join(part)])[0]
             at = (2 * np.flatnonzero(self.ends[np.frombuffer(ids, "<u2")]) + 2).tolist()
             if len(at) == len(part):
-                self.known.update(zip(part, (ids[a:b] for a, b in zip([0, *at], at))))
+                found += zip(part, map(ids.__getitem__, map(slice, [0, *at], at)))
             else:
                 rest += part
-        self.known.update(zip(rest, self._ids(rest)))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        whole = [k for k, t in enumerate(texts) if "<|" in t]
-        split = [[] if "<|" in t else PIECE.findall(lowered(t)) for t in texts]
-        new = set().union(*split) - self.known.keys() if split else set()
-        if len(self.known) + len(new) > TABLE_WORDS:  # the words in use stay, those of two tables ago go
-            self.known, self.older = {}, self.known
-            new = set().union(*split)
-        if self.older:
-            again = new & self.older.keys()
-            self.known.update((w, self.older[w]) for w in again)
-            new -= again
-        self._learn(list(new))
-        get, end = self.known.__getitem__, np.array([END], "<u2").tobytes()
-        out = [b"".join(map(get, words)) + end for words in split]
-        for k, ids in zip(whole, self._ids([texts[k] for k in whole])):
-            out[k] = ids + end
+        return found + list(zip(rest, self._ids(rest)))
+
+    def _of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, one after the other, and how many each has."""
+        if self.piece_bytes > TABLE_BYTES:
+            self.pieces, self.piece_bytes = {}, 0
+        split = PIECE.findall("\n".join([*words, ""]))
+        found = self._learn(list(set(split) - self.pieces.keys() - {"\n"}))
+        pieces = self.pieces
+        pieces.update(found)
+        pieces["\n"] = BORDER
+        flat = np.frombuffer(b"".join(map(pieces.__getitem__, split)), "<u2")
+        self.piece_bytes += ENTRY * len(found) + sum(len(p) + len(ids) for p, ids in found)
+        for p, ids in found:
+            if len(p) > LONGEST:
+                del pieces[p]
+                self.piece_bytes -= ENTRY + len(p) + len(ids)
+        border = flat == 0xFFFF
+        return flat[~border], np.diff(np.flatnonzero(border), prepend=-1) - 1
+
+    def _append(self, new: np.ndarray, size: np.ndarray) -> None:
+        need, words = self.used + len(new), self.words + len(size)
+        if need > len(self.ids):
+            self.ids = np.concatenate([self.ids[:self.used], np.empty(need, "<u2")])  # doubles at least
+        self.ids[self.used:need] = new
+        if words >= len(self.offset):
+            self.offset = np.concatenate([self.offset[:self.words + 1], np.zeros(words, np.int32)])
+        self.offset[self.words + 1:words + 1] = 2 * (self.used + np.cumsum(size))
+        self.used, self.words = need, words
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """The number of each distinct word; those of words that aren't kept hold until :meth:`encode` is done."""
+        out = np.fromiter(map(self.numbers.get, words, repeat(-1)), np.int64, len(words))
+        new = [words[k] for k in np.flatnonzero(out < 0).tolist()]
+        long = np.fromiter(map(len, new), np.int64, len(new)) > LONGEST
+        order = np.argsort(long, kind="stable")
+        new, kept = [new[k] for k in order.tolist()], len(new) - int(long.sum())
+        at = np.empty(len(new), np.int64)
+        at[order] = self.words + np.arange(len(new))
+        out[out < 0] = at
+        ids, size = self._of_words(new)
+        border = int(size[:kept].sum())
+        self.numbers.update(zip(new[:kept], range(self.words, self.words + kept)))
+        self.word_bytes += (ENTRY + 16) * kept + sum(map(len, new[:kept])) + 2 * border
+        self._append(ids[:border], size[:kept])
+        self.kept = self.words, self.used
+        self._append(ids[border:], size[kept:])
+        return out
+
+    def encode(self, texts: pa.Array) -> pa.Array:
+        if not len(texts):
+            return pa.array([], pa.binary())
+        if self.word_bytes > TABLE_BYTES:
+            self._empty()
+        texts = pc.fill_null(texts, "")
+        special = np.flatnonzero(pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)).tolist()
+        plain = pc.if_else(pc.match_substring(texts, "<|"), "", texts) if special else texts
+        split = pc.ascii_split_whitespace(plain)
+        words = split.flatten().dictionary_encode()
+        lower = lowered(words.dictionary).dictionary_encode()
+        end = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64))
+        number = self._numbers(lower.dictionary.to_pylist())[lower.indices.to_numpy(zero_copy_only=False)][words.indices.to_numpy(zero_copy_only=False)]
+        number = np.insert(number, end, 0)  # the end id after each text
+        known = pa.Array.from_buffers(pa.binary(), self.words, [None, pa.py_buffer(self.offset[:self.words + 1]), pa.py_buffer(self.ids[:self.used])])
+        ids = known.take(pa.array(number))
+        offsets = np.frombuffer(ids.buffers()[1], np.int32)[np.concatenate([[0], end + np.arange(1, len(end) + 1)])]
+        out = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), ids.buffers()[2]])
+        self.words, self.used = self.kept
+        if special:
+            out = out.to_pylist()
+            for k, x in zip(special, self._ids([texts[k].as_py() for k in special])):
+                out[k] = x + np.array([END], "<u2").tobytes()
+            out = pa.array(out, pa.binary())
         return out
 
 
-def lowered(text: str) -> str:
-    """Lower case where the tokenizer's own lower case can't differ: in texts of Latin-1 alone."""
-    try:
-        return text.lower() if text.isascii() or text.encode("latin-1") else text
-    except UnicodeEncodeError:
-        return text
+def lowered(words: pa.Array) -> pa.Array:
+    """Lower case where the tokenizer's own lower case can't differ: words of Latin-1 alone."""
+    return pc.if_else(pc.match_substring_regex(words, "[^\\x{00}-\\x{ff}]"), words, pc.utf8_lower(words))
 
 
 @lru_cache(maxsize=2)
@@ -107,10 +174,8 @@ def token_ids(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
-        for batch in batches:
-            for k in range(0, len(batch), 100):
-                part = batch.slice(k, 100)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(e.encode([t or "" for t in part.column("text").to_pylist()]), pa.binary())], ["doc_id", "ids"])
+        for part in gathered(batches, "text"):
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), e.encode(part.column("text"))], ["doc_id", "ids"])
 
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, ids binary")
 
@@ -246,13 +311,17 @@ def write_ids(ids: DataFrame) -> tuple[DataFrame, DataFrame]:
             yield block()
 
     shards = max(1, ceil(sum(counts.values()) / SHARD))
-    tie = F.xxhash64("ids")
-    ordered = ids.withColumn("tie", tie).repartitionByRange(shards, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
+    order = ["doc_id", "tie", "row"]  # the last parts rows that are equal, so that no task gets them all
+    rows = ids.withColumn("tie", F.xxhash64("ids")).withColumn("row", F.monotonically_increasing_id())
+    ordered = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("doc_id", "ids")
     return keep(map_arrow(ordered, run, BLOCKS)), codes
 
 
 def read_ids(blocks: DataFrame, codes: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids (little-endian unsigned 32-bit, binary) of every document, in the file's order of start."""
+    """doc_id, start, n_tokens, ids (little-endian unsigned 32-bit, binary) of every document, in the file's order of start.
+
+    Blocks learn where they start while they are compressed; what is decoded isn't shuffled.
+    """
     spark = blocks.sparkSession
     shared = spark.sparkContext.broadcast({r.id: r.bits for r in codes.collect()})  # at most the vocabulary
 
@@ -266,19 +335,17 @@ def read_ids(blocks: DataFrame, codes: DataFrame) -> DataFrame:
                 got = code.decode(row.column("bits")[0].as_py(), get("checkpoints"), int(n.sum())).astype("<u4")
                 end = np.cumsum(n)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(n), row.column(c)[0].as_py(), np.int32)) for c in ("shard", "block")]
-                    + [row.column("doc_ids").flatten(), pa.array(end - n), pa.array(n), pa.array([got[a:b].tobytes() for a, b in zip((end - n).tolist(), end.tolist())], pa.binary())],
-                    ["shard", "block", "doc_id", "within", "n_tokens", "ids"])
+                    [row.column("doc_ids").flatten(), pa.array(row.column("first")[0].as_py() + end - n), pa.array(n),
+                     pa.array([got[a:b].tobytes() for a, b in zip((end - n).tolist(), end.tolist())], pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
 
-    docs = map_arrow(blocks, run, "shard int, block int, doc_id long, within long, n_tokens long, ids binary")
     size = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)
     sizes = keep(blocks.select("shard", "block", size.alias("n")))
     before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # One row a shard: a shard holds SHARD ids, so this is a small table even for a large corpus.
     shards = sizes.groupBy("shard").agg(F.sum("n").alias("n")).select("shard", before(Window.orderBy("shard")).alias("shard_start"))
     starts = keep(sizes.withColumn("block_start", before(Window.partitionBy("shard").orderBy("block"))).join(shards, "shard")
-                  .select("shard", "block", (F.col("shard_start") + F.col("block_start")).alias("first")))
-    return docs.join(starts, ["shard", "block"]).select("doc_id", (F.col("first") + F.col("within")).alias("start"), "n_tokens", "ids")
+                  .select("shard", "block", (F.col("shard_start") + F.col("block_start")).cast("long").alias("first")))
+    return map_arrow(blocks.join(starts, ["shard", "block"]).drop("shard", "block"), run, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

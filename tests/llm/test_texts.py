@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -29,11 +30,20 @@ def texts(seed, n=40):
     return ODD + ["".join(r.choice(chars) for _ in range(r.randrange(300))) for _ in range(n)] + [" ".join(r.choice(["the", "Then,", "them;"]) for _ in range(20_000))]
 
 
-def test_pieces_encode_as_whole_texts_do():
+@pytest.mark.parametrize("bound", [1, 5000, 64 << 20])
+def test_pieces_encode_as_whole_texts_do(monkeypatch, bound):
     t = Tokenizer.from_file(huffman.default_tokenizer())
     rows = [x or "" for seed in range(8) for x in texts(seed)]
     want = [np.array(e.ids + [huffman.END], "<u2").tobytes() for e in t.encode_batch(rows, add_special_tokens=False)]
-    assert huffman.Encoder(huffman.default_tokenizer()).encode(rows) == want
+    assert huffman.Encoder(huffman.default_tokenizer()).encode(pa.array(rows)).to_pylist() == want
+    e = huffman.Encoder(huffman.default_tokenizer())
+    monkeypatch.setattr(huffman, "TABLE_BYTES", bound)
+    column = pa.array([None, *rows])
+    for k in range(1, len(column), 7):  # batch by batch, with tables that hold little
+        assert e.encode(column.slice(k, 7)).to_pylist() == want[k - 1:k + 6]
+    assert e.encode(column.slice(0, 1)).to_pylist() == [np.array([huffman.END], "<u2").tobytes()]
+    assert e.encode(column.slice(0, 0)).to_pylist() == []
+    assert max(map(len, e.numbers), default=0) <= huffman.LONGEST and max(map(len, e.pieces), default=0) <= huffman.LONGEST
 
 
 @pytest.mark.parametrize("limit", [7, 9, 40])
