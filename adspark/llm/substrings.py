@@ -9,7 +9,7 @@ Only where a seed has several classes, one occurrence of each class compares its
 window with the others', again by grouping. So repeats are found to the word (maximal repeats are unions of
 their windows), and no group is paired up or gathered: a class costs its members one row each.
 
-Words are compared by two 64-bit hashes (seed and stretch, or seed and window). Null texts have no words. A null doc_id ranks after all
+A seed's hash only brings occurrences together. Stretches and windows are equal if the 128-bit digests (BLAKE2b) of their words are. Null texts have no words. A null doc_id ranks after all
 others. Rows that share a doc_id don't count as copies of one another. Other columns are ignored.
 """
 
@@ -29,7 +29,9 @@ from adspark.llm.words import Words, gram, sums
 WINDOW, SEED_WORDS = 50, 12
 GRAMS = WINDOW - SEED_WORDS + 1
 LAST_ID = (1 << 63) - 1
-STRETCH = "array<struct<lo:int,n:int,off:int,seed:long,stretch:long>>"
+STRETCH = "array<struct<lo:int,n:int,off:int,seed:long,stretch:long,more:long>>"
+#: What occurrences of a class have in common: the hash of the seed, both halves of the stretch's digest, the number of windows, and the seed's place.
+CLASS = ["seed", "stretch", "more", "n", "off"]
 
 
 def _least(g: np.ndarray) -> np.ndarray:
@@ -44,11 +46,19 @@ def _least(g: np.ndarray) -> np.ndarray:
     return best
 
 
+def _digests(w: Words, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Both halves of the digest of the words [lo, hi), a row for each."""
+    text, start, end = w.joined()
+    made = b"".join([hashlib.blake2b(text[a:b], digest_size=16).digest() for a, b in zip(start[lo].tolist(), end[hi - 1].tolist())])
+    return np.frombuffer(made, "<i8").reshape(-1, 2)
+
+
 def stretches(column: pa.Array) -> tuple[np.ndarray, ...]:
-    """row, first window, number of windows, place of the seed, and the hashes of seed and stretch."""
+    """row, first window, number of windows, place of the seed, the hash of the seed, and the digests of the stretches."""
     w = Words(column, "space")
+    nothing = (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64), np.zeros((0, 2), np.int64))
     if len(w) < WINDOW:
-        return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),) * 2
+        return nothing
     total = sums(w.hashes())
     i = np.arange(len(w) - SEED_WORDS + 1)
     g = gram(total, i, i + SEED_WORDS)
@@ -56,12 +66,12 @@ def stretches(column: pa.Array) -> tuple[np.ndarray, ...]:
     row = np.repeat(np.arange(len(column)), w.count)[:len(seed)]
     window = np.flatnonzero(np.arange(len(seed)) + WINDOW <= w.first[1:][row])  # windows within a row
     if not len(window):
-        return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),) * 2
+        return nothing
     seed, row = seed[window], row[window]
     new = np.flatnonzero((np.diff(window, prepend=-2) != 1) | (np.diff(seed, prepend=-1) != 0) | (np.diff(row, prepend=-1) != 0))
     n = np.diff(new, append=len(window))
     lo, row = window[new], row[new]
-    return (row, lo - w.first[row], n, seed[new] - lo, g[seed[new]], gram(total, lo, lo + n - 1 + WINDOW))
+    return (row, lo - w.first[row], n, seed[new] - lo, g[seed[new]], _digests(w, lo, lo + n - 1 + WINDOW))
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,19 +81,17 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.searchsorted(row, np.arange(len(part) + 1)).astype(np.int32)
             found = pa.StructArray.from_arrays(
                 [pa.array(lo, pa.int32()), pa.array(n, pa.int32()), pa.array(off, pa.int32()),
-                 pa.array(seed.view(np.int64)), pa.array(whole.view(np.int64))], ["lo", "n", "off", "seed", "stretch"])
+                 pa.array(seed.view(np.int64)), pa.array(whole[:, 0]), pa.array(whole[:, 1])], ["lo", "n", "off", "seed", "stretch", "more"])
             yield pa.RecordBatch.from_arrays(
                 [part.column("rank"), part.column("hash"), pa.ListArray.from_arrays(pa.array(at), found)],
                 ["rank", "hash", "found"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The hash of every window of the stretches that must be compared."""
-    names = ["rank", "seed", "stretch", "n", "off", "o", "window"]
+    """The digest of every window of the stretches that must be compared."""
     for batch in batches:
         for part in pieces(batch, "text"):
             w = Words(part.column("text"), "space")
-            total = sums(w.hashes())
             asked = part.column("asked")
             of = np.repeat(np.arange(len(part)), pc.list_value_length(asked).to_numpy(zero_copy_only=False))
             s = asked.flatten()
@@ -93,9 +101,9 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             o = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
             i = w.first[of[each]] + get("lo")[each] + o
             rank = part.column("rank").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (rank[of[each]], get("seed")[each], get("stretch")[each], get("n")[each], get("off")[each],
-                                       o.astype(np.int32), gram(total, i, i + WINDOW).view(np.int64))], names)
+            window = _digests(w, i, i + WINDOW)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (rank[of[each]], *[get(k)[each] for k in CLASS], o.astype(np.int32), window[:, 0], window[:, 1])],
+                                             ["rank", *CLASS, "o", "window", "rest"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +139,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     """
     found = keep(map_arrow(docs, _occurrences, f"rank long, hash long, found {STRETCH}"))
     each = found.select("rank", "hash", F.explode("found").alias("f")).select("rank", "hash", "f.*")
-    key = ["seed", "stretch", "n", "off"]
+    key = CLASS
     classes = keep(each.groupBy(*key).agg(F.min(F.struct("rank", "hash", "lo")).alias("first"), F.max("rank").alias("last")))
     several = classes.groupBy("seed").agg(
         F.count("*").alias("k"), F.min("first.rank").alias("low"), F.max("first.rank").alias("high")).where("k > 1 and low < high")
@@ -139,11 +147,11 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     asked = asked.groupBy("rank", "hash").agg(F.collect_list("s").alias("asked"))
     texts = docs.join(asked, ["rank", "hash"]).dropDuplicates(["rank", "hash"])
     windows = keep(map_arrow(texts.select("rank", "text", "asked"), _windows,
-                             "rank long, seed long, stretch long, n int, off int, o int, window long"))
+                             "rank long, seed long, stretch long, more long, n int, off int, o int, window long, rest long"))
     place = (F.col("off") - F.col("o")).alias("place")
-    earliest = keep(windows.groupBy("seed", place, "window").agg(F.min("rank").alias("low"), F.max("rank").alias("high"))
+    earliest = keep(windows.groupBy("seed", place, "window", "rest").agg(F.min("rank").alias("low"), F.max("rank").alias("high"))
                     .where("low < high").drop("high"))
-    partly = (windows.withColumn("place", place).join(earliest, ["seed", "place", "window"]).where("rank > low")
+    partly = (windows.withColumn("place", place).join(earliest, ["seed", "place", "window", "rest"]).where("rank > low")
               .groupBy(*key).agg(F.collect_list("o").alias("gone")))
     verdict = keep(classes.join(partly, key, "left").where("last > first.rank or gone is not null")
                    .select(*key, F.col("first.rank").alias("first"), "gone"))

@@ -85,6 +85,16 @@ class Words:
         b = self.bytes
         return [b[s:e].tobytes() for s, e in zip(self.start[i:j].tolist(), self.end[i:j].tolist())]
 
+    def joined(self) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """All words with one space after each, and where each begins and ends there."""
+        size = self.end - self.start
+        start = np.cumsum(size + 1) - size - 1
+        out = np.full(int(size.sum()) + len(size), 32, np.uint8)
+        from_start = np.repeat(self.start - start, size)
+        at = np.arange(int(size.sum())) + np.repeat(np.arange(len(size)), size)
+        out[at] = self.bytes[at + from_start]
+        return out.tobytes(), start, start + size
+
     def _sums(self) -> tuple[np.ndarray, np.ndarray]:
         p, q = _power(BYTE_BASE, len(self.bytes) + 1)
         total = np.zeros(len(self.bytes) + 1, np.uint64)

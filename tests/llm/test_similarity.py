@@ -156,6 +156,16 @@ def test_repeats(spark, seed):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(repeats_brute(rows), key=str)
 
 
+def test_passages_whose_words_only_collide_in_a_polynomial_hash_stay(spark):
+    """Thue-Morse words: sums of any odd base's powers modulo 2**64 are equal for both."""
+    bits = "".join("ab"[k.bit_count() & 1] for k in range(2048))
+    other = bits.translate(str.maketrans("ab", "ba"))
+    rest = " ".join(f"r{k}" for k in range(49))
+    rows = [(0, f"{bits} {rest}"), (1, f"{other} {rest}"), (2, f"{other}\n{rest} x"), (3, " ".join(bits)), (4, " ".join(other)), (5, " ".join(other[:200]))]
+    got = substrings.remove_repeats(frame(spark, rows))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(repeats_brute(rows), key=str)
+
+
 def contamination_brute(rows, items):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     windows = []
