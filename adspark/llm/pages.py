@@ -6,8 +6,9 @@ parent to child, except below html and body, which hold both kinds. One pass up
 content with ``ACCEPT`` or more are kept, in page order.
 
 Both kinds of potentials are trained on labelled pages: a bounded sample of ``SAMPLE`` pages by hash of page_id, labelled by the
-elements that HTML gives a meaning (article or main against nav, aside, footer, form, notices and comments), from a Gaussian prior
-that holds what such elements and class words mean. Pages without article and main teach nothing. Elements whose text is never shown (scripts, styles, head, templates) are never content. Text outside all elements belongs to a body of its own, and what follows
+elements that HTML gives a meaning (article or main against nav, aside, footer, form, notices and comments; of equal hashes those with the smaller
+hash of html, and of each page the first ``SAMPLE_CHARS`` characters), from a Gaussian prior that holds what such elements and class words mean. Pages without article and main teach nothing. Elements whose text is never shown (scripts, styles, head, templates) are never content. Formulas, drawings and form
+controls stand in the line; of these the controls' text goes, and what a drawing shows besides its text. Text outside all elements belongs to a body of its own, and what follows
 </body> or </html> to the open element, as in browsers. Null html counts as empty
 and gives an empty text. Rows that share a page_id are independent. Other columns are ignored. Pages are read whole; parsing is linear.
 """
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -25,17 +27,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adspark.llm.common import map_arrow, table
 
-SAMPLE, ACCEPT, RIDGE = 2_000, 0.5, 1.0
+SAMPLE, SAMPLE_CHARS, ACCEPT, RIDGE = 2_000, 1 << 20, 0.5, 1.0
+#: Nodes whose features are held at once.
+AT_ONCE = 20_000
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)|<[!?/][^>]*+>?""", re.S)
 MARK = re.compile(r"""[>"']""")
 ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 # Elements of HTML by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp".split())
-HIDDEN = frozenset("head script style title template noscript iframe textarea select option button svg math object canvas xmp meta link".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br".split())
+HIDDEN = frozenset("head script style title template noscript iframe textarea object canvas meta link".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br math svg button select".split())
+CONTROLS, FOREIGN, DRAWN = ("button", "select"), ("svg", "math"), ("text", "title", "foreignobject")
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
-SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+SELF_CLOSING: dict[str, set[str]] = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPES = frozenset("ul ol dl table body html article section div nav aside main form footer header blockquote".split())
 TAGS = ("html", "body", "article", "main", "section", "div", "p", "h1", "h2", "h3", "h4", "li", "ul", "ol", "table", "tr", "td", "th", "blockquote", "pre", "dl", "dt", "dd",
         "figure", "figcaption", "nav", "aside", "header", "footer", "form", "hr", "details", "address", "fieldset", "menu", "center")
@@ -65,6 +70,58 @@ def tag_end(html: str, at: int, dead: set[int]) -> int:
     return html.find(">", at)
 
 
+class Open:
+    """The open elements of a page, with counts that say in one step whether an end tag or an implied end has a match.
+
+    An entry is (tag, block, inline): the element, its block, and whether it stands in that block's line.
+    """
+
+    def __init__(self):
+        self.stack: list[tuple[str, int, bool]] = [("#page", 0, False)]
+        self.blocks: Counter = Counter()  # open blocks
+        self.lines: list[Counter] = [Counter()]  # for each block the open elements of its line
+        self.scopes: list[Counter] = [Counter()]  # for each element that ends implied ends, the open blocks since
+        self.all: Counter = Counter()
+
+    def push(self, tag: str, block: int, inline: bool) -> None:
+        self.stack.append((tag, block, inline))
+        self.all[tag] += 1
+        if inline:
+            self.lines[-1][tag] += 1
+            return
+        self.blocks[tag] += 1
+        self.lines.append(Counter())
+        if tag in SCOPES:
+            self.scopes.append(Counter())
+        else:
+            self.scopes[-1][tag] += 1
+
+    def pop(self) -> str:
+        tag, _, inline = self.stack.pop()
+        self.all[tag] -= 1
+        if inline:
+            self.lines[-1][tag] -= 1
+            return tag
+        self.blocks[tag] -= 1
+        self.lines.pop()
+        if tag in SCOPES:
+            self.scopes.pop()
+        else:
+            self.scopes[-1][tag] -= 1
+        return tag
+
+    def pop_to(self, tags: set[str] | frozenset[str], inline: bool) -> None:
+        """Close elements up to the last one of ``tags``, which is open."""
+        while True:
+            is_inline = self.stack[-1][2]
+            if self.pop() in tags and is_inline == inline:
+                return
+
+    def shown(self) -> bool:
+        """Whether text is shown here: not in controls, and in drawings only their text."""
+        return not any(self.all[t] for t in CONTROLS) and (not self.all["svg"] or any(self.all[t] for t in DRAWN))
+
+
 class Page:
     """Block elements of a page (parent before child) and its runs of text in order."""
 
@@ -75,10 +132,13 @@ class Page:
         self.links = [0]
         self._parse(html)
 
+    def _block(self, tag: str, parent: int, words: str, hidden: bool) -> int:
+        for values, value in ((self.tag, tag), (self.parent, parent), (self.words, words), (self.hidden, hidden), (self.links, 0)):
+            values.append(value)
+        return len(self.tag) - 1
+
     def _parse(self, html: str) -> None:
-        stack: list[tuple[str, int]] = [("#page", 0)]  # open elements, each with its block
-        parts: list[str] = []
-        at, in_link = 0, 0
+        now, parts = Open(), []
 
         def run(block: int) -> None:
             text = " ".join("".join(parts).split())
@@ -87,113 +147,117 @@ class Page:
                 self.node.append(block)
                 self.text.append(text)
 
-        def shut(depth: int) -> None:
-            nonlocal in_link
-            run(stack[-1][1])
-            for tag, _ in stack[depth:]:
-                in_link -= tag == "a"
-            del stack[depth:]
-
-        def found(tag: str, block: int) -> None:
-            if not block and not tag.isspace():  # text outside all blocks: a body holds it and what follows
-                block = len(self.tag)
-                for values, value in ((self.tag, "#body"), (self.parent, 0), (self.words, ""), (self.hidden, False), (self.links, 0)):
-                    values.append(value)
-                stack[:] = [stack[0], ("#body", block), *((t, block) for t, _ in stack[1:])]
-            if not self.hidden[block]:
-                s = unescape(tag)
-                parts.append(s)
-                if in_link:
-                    self.links[block] += len(s)
-
-        size, last, dead = len(html), html.rfind(">"), set()
+        def found(text: str, decode: bool = True) -> None:
+            block = now.stack[-1][1]
+            if not block and not text.isspace():  # text outside all blocks: a body holds it and what follows
+                inline = [t for t, _, _ in now.stack[1:]]
+                while len(now.stack) > 1:
+                    now.pop()
+                block = self._block("#body", 0, "", False)
+                now.push("#body", block, False)
+                for t in inline:
+                    now.push(t, block, True)
+            if not self.hidden[block] and now.shown():
+                shown = unescape(text) if decode else text
+                parts.append(shown)
+                if now.all["a"]:
+                    self.links[block] += len(shown)
+
+        at, size, last, dead = 0, len(html), html.rfind(">"), set()
         while at < size:
             m = TOKEN.search(html, at)
-            block = stack[-1][1]
             if m is None:
-                found(html[at:], block)
+                found(html[at:])
                 break
             if m.start() > at:
-                found(html[at:m.start()], block)
+                found(html[at:m.start()])
             at = m.end()
             tag = (m["tag"] or "").lower()
             if not tag:
                 continue
             end = tag_end(html, at, dead) if at <= last else -1
             if end < 0:
-                found(m[0], block)
+                found(m[0])
                 continue
             rest, at = html[at:end], end + 1
             if m["close"]:
-                if tag in ("html", "body"):
-                    continue
-                depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
-                if depth:
-                    if tag in INLINE:
-                        if all(t in INLINE for t, _ in stack[depth:]):
-                            in_link -= sum(t == "a" for t, _ in stack[depth:])
-                            del stack[depth:]
-                    else:
-                        shut(depth)
+                if now.lines[-1][tag]:
+                    now.pop_to({tag}, True)
+                elif tag not in INLINE and now.blocks[tag] and tag not in ("html", "body"):
+                    run(now.stack[-1][1])
+                    now.pop_to({tag}, False)
                 continue
-            if tag in INLINE:
+            foreign = any(now.all[t] for t in FOREIGN) and not now.all["foreignobject"]
+            if foreign and (tag in CLOSES_P or tag in INLINE and tag not in FOREIGN and tag != "a"):  # such a tag ends a drawing or formula left open
+                while any(now.all[t] for t in FOREIGN):
+                    now.pop()
+                foreign = False
+            control = any(now.all[t] for t in CONTROLS)
+            raw = tag in RAW and not (foreign and tag == "title")
+            if tag in INLINE or (foreign or control) and not raw:
                 if tag == "br":
                     parts.append(" ")
                 elif tag not in VOID and not rest.endswith("/"):
-                    stack.append((tag, block))
-                    in_link += tag == "a"
+                    now.push(tag, now.stack[-1][1], True)
+                continue
+            if not (foreign or control):
+                ends = {"p"} if tag in CLOSES_P else SELF_CLOSING.get(tag, set())
+                run(now.stack[-1][1])
+                if any(now.scopes[-1][t] for t in ends):
+                    now.pop_to(ends, False)
+            block = now.stack[-1][1]
+            if not (foreign or control):
+                block = self._block(tag, block, " ".join(v.strip("\"'") for _, v in ATTRIBUTE.findall(rest)) if rest else "", self.hidden[block] or tag in HIDDEN)
+            if not raw:
+                if tag not in VOID:
+                    now.push(tag, block, False)
                 continue
-            ends = {"p"} if tag in CLOSES_P else SELF_CLOSING.get(tag, ())
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in ends:
-                    shut(k)
-                    break
-                if stack[k][0] in SCOPES:
-                    break
-            run(stack[-1][1])
-            block = stack[-1][1]
-            new = len(self.tag)
-            self.tag.append(tag)
-            self.parent.append(block)
-            self.words.append(" ".join(v.strip("\"'") for _, v in ATTRIBUTE.findall(rest)) if rest else "")
-            self.hidden.append(self.hidden[block] or tag in HIDDEN)
-            self.links.append(0)
-            if tag in RAW:
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(html, at)
-                at = end.end() if end else size
-            elif tag not in VOID and not (rest.endswith("/") and tag in ("svg", "math", "path")):
-                stack.append((tag, new))
-        run(stack[-1][1])
-
-    def features(self) -> np.ndarray:
-        """A row for each node: tag, class words, amount of text, share of links, sentences, place and depth."""
+            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(html, at)
+            if tag == "xmp":  # preformatted text, shown as it stands
+                now.push(tag, block, False)
+                found(html[at:end.start() if end else size], decode=False)
+                run(block)
+                now.pop()
+            at = end.end() if end else size
+        run(now.stack[-1][1])
+
+    def _measures(self) -> tuple[np.ndarray, ...]:
+        """Of each node: own text, text below, characters in links, stops, depth."""
         n = len(self.tag)
-        out = np.zeros((n, FEATURES))
         own, stops = np.zeros(n), np.zeros(n)
         for node, text in zip(self.node, self.text):
             own[node] += len(text)
             stops[node] += sum(map(text.count, ".!?;,"))
-        below, links, depth = own.copy(), np.array(self.links, float), np.zeros(n)
+        below, links, depth = own.tolist(), [float(x) for x in self.links], [0] * n
         for k in range(n - 1, 0, -1):
             below[self.parent[k]] += below[k]
             links[self.parent[k]] += links[k]
-        for k, (tag, words) in enumerate(zip(self.tag, self.words)):
-            if k:
-                depth[k] = depth[self.parent[k]] + 1
-            if tag in TAG_AT:
-                out[k, TAG_AT[tag]] = 1
-            if words:
-                out[k, len(TAGS)] = BAD_WORDS.search(words) is not None
-                out[k, len(TAGS) + 1] = GOOD_WORDS.search(words) is not None
-        out[:, len(TAGS) + 2] = np.log1p(own) / 5
-        out[:, len(TAGS) + 3] = np.log1p(below) / 8
-        out[:, len(TAGS) + 4] = np.minimum(1, links / np.maximum(1, below))
-        out[:, len(TAGS) + 5] = np.minimum(1, 20 * stops / np.maximum(1, own))
-        out[:, len(TAGS) + 6] = below / max(1, below[0])
-        out[:, len(TAGS) + 7] = np.arange(n) / n
-        out[:, len(TAGS) + 8] = np.minimum(depth, 12) / 12
-        out[:, len(TAGS) + 9] = 1
-        return out
+        for k in range(1, n):
+            depth[k] = depth[self.parent[k]] + 1
+        return own, np.array(below), np.array(links), stops, np.array(depth)
+
+    def features(self) -> Iterator[np.ndarray]:
+        """A row for each node, ``AT_ONCE`` rows at a time: tag, class words, amount of text, share of links, sentences, place and depth."""
+        own, below, links, stops, depth = self._measures()
+        n = len(self.tag)
+        for a in range(0, n, AT_ONCE):
+            part = slice(a, a + AT_ONCE)
+            out = np.zeros((len(own[part]), FEATURES))
+            for k, (tag, words) in enumerate(zip(self.tag[part], self.words[part])):
+                if tag in TAG_AT:
+                    out[k, TAG_AT[tag]] = 1
+                if words:
+                    out[k, len(TAGS)] = BAD_WORDS.search(words) is not None
+                    out[k, len(TAGS) + 1] = GOOD_WORDS.search(words) is not None
+            out[:, len(TAGS) + 2] = np.log1p(own[part]) / 5
+            out[:, len(TAGS) + 3] = np.log1p(below[part]) / 8
+            out[:, len(TAGS) + 4] = np.minimum(1, links[part] / np.maximum(1, below[part]))
+            out[:, len(TAGS) + 5] = np.minimum(1, 20 * stops[part] / np.maximum(1, own[part]))
+            out[:, len(TAGS) + 6] = below[part] / max(1, below[0])
+            out[:, len(TAGS) + 7] = np.arange(n)[part] / n
+            out[:, len(TAGS) + 8] = np.minimum(depth[part], 12) / 12
+            out[:, len(TAGS) + 9] = 1
+            yield out
 
     def label(self) -> np.ndarray | None:
         """By meaning of the elements, or None if the page has neither article nor main."""
@@ -228,7 +292,7 @@ def train(pages: list[Page]) -> tuple[np.ndarray, np.ndarray]:
         y = page.label()
         if y is None:
             continue
-        rows.append(page.features()[1:])
+        rows.append(np.concatenate([*page.features()])[1:])
         labels.append(y[1:])
         edge = np.array([k for k in range(1, len(y)) if page.tag[page.parent[k]] not in OUTER], int)
         np.add.at(joint, (y[np.array(page.parent, int)[edge]].astype(int), y[edge].astype(int)), 1)
@@ -279,7 +343,7 @@ def _log_sum(a: float, b: float) -> float:
 
 
 def main_text(page: Page, beta: np.ndarray, pair: np.ndarray) -> str:
-    own = np.clip(page.features() @ beta, -30, 30)
+    own = np.clip(np.concatenate([x @ beta for x in page.features()]), -30, 30)
     own[np.array(page.hidden)] = -200
     own[0] = 0
     p = marginals(page.parent, own, pair, [t in OUTER for t in page.tag])
@@ -289,10 +353,10 @@ def main_text(page: Page, beta: np.ndarray, pair: np.ndarray) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars for each row of ``pages``."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    h = F.xxhash64("page_id")
-    last = pages.select(h.alias("h")).orderBy("h").limit(SAMPLE).agg(F.max("h")).first()[0]  # hashes alone are sorted, not pages
-    sample = pages.where(h <= last).select("html").limit(SAMPLE) if last is not None else pages.select("html").limit(0)
-    beta, pair = train([Page(r.html or "") for r in sample.toLocalIterator()])
+    h = F.struct(F.xxhash64("page_id").alias("h"), F.xxhash64("html").alias("of_html"))
+    last = pages.select(h.alias("h")).orderBy("h").limit(SAMPLE).agg(F.max("h").alias("h")).first().h  # hashes alone are sorted, not pages
+    sample = pages.where(h <= F.struct(F.lit(last.h), F.lit(last.of_html))).limit(SAMPLE) if last is not None else pages.limit(0)
+    beta, pair = train([Page(r.html or "") for r in sample.select(F.substring("html", 1, SAMPLE_CHARS).alias("html")).toLocalIterator()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

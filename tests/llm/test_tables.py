@@ -116,6 +116,30 @@ def test_text_outside_all_elements():
     assert pages.main_text(page, *pages.train([])).endswith(text)
 
 
+def runs(html):
+    page = pages.Page(html)
+    return [t for node, t in zip(page.node, page.text) if not page.hidden[node]]
+
+
+def test_formulas_drawings_and_controls_stand_in_the_line():
+    assert runs("<p>Area is <math><mi>x</mi><mo>&lt;</mo></math> plus <button><div>ok</div></button> more <select><option>a<option>b</select>words</p><xmp>raw <b>&amp; text</xmp>") == [
+        "Area is x< plus more words", "raw <b>&amp; text"]
+    assert runs("<p>A <svg><style>p{}</style><title>mark</title><path d=''/><desc>no</desc><text>T<tspan>s</tspan></text></svg> b</p>") == ["A markTs b"]
+    assert runs("<p>A <svg><path d=1>left open<p>B</p><math><mi>y<div>C</div>") == ["A", "B", "y", "C"]
+    assert runs("<p>A <svg><foreignObject><div>in</div></foreignObject></svg> b") == ["A", "in", "b"]
+    assert runs("<ul><li>a <b>x<li>b</ul><table><tr><td>1<td>2<tr><td>3</table>c") == ["a x", "b", "1", "2", "3", "c"]
+    assert runs("<div>a<b>b<div>c</b>d</div>e</b>f</div>g") == ["ab", "cd", "ef", "g"]
+
+
+@pytest.mark.parametrize("html", ["<div>" * 100_000 + "</p></b>" * 100_000, "<b><div>" + "<i>" * 50_000 + "</b>" * 100_000, "<foo>" * 50_000 + "<hr>" * 50_000,
+                                  "<b>" * 50_000 + "</i>" * 50_000 + "<i><div>" + "<u>" * 50_000 + "</i>" * 50_000, "<p><svg>" * 30_000 + "</p>" * 50_000])
+def test_parsing_is_linear(html):
+    import time
+    start = time.process_time()
+    pages.Page(html)
+    assert time.process_time() - start < 6  # a second or two on a quiet machine; minutes if a tag scanned the open ones
+
+
 def test_marginals_are_exact():
     r = np.random.default_rng(2)
     for _ in range(20):
