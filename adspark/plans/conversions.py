@@ -128,7 +128,11 @@ def page_visits(log: DataFrame, ip_map: DataFrame, universe: DataFrame, p: Repor
                 segments: Sequence[int] | None = None) -> DataFrame:
     """Web pixel events, mapped from the address to a universe device."""
     hits = scan_events(log.where(F.col("event") == "segment"), p.page_lookback, p.attribution_end, p.countries)
-    hits = optional_in(hits, "segment_id", _segments(p) if segments is None else segments)
+    return visits_behind(optional_in(hits, "segment_id", _segments(p) if segments is None else segments), ip_map, universe)
+
+
+def visits_behind(hits: DataFrame, ip_map: DataFrame, universe: DataFrame) -> DataFrame:
+    """:func:`page_visits` from the pixel events of the report's segments."""
     hits = hits.select("ip", "country", "segment_id", F.col("event_time").alias("visit_time"))
     return in_rel(inner(hits, ip_map.select("ip", "device_id"), "ip"), universe, ["country", "device_id"])
 
@@ -177,3 +181,17 @@ def usage_thresholds(sessions: DataFrame, id_map: DataFrame, apps: DataFrame, p:
     per_start = rows.groupBy("source_id", "country", F.col("start_time").alias("usage_time")).agg(
         *[F.max(n).alias(n) for n in thresholds])
     return with_ad_id(per_start, id_map)
+
+
+def usage_with_thresholds(sessions: DataFrame, id_map: DataFrame, apps: DataFrame, p: ReportParams,
+                          thresholds: Mapping[str, int]) -> DataFrame:
+    """:func:`app_usage` (rows with ``used``) and :func:`usage_thresholds` (rows with a flag) from one read of the sessions."""
+    rows = app_sessions(sessions, apps, p, p.usage_lookback, p.attribution_end)
+    used = min_seconds("start_time", "end_time", p.min_seconds)
+    in_report = p.in_attribution(F.col("partition_time"))
+    flags = {n: (min_seconds("start_time", "end_time", s) & in_report).cast("int") for n, s in thresholds.items()}
+    rows = rows.withColumns({"used": used, **flags}).where(F.col("used") | (F.greatest(*thresholds, F.lit(0)) == 1))
+    per_source = rows.groupBy("source_id", "country", F.col("start_time").alias("usage_time")).agg(
+        F.bool_or("used").alias("used"), F.sum(F.when(F.col("used"), diff_units("minute", "start_time", "end_time"))).alias("minutes"),
+        *[F.coalesce(F.max(n), F.lit(0)).alias(n) for n in thresholds])
+    return with_ad_id(per_source, id_map)

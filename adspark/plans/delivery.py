@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -11,6 +13,7 @@ from adspark.functions.time import day_of, ts_literal
 from adspark.operators.relational import cond_sum, in_rel, inner, lookup, not_dropped
 from adspark.operators.windows import with_group_min
 from adspark.params import ReportParams
+from adspark.plans import identity
 from adspark.schemas import DELIVERY, conform
 from adspark.sources.scan import scan_events
 
@@ -160,6 +163,63 @@ def report_events(log: DataFrame, creative_map: DataFrame, p: ReportParams) -> D
     return rows.where((kind == "segment") | F.col("_mapped")).drop("_mapped")
 
 
+# Roles of a row of the log in a report with a device universe, each a bit.
+SELLER, OWN, EXPOSURE, ADDRESS, VISIT = (1 << k for k in range(5))
+
+
+def universe_log(log: DataFrame, creative_map: DataFrame, p: ReportParams, roles: int) -> DataFrame:
+    """All that a report with a device universe asks of the log, in one scan: each row with a bit for each of its ``roles``.
+
+    The scan covers the widest range that any role may ask for. How far back our own impressions count is
+    known only from the sellers among these very rows, so that bound is applied to what was read.
+    A row's tests on the event, time and country come before the map is joined, and rows without a role go.
+    """
+    kind, at, kept = F.col("event"), F.col("partition_time"), ~F.coalesce(F.col("dropped"), F.lit(False))
+    segments = [v for v in (p.signup_segment, p.homepage_segment) if v is not None]
+    shown, in_country = kind == "impression", p.in_country(F.col("country"))
+    between = lambda lo, hi: at.between(ts_literal(lo), ts_literal(hi))
+    mapped = {SELLER: F.col("_campaign"), EXPOSURE: F.col("_creative")}
+    tests = {
+        SELLER: shown & p.in_window(at) & in_country,
+        OWN: kept & identity.own_impression(p) & between(p.window_start - timedelta(days=identity.EXTRA_DAYS), p.window_end) & in_country,
+        EXPOSURE: kept & kind.isin("impression", "click") & p.in_window(at) & in_country,
+        ADDRESS: kept & shown & p.in_attribution(at) & in_country & F.col("ip").isNotNull(),
+        VISIT: (kind == "segment") & F.col("segment_id").isin(*segments) & between(p.page_lookback, p.attribution_end)
+               & (F.col("country").isin(*p.countries) if p.countries else F.lit(True)) if segments else F.lit(False),
+    }
+    tests = {k: F.coalesce(v, F.lit(False)) for k, v in tests.items() if k & roles}
+    lo = min([p.window_start, *([p.window_start - timedelta(days=identity.EXTRA_DAYS)] if roles & OWN else []),
+              *([p.page_lookback] if roles & VISIT else [])])
+    rows = log.where(between(lo, p.attribution_end if roles & (ADDRESS | VISIT) else p.window_end))
+
+    def bits(found: dict) -> Column:
+        return reduce(lambda a, b: a.bitwiseOR(b), [F.when(v, k).otherwise(0) for k, v in found.items()])
+
+    columns = ["event", "event_time", "partition_time", "country", "device_id", "campaign_id", "flight_id", "creative_id", "seller_id"]
+    columns += [c for role, c in ((ADDRESS | VISIT, "ip"), (VISIT, "segment_id")) if role & roles]
+    rows = rows.select(*columns, identity.shown_device().alias("own_device_id"), bits(tests).alias("roles")).where(F.col("roles") > 0)
+    campaigns = creative_map.select("campaign_id").distinct().withColumn("_campaign", F.lit(True))
+    creatives = creative_map.select("campaign_id", "creative_id").distinct().withColumn("_creative", F.lit(True))
+    rows = lookup(lookup(rows, campaigns, ["campaign_id"]), creatives, ["campaign_id", "creative_id"])
+    unmapped = bits({k: (F.col("roles").bitwiseAND(F.lit(k)) > 0) & v.isNull() for k, v in mapped.items() if k & roles})
+    return (rows.withColumn("roles", F.col("roles").bitwiseAND(F.bitwise_not(unmapped))).where(F.col("roles") > 0)
+            .drop("_campaign", "_creative"))
+
+
+def with_role(rows: DataFrame, role: int) -> DataFrame:
+    return rows.where(F.col("roles").bitwiseAND(F.lit(role)) > 0)
+
+
+def exposed(rows: DataFrame, creative_map: DataFrame, universe: DataFrame, attach: Sequence[str] = ()) -> DataFrame:
+    """:func:`exposures` from the rows of :func:`universe_log`."""
+    shown = with_role(rows, EXPOSURE).select("device_id", "country", F.col("event_time").alias("exposure_time"),
+                                             "campaign_id", "flight_id", "creative_id", "event")
+    keys = ["campaign_id", "creative_id"]
+    if attach:
+        shown = inner(shown, creative_map.select(*keys, *attach).distinct(), keys)
+    return in_rel(shown, universe, ["country", "device_id"])
+
+
 def regional_log(copy: DataFrame) -> DataFrame:
     """The regional copy in the shape of the log; what it does not hold is NULL."""
     at = F.col("exposure_time")

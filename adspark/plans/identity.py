@@ -21,20 +21,44 @@ def qualified_start(delivery: DataFrame, creative_map: DataFrame, p: ReportParam
     """
     shown = (delivery.where(p.in_window(F.col("partition_time")) & (F.col("event") == "impression")
                             & p.in_country(F.col("country"))))
+    return start_of(in_rel(shown, creative_map.select("campaign_id"), "campaign_id"), p)
+
+
+def start_of(shown: DataFrame, p: ReportParams) -> DataFrame:
+    """:func:`qualified_start` from the impressions of the report's campaigns."""
     known = F.coalesce(F.bool_or(F.col("seller_id").isin(*p.known_sellers)), F.lit(False))
     start = ts_literal(p.window_start)
-    return (in_rel(shown, creative_map.select("campaign_id"), "campaign_id")
-            .agg(known.alias("known_seller"))
+    return (shown.agg(known.alias("known_seller"))
             .withColumn("universe_start", F.when(F.col("known_seller"), start)
                         .otherwise(shift("day", -EXTRA_DAYS, start))))
 
 
+def own_impression(p: ReportParams) -> Column:
+    """Whether a row of the log is an impression that we delivered ourselves."""
+    return (F.col("event") == "impression") & (
+        (F.col("exchange_id") == F.lit(p.own_exchange).cast("long")) | (F.col("seller_id") == F.lit(p.own_seller).cast("string")))
+
+
+def shown_device() -> Column:
+    """The device of an impression, resolved or else the first of those listed."""
+    return F.coalesce("device_id", first_of("device_ids").cast("long"))
+
+
 def device_universe(hardware: DataFrame, delivery: DataFrame, app_opens: DataFrame, id_map: DataFrame,
                     p: ReportParams, start: DataFrame | None = None) -> DataFrame:
     """Devices seen in the window by hardware, by our own impressions or by an app opening.
 
-    Source ids are reduced to distinct ones before they are mapped to devices. ``start`` is the
-    one-row result of :func:`qualified_start`.
+    ``start`` is the one-row result of :func:`qualified_start`.
+    """
+    own = not_dropped(delivery).where(own_impression(p)).withColumn("device_id", shown_device())
+    return universe_with(hardware, own, app_opens, id_map, p, start)
+
+
+def universe_with(hardware: DataFrame, own: DataFrame, app_opens: DataFrame, id_map: DataFrame,
+                  p: ReportParams, start: DataFrame | None = None) -> DataFrame:
+    """:func:`device_universe` where the rows of our own impressions, with their devices, are known.
+
+    Source ids are reduced to distinct ones before they are mapped to devices.
     """
     lo: Column = ts_literal(p.window_start) if start is None else start.select("universe_start").scalar()
     hi = ts_literal(p.window_end)
@@ -45,11 +69,7 @@ def device_universe(hardware: DataFrame, delivery: DataFrame, app_opens: DataFra
 
     sources = union_distinct(*[seen(df).select("country", "source_id") for df in (hardware, app_opens)])
     mapped = inner(sources, id_map.select("source_id", "device_id"), "source_id").select("country", "device_id")
-    own = (not_dropped(seen(delivery)).where(F.col("event") == "impression")
-           .where((F.col("exchange_id") == F.lit(p.own_exchange).cast("long"))
-                  | (F.col("seller_id") == F.lit(p.own_seller).cast("string")))
-           .select("country", F.coalesce("device_id", first_of("device_ids").cast("long")).alias("device_id")))
-    return (union_distinct(mapped, own)
+    return (union_distinct(mapped, seen(own).select("country", "device_id"))
             .where(F.col("device_id").isNotNull()))
 
 
@@ -59,10 +79,14 @@ def universe_size(universe: DataFrame) -> DataFrame:
 
 def ip_device_map(delivery: DataFrame, id_map: DataFrame, p: ReportParams, ip: Column | str = "ip") -> DataFrame:
     """The device last seen behind each address. Same time: the lowest device id."""
-    seen = (not_dropped(delivery)
-            .where(p.in_attribution(F.col("partition_time")) & (F.col("event") == "impression")
-                   & p.in_country(F.col("country")))
-            .select(as_col(ip).alias("ip"), "device_id", "event_time").where(F.col("ip").isNotNull()))
+    seen = not_dropped(delivery).where(
+        p.in_attribution(F.col("partition_time")) & (F.col("event") == "impression") & p.in_country(F.col("country")))
+    return last_behind(seen.withColumn("ip", as_col(ip)), id_map)
+
+
+def last_behind(seen: DataFrame, id_map: DataFrame) -> DataFrame:
+    """:func:`ip_device_map` from the impressions that tell addresses."""
+    seen = seen.select("ip", "device_id", "event_time").where(F.col("ip").isNotNull())
     known = in_rel(seen, id_map, "device_id")
     last = latest_per_key(known, ["ip"], [F.col("event_time").desc(), F.col("device_id")])
     return inner(last, id_map, "device_id").select("ip", "source_id", "device_id")

@@ -1,8 +1,8 @@
 """Reports: the weekly partner report and the creative, download, campaign and time tables.
 
 Aggregates are joined to a spine of campaign rows. Both are small next to the logs. Steps read by
-several aggregates are staged. The weekly report reads the delivery log once; those with a device
-universe read it for the seller test, for the universe and for the exposures.
+several aggregates are staged. Every report reads the delivery log once: the rows it needs, with the
+roles they play, are staged, and the seller test, universe, exposures, addresses and visits are read from there.
 """
 
 from __future__ import annotations
@@ -62,6 +62,15 @@ def universe_of(t: Tables, creative_map: DataFrame, p: ReportParams) -> DataFram
     return identity.device_universe(t.hardware, t.delivery, t.app_opens, t.id_map, p, start)
 
 
+def read_once(t: Tables, creative_map: DataFrame, p: ReportParams, also: int = 0) -> tuple[DataFrame, DataFrame]:
+    """The staged rows of the log that the report needs (``also``: further roles), and the device universe."""
+    roles = delivery.SELLER | delivery.OWN | delivery.EXPOSURE | also
+    rows = stage(delivery.universe_log(t.delivery, creative_map, p, roles))
+    start = identity.start_of(delivery.with_role(rows, delivery.SELLER), p)
+    own = delivery.with_role(rows, delivery.OWN).withColumn("device_id", F.col("own_device_id"))
+    return rows, stage(identity.universe_with(t.hardware, own, t.app_opens, t.id_map, p, start))
+
+
 def partner_weekly_report(t: Tables, p: ReportParams, source: str = "log") -> DataFrame:
     """43 columns per campaign, flight, line item and creative, for all countries in one job.
 
@@ -233,8 +242,8 @@ def weekly_delivery(t: Tables, regions: dict[str, Sequence[str]], p: ReportParam
 def creative_report(t: Tables, p: ReportParams) -> DataFrame:
     """Impressions, clicks, any-touch opens, last-touch first opens and cost per creative."""
     cmap = mapping.creative_map(t.mapping, p)
-    universe = stage(universe_of(t, cmap, p))
-    shown = stage(delivery.exposures(t.delivery, cmap, p, universe))
+    rows, universe = read_once(t, cmap, p)
+    shown = stage(delivery.exposed(rows, cmap, universe))
     usage = stage(conversions.app_usage(t.sessions, t.id_map, t.apps, p))
     first = conversions.first_app_open(usage, p, universe, open_ended=True)
     lines = cmap.select("line_item_start").distinct()
@@ -334,14 +343,14 @@ def campaign_table(t: Tables, p: ReportParams,
     delivery day on ``match_on``, names by default.
     """
     cmap = mapping.creative_map(t.mapping, p)
-    universe = stage(universe_of(t, cmap, p))
+    rows, universe = read_once(t, cmap, p, delivery.ADDRESS | delivery.VISIT)
     dims = ["campaign_id", "creative_id", "creative_name", "placement_id", "placement_name"]
     attach = [d for d in dims if d not in ("campaign_id", "creative_id")]
     money = ["line_item_start", "line_item_end", "rate_type", "rate", "booked_impressions", "booked_budget"]
-    shown = stage(delivery.exposures(t.delivery, cmap, p, universe, attach=attach))
+    shown = stage(delivery.exposed(rows, cmap, universe, attach))
     usage = stage(conversions.app_usage(t.sessions, t.id_map, t.apps, p))
-    ip_map = identity.ip_device_map(t.delivery, t.id_map, p)
-    visits = stage(conversions.page_visits(t.delivery, ip_map, universe, p))
+    ip_map = identity.last_behind(delivery.with_role(rows, delivery.ADDRESS), t.id_map)
+    visits = stage(conversions.visits_behind(delivery.with_role(rows, delivery.VISIT), ip_map, universe))
     first_visits = conversions.first_visit(visits, p)
     first = conversions.first_app_open(usage, p, universe)
     used = conversions.usage_since_first_line(usage, cmap.select("line_item_start").distinct())
@@ -391,11 +400,11 @@ TIME_LABELS = {"1min time spent": "over_60", "5min time spent": "over_300"}
 def time_table(t: Tables, p: ReportParams) -> DataFrame:
     """New users by placement that used the app for at least one and at least five minutes."""
     cmap = mapping.creative_map(t.mapping, p)
-    universe = stage(universe_of(t, cmap, p))
-    shown = stage(delivery.exposures(t.delivery, cmap, p, universe))
-    usage = conversions.app_usage(t.sessions, t.id_map, t.apps, p)
-    first = conversions.first_app_open(usage, p, universe)
-    long_use = conversions.usage_thresholds(t.sessions, t.id_map, t.apps, p, TIME_THRESHOLDS)
+    rows, universe = read_once(t, cmap, p)
+    shown = stage(delivery.exposed(rows, cmap, universe))
+    sessions = stage(conversions.usage_with_thresholds(t.sessions, t.id_map, t.apps, p, TIME_THRESHOLDS))
+    first = conversions.first_app_open(sessions.where("used"), p, universe)
+    long_use = sessions.where(F.greatest(*[F.col(c) for c in TIME_THRESHOLDS], F.lit(0)) == 1)
     return attribution.threshold_converters(shown, long_use, first, cmap, p, TIME_LABELS)
 
 

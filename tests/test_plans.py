@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from adspark.operators import windows as W
 from adspark.operators.relational import in_rel
 from adspark.plans import attribution, conversions, delivery, identity, lift
-from adspark.plans.reports import KEYS, REPORT_COLUMNS, partner_weekly_report
+from adspark.plans.reports import KEYS, REPORT_COLUMNS, campaign_table, creative_report, partner_weekly_report, time_table
+from adspark.stage import stage
 from adspark.workload import measurement as M, queries
 from adspark.workload.tables import PARAMS as P, Source
 
@@ -42,6 +43,30 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert re.search(r"ReadSchema: struct<l_extendedprice:double,l_returnflag:string,l_shipdate:timestamp_ntz>", plan)
 
 
+@pytest.mark.parametrize("report", [creative_report, campaign_table, time_table, partner_weekly_report])
+def test_a_report_reads_the_log_once(spark, source, monkeypatch, tmp_path, report):
+    """Scans of the log (and of the sessions) in all plans that a report runs: staged steps and the result."""
+    from dataclasses import replace
+    from adspark.operators import touch
+    from adspark.plans import reports
+    paths = {}
+    for name in ("delivery", "sessions"):
+        paths[name] = f"{tmp_path}/{name}"
+        getattr(source.report_tables, name).write.parquet(paths[name])
+    t = replace(source.report_tables, **{n: spark.read.parquet(path) for n, path in paths.items()})
+    plans = []
+
+    def spy(df, name=None):
+        plans.append(plan_of(df))
+        return stage(df, name)
+
+    for module in (reports, touch):
+        monkeypatch.setattr(module, "stage", spy)
+    plans.append(plan_of(report(t, P)))
+    for path in paths.values():
+        assert sum(len(re.findall(rf"FileScan parquet [^\n]*{re.escape(path)}", x)) for x in plans) == 1
+
+
 def test_latest_per_key_limits_before_the_shuffle(spark, source):
     plan = plan_of(W.latest_per_key(source.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"]))
     assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
