@@ -6,13 +6,14 @@ from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from adspark.functions.time import date_literal, diff_units
+from adspark.functions.time import date_literal, day_of, diff_units, ts_literal
 from adspark.operators.relational import in_rel, inner, min_seconds, not_dropped
 from adspark.params import ReportParams
 from adspark.plans.identity import with_ad_id
 from adspark.schemas import REGIONAL_EXPOSURE, REGIONAL_USAGE, conform
-from adspark.sinks.tables import rows_to_append
+from adspark.sinks.tables import append_changed, rows_to_append
 from adspark.sources.scan import scan_events
+from adspark.stage import stage
 
 REREAD_WEEKS = 2
 # Regions that log sessions, and the one that logs openings only.
@@ -76,3 +77,19 @@ def import_app_usage(source: DataFrame, id_map: DataFrame, apps: DataFrame, targ
     batch = regional_usage(source, id_map, apps, p, region, run_date)
     held = target.where(F.col("usage_time") >= batch.agg(F.min("usage_time")).scalar())
     return rows_to_append(batch, held, USAGE_KEYS, date_literal(run_date))
+
+
+def import_exposures_into(log: DataFrame, campaigns: DataFrame, path: str, run_date: date) -> list[date]:
+    """A night's import into the copy at ``path``: the days of the re-read window that changed are compared, the others not even joined."""
+    lo, hi = reread_window(run_date)
+    batch = regional_exposures(log, campaigns, run_date)
+    return append_changed(batch, path, EXPOSURE_KEYS, day_of("exposure_time"), date_literal(run_date),
+                          since=F.col("exposure_time").between(ts_literal(lo), ts_literal(hi)))
+
+
+def import_app_usage_into(source: DataFrame, id_map: DataFrame, apps: DataFrame, path: str, p: ReportParams, region: str,
+                          run_date: date) -> list[date]:
+    """The same for app usage. A changed identity map changes rows, so the digests are those of the mapped batch."""
+    batch = stage(regional_usage(source, id_map, apps, p, region, run_date))
+    since = F.col("usage_time") >= batch.agg(F.min("usage_time")).scalar()
+    return append_changed(batch, path, USAGE_KEYS, day_of("usage_time"), date_literal(run_date), since=since)

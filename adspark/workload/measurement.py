@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
 from adspark.operators.relational import in_rel
-from adspark.plans import attribution, audience, conversions, delivery, finance, identity, lift, mapping
+from adspark.plans import attribution, audience, conversions, delivery, finance, identity, lift, lookback, mapping
 from adspark.plans.reports import KEYS, TIME_LABELS, TIME_THRESHOLDS, universe_of
 from adspark.schemas import schema
 from adspark.sinks import export_csv
@@ -234,6 +234,48 @@ def q_first_event_window(s: Source):
     return first(s)
 
 
+def _days(*spans: tuple[int, int]) -> list:
+    """Days counted from 1 December 2023."""
+    return [[date(2023, 12, 1) + timedelta(days=k) for k in range(lo, hi)] for lo, hi in spans]
+
+
+@query("first_event_incremental", "SELECT * FROM first", "first")
+def q_first_event_incremental(s: Source):
+    # The last days first, then the others, some of them a second time, and a month folded before it is taken again.
+    state = lookback.usage_state(f"{work_dir(s.spark)}/usage")
+    for days in _days((40, 62), (0, 45), (3, 8)):
+        lookback.advance_usage(state, s.sessions, P, days)
+        state.fold(s.spark, date(2024, 1, 20))
+    return lookback.first_app_open(state, s.id_map, s.apps, P, universe(s))
+
+
+@query("first_visits_incremental", f"""
+    SELECT device_id, country, segment_id, MIN(visit_time) AS visit_time FROM pixels GROUP BY ALL
+    HAVING MIN(visit_time) BETWEEN {W0} AND {WA}""", "pixels")
+def q_first_visits_incremental(s: Source):
+    state = lookback.visit_state(f"{work_dir(s.spark)}/visits")
+    for days in _days((50, 62), (25, 52)):
+        lookback.advance_visits(state, s.log, days)
+    return lookback.first_visit(state, s.spark, P)
+
+
+@query("app_users_incremental", "SELECT country, COUNT(DISTINCT device_id) AS app_users FROM usage GROUP BY 1", "usage")
+def q_app_users_incremental(s: Source):
+    state = lookback.usage_state(f"{work_dir(s.spark)}/usage")
+    for days in _days((0, 31), (20, 62)):
+        lookback.advance_usage(state, s.sessions, P, days)
+    state.fold(s.spark, date(2024, 1, 20))
+    return lookback.app_users(state, s.id_map, s.apps, P)
+
+
+@query("ip_device_map_incremental", "SELECT ip, device_id, c_name AS source_id FROM ips JOIN customer ON c_custkey = device_id", "ips")
+def q_ip_device_map_incremental(s: Source):
+    state = lookback.address_state(f"{work_dir(s.spark)}/addresses")
+    for days in _days((45, 62), (30, 47)):
+        lookback.advance_addresses(state, s.log, days)
+    return lookback.ip_device_map(state, s.id_map, P)
+
+
 @query("downloads_total", "SELECT COUNT(*) AS downloads FROM first", "first")
 def q_downloads_total(s: Source):
     return conversions.downloads_total(first(s))

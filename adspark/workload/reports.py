@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -201,6 +201,18 @@ def q_import_exposures(s: Source):
     return imports.import_exposures(s.log, campaigns, held, RUN)
 
 
+@query("import_exposures_nightly", f"""
+    SELECT *, CASE WHEN exposure_time < TIMESTAMP '2024-01-15' THEN DATE '2024-01-15' ELSE DATE '2024-01-22' END AS date_imported
+    FROM ({_EXPOSED} {_IMPORT.replace("'2024-01-08'", "'2024-01-01'")})""", "log")
+def q_import_exposures_nightly(s: Source):
+    # Two nights a week apart, the second one twice.
+    path = f"{work_dir(s.spark)}/exposures"
+    campaigns = mapping.active_campaigns(s.book, s.campaigns, s.oms, RUN)
+    for night in (RUN - timedelta(days=7), RUN, RUN):
+        imports.import_exposures_into(s.log, campaigns, path, night)
+    return s.spark.read.parquet(path)
+
+
 _USED = """
     SELECT device_id, {at} AS usage_time, country, app_id, {minutes} AS minutes, COUNT(*) AS usage_count, DATE '2024-01-22' AS date_imported
     FROM sessions WHERE app_id IN (SELECT app_id FROM apps WHERE product_name = 'app_0') {more}
