@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from adspark.functions.columns import as_col, seeded_order
-from adspark.stage import shared_dir, stage
+from adspark.stage import written
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -35,49 +35,51 @@ def with_group_min(df: DataFrame, keys: Sequence[str], col: str, name: str) -> D
     return df.join(low, on=list(keys), how="left")
 
 
-def _numbered(df: DataFrame, order: Sequence[Column], size: Column) -> DataFrame:
-    """Rows in global order with ``_before``: the sum of ``size`` over all rows in front of them.
+def _in_ranges(df: DataFrame, order: Sequence[Column], number: Column) -> DataFrame:
+    """The rows with their range of the order (``_range``) and ``number``, a window function, inside it (``_in``).
 
-    Both readers of the ranges must see the same ranges. They are staged in the shared folder, or
-    cached where there is none.
+    They are written once and read from there. Rows that are equal in the order are dealt by a hash of the whole
+    row, so that a frequent value fills no single range.
     """
-    ranged = (df.withColumn("_size", size).repartitionByRange(*order)
-              .withColumn("_range", F.spark_partition_id()))
-    ranged = stage(ranged) if shared_dir(df.sparkSession) else ranged.persist()
-    # One row per range, at most spark.sql.shuffle.partitions of them.
-    sizes = ranged.groupBy("_range").agg(F.sum("_size").alias("_n"))
-    offsets = sizes.select("_range", F.coalesce(
-        F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (ranged.withColumn("_inside", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
-            .join(offsets, "_range")
-            .withColumn("_before", F.col("_offset") + F.col("_inside"))
-            .drop("_range", "_inside", "_offset", "_size"))
+    ranged = df.repartitionByRange(*order, F.xxhash64(*df.columns)).withColumn("_range", F.spark_partition_id())
+    return written(ranged.withColumn("_in", number.over(Window.partitionBy("_range").orderBy(*order))))
+
+
+def _offsets(ranged: DataFrame, *facts: Column) -> DataFrame:
+    """A row for each range, at most spark.sql.shuffle.partitions of them: the rows in front of it, and ``facts``."""
+    in_front = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"), *facts)
+    return sizes.withColumn("_offset", F.coalesce(F.sum("_n").over(in_front), F.lit(0)))
 
 
 def row_rank(df: DataFrame, order: Sequence[str], name: str = "row_num") -> DataFrame:
     """Global RANK: rows with equal order columns share a number, and the next number has a gap.
 
-    Ties are counted first, so the numbering sees each distinct key once.
+    The input is read once and no row is joined back: whole rows are numbered inside ranges of the order. Only a range's first value
+    may have begun in an earlier range. Its rank is the least that the ranges beginning or ending with it give it.
     """
-    keys = df.groupBy(*order).agg(F.count("*").alias("_ties"))
     cols = [F.col(c).asc_nulls_last() for c in order]
-    ranked = _numbered(keys, cols, F.col("_ties")).select(
-        *[F.col(c).alias(f"_k_{c}") for c in order], (F.col("_before") + 1).alias(name))
-    on = [df[c].eqNullSafe(ranked[f"_k_{c}"]) for c in order]
-    return df.join(ranked, on).drop(*[f"_k_{c}" for c in order])
+    ranged = _in_ranges(df, cols, F.rank())
+    value = F.struct(*[x for k, c in enumerate(order) for x in (F.col(c).isNull().alias(f"n{k}"), F.col(c).alias(f"v{k}"))])
+    ranges = written(_offsets(ranged, F.min(value).alias("_first"), F.max(value).alias("_last"), F.max("_in").alias("_last_in")))
+    ends = F.explode(F.array(F.struct(F.col("_first").alias("v"), (F.col("_offset") + 1).alias("rank")),
+                             F.struct(F.col("_last").alias("v"), (F.col("_offset") + F.col("_last_in")).alias("rank"))))
+    begun = ranges.select(ends.alias("e")).groupBy("e.v").agg(F.min("e.rank").alias("_start"))
+    ranges = ranges.join(begun, F.col("_first") == F.col("v")).select("_range", "_offset", "_first", "_start")
+    ranked = F.when(value == F.col("_first"), F.col("_start")).otherwise(F.col("_offset") + F.col("_in"))
+    return ranged.join(ranges, "_range").select(*df.columns, ranked.cast("long").alias(name))
 
 
 def random_ntile(df: DataFrame, key: str, n: int, seed: int = 0, name: str = "tile") -> DataFrame:
     """Split rows (unique by ``key``) at random into ``n`` tiles whose sizes differ by at most one."""
     ordered = df.withColumn("_order", seeded_order(key, seed))
-    numbered = _numbered(ordered, [F.col("_order"), as_col(key)], F.lit(1))
+    ranged = _in_ranges(ordered, [F.col("_order"), as_col(key)], F.row_number())
+    numbered = ranged.join(_offsets(ranged).select("_range", "_offset"), "_range")
     total = F.col("_total")
     small, rest = F.floor(total / n), total % n
-    row = F.col("_before") + 1
+    row = F.col("_offset") + F.col("_in")
     edge = rest * (small + 1)
     tile = F.when(row <= edge, F.ceil(row / (small + 1))).otherwise(
         rest + F.ceil((row - edge) / F.greatest(small, F.lit(1))))
-    return (numbered.withColumn("_total", df.agg(F.count("*")).scalar())
-            .withColumn(name, tile.cast("long")).drop("_before", "_order", "_total"))
+    return (numbered.withColumn("_total", ranged.agg(F.count("*")).scalar())
+            .withColumn(name, tile.cast("long")).drop("_range", "_in", "_offset", "_order", "_total"))

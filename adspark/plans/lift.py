@@ -42,8 +42,12 @@ def lift(imps: DataFrame, usage: DataFrame, universe_size: DataFrame, by: Sequen
         group.append("impression_group")
         shown = shown.withColumn("impression_group", bucket_cap("_imps", frequency_cap))
     users = _per_device(usage)
-    # A device occurs once per group now, so plain counts are distinct counts.
     exposed = lookup(shown, users.withColumn("_user", F.lit(1)), ["country", "device_id"])
+    return _rates(exposed, users, universe_size, group)
+
+
+def _rates(exposed: DataFrame, users: DataFrame, universe_size: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The columns of :func:`lift`. ``exposed`` has a device once per group, so plain counts are distinct counts."""
     exposed = exposed.groupBy(*group).agg(
         F.count("_user").alias("exposed_users"), F.sum("_hours").alias("exposed_hours"),
         F.count("*").alias("reach"), F.sum("_imps").alias("imps")).where(F.col("exposed_users") > 0)
@@ -69,23 +73,32 @@ CUTS = {"overall": None, "frequency": None, "placement": "line_item_name", "crea
 
 def subscriber_lift(log: DataFrame, meta: DataFrame, matched: DataFrame, universe_size: DataFrame, p: ReportParams,
                     frequency_cap: int, cuts: Mapping[str, str | None] = CUTS) -> DataFrame:
-    """All cuts of :func:`lift` in one run, as rows of ``cut`` and ``value``.
+    """All cuts of :func:`lift` in one pass, as rows of ``cut`` and ``value``.
 
-    Usage, universe and the impressions of each device and creative are staged: the log is read once,
-    and every cut starts from the counts.
+    The counts per device and creative meet the users once. Only then is each row dealt to the groups of all
+    cuts that the metadata puts its creative in, and a device's rows in one group are added up where the join has put them;
+    each carries the device's flag and hours, so that distinct counts are sums. The log is read once.
     """
-    counts = stage(delivery.creative_impressions_per_device(log, meta, p))
-    usage, size = stage(matched), stage(universe_size)
-
-    def cut(name: str, column: str | None) -> DataFrame:
-        by = [column] if column else []
-        imps = delivery.cut_impressions(counts, meta, ["order_number", *by])
-        rows = lift(imps, usage, size, by, frequency_cap if name == "frequency" else None)
-        value = "impression_group" if name == "frequency" else column
-        rows = rows.withColumns({"cut": F.lit(name), "value": (F.col(value) if value else F.lit(None)).cast("string")})
-        return rows.drop(value) if value else rows
-
-    return union_all(*[cut(name, column) for name, column in cuts.items()])
+    counts = delivery.creative_impressions_per_device(log, meta, p)
+    users = stage(_per_device(matched))
+    named = [(name, column) for name, column in cuts.items() if name != "frequency"]
+    whole = "overall" if "overall" in cuts else "_overall"  # the groups that buckets of frequency are made from
+    if "frequency" in cuts and "overall" not in cuts:
+        named.append((whole, None))
+    groups = F.array(*[F.struct(F.lit(name).alias("cut"), "order_number",
+                                (F.col(column) if column else F.lit(None)).cast("string").alias("value")) for name, column in named])
+    member = (meta.select(*delivery.IN_CAMPAIGN, F.explode(groups).alias("g")).groupBy(*delivery.IN_CAMPAIGN)
+              .agg(F.collect_set("g").alias("groups")))
+    flagged = lookup(counts, users.withColumn("_user", F.lit(1)), ["country", "device_id"])
+    dealt = flagged.join(member, list(delivery.IN_CAMPAIGN)).select("country", "device_id", "imps", "_user", "_hours", F.explode("groups").alias("g"))
+    shown = dealt.groupBy("country", "device_id", "g.cut", "g.order_number", "g.value").agg(
+        F.sum("imps").alias("_imps"), F.first("_user").alias("_user"), F.first("_hours").alias("_hours"))
+    if "frequency" in cuts:
+        bucket = F.struct(F.lit("frequency").alias("cut"), bucket_cap("_imps", frequency_cap).cast("string").alias("value"))
+        own = F.struct("cut", "value")
+        both = F.when(F.col("cut") == whole, F.array(own, bucket) if "overall" in cuts else F.array(bucket)).otherwise(F.array(own))
+        shown = shown.withColumn("g", F.explode(both)).drop("cut", "value").select("*", "g.cut", "g.value")
+    return _rates(shown, users, stage(universe_size), ["country", "order_number", "cut", "value"])
 
 
 def daily_exposure(imps: DataFrame, usage: DataFrame, universe_size: DataFrame) -> DataFrame:

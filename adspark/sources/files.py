@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from adspark.stage import shared_dir, stage
+from adspark.stage import written
 
 CORRUPT = "_corrupt_record"
 
@@ -31,11 +31,11 @@ def read_csv_tolerant(spark: SparkSession, path: str, schema: T.StructType,
                       max_errors: int, **options) -> tuple[DataFrame, DataFrame]:
     """The readable rows of a CSV, and the text of the rejected ones, at most ``max_errors``.
 
-    Parsed once, into the shared folder (or the cache): Spark refuses to query the column of broken
+    Parsed once, into a written table: Spark refuses to query the column of broken
     rows alone on the raw file, because nothing else would be parsed then.
     """
     parsed = _permissive(spark, path, schema, **options)
-    parsed = stage(parsed) if shared_dir(spark) else parsed.persist()
+    parsed = written(parsed)
     bad = parsed.where(F.col(CORRUPT).isNotNull()).count()
     if bad > max_errors:
         raise BadRowsError(f"{bad} bad rows in {path}, at most {max_errors} allowed")

@@ -37,6 +37,15 @@ def stage(df: DataFrame, name: str | None = None) -> DataFrame:
     return df
 
 
+def written(df: DataFrame) -> DataFrame:
+    """:func:`stage` for steps that must not be computed twice: without a shared folder, and Spark local, in a local one."""
+    if _base(df.sparkSession):
+        return stage(df)
+    path = work_dir(df.sparkSession)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def drop_stages(spark: SparkSession) -> None:
     """Delete what this application staged. Call it when the results have been written."""
     base = _base(spark)

@@ -67,18 +67,55 @@ def test_a_report_reads_the_log_once(spark, source, monkeypatch, tmp_path, repor
         assert sum(len(re.findall(rf"FileScan parquet [^\n]*{re.escape(path)}", x)) for x in plans) == 1
 
 
+def test_all_cuts_of_the_lift_meet_the_users_once(spark, source):
+    usage, size = M.matched(source), identity.universe_size(M.universe(source))
+    rows = lift.subscriber_lift(source.log, source.mapping, usage, size, P, 20)
+    plan = plan_of(rows)
+    assert len(re.findall(r"(?:Join|JoinExec)[^\n]*LeftOuter", plan)) == 1 and "Union" not in plan
+    every = {tuple(x) for x in rows.select(*sorted(rows.columns)).collect()}
+    for cuts in ({"frequency": None}, {"creative": "creative_id"}, {"overall": None, "placement": "line_item_name"}):
+        some = lift.subscriber_lift(source.log, source.mapping, usage, size, P, 20, cuts)
+        assert {tuple(x) for x in some.select(*sorted(rows.columns)).collect()} == {x for x in every if x[sorted(rows.columns).index("cut")] in cuts}
+
+
 def test_latest_per_key_limits_before_the_shuffle(spark, source):
     plan = plan_of(W.latest_per_key(source.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"]))
     assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
 
 
-def test_global_order_is_not_one_task(spark, source):
+def test_global_order_is_not_one_task(spark, source, monkeypatch):
+    plans = []
+    from adspark.operators import windows
+    from adspark.stage import written
+
+    def spy(df):
+        plans.append(plan_of(df))
+        return written(df)
+
+    monkeypatch.setattr(windows, "written", spy)
     ranked = W.row_rank(source.orders, ["o_custkey", "o_orderpriority"])
     ranked.collect()
     plan = plan_of(ranked)
     # The only single-partition step adds up the sizes of the ranges.
     assert plan.count("SinglePartition") <= 1
-    assert "rangepartitioning" not in plan  # already done when the ranges were staged
+    assert "rangepartitioning" not in plan  # already done when the ranges were written
+    assert sum(x.count("orders.parquet") for x in [*plans, plan]) == 1 and "SortMergeJoin" not in plan
+
+
+def test_rank_of_values_that_fill_many_ranges(spark):
+    import random
+    r = random.Random(1)
+    merge, before = "spark.sql.adaptive.coalescePartitions.enabled", spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set(merge, "false")
+    try:
+        for values in ([1] * 700, [1] * 300 + [2] * 400 + [None] * 200, [r.choice([None, 1, 2, 2, 2, 2, 3, 9]) for _ in range(900)], []):
+            rows = [(v, r.choice("ab"), k) for k, v in enumerate(values)]
+            got = W.row_rank(spark.createDataFrame(rows, "v long, s string, k long"), ["v", "s"]).collect()
+            key = lambda x: (x[0] is None, x[0] or 0, x[1])
+            line = sorted(map(key, rows))
+            assert sorted((x.k, x.row_num) for x in got) == [(k, line.index(key(x)) + 1) for k, x in enumerate(rows)]
+    finally:
+        spark.conf.set(merge, before)
 
 
 def test_hot_device_is_split_in_joins(spark):
