@@ -158,17 +158,6 @@ def left_star(spine: DataFrame, arms: Iterable[tuple[DataFrame, Sequence[str]]])
     return reduce(lambda acc, arm: lookup(acc, arm[0], list(arm[1])), arms, spine)
 
 
-def point_in_interval(points: DataFrame, intervals: DataFrame, keys: Sequence[str], ts: str,
-                      lo: str, hi: str, how: str = "inner") -> DataFrame:
-    """Points with the intervals of their key that hold them, a row for each of several; ``how="left"`` also
-    keeps points in none. The intervals are a dimension (line items)."""
-    p, i = points.alias("p"), intervals.alias("i")
-    on = reduce(lambda a, b: a & b, [F.col(f"p.{k}") == F.col(f"i.{k}") for k in keys])
-    on = on & F.col(f"p.{ts}").between(F.col(f"i.{lo}"), F.col(f"i.{hi}"))
-    extra = [F.col(f"i.{c}") for c in intervals.columns if c not in points.columns]
-    return p.join(i, on, how).select("p.*", *extra)
-
-
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Add the columns of a one-row aggregate to every row, as scalar subqueries."""
     return df.withColumns({c: one_row.select(c).scalar() for c in one_row.columns})

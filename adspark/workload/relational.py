@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from adspark.functions import columns as C, time as T
 from adspark.operators import relational as R, windows as W
+from adspark.operators.intervals import point_in_interval as in_interval
 from adspark.params import default_window, mapping_window, window_edges
 from adspark.schemas import conform, schema
 from adspark.sources import map_rows, scan_between_dim, scan_events, split_column
@@ -322,7 +323,7 @@ def self_parent(s: Source):
     GROUP BY ALL""", "log", "mapping")
 def point_in_interval(s: Source):
     spans = s.mapping.select("campaign_id", "creative_id", "line_item_id", "line_item_start", "line_item_end")
-    rows = R.point_in_interval(s.log, spans, ["campaign_id", "creative_id"], "event_time", "line_item_start", "line_item_end")
+    rows = in_interval(s.log, spans, ["campaign_id", "creative_id"], "event_time", "line_item_start", "line_item_end")
     return rows.groupBy("campaign_id", "line_item_id").agg(
         F.count("*").alias("n"), F.min("event_time").alias("first_seen"))
 
@@ -339,7 +340,7 @@ def point_in_interval_left(s: Source):
     spans = [rows.select("campaign_id", F.lit(name).alias("name"), F.col("line_item_start").alias("lo"),
                          F.expr(f"line_item_end + INTERVAL {days} DAY").alias("hi"))
              for name, days in (("as booked", 0), ("with a day after", 1))]
-    rows = R.point_in_interval(s.log, spans[0].unionByName(spans[1]), ["campaign_id"], "event_time", "lo", "hi", how="left")
+    rows = in_interval(s.log, spans[0].unionByName(spans[1]), ["campaign_id"], "event_time", "lo", "hi", how="left")
     return rows.groupBy("campaign_id", "name").agg(F.count("*").alias("n"), F.min("event_time").alias("first_seen"))
 
 

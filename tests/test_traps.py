@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adspark.functions import columns as C, time as T
+from adspark.operators.intervals import point_in_interval
 from adspark.operators import relational as R, windows as W
 from adspark.params import ReportParams, default_window, report_window
 from adspark.plans import attribution, audience, conversions, delivery, finance, identity, imports, lift, mapping
@@ -298,9 +299,55 @@ def test_interval_join_keeps_points_in_none(make):
     points = make("k long, t timestamp_ntz", (1, "2024-01-01 05:00:00"), (1, "2024-01-09 00:00:00"), (2, "2024-01-01 00:00:00"))
     spans = make("k long, name string, lo timestamp_ntz, hi timestamp_ntz", (1, "a", "2024-01-01 00:00:00", "2024-01-02 00:00:00"),
                  (1, "b", "2024-01-01 04:00:00", "2024-01-03 00:00:00"))
-    got = R.point_in_interval(points, spans, ["k"], "t", "lo", "hi", how="left")
+    got = point_in_interval(points, spans, ["k"], "t", "lo", "hi", how="left")
     assert values(got, "k", "name") == sorted([(1, "a"), (1, "b"), (1, None), (2, None)], key=repr)
-    assert R.point_in_interval(points, spans, ["k"], "t", "lo", "hi").count() == 2
+    assert point_in_interval(points, spans, ["k"], "t", "lo", "hi").count() == 2
+
+
+def test_points_in_many_intervals_of_one_key(spark):
+    """Against brute force, with keys of few and of many intervals; and the rows that the join makes for a hot key."""
+    import random
+    rnd, day = random.Random(4), datetime(2024, 1, 1)
+    at = lambda most: day + timedelta(microseconds=rnd.randrange(most * 10**6))
+    spans, points = [], []
+    for k, (n, most) in enumerate([(2, 1000), (30, 50), (30, 10**7), (0, 10), (60, 3), (5, 10**6)]):
+        spans += [(k, f"{k}-{i}", *(sorted((at(most), at(most))) if rnd.random() < .9 else (at(most), at(most)))) for i in range(n)]
+        points += [(k, at(most) if rnd.random() < .8 else None) for _ in range(60)]
+        points += [(k, rnd.choice(spans)[2 + rnd.randrange(2)]) for _ in range(20) if spans]
+    points += [(None, day), (77, day)] + points[:10]
+    spans += [(None, "n", day, day), (1, "open", None, day), (1, "back", day + timedelta(days=1), day)]
+    p = spark.createDataFrame(points, "k long, t timestamp_ntz")
+    i = spark.createDataFrame(spans, "k long, name string, lo timestamp_ntz, hi timestamp_ntz")
+    inner = [(k, t, name) for k, t in points for j, name, lo, hi in spans if k is not None and k == j and t and lo and lo <= t <= hi]
+    left = inner + [(k, t, None) for k, t in points if not any(k == j and k is not None and t and lo and lo <= t <= hi for j, _, lo, hi in spans)]
+    for few in (0, 4, 1000):
+        for how, want in (("inner", inner), ("left", left)):
+            got = point_in_interval(p, i, ["k"], "t", "lo", "hi", how, few).select("k", "t", "name").collect()
+            assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr), (few, how)
+
+
+def test_a_hot_key_joins_in_proportion_to_its_points(spark):
+    """100,000 points and 10,000 disjoint intervals of one key: a billion pairs if the key alone were joined."""
+    n, m = 100_000, 10_000
+    second = lambda s: F.timestamp_seconds(s).cast("timestamp_ntz")
+    points = spark.range(n).select(F.lit(1).alias("k"), second(F.col("id") * 7 % 600_000).alias("t"))
+    spans = spark.range(m).select(F.lit(1).alias("k"), F.col("id").alias("name"), second(F.col("id") * 60).alias("lo"), second(F.col("id") * 60 + 49).alias("hi"))
+    found = point_in_interval(points, spans, ["k"], "t", "lo", "hi")
+    inside = sum((i * 7 % 600_000) % 60 < 50 for i in range(n))
+    assert len(found.collect()) == inside
+    metrics, nodes = [], [found._jdf.queryExecution().executedPlan()]
+    while nodes:  # rows that any step made
+        node = nodes.pop()
+        values = node.metrics()
+        if values.contains("numOutputRows"):
+            metrics.append(values.apply("numOutputRows").value())
+        children = node.children()
+        nodes += [children.apply(c) for c in range(children.size())]
+        if "AdaptiveSparkPlan" in node.nodeName():
+            nodes.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            nodes.append(node.plan())
+    assert n <= max(metrics) <= 12 * n
 
 
 # ---- regional copies
