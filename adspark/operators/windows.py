@@ -70,6 +70,13 @@ def row_rank(df: DataFrame, order: Sequence[str], name: str = "row_num") -> Data
     return ranged.join(ranges, "_range").select(*df.columns, ranked.cast("long").alias(name))
 
 
+def numbered_rows(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Rows (unique by ``order``) with their place in the order, from 0 on without gaps."""
+    ranged = _in_ranges(df, [F.col(c) for c in order], F.row_number())
+    numbered = ranged.join(_offsets(ranged).select("_range", "_offset"), "_range")
+    return numbered.select(*df.columns, (F.col("_offset") + F.col("_in") - 1).cast("long").alias(name))
+
+
 def random_ntile(df: DataFrame, key: str, n: int, seed: int = 0, name: str = "tile") -> DataFrame:
     """Split rows (unique by ``key``) at random into ``n`` tiles whose sizes differ by at most one."""
     ordered = df.withColumn("_order", seeded_order(key, seed))

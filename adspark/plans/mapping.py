@@ -44,10 +44,12 @@ class StaleMappingError(RuntimeError):
     """The creative mapping is too old, or empty, to report on."""
 
 
-def assert_fresh(mapping: DataFrame, run_date: date, max_age_days: int = MAX_MAP_AGE_DAYS,
+def assert_fresh(mapping: DataFrame, run_date: date | None, max_age_days: int = MAX_MAP_AGE_DAYS,
                  ts_col: str = "last_update") -> None:
-    """Fail if the mapping was last updated ``max_age_days`` or more days ago, or holds nothing."""
-    age = mapping.agg(F.date_diff(date_literal(run_date), F.max(ts_col)).alias("age")).first()["age"]
+    """Fail if the mapping was last updated ``max_age_days`` or more days before the run (today, if the run
+    has no date), or holds nothing."""
+    run = F.current_date() if run_date is None else date_literal(run_date)
+    age = mapping.agg(F.date_diff(run, F.max(ts_col)).alias("age")).first()["age"]
     if age is None or age >= max_age_days:
         raise StaleMappingError(f"mapping age in days: {age}")
 
@@ -242,17 +244,18 @@ def creative_map(mapping: DataFrame, p: ReportParams) -> DataFrame:
         "line_item_start", "line_item_end", "rate_type", "rate", "booked_impressions", "booked_budget").distinct()
 
 
-def creative_map_from_csv(spark: SparkSession, path: str, p: ReportParams, max_errors: int) -> DataFrame:
-    """The same from a delivered mapping file, in which a limited number of rows may be broken."""
-    rows, _ = read_csv_tolerant(spark, path, MAPPING_CSV, max_errors)
+def creative_map_from_csv(spark: SparkSession, path: str, p: ReportParams, max_errors: int) -> tuple[DataFrame, DataFrame]:
+    """The same from a delivered mapping file, in which a limited number of rows may be broken; and those rows."""
+    rows, rejected = read_csv_tolerant(spark, path, MAPPING_CSV, max_errors)
     rows = (rows.withColumn("line_item_start", F.col("campaign_start").cast("timestamp_ntz"))
             .withColumn("line_item_end", F.col("campaign_end").cast("timestamp_ntz")))
     active = overlaps(F.to_date("line_item_start"), F.to_date("line_item_end"),
                       date_literal(p.start), date_literal(p.end))
-    return rows.where(active & p.in_country(F.col("country"))).select(
+    rows = rows.where(active & p.in_country(F.col("country"))).select(
         "country", "campaign_id", "campaign_name", "creative_id", "creative_name",
         F.col("line_item_id").alias("placement_id"), F.col("line_item_name").alias("placement_name"),
         "line_item_start", "line_item_end").distinct()
+    return rows, rejected
 
 
 META_COLUMNS = ("target_country", "country", "order_number", "advertiser_id", "advertiser_name", "order_name",

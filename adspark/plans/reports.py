@@ -62,6 +62,11 @@ def universe_of(t: Tables, creative_map: DataFrame, p: ReportParams) -> DataFram
     return identity.device_universe(t.hardware, t.delivery, t.app_opens, t.id_map, p, start)
 
 
+def _fresh_map(t: Tables, p: ReportParams) -> DataFrame:
+    mapping.assert_fresh(t.mapping, p.run_date)
+    return mapping.creative_map(t.mapping, p)
+
+
 def read_once(t: Tables, creative_map: DataFrame, p: ReportParams, also: int = 0) -> tuple[DataFrame, DataFrame]:
     """The staged rows of the log that the report needs (``also``: further roles), and the device universe."""
     roles = delivery.SELLER | delivery.OWN | delivery.EXPOSURE | also
@@ -77,13 +82,12 @@ def partner_weekly_report(t: Tables, p: ReportParams, source: str = "log") -> Da
     The delivery log is scanned once, for all kinds of event. With ``source='regional'`` exposures and
     usage come from the regional copies, which know devices and no source ids, trackers or segments:
     a device's openings at one time get one credit, video steps are 0 and page visits NULL.
-    A mapping that is too old for the run date stops the report.
+    A mapping that is too old for the run date (or, without one, for today) stops this report and all others.
     """
     if source not in ("log", "regional"):
         raise ValueError(f"unknown source: {source}")
     regional = source == "regional"
-    if p.run_date is not None:
-        mapping.assert_fresh(t.mapping, p.run_date)
+    mapping.assert_fresh(t.mapping, p.run_date)
     meta = mapping.campaign_meta(t.mapping, p)
     creatives = mapping.report_creatives(meta)
     markets = creatives.select(F.col("target_country").alias("country")).distinct()
@@ -241,7 +245,7 @@ def weekly_delivery(t: Tables, regions: dict[str, Sequence[str]], p: ReportParam
 
 def creative_report(t: Tables, p: ReportParams) -> DataFrame:
     """Impressions, clicks, any-touch opens, last-touch first opens and cost per creative."""
-    cmap = mapping.creative_map(t.mapping, p)
+    cmap = _fresh_map(t, p)
     rows, universe = read_once(t, cmap, p)
     shown = stage(delivery.exposed(rows, cmap, universe))
     usage = stage(conversions.app_usage(t.sessions, t.id_map, t.apps, p))
@@ -279,7 +283,7 @@ def regional_creative_report(t: Tables, p: ReportParams, opens_only: bool = Fals
     First opens come from the whole lookback, credited usage and downloads from the report days.
     ``opens_only`` is for markets that log openings without duration.
     """
-    cmap = mapping.creative_map(t.mapping, p).withColumn("country", F.col("target_country"))
+    cmap = _fresh_map(t, p).withColumn("country", F.col("target_country"))
     by = ["country", "campaign_id", "creative_id"]
     shown = stage(delivery.exposures(t.delivery, cmap, p, keys=by))
     if opens_only:
@@ -342,7 +346,7 @@ def campaign_table(t: Tables, p: ReportParams,
     Opens are any touch, the others last touch; all are dated by the conversion and joined to the
     delivery day on ``match_on``, names by default.
     """
-    cmap = mapping.creative_map(t.mapping, p)
+    cmap = _fresh_map(t, p)
     rows, universe = read_once(t, cmap, p, delivery.ADDRESS | delivery.VISIT)
     dims = ["campaign_id", "creative_id", "creative_name", "placement_id", "placement_name"]
     attach = [d for d in dims if d not in ("campaign_id", "creative_id")]
@@ -399,7 +403,7 @@ TIME_LABELS = {"1min time spent": "over_60", "5min time spent": "over_300"}
 
 def time_table(t: Tables, p: ReportParams) -> DataFrame:
     """New users by placement that used the app for at least one and at least five minutes."""
-    cmap = mapping.creative_map(t.mapping, p)
+    cmap = _fresh_map(t, p)
     rows, universe = read_once(t, cmap, p)
     shown = stage(delivery.exposed(rows, cmap, universe))
     sessions = stage(conversions.usage_with_thresholds(t.sessions, t.id_map, t.apps, p, TIME_THRESHOLDS))

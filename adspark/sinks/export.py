@@ -24,18 +24,47 @@ MAX_ROWS = 999_999
 def export_csv(df: DataFrame, path: str, order_cols: Sequence[str] = ()) -> str:
     """One headered, uncompressed file at ``path``, replacing what is there.
 
-    For lists that must arrive as a single file, which one task has to write. Reports of unknown size
-    go through :func:`export_paged`.
+    For lists that must arrive as a single file, of whatever size: all tasks write a range of the order, without headers, and
+    the parts are put together behind one header. A file system that can append whole files (HDFS) does so without
+    copying; elsewhere the bytes are streamed from part to file.
     """
     spark = df.sparkSession
-    one = df.repartition(1)
-    one = one.sortWithinPartitions(*order_cols) if order_cols else one
+    ordered = df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols) if order_cols else df
     parts = f"{path}.parts-{uuid.uuid4().hex}"
-    one.write.options(**CSV_DIALECT).csv(parts)
-    _move_single(spark, parts, path)
+    ordered.write.options(**{**CSV_DIALECT, "header": False}).csv(parts)
+    _join_parts(spark, parts, path, df.columns)
     return path
 
 
+def _join_parts(spark, folder: str, path: str, columns: Sequence[str]) -> None:
+    """The part files of a folder, in order, behind a header, as one file."""
+    fs, src = _fs(spark, folder)
+    parts = sorted((s.getPath() for s in fs.listStatus(src) if s.getPath().getName().startswith("part-") and s.getLen() > 0),
+                   key=lambda x: x.getName())  # parts are numbered in the order of their ranges
+    _, whole = _fs(spark, f"{folder}/whole")
+    header = ",".join('"' + c.replace('"', '""') + '"' for c in columns) + "\n"
+    out = fs.create(whole)
+    out.write(bytearray(header.encode()))
+    if fs.getScheme() == "hdfs" and parts:
+        out.close()
+        array = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(parts))
+        for k, part in enumerate(parts):
+            array[k] = part
+        fs.concat(whole, array)
+    else:
+        for part in parts:
+            data = fs.open(part)
+            spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(data, out, 1 << 20, False)
+            data.close()
+        out.close()
+    _, dst = _fs(spark, path)
+    fs.mkdirs(dst.getParent())
+    if fs.exists(dst):
+        fs.delete(dst, False)
+    fs.rename(whole, dst)
+    fs.delete(src, True)
+
+
 def _move_single(spark, folder: str, path: str) -> None:
     """Move the only part file of a folder; several would mean that rows are left behind."""
     fs, src = _fs(spark, folder)

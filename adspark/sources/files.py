@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from adspark.stage import written
+from adspark.stage import written_with
 
 CORRUPT = "_corrupt_record"
 
@@ -31,12 +31,12 @@ def read_csv_tolerant(spark: SparkSession, path: str, schema: T.StructType,
                       max_errors: int, **options) -> tuple[DataFrame, DataFrame]:
     """The readable rows of a CSV, and the text of the rejected ones, at most ``max_errors``.
 
-    Parsed once, into a written table: Spark refuses to query the column of broken
+    Parsed once, into a written table, and the rejected rows are counted on the way: Spark refuses to query the column of broken
     rows alone on the raw file, because nothing else would be parsed then.
     """
     parsed = _permissive(spark, path, schema, **options)
-    parsed = written(parsed)
-    bad = parsed.where(F.col(CORRUPT).isNotNull()).count()
+    parsed, seen = written_with(parsed, bad=F.count(CORRUPT))
+    bad = seen["bad"]
     if bad > max_errors:
         raise BadRowsError(f"{bad} bad rows in {path}, at most {max_errors} allowed")
     return (parsed.where(F.col(CORRUPT).isNull()).select(*[F.col(f.name) for f in schema]),

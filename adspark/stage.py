@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -46,6 +46,24 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_with(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
+    """:func:`written`, and aggregates of the rows taken while they are written, without a job of their own.
+
+    They are taken in the writing tasks, of which each partition counts once, however often a task is tried.
+    """
+    seen = Observation()
+    out = written(df.observe(seen, *[m.alias(n) for n, m in measures.items()]))
+    return out, dict(seen.get)
+
+
+def written_counted(df: DataFrame, whole: str, parts: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """The written rows, and a row ``stage, rows`` for all of them (``whole``) and for those that meet each test."""
+    tests = {f"_{k}": F.count_if(test) for k, test in enumerate(parts.values())}
+    out, seen = written_with(df, _all=F.count(F.lit(1)), **tests)
+    counts = [(whole, seen["_all"]), *((name, seen[f"_{k}"]) for k, name in enumerate(parts))]
+    return out, df.sparkSession.createDataFrame(counts, "stage string, rows long")
+
+
 def drop_stages(spark: SparkSession) -> None:
     """Delete what this application staged. Call it when the results have been written."""
     base = _base(spark)

@@ -72,7 +72,7 @@ def creative_map_csv(s: Source):
     rows = s.mapping.withColumns({
         "campaign_start": F.col("line_item_start").cast("string"), "campaign_end": F.col("line_item_end").cast("string")})
     conform(rows, MAPPING_CSV).write.options(**CSV_DIALECT).csv(f"{folder}/mapping")
-    return mapping.creative_map_from_csv(s.spark, f"{folder}/mapping", P, max_errors=250)
+    return mapping.creative_map_from_csv(s.spark, f"{folder}/mapping", P, max_errors=250)[0]
 
 
 @query("table_by_name", "SELECT o_orderstatus, COUNT(*) AS n FROM orders GROUP BY 1")

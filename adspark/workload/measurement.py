@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, functions as F
 
 from adspark.operators.relational import in_rel
-from adspark.plans import attribution, audience, conversions, delivery, finance, identity, lift, lookback, mapping
+from adspark.plans import attribution, audience, conversions, delivery, finance, identity, lift, lookback, mapping, reach
 from adspark.plans.reports import KEYS, TIME_LABELS, TIME_THRESHOLDS, universe_of
 from adspark.schemas import schema
 from adspark.sinks import export_csv
@@ -148,6 +148,15 @@ def q_reach_frequency(s: Source):
     return rounded(delivery.reach_frequency(shown(s), ["country", "campaign_id"]), "frequency")
 
 
+@query("reach_cube", " UNION ALL ".join(f"""
+    SELECT '{name}' AS cut, {", ".join(c if c in by else f"NULL AS {c}" for c in ("campaign_id", "country", "creative_id", "flight_id", "week"))},
+           COUNT(*) AS impressions, COUNT(DISTINCT device_id) AS reach, round(COUNT(*)::DOUBLE / NULLIF(COUNT(DISTINCT device_id), 0), 6) AS frequency
+    FROM (SELECT *, CAST(date_trunc('week', exposure_time) AS DATE) AS week FROM shown WHERE event = 'impression')
+    GROUP BY {", ".join(by) if by else "() HAVING COUNT(*) > 0"}""" for name, by in reach.CUBE.items()), "shown")
+def q_reach_cube(s: Source):
+    return rounded(reach.reach_of(shown(s)), "frequency")
+
+
 @query("impressions_per_device", "SELECT country, device_id, order_number, day, CAST(SUM(imps) AS BIGINT) AS imps FROM imps GROUP BY ALL", "imps")
 def q_impressions_per_device(s: Source):
     return delivery.impressions_per_device(s.log, s.mapping, P, ["order_number"], daily=True)

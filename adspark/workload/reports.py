@@ -10,7 +10,7 @@ from adspark.plans import conversions, delivery, imports, mapping, reports
 from adspark.schemas import schema
 from adspark.sinks import page_of
 from adspark.sources import read_csv
-from adspark.stage import work_dir
+from adspark.stage import work_dir, written_counted
 from adspark.workload.measurement import TIME_SQL, _CPM, first, rounded, shown, visits
 from adspark.workload.registry import query
 from adspark.workload.sql import D0, USAGE0, VIEWS, W0, W1, WA
@@ -576,13 +576,16 @@ def q_downloads_vs_exposures(s: Source):
     SELECT 'shown' AS stage, COUNT(*) AS rows FROM media UNION ALL SELECT 'native', COUNT(*) FROM media WHERE media = 'native'
     UNION ALL SELECT 'ctv', COUNT(*) FROM media WHERE media = 'ctv' UNION ALL SELECT 'stvp', COUNT(*) FROM media WHERE media = 'stvp'""", "media")
 def q_profile_counts(s: Source):
-    parts = {m: s.media.where(F.col("media") == m) for m in ("native", "ctv", "stvp")}
-    return reports.profile_counts({"shown": s.media, **parts})
+    return _profile(s)
 
 
 @query("profile_additive", """
     SELECT CAST(COUNT(*) AS BIGINT) AS whole, CAST(COUNT(*) FILTER (media IN ('native', 'ctv', 'stvp')) AS BIGINT) AS parts,
            COUNT(*) = COUNT(*) FILTER (media IN ('native', 'ctv', 'stvp')) AS additive FROM media""", "media")
 def q_profile_additive(s: Source):
-    parts = {m: s.media.where(F.col("media") == m) for m in ("native", "ctv", "stvp")}
-    return reports.profile_additive(reports.profile_counts({"shown": s.media, **parts}), "shown")
+    return reports.profile_additive(_profile(s), "shown")
+
+
+def _profile(s: Source) -> DataFrame:
+    # Counted while the step is written for its readers.
+    return written_counted(s.media, "shown", {m: F.col("media") == m for m in ("native", "ctv", "stvp")})[1]

@@ -56,6 +56,34 @@ def test_placeholder(spark):
     assert [(r["id"], str(r["report_execution_date"])) for r in rows] == [(None, "2024-01-22")]
 
 
+def test_one_file_from_many_tasks(spark, tmp_path):
+    """Three ranges, one header; order and dialect as a single task would write them."""
+    rows = [(k % 50, f'a "quoted", name\\n {k}' if k % 3 else None, "" if k % 2 else "x") for k in range(3000)]
+    df = spark.createDataFrame(rows, 'id long, `na"me` string, e string').repartition(3)
+    merge, before = "spark.sql.adaptive.coalescePartitions.enabled", spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set(merge, "false")
+    try:
+        path = export_csv(df, str(tmp_path / "many.csv"), ["id", 'na"me'])
+        plain = df.repartition(1).sortWithinPartitions("id", 'na"me')
+        from adspark.sinks.export import CSV_DIALECT
+        plain.write.options(**CSV_DIALECT).csv(str(tmp_path / "plain"))
+    finally:
+        spark.conf.set(merge, before)
+    one = next((tmp_path / "plain").glob("part-*.csv")).read_text().splitlines()
+    many = open(path).read().splitlines()
+    assert many[0] == one[0] and sorted(many) == sorted(one) and [x.split(",")[0] for x in many] == [x.split(",")[0] for x in one]
+    assert os.listdir(tmp_path) and not [x for x in os.listdir(tmp_path) if ".parts-" in x]
+    assert open(export_csv(df.where("false"), str(tmp_path / "none.csv"))).read() == '"id","na""me","e"\n'
+
+
+def test_counts_are_taken_while_rows_are_written(spark, tmp_path):
+    from adspark.stage import written_counted
+    df = spark.range(0, 1000, numPartitions=7).withColumn("k", F.col("id") % 3)
+    rows, counts = written_counted(df, "all", {"zero": F.col("k") == 0, "none": F.col("k") == 9})
+    assert sorted(map(tuple, counts.collect())) == [("all", 1000), ("none", 0), ("zero", 334)] and rows.count() == 1000
+    assert sorted(map(tuple, written_counted(df.where("false"), "all", {})[1].collect())) == [("all", 0)]
+
+
 def test_single_file_replaces(spark, tmp_path):
     path = str(tmp_path / "list.csv")
     for n in (5, 2):

@@ -62,6 +62,34 @@ def test_days_in_any_order_and_number_merge_as_the_whole_does(spark, tmp_path):
     assert s.vacuum(spark) > 0 and s.vacuum(spark) == 0 and got() == want
 
 
+def test_reach_adds_up_over_days_and_numbers_stay(spark):
+    from adspark.plans import reach
+    r = random.Random(9)
+    rows = [(r.choice([None, *range(50)]) if r.random() < .9 else 40_000 + k, r.choice(["US", "CA", None]), r.randrange(3), r.randrange(2), r.randrange(4),
+             r.choice(["impression"] * 4 + ["click"]), datetime(2024, 1, 1) + timedelta(hours=r.randrange(24 * 20))) for k in range(900)]
+    df = spark.createDataFrame(rows, "device_id long, country string, campaign_id long, flight_id long, creative_id long, event string, exposure_time timestamp_ntz")
+    old = reach.device_numbers(df.where("device_id < 10"))
+    numbers = reach.device_numbers(df, old)
+    every = {x.device_id: x.number for x in numbers.collect()}
+    assert sorted(every.values()) == list(range(len({x[0] for x in rows} - {None}))) and all(every[k] < 10 for k in every if k < 10)
+    halves = [df.where(f"exposure_time {op} '2024-01-09'") for op in ("<", ">=")]
+    days = reach.daily_bitmaps(halves[0], numbers).unionByName(reach.daily_bitmaps(halves[1], numbers))
+    want = {}
+    names = sorted({c for by in reach.CUBE.values() for c in by})
+    for device, country, campaign, flight, creative, event, at in rows:
+        if event == "impression":
+            facts = {"country": country, "campaign_id": campaign, "flight_id": flight, "creative_id": creative, "week": at.date() - timedelta(days=at.weekday())}
+            for cut, by in reach.CUBE.items():
+                seen = want.setdefault((cut, *[facts[c] if c in by else None for c in names]), [0, set()])
+                seen[0] += 1
+                seen[1] |= {device} - {None}
+    cube = reach.reach_cube(days)
+    got = {tuple(x[c] for c in ("cut", *names)): (x.impressions, x.reach) for x in cube.collect()}
+    assert got == {k: (n, len(devices)) for k, (n, devices) in want.items()}
+    plan = cube._jdf.queryExecution().optimizedPlan().toString()
+    assert "device_id" not in "".join(line for line in plan.splitlines() if "Expand" in line)
+
+
 def test_days_without_rows_and_days_never_taken(spark, tmp_path):
     s = state(tmp_path / "s")
     s.take(frame(spark, []), F.to_date("at"), [D0])

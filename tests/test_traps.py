@@ -216,6 +216,18 @@ def test_stale_mapping(make):
     for stale in (make(ddl, ("2024-01-15 00:00:00",)), make(ddl, ("2024-01-15 00:00:00",)).where("false")):
         with pytest.raises(mapping.StaleMappingError):
             mapping.assert_fresh(stale, date(2024, 1, 22))
+        with pytest.raises(mapping.StaleMappingError):
+            mapping.assert_fresh(stale, None)  # no run date: as of today
+    mapping.assert_fresh(make(ddl, (str(datetime.now()),)), None)
+
+
+def test_every_report_stops_on_a_stale_mapping_also_without_a_run_date(spark):
+    from adspark.plans import reports
+    from adspark.workload.tables import PARAMS, Source
+    t = Source(spark, "/root/testdata/sf0.001").report_tables
+    for report in (reports.creative_report, reports.regional_creative_report, reports.campaign_table, reports.time_table, reports.partner_weekly_report):
+        with pytest.raises(mapping.StaleMappingError):
+            report(t, PARAMS.but(run_date=None))
 
 
 def test_product_with_two_custom_fields_keeps_its_country(make):
