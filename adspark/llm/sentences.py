@@ -5,7 +5,7 @@ last piece first). No piece crosses from a word to the next mark, so marked word
 independent. The distinct marked words of a batch are sorted, which lays out their trie, and walked in that order depth first; a word keeps the forward scores of
 the prefix that it shares with the one before. Characters without a piece become byte pieces at the price of an unknown one, so that decoding returns the text.
 
-Words already seen stay in a table of bounded size in each Python worker. Null and empty texts have no ids and decode to empty. The mark U+2581
+Words already seen stay in a table of at most ``TABLE_BYTES`` in each Python worker; long ones aren't kept. Null and empty texts have no ids and decode to empty. The mark U+2581
 in a text decodes to a space. Rows are independent of one another, other columns don't matter.
 """
 
@@ -26,7 +26,9 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 
 from adspark.llm.common import map_arrow, small_batches, table
 
-MARK, UNKNOWN_PENALTY, TABLE_WORDS = "▁", 10.0, 400_000
+MARK, UNKNOWN_PENALTY = "▁", 10.0
+#: Bytes of the table of words, what Python needs for an entry, and the longest word kept (characters).
+TABLE_BYTES, ENTRY, LONGEST = 128 << 20, 250, 64
 WORD = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -59,7 +61,7 @@ class Vocabulary:
             raise ValueError("the vocabulary has no byte pieces")
         self.unknown = min(s for s, _ in self.score.values()) - UNKNOWN_PENALTY
         self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known_bytes = 0
         #: By the last three characters of pieces, their lengths, longest first.
         self.lengths: dict[str, list[int]] = {}
         for piece in sorted(self.score, key=len, reverse=True):
@@ -111,17 +113,18 @@ class Vocabulary:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         split = [WORD.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        if self.known_bytes > TABLE_BYTES:
+            self.known, self.known_bytes = {}, 0
         new = set().union(*split) - self.known.keys() if split else set()
-        if len(self.known) + len(new) > TABLE_WORDS:  # the words in use stay, those of two tables ago go
-            self.known, self.older = {}, self.known
-            new = set().union(*split)
-        if self.older:
-            again = new & self.older.keys()
-            self.known.update((w, self.older[w]) for w in again)
-            new -= again
         self.learn(new)
         get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        out = [b"".join(map(get, words)) for words in split]
+        for word in new:
+            if len(word) > LONGEST:  # whole paragraphs, where a script has no spaces
+                del self.known[word]
+            else:
+                self.known_bytes += ENTRY + 2 * len(word) + len(self.known[word])
+        return out
 
     def decode(self, ids: bytes) -> str:
         text = b"".join(map(self.out.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -136,7 +139,7 @@ def vocabulary(path: str) -> Vocabulary:
 def encoded(docs: DataFrame, model: str | None = None) -> DataFrame:
     """``docs`` with token_ids, their number n_tokens, and text as it decodes from them; null texts become empty."""
     path = model or default_model()
-    kept = [c for c in docs.columns if c not in ("token_ids", "n_tokens")]
+    kept = [c for c in docs.columns if c.lower() not in ("token_ids", "n_tokens")]  # Spark compares names without case
     docs = docs.select(*kept)
     at = kept.index("text")
 
