@@ -2,7 +2,7 @@
 
 Base spans are exact patterns with checks (Luhn, parts of an address, number of digits). Looser patterns propose more spans of the same
 kinds: spelt-out addresses, numbers in other groupings, addresses of version six. On every proposed span five labelers vote for, against or not
-at all: the base rule, a shape check, a gazetteer (top-level domains, issuers, ranges), cue words before the span, and its borders. Expectation
+at all: the base rule, a shape check, a gazetteer (endings of domains, card issuers, address ranges, calling codes: :mod:`adspark.llm.gazetteer`), cue words before the span, and its borders. Expectation
 maximisation over all spans of all documents, counted by pattern of votes, estimates how reliable each labeler is for each kind without any
 label; its posteriors train a logistic classifier on votes and shape, which decides on the spans that aren't base. Those are added where
 they overlap no base span; base spans always stay.
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adspark.llm.common import map_arrow, small_batches, table
+from adspark.llm.gazetteer import Gazetteer
 
 KINDS = ("email", "ip", "card", "phone")
 ACCEPT, ROUNDS = 0.9, 50
@@ -37,14 +39,15 @@ LOOSE = {
     "card": re.compile(r"(?<![0-9./])[0-9]{4}([./])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9./])"),
     "phone": re.compile(r"(?<![0-9.+/-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9.-]*[0-9])|(?<![0-9.+/-])00[1-9][0-9](?:[ -]?[0-9]){6,12}(?![0-9])"),
 }
-# Cue words in four languages, common endings of domains.
+# Cue words in four languages.
 CUES = {
     "email": {"mail", "email", "e-mail", "contact", "kontakt", "correo", "courriel", "write", "schreiben"},
     "ip": {"ip", "host", "server", "address", "adresse", "client", "from"},
     "card": {"card", "visa", "mastercard", "karte", "carte", "tarjeta", "credit", "payment"},
     "phone": {"phone", "tel", "telephone", "call", "mobile", "fax", "telefon", "anruf", "appel", "telefono", "llame"},
 }
-ENDINGS = {"com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "eu", "uk", "us", "co"}
+LISTS = Gazetteer()
+GROUPED = re.compile(r"[0-9]{3}\)?[ .-]+[0-9]{3}[ .-][0-9]{4}$")
 VOTERS = 5
 
 
@@ -118,17 +121,17 @@ def votes(text: str, kind: str, start: int, end: int, base: bool) -> tuple[int,
     if kind == "email":
         ending = re.split(r"[.)\]} ]+", s)[-1].lower()
         shape = 1 if 2 <= len(ending) <= 12 and ending.isalpha() else -1
-        known = 1 if ending in ENDINGS else 0
+        known = LISTS.domain(ending)
     elif kind == "ip":
         parts = s.split(".") if "." in s else []
         shape = 1 if not parts or all(len(p) <= 3 and int(p) <= 255 for p in parts) else -1
-        known = (-1 if parts[0].lstrip("0") == "" else 1) if parts else 1
+        known = LISTS.address(s)
     elif kind == "card":
         shape = 1 if luhn(d) else -1
-        known = 1 if re.match(r"4|5[1-5]|2[2-7]|3[47]|6(?:011|5)", d) else -1
+        known = LISTS.card(d)
     else:
         shape = 1 if 9 <= len(d) <= 15 else -1
-        known = 1 if s[0] == "+" or re.search(r"[0-9]{3}\)?[ .-]+[0-9]{3}[ .-][0-9]{4}$", s) else 0
+        known = LISTS.phone(s, d) or (1 if GROUPED.search(s) else 0)
     cue = 1 if CUES[kind] & set(re.findall(r"[\w-]+", text[max(0, start - 40):start].lower())) else 0
     near = text[max(0, start - 1):start] + text[end:end + 1]
     border = -1 if any(c.isalnum() or c in "_/=&" for c in near) else 1
@@ -213,10 +216,17 @@ def spans(text: str, model: dict[str, np.ndarray]) -> tuple[dict[str, list[tuple
         elif kind in model and 1 / (1 + np.exp(-np.clip(_features(np.array([pattern]))[0] @ model[kind], -30, 30))) >= ACCEPT:
             extra.append((start, end, kind))
     found = {k: list(v) for k, v in base.items()}
-    taken = sorted(x for v in base.values() for x in v)
+    begins, ends = [], []  # what base spans cover, as ranges apart
+    for a, b in sorted(x for v in base.values() for x in v):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            begins.append(a)
+            ends.append(b)
     free = 0
     for start, end, kind in sorted(extra):
-        if start >= free and not any(a < end and start < b for a, b in taken):
+        k = bisect_left(begins, end) - 1  # the last range that begins before the end
+        if start >= free and (k < 0 or ends[k] <= start):
             found[kind].append((start, end))
             free = end
     return base, {k: sorted(v) for k, v in found.items()}

@@ -243,6 +243,35 @@ def test_estimated_reliability_beats_a_bad_labeler():
     assert ((p > .5) == truth).mean() > .94
 
 
+def test_gazetteer():
+    from adspark.llm.gazetteer import Gazetteer
+    g = Gazetteer()
+    assert [g.domain(x) for x in ("com", "de", "zzz")] == [1, 1, 0]
+    assert [g.card(x) for x in ("4111111111111111", "378282246310005", "2720990000000000", "2721990000000000", "9999999999999999", "41111111111111")] == [1, 1, 1, -1, -1, -1]
+    assert [g.address(x) for x in ("8.8.8.8", "10.1.2.3", "192.0.2.77", "239.1.1.1", "1.2.3.999", "2001:db8:0:0:0:0:0:1", "2a00:1:2:3:4:5:6:7", "fe80:0:0:0:0:0:0:1")] == [1, 0, -1, -1, -1, -1, 1, 0]
+    assert [g.phone(x, "".join(filter(str.isdigit, x))) for x in ("+49 30 1234567", "0044 20 1234567", "+999 1234567", "+28 1234567", "555 123 4567")] == [1, 1, 1, -1, 0]
+
+
+def test_extra_spans_beside_many_base_spans():
+    """Against every pair, and in time that grows with the text."""
+    import time
+    r = random.Random(11)
+    model = {k: np.array([30.0] + [0.0] * (2 * private.VOTERS + 3)) for k in private.KINDS}  # accepts all
+    pieces = ["a@b.co", "1.2.3.4", "+1 555 123 4567", "4111 1111 1111 1111", "x (at) y.org", "(555) 123-4567", "1:2:3:4:5:6:7:8", "4111.1111.1111.1111", "word", "4111 1111 1111 1112"]
+    for _ in range(30):
+        text = " ".join(r.choice(pieces) for _ in range(40))
+        base, found = private.spans(text, model)
+        taken, free, want = [x for v in base.values() for x in v], 0, {k: list(v) for k, v in base.items()}
+        for a, b, kind in sorted((a, b, k) for k, a, b, is_base, _ in private.proposed(text) if not is_base):
+            if a >= free and not any(x < b and a < y for x, y in taken):
+                want[kind].append((a, b))
+                free = b
+        assert found == {k: sorted(v) for k, v in want.items()}
+    start = time.process_time()
+    private.spans("a@b.co (555) 123-4567 " * 20_000, model)
+    assert time.process_time() - start < 20
+
+
 def test_pipeline_stages(spark, tmp_path):
     rows, labels = labelled(4, 300)
     rows += [(1000 + k, rows[k][1]) for k in range(40)] + [(1100, None), (1101, ""), (None, "some words"), (1102, "write to a@b.co " + rows[50][1])]
