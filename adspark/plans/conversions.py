@@ -126,13 +126,14 @@ def _segments(p: ReportParams) -> list:
 
 def page_visits(log: DataFrame, ip_map: DataFrame, universe: DataFrame, p: ReportParams,
                 segments: Sequence[int] | None = None) -> DataFrame:
-    """Web pixel events, mapped from the address to a universe device."""
+    """Web pixel events, mapped from the address to a universe device. A device with several source ids counts once."""
     hits = scan_events(log.where(F.col("event") == "segment"), p.page_lookback, p.attribution_end, p.countries)
-    return visits_behind(optional_in(hits, "segment_id", _segments(p) if segments is None else segments), ip_map, universe)
+    hits = optional_in(hits, "segment_id", _segments(p) if segments is None else segments)
+    return visits_behind(hits, ip_map.select("ip", "device_id").distinct(), universe)
 
 
 def visits_behind(hits: DataFrame, ip_map: DataFrame, universe: DataFrame) -> DataFrame:
-    """:func:`page_visits` from the pixel events of the report's segments."""
+    """:func:`page_visits` from the pixel events of the report's segments, with one device for each address."""
     hits = hits.select("ip", "country", "segment_id", F.col("event_time").alias("visit_time"))
     return in_rel(inner(hits, ip_map.select("ip", "device_id"), "ip"), universe, ["country", "device_id"])
 

@@ -81,15 +81,19 @@ def ip_device_map(delivery: DataFrame, id_map: DataFrame, p: ReportParams, ip: C
     """The device last seen behind each address. Same time: the lowest device id."""
     seen = not_dropped(delivery).where(
         p.in_attribution(F.col("partition_time")) & (F.col("event") == "impression") & p.in_country(F.col("country")))
-    return last_behind(seen.withColumn("ip", as_col(ip)), id_map)
+    return with_sources(last_behind(seen.withColumn("ip", as_col(ip)), id_map), id_map)
+
+
+def with_sources(last: DataFrame, id_map: DataFrame) -> DataFrame:
+    """Add the source ids of each address' device: a row for each, if it has several."""
+    return inner(last, id_map, "device_id").select("ip", "source_id", "device_id")
 
 
 def last_behind(seen: DataFrame, id_map: DataFrame) -> DataFrame:
-    """:func:`ip_device_map` from the impressions that tell addresses."""
+    """ip and device_id, one row for each address, from the impressions that tell addresses."""
     seen = seen.select("ip", "device_id", "event_time").where(F.col("ip").isNotNull())
     known = in_rel(seen, id_map, "device_id")
-    last = latest_per_key(known, ["ip"], [F.col("event_time").desc(), F.col("device_id")])
-    return inner(last, id_map, "device_id").select("ip", "source_id", "device_id")
+    return latest_per_key(known, ["ip"], [F.col("event_time").desc(), F.col("device_id")]).select("ip", "device_id")
 
 
 def with_ad_id(df: DataFrame, id_map: DataFrame) -> DataFrame:

@@ -13,11 +13,10 @@ from datetime import date, datetime, time, timedelta
 from pyspark.sql import DataFrame, functions as F
 
 from adspark.functions.time import day_of
-from adspark.operators.relational import in_rel, inner, min_seconds, not_dropped
-from adspark.operators.windows import latest_per_key
+from adspark.operators.relational import in_rel, min_seconds, not_dropped
 from adspark.params import ReportParams
 from adspark.plans.conversions import first_event
-from adspark.plans.identity import with_ad_id
+from adspark.plans.identity import last_behind, with_ad_id, with_sources
 from adspark.sinks.daily import DailyState, days_between
 from adspark.sources.scan import scan_events
 
@@ -104,6 +103,4 @@ def app_users(state: DailyState, id_map: DataFrame, apps: DataFrame, p: ReportPa
 def ip_device_map(state: DailyState, id_map: DataFrame, p: ReportParams) -> DataFrame:
     """:func:`adspark.plans.identity.ip_device_map` from the state."""
     rows = state.read(id_map.sparkSession, p.window_start.date(), p.attribution_end.date()).where(p.in_country(F.col("country")))
-    known = in_rel(rows.select("ip", "device_id", "event_time"), id_map, "device_id")
-    last = latest_per_key(known, ["ip"], [F.col("event_time").desc(), F.col("device_id")])
-    return inner(last, id_map, "device_id").select("ip", "source_id", "device_id")
+    return with_sources(last_behind(rows, id_map), id_map)

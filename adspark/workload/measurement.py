@@ -91,7 +91,7 @@ def q_universe_size(s: Source):
     return identity.universe_size(universe(s))
 
 
-@query("ip_device_map", "SELECT ip, device_id, c_name AS source_id FROM ips JOIN customer ON c_custkey = device_id", "ips")
+@query("ip_device_map", "SELECT ip, device_id, source_id FROM ips JOIN ids USING (device_id)", "ips", "ids")
 def q_ip_device_map(s: Source):
     return identity.ip_device_map(s.log, s.id_map, P)
 
@@ -221,9 +221,9 @@ def q_app_usage_day(s: Source):
 
 
 @query("app_opens", f"""
-    SELECT device_id, source_id, country, CAST(ts AS DATE) AS usage_time, COUNT(*) AS opens, 0::BIGINT AS minutes
-    FROM ev WHERE event_type = 'purchase' AND CAST(k AS VARCHAR) IN (SELECT app_id FROM apps WHERE product_name = 'app_0')
-    AND partition_time BETWEEN TIMESTAMP '2023-12-08' AND {WA} GROUP BY ALL""", "ev", "apps")
+    SELECT device_id, source_id, country, CAST(start_time AS DATE) AS usage_time, COUNT(*) AS opens, 0::BIGINT AS minutes
+    FROM sessions WHERE app_id IN (SELECT app_id FROM apps WHERE product_name = 'app_0')
+    AND partition_time BETWEEN TIMESTAMP '2023-12-08' AND {WA} GROUP BY ALL""", "sessions", "apps")
 def q_app_opens(s: Source):
     return conversions.app_opens(s.app_opens, s.id_map, s.apps, P)
 
@@ -277,7 +277,7 @@ def q_app_users_incremental(s: Source):
     return lookback.app_users(state, s.id_map, s.apps, P)
 
 
-@query("ip_device_map_incremental", "SELECT ip, device_id, c_name AS source_id FROM ips JOIN customer ON c_custkey = device_id", "ips")
+@query("ip_device_map_incremental", "SELECT ip, device_id, source_id FROM ips JOIN ids USING (device_id)", "ips", "ids")
 def q_ip_device_map_incremental(s: Source):
     state = lookback.address_state(f"{work_dir(s.spark)}/addresses")
     for days in _days((45, 62), (30, 47)):
@@ -807,9 +807,10 @@ def voice(s: Source) -> DataFrame:
     return s.ev.select("source_id", F.col("event_type").alias("category"), payload.alias("payload"), "country", "partition_time")
 
 
-_REG = """SELECT DISTINCT country, source_id FROM ev WHERE event_type = 'signup'
+_MAPPED = "source_id IN (SELECT c_name FROM customer WHERE c_custkey % 17 <> 0)"
+_REG = f"""SELECT DISTINCT country, source_id FROM ev WHERE event_type = 'signup' AND {_MAPPED}
           AND CASE WHEN k % 2 = 0 THEN 'LOGIN_ACTIVATE' ELSE 'LOGIN' END LIKE '%ACTIVATE%'
-          AND partition_time BETWEEN TIMESTAMP '{lo}' AND TIMESTAMP '2024-01-30 23:00:00'"""
+          AND partition_time BETWEEN TIMESTAMP '{{lo}}' AND TIMESTAMP '2024-01-30 23:00:00'"""
 _DAY, _MONTH = _REG.format(lo="2024-01-30 00:00:00"), _REG.format(lo="2023-12-17 00:00:00")
 RUN = datetime(2024, 1, 31)
 _OLD = "SELECT source_id FROM markets WHERE segment = 'MACHINERY'"
@@ -831,8 +832,8 @@ def q_registrations(s: Source):
     return registered(s, 45)
 
 
-@query("registrations_json", """
-    SELECT DISTINCT country, source_id FROM ev WHERE event_type = 'signup' AND k = 7
+@query("registrations_json", f"""
+    SELECT DISTINCT country, source_id FROM ev WHERE event_type = 'signup' AND k = 7 AND {_MAPPED}
     AND partition_time BETWEEN TIMESTAMP '2023-12-17' AND TIMESTAMP '2024-01-30 23:00:00'""", "ev")
 def q_registrations_json(s: Source):
     events = s.ev.select("source_id", F.col("event_type").alias("category"), "country", "partition_time",

@@ -608,7 +608,7 @@ def number_functions(s: Source):
 
 @query("datediff_boundaries", """
     SELECT device_id, start_time, datediff('second', start_time, end_time) AS seconds, datediff('minute', start_time, end_time) AS minutes,
-           datediff('hour', start_time, end_time) AS hours, datediff('day', start_time, end_time + INTERVAL 20 HOUR) AS days FROM sessions""", "sessions")
+           datediff('hour', start_time, end_time) AS hours, datediff('day', start_time, end_time + INTERVAL 20 HOUR) AS days FROM sessions WHERE device_id IS NOT NULL""", "sessions")
 def datediff_boundaries(s: Source):
     rows = s.sessions.join(s.id_map, "source_id")
     end = T.shift("hour", 20, "end_time")

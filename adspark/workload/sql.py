@@ -15,6 +15,10 @@ VIEWS = {
         SELECT c.c_custkey AS device_id, c.c_name AS source_id, c.c_mktsegment AS segment, r.r_name AS country
         FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
         JOIN region r ON r.r_regionkey = n.n_regionkey""",
+    # Some devices have two source ids, some source ids no device.
+    "ids": """
+        SELECT c_name AS source_id, CASE WHEN c_custkey % 5 = 1 THEN c_custkey - 1 ELSE c_custkey END AS device_id
+        FROM customer WHERE c_custkey % 17 <> 0""",
     "ev": """
         SELECT e.ts, e.user_id AS device_id, e.event_type, e.value, m.source_id, m.country,
                CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS k, date_trunc('hour', e.ts) AS partition_time
@@ -33,12 +37,12 @@ VIEWS = {
                country, NULL, CASE WHEN k % 2 = 0 THEN 6 ELSE 1 END, CAST(k AS VARCHAR), partition_time
         FROM ev WHERE event_type = 'view'""",
     "sessions": """
-        SELECT source_id, device_id, CAST(k AS VARCHAR) AS app_id, country, ts AS start_time,
-               ts + to_seconds(CAST(round(value * 60) AS BIGINT)) AS end_time, partition_time
-        FROM ev WHERE event_type = 'purchase'""",
+        SELECT e.source_id, i.device_id, CAST(e.k AS VARCHAR) AS app_id, e.country, e.ts AS start_time,
+               e.ts + to_seconds(CAST(round(e.value * 60) AS BIGINT)) AS end_time, e.partition_time
+        FROM ev e LEFT JOIN ids i ON i.source_id = e.source_id WHERE e.event_type = 'purchase'""",
     "hardware": f"""
-        SELECT device_id, source_id, country, {D0} + to_days(CAST(device_id % 30 AS INTEGER)) AS partition_time
-        FROM markets""",
+        SELECT i.device_id, m.source_id, m.country, {D0} + to_days(CAST(m.device_id % 30 AS INTEGER)) AS partition_time
+        FROM markets m JOIN ids i ON i.source_id = m.source_id""",
     "apps": """
         SELECT 'app_' || (p_size % 2) AS product_name, CAST(p_partkey AS VARCHAR) AS app_id FROM part""",
     "mapping": f"""
@@ -75,8 +79,8 @@ VIEWS = {
         WHERE partition_time BETWEEN (SELECT universe_start FROM qualifier) AND {W1} AND event = 'impression'
           AND dropped IS NULL AND (exchange_id = 6 OR seller_id = '86')
         UNION
-        SELECT country, device_id FROM ev
-        WHERE event_type = 'purchase' AND partition_time BETWEEN (SELECT universe_start FROM qualifier) AND {W1}""",
+        SELECT country, device_id FROM sessions
+        WHERE device_id IS NOT NULL AND partition_time BETWEEN (SELECT universe_start FROM qualifier) AND {W1}""",
     "shown": f"""
         SELECT l.device_id, l.country, l.event_time AS exposure_time, l.campaign_id, l.flight_id, l.creative_id, l.event
         FROM log l JOIN uni u ON u.device_id = l.device_id AND u.country = l.country
@@ -99,7 +103,8 @@ VIEWS = {
     "ips": f"""
         SELECT ip, device_id FROM (
             SELECT ip, device_id, row_number() OVER (PARTITION BY ip ORDER BY event_time DESC, device_id) AS rn
-            FROM log WHERE event = 'impression' AND dropped IS NULL AND partition_time BETWEEN {W0} AND {WA})
+            FROM log WHERE event = 'impression' AND dropped IS NULL AND partition_time BETWEEN {W0} AND {WA}
+              AND device_id IN (SELECT device_id FROM ids))
         WHERE rn = 1""",
     "visits": f"""
         SELECT i.device_id, l.country, l.segment_id, l.event_time AS visit_time
@@ -127,7 +132,7 @@ VIEWS = {
         FROM log WHERE event = 'impression' AND dropped IS NULL AND partition_time BETWEEN {W0} AND {W1}""",
     # Subscriber lift.
     "subs": """
-        SELECT DISTINCT c_custkey AS device_id FROM customer WHERE c_mktsegment = 'MACHINERY'""",
+        SELECT DISTINCT device_id FROM customer LEFT JOIN ids ON source_id = c_name WHERE c_mktsegment = 'MACHINERY'""",
     "imps": f"""
         SELECT l.country, l.device_id, 1000 + l.campaign_id AS order_number, l.campaign_id, l.flight_id, l.creative_id,
                m.line_item_name, CAST(l.event_time AS DATE) AS day, COUNT(*) AS imps

@@ -105,7 +105,10 @@ class Source:
 
     @cached_property
     def id_map(self) -> DataFrame:
-        return self.customer.select(F.col("c_name").alias("source_id"), F.col("c_custkey").alias("device_id"))
+        """Some devices have two source ids, some source ids no device."""
+        key = F.col("c_custkey")
+        device = F.when(key % 5 == 1, key - 1).otherwise(key)
+        return self.customer.where(key % 17 != 0).select(F.col("c_name").alias("source_id"), device.alias("device_id"))
 
     @cached_property
     def apps(self) -> DataFrame:
