@@ -41,7 +41,8 @@ def _in_ranges(df: DataFrame, order: Sequence[Column], number: Column) -> DataFr
     They are written once and read from there. Rows that are equal in the order are dealt by a hash of the whole
     row, so that a frequent value fills no single range.
     """
-    ranged = df.repartitionByRange(*order, F.xxhash64(*df.columns)).withColumn("_range", F.spark_partition_id())
+    hashed = [c for c, kind in df.dtypes if "map<" not in kind]  # Spark hashes no maps
+    ranged = df.repartitionByRange(*order, F.xxhash64(*hashed)).withColumn("_range", F.spark_partition_id())
     return written(ranged.withColumn("_in", number.over(Window.partitionBy("_range").orderBy(*order))))
 
 

@@ -152,8 +152,8 @@ def ran_for_lines(spans: DataFrame, regional: DataFrame) -> DataFrame:
 
     The copy is read between the first start and the last end, and reduced to the first and last
     exposure of a combination and day. A combination ran for a line if the first of these times at or
-    after the line's start is within the line: exact, unless the line lies inside one day. For
-    such lines the exposures of that campaign and day are looked at one by one.
+    after the line's start is within the line: exact, unless the line lies inside one day. If there are
+    such lines, the exposures of their campaigns and days join these times one by one; one pass serves all lines.
     """
     order = ["order_number", "campaign_id"]
     at = F.col("exposure_time")
@@ -163,18 +163,16 @@ def ran_for_lines(spans: DataFrame, regional: DataFrame) -> DataFrame:
     keys = [*order, "_ran"]
     within_day = F.to_date("line_item_start") == F.to_date("line_item_end")
 
-    def first_after_start(lines: DataFrame, times: DataFrame) -> DataFrame:
-        candidates = inner(lines, times.select(*keys).distinct(), order)
-        found = next_touch(times, candidates, keys, "exposure_time", "line_item_start")
-        return found.where(at <= F.col("line_item_end")).drop("exposure_time")
-
     days = stage(in_rel(shown, spans, order).groupBy(*keys, F.to_date(at).alias("_day")).agg(
         F.min(at).alias("_first"), F.max(at).alias("_last")))
     times = days.select(*keys, F.explode(F.array("_first", "_last")).alias("exposure_time"))
     short = spans.where(within_day)
-    busy = short.select(*order, F.to_date("line_item_start").alias("_day")).distinct()
-    single = in_rel(shown.withColumn("_day", F.to_date(at)), busy, [*order, "_day"]).drop("_day")
-    found = first_after_start(spans.where(~within_day), times).unionByName(first_after_start(short, single))
+    if not short.isEmpty():  # decided from the staged lines; without such lines the copy is read once
+        busy = short.select(*order, F.to_date("line_item_start").alias("_day")).distinct()
+        times = times.unionByName(in_rel(shown.withColumn("_day", F.to_date(at)), busy, [*order, "_day"]).drop("_day"))
+    candidates = inner(spans, times.select(*keys).distinct(), order)
+    found = next_touch(times, candidates, keys, "exposure_time", "line_item_start")
+    found = found.where(at <= F.col("line_item_end")).drop("exposure_time")
     return found.select("*", "_ran.*").drop("_ran")
 
 
