@@ -16,6 +16,7 @@ from adspark.params import ReportParams
 from adspark.plans import identity
 from adspark.schemas import DELIVERY, conform
 from adspark.sources.scan import scan_events
+from adspark.stage import stage
 
 IN_CAMPAIGN = ("campaign_id", "flight_id", "creative_id")
 BY_CREATIVE = ("campaign_id", "flight_id", "creative_id", "country")
@@ -178,7 +179,7 @@ def universe_log(log: DataFrame, creative_map: DataFrame, p: ReportParams, roles
     segments = [v for v in (p.signup_segment, p.homepage_segment) if v is not None]
     shown, in_country = kind == "impression", p.in_country(F.col("country"))
     between = lambda lo, hi: at.between(ts_literal(lo), ts_literal(hi))
-    mapped = {SELLER: F.col("_campaign"), EXPOSURE: F.col("_creative")}
+    mapped = {SELLER: F.col("_creatives").isNotNull(), EXPOSURE: F.array_contains("_creatives", F.col("creative_id"))}
     tests = {
         SELLER: shown & p.in_window(at) & in_country,
         OWN: kept & identity.own_impression(p) & between(p.window_start - timedelta(days=identity.EXTRA_DAYS), p.window_end) & in_country,
@@ -198,12 +199,11 @@ def universe_log(log: DataFrame, creative_map: DataFrame, p: ReportParams, roles
     columns = ["event", "event_time", "partition_time", "country", "device_id", "campaign_id", "flight_id", "creative_id", "seller_id"]
     columns += [c for role, c in ((ADDRESS | VISIT, "ip"), (VISIT, "segment_id")) if role & roles]
     rows = rows.select(*columns, identity.shown_device().alias("own_device_id"), bits(tests).alias("roles")).where(F.col("roles") > 0)
-    campaigns = creative_map.select("campaign_id").distinct().withColumn("_campaign", F.lit(True))
-    creatives = creative_map.select("campaign_id", "creative_id").distinct().withColumn("_creative", F.lit(True))
-    rows = lookup(lookup(rows, campaigns, ["campaign_id"]), creatives, ["campaign_id", "creative_id"])
-    unmapped = bits({k: (F.col("roles").bitwiseAND(F.lit(k)) > 0) & v.isNull() for k, v in mapped.items() if k & roles})
-    return (rows.withColumn("roles", F.col("roles").bitwiseAND(F.bitwise_not(unmapped))).where(F.col("roles") > 0)
-            .drop("_campaign", "_creative"))
+    # A row for each campaign, staged: its size is known, so that Spark sends it to the log and not the log to it.
+    campaigns = stage(creative_map.where(F.col("campaign_id").isNotNull()).groupBy("campaign_id").agg(F.collect_set("creative_id").alias("_creatives")))
+    rows = lookup(rows, campaigns, ["campaign_id"])
+    unmapped = bits({k: (F.col("roles").bitwiseAND(F.lit(k)) > 0) & ~F.coalesce(v, F.lit(False)) for k, v in mapped.items() if k & roles})
+    return rows.withColumn("roles", F.col("roles").bitwiseAND(F.bitwise_not(unmapped))).where(F.col("roles") > 0).drop("_creatives")
 
 
 def with_role(rows: DataFrame, role: int) -> DataFrame:
