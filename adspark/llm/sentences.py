@@ -5,7 +5,7 @@ last piece first). No piece crosses from a word to the next mark, so marked word
 independent. The distinct marked words of a batch are sorted, which lays out their trie, and walked in that order depth first; a word keeps the forward scores of
 the prefix that it shares with the one before. Characters without a piece become byte pieces at the price of an unknown one, so that decoding returns the text.
 
-Words already seen stay in a table of at most ``TABLE_BYTES`` in each Python worker; long ones aren't kept. Null and empty texts have no ids and decode to empty. The mark U+2581
+Words already seen stay in two tables of at most ``TABLE_BYTES`` each in a Python worker; long ones aren't kept. Null and empty texts have no ids and decode to empty. The mark U+2581
 in a text decodes to a space. Rows are independent of one another, other columns don't matter.
 """
 
@@ -61,6 +61,7 @@ class Vocabulary:
             raise ValueError("the vocabulary has no byte pieces")
         self.unknown = min(s for s, _ in self.score.values()) - UNKNOWN_PENALTY
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.known_bytes = 0
         #: By the last three characters of pieces, their lengths, longest first.
         self.lengths: dict[str, list[int]] = {}
@@ -113,13 +114,16 @@ class Vocabulary:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         split = [WORD.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        if self.known_bytes > TABLE_BYTES:
-            self.known, self.known_bytes = {}, 0
+        if self.known_bytes > TABLE_BYTES:  # the words in use stay, those of two tables ago go
+            self.known, self.older, self.known_bytes = {}, self.known, 0
         new = set().union(*split) - self.known.keys() if split else set()
+        again = new & self.older.keys()
+        self.known.update((w, self.older[w]) for w in again)
+        new -= again
         self.learn(new)
         get = self.known.__getitem__
         out = [b"".join(map(get, words)) for words in split]
-        for word in new:
+        for word in new | again:
             if len(word) > LONGEST:  # whole paragraphs, where a script has no spaces
                 del self.known[word]
             else:
