@@ -340,8 +340,9 @@ def point_in_interval_left(s: Source):
     spans = [rows.select("campaign_id", F.lit(name).alias("name"), F.col("line_item_start").alias("lo"),
                          F.expr(f"line_item_end + INTERVAL {days} DAY").alias("hi"))
              for name, days in (("as booked", 0), ("with a day after", 1))]
-    rows = in_interval(s.log, spans[0].unionByName(spans[1]), ["campaign_id"], "event_time", "lo", "hi", how="left")
-    return rows.groupBy("campaign_id", "name").agg(F.count("*").alias("n"), F.min("event_time").alias("first_seen"))
+    rows = in_interval(s.log, spans[0].unionByName(spans[1]), ["campaign_id"], "event_time", "lo", "hi", how="left",
+                       count="intervals")
+    return rows.groupBy("campaign_id", "name").agg(F.sum("intervals").alias("n"), F.min("event_time").alias("first_seen"))
 
 
 @query("same_day_join", """

@@ -404,3 +404,39 @@ def test_one_regional_credit_per_device_and_time(make):
         ("AT", 1, None, None, None, 1, 0, None), ("DE", 1, 1, 1, 6.0, 1, 0, None)]
     with pytest.raises(mapping.StaleMappingError):
         partner_weekly_report(t, P.but(run_date=date(2024, 1, 27)), "regional")
+
+
+def test_counted_intervals_add_up_to_the_pairs(spark):
+    """Against brute force, with ends inside one second; points in none count once."""
+    import random
+    from collections import Counter
+    rnd, day = random.Random(7), datetime(2024, 1, 1)
+    at = lambda most: day + timedelta(microseconds=rnd.randrange(most * 10**6))
+    spans, points = [], []
+    for k, (n, most) in enumerate([(2, 1000), (40, 50), (30, 10**7), (0, 10), (60, 3), (5, 10**6)]):
+        spans += [(k, rnd.choice(["a", "b", None]), *sorted((at(most), at(most)))) for _ in range(n)]
+        points += [(k, at(most) if rnd.random() < .8 else None) for _ in range(60)]
+        points += [(k, rnd.choice(spans)[2 + rnd.randrange(2)]) for _ in range(20)]
+    points += [(None, day), (77, day)] + points[:10]
+    spans += spans[:40] + [(None, "n", day, day), (1, "open", None, day), (1, "back", day + timedelta(days=1), day)]
+    p = spark.createDataFrame(points, "k long, t timestamp_ntz")
+    i = spark.createDataFrame(spans, "k long, name string, lo timestamp_ntz, hi timestamp_ntz")
+    held = [[(k, t, name) for j, name, lo, hi in spans if k is not None and k == j and t and lo and lo <= t <= hi] for k, t in points]
+    inner, left = Counter(x for h in held for x in h), Counter(x for (k, t), h in zip(points, held) for x in h or [(k, t, None)])
+    for few in (4, 1000):
+        for how, want in (("inner", inner), ("left", left)):
+            got = Counter()
+            for r in point_in_interval(p, i, ["k"], "t", "lo", "hi", how, few, count="n").collect():
+                got[r.k, r.t, r.name] += r.n
+            assert got == want, (few, how)
+
+
+def test_counting_many_overlapping_intervals_makes_no_pairs(spark):
+    """20,000 points in all of 20,000 intervals: 400 million pairs; the plan makes two rows of a point, one for each name."""
+    n, second = 20_000, lambda s: F.timestamp_seconds(s).cast("timestamp_ntz")
+    points = spark.range(n).select(F.lit(1).alias("k"), second(F.col("id") + 50_000).alias("t"))
+    spans = spark.range(n).select(F.lit(1).alias("k"), F.when(F.col("id") % 2 == 0, "even").otherwise("odd").alias("name"),
+                                  second(F.col("id")).alias("lo"), second(100_000 + F.col("id") * 3).alias("hi"))
+    rows = point_in_interval(points, spans, ["k"], "t", "lo", "hi", "left", count="n")
+    assert values(rows.groupBy("name").agg(F.count("*").alias("rows"), F.sum("n").alias("n")), "name", "rows", "n") == [
+        ("even", n, n * n // 2), ("odd", n, n * n // 2)]
