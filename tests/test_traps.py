@@ -440,3 +440,23 @@ def test_counting_many_overlapping_intervals_makes_no_pairs(spark):
     rows = point_in_interval(points, spans, ["k"], "t", "lo", "hi", "left", count="n")
     assert values(rows.groupBy("name").agg(F.count("*").alias("rows"), F.sum("n").alias("n")), "name", "rows", "n") == [
         ("even", n, n * n // 2), ("odd", n, n * n // 2)]
+
+
+def test_rows_without_a_parent_are_spread(spark):
+    """Of 8,000 rows in eight tasks two have a parent; a task that holds all others fails here."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    rows = spark.range(8000).select("id", F.expr("CASE id WHEN 5 THEN 7L WHEN 6 THEN 9999L END").alias("up"), (F.col("id") * 2).alias("x"))
+    rows = rows.unionByName(spark.createDataFrame([(None, None, 1), (None, 7, 2)], "id long, up long, x long"))
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = R.with_parent(rows, "up", "id", ["id", "x"])
+        assert got.columns == ["up", "id", "x", "parent_id", "parent_x"]
+        assert got.count() == 8002
+        assert values(got.where("up IS NOT NULL OR parent_id IS NOT NULL"), "id", "up", "parent_id", "parent_x") == sorted(
+            [(5, 7, 7, 14), (6, 9999, None, None), (None, 7, 7, 14)], key=repr)
+        assert got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 3000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
