@@ -6,12 +6,13 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from adspark.functions.columns import normalise, text_part, try_number, without_commas
 from adspark.functions.time import date_literal, shift_date, ts_from_parts, ts_literal
 from adspark.operators.relational import (
     distinct_rows, in_rel, inner, lookup, not_dropped, overlaps, present, recent_or_null,
-    union_distinct, with_parent)
+    union_all, with_parent)
 from adspark.operators.touch import next_touch
 from adspark.operators.windows import latest_per_key
 from adspark.params import ReportParams, mapping_window
@@ -33,6 +34,8 @@ FIELD_VALUES = {"O&amp;O": "O&O", "Korea": "South Korea", "None": "United States
 DEFAULT_COUNTRY = "United States"
 NORTH_AMERICA = ("USA", "Canada", "Mexico")
 MAX_MAP_AGE_DAYS = 7
+#: What the creative mapping takes from the logs; all else is of the line.
+SHOWN = ("country", "flight_id", "flight_name", "flight_start", "flight_end", "creative_id", "creative_name")
 
 VERSION = ("last_modified", "partition_time")
 PACKAGE = ("line_item_name", "product_name", "creative_spec", "is_added_value", "added_value_amount",
@@ -147,7 +150,7 @@ def active_campaigns(book: DataFrame, campaigns: DataFrame, oms: DataFrame, run_
 
 
 def ran_for_lines(spans: DataFrame, regional: DataFrame) -> DataFrame:
-    """Each line (order number, campaign, line item, start, end) with every combination of country, flight
+    """Each line (order number, campaign, start, end and any other columns) with every combination of country, flight
     and creative that the regional copy shows in its time. NULL is a value of a combination.
 
     The copy is read between the first start and the last end, and reduced to the first and last
@@ -163,7 +166,7 @@ def ran_for_lines(spans: DataFrame, regional: DataFrame) -> DataFrame:
     keys = [*order, "_ran"]
     within_day = F.to_date("line_item_start") == F.to_date("line_item_end")
 
-    days = stage(in_rel(shown, spans, order).groupBy(*keys, F.to_date(at).alias("_day")).agg(
+    days = stage(in_rel(shown, spans.select(*order).distinct(), order).groupBy(*keys, F.to_date(at).alias("_day")).agg(
         F.min(at).alias("_first"), F.max(at).alias("_last")))
     times = days.select(*keys, F.explode(F.array("_first", "_last")).alias("exposure_time"))
     short = spans.where(within_day)
@@ -188,47 +191,56 @@ def creative_mapping(book: DataFrame, campaigns: DataFrame, oms: DataFrame, log:
     today = date_literal(run_date)
     lo, hi = mapping_window(today)
     updated = last_update if last_update is not None else ts_literal(run_date)
-    running = running_campaigns(campaigns, oms)
-    lines = _named_lines(book, running, lo, hi)
+    running = stage(running_campaigns(campaigns, oms))
+    lines = stage(_named_lines(book, running, lo, hi))
     home = lines.where(F.col("product_country").isin(*NORTH_AMERICA))
     abroad = lines.where(~F.col("product_country").isin(*NORTH_AMERICA))
     ran = ["campaign_id", "flight_id", "creative_id"]
+    order, span = ["order_number", "campaign_id"], ["line_item_start", "line_item_end"]
 
     logged = not_dropped(log).where(
         F.col("event").isin("impression", "click", "tracker") & F.col("country").isNotNull()
         & (F.col("partition_time") >= lo) & (F.col("partition_time") <= hi))
-    logged = in_rel(logged, running, "campaign_id").select("country", *ran).distinct()
+    logged = in_rel(logged.select("country", *ran).distinct(), running.select("campaign_id").distinct(), "campaign_id")
     ordered = inner(running.select("campaign_id", "sales_order_id").distinct(),
                     book.select("sales_order_id", "order_number").distinct(), "sales_order_id")
-    seen_home = inner(logged, ordered.drop("sales_order_id").distinct(), "campaign_id")
+    ordered = ordered.drop("sales_order_id").distinct()
 
-    spans = stage(abroad.select("order_number", "campaign_id", "line_item_id", "line_item_start", "line_item_end").distinct())
+    spans = stage(abroad.select(*order, *span).distinct())
     seen_abroad = ran_for_lines(spans, regional)
 
     code = F.when(F.col("product_country") == "USA", "US").otherwise(F.col("country_code"))
     flight = flights.select("flight_id", "campaign_id", "flight_name", "flight_start", "flight_end")
 
-    def named(df: DataFrame, budget: Column, booked: Column, delivered: Column) -> DataFrame:
-        df = lookup(df, creatives.select("creative_id", "creative_name").distinct(), "creative_id")
-        df = lookup(df, countries.select(F.col("country_name").alias("product_country"), "country_code", "region"),
-                    "product_country")
-        df = lookup(df, flight, ["flight_id", "campaign_id"])
-        df = df.select(
+    # A line meets each combination that ran for it. Names are looked up, and rows made distinct, on both sides
+    # before they meet: distinct lines and distinct combinations give distinct rows, without a shuffle of those.
+    shown = [f for f in CREATIVE_MAPPING if f.name in SHOWN]
+    booked_as = [f for f in CREATIVE_MAPPING if f.name not in SHOWN]
+
+    def named(seen: DataFrame) -> DataFrame:
+        seen = lookup(seen, creatives.select("creative_id", "creative_name").distinct(), "creative_id")
+        return lookup(seen, flight, ["flight_id", "campaign_id"])
+
+    def joined(lines: DataFrame, seen: DataFrame, keys: Sequence[str], budget: Column, booked: Column, delivered: Column) -> DataFrame:
+        lines = lookup(lines, countries.select(F.col("country_name").alias("product_country"), "country_code", "region"),
+                       "product_country")
+        lines = lines.select(
             "*", code.alias("target_country"), budget.cast("double").alias("booked_budget"),
             booked.cast("long").alias("booked_impressions"), delivered.cast("double").alias("budget_delivered"),
             updated.alias("last_update_at"))
-        df = df.drop("last_update").withColumnsRenamed({
+        lines = lines.drop("last_update").withColumnsRenamed({
             "last_update_at": "last_update", "sales_order_name": "order_name", "order_start": "campaign_start",
             "order_end": "campaign_end", "cost_type": "rate_type", "net_unit_cost": "rate"})
-        return conform(df.withColumn("region", F.coalesce("region", F.lit(""))), CREATIVE_MAPPING)
-
-    home_rows = named(lookup(home, seen_home, ["order_number", "campaign_id"]),
-                      booked_budget(), F.coalesce("production_quantity", F.lit(0)), F.lit(0))
-    abroad_rows = named(
-        lookup(abroad, seen_abroad, ["order_number", "campaign_id", "line_item_id", "line_item_start", "line_item_end"]),
-        F.col("net_cost"), F.col("production_quantity"),
-        F.coalesce("net_cost", "added_value_amount", F.lit(0)))
-    return union_distinct(home_rows, abroad_rows)
+        lines = conform(lines.withColumn("region", F.coalesce("region", F.lit(""))), StructType(booked_as)).distinct()
+        seen = seen.select(*keys, *[F.col(f.name).cast(f.dataType) for f in shown]).distinct()
+        return conform(lookup(lines, seen, keys), CREATIVE_MAPPING)
+
+    home_rows = joined(home, inner(named(logged), ordered, "campaign_id"), order,
+                       booked_budget(), F.coalesce("production_quantity", F.lit(0)), F.lit(0))
+    abroad_rows = joined(abroad, named(seen_abroad), [*order, *span],
+                         F.col("net_cost"), F.col("production_quantity"),
+                         F.coalesce("net_cost", "added_value_amount", F.lit(0)))
+    return union_all(home_rows, abroad_rows)  # of different countries
 
 
 def creative_map(mapping: DataFrame, p: ReportParams) -> DataFrame:

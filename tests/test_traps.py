@@ -460,3 +460,31 @@ def test_rows_without_a_parent_are_spread(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_the_creative_mapping_is_distinct_before_lines_meet_what_ran(make):
+    """Repeated lines, countries, flights and names make no repeated rows, and the joined rows aren't shuffled to find that out."""
+    line = lambda i, country: (1, "order", "2024-01-01", "2024-01-31", 10, 5, "adv", country, i, "line", 0, None, "CPM", 1.5, 20.0, 7,
+                               "2024-01-02 00:00:00", "2024-01-20 00:00:00")
+    book = make("sales_order_id long, sales_order_name string, order_start date, order_end date, order_number long, advertiser_id long, "
+                "advertiser_name string, product_country string, line_item_id long, line_item_name string, is_added_value long, "
+                "added_value_amount double, cost_type string, net_unit_cost double, net_cost double, production_quantity long, "
+                "line_item_start timestamp_ntz, line_item_end timestamp_ntz",
+                *[line(i, c) for i, c in ((1, "USA"), (1, "USA"), (2, "Canada"), (3, "France"), (3, "France"), (4, "Mars"))])
+    campaigns = make("campaign_id long, campaign_name string, state string", (100, "c", "live"), (100, "c", "live"))
+    oms = make("campaign_id long, order_external_id long, line_external_id long", *[(100, 1, i) for i in (1, 2, 3, 4)])
+    shown = log(make, "event string, country string, campaign_id long, flight_id long, creative_id long, partition_time timestamp_ntz",
+                *[("impression", "US", 100, f, c, "2024-01-05 00:00:00") for f, c in ((1, 11), (1, 11), (None, 12), (2, 13))])
+    copy = make("order_number long, campaign_id long, country string, flight_id long, creative_id long, exposure_time timestamp_ntz",
+                (10, 100, "FR", None, 11, "2024-01-05 00:00:00"), (10, 100, "FR", 1, 11, "2024-01-25 00:00:00"))
+    creatives = make("creative_id long, creative_name string", (11, "k11"), (11, "k11"), (12, "k12"))
+    flights = make("flight_id long, campaign_id long, flight_name string, flight_start timestamp_ntz, flight_end timestamp_ntz",
+                   *[(1, 100, "f1", "2024-01-01 00:00:00", "2024-01-09 00:00:00")] * 2)
+    countries = make("country_name string, country_code string, region string", *[("Canada", "CA", "NA"), ("USA", "U1", "NA"), ("USA", "U2", "NA"),
+                                                                                   ("France", "FR", "EU"), ("France", "FR", "EU")])
+    got = mapping.creative_mapping(book, campaigns, oms, shown, copy, creatives, flights, countries, date(2024, 2, 1))
+    ran = [("US", 1, "f1", 11, "k11"), ("US", None, None, 12, "k12"), ("US", 2, None, 13, None)]
+    want = [(i, c, *r) for i, c in ((1, "US"), (2, "CA")) for r in ran]
+    want += [(3, "FR", "FR", None, None, 11, "k11"), (4, None, "FR", None, None, 11, "k11")]
+    assert values(got, "line_item_id", "target_country", "country", "flight_id", "flight_name", "creative_id", "creative_name") == sorted(want, key=repr)
+    assert got._jdf.queryExecution().optimizedPlan().nodeName() == "Union"  # no Aggregate over it
