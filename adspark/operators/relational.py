@@ -164,14 +164,14 @@ def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def with_parent(df: DataFrame, parent_key: str, key: str, cols: Sequence[str],
-                prefix: str = "parent_") -> DataFrame:
-    """Add columns of the row that ``parent_key`` points to; NULL where there is none.
+                prefix: str = "parent_", parents: DataFrame | None = None) -> DataFrame:
+    """Add columns of the row (of ``parents``, if it is given) that ``parent_key`` points to; NULL where there is none.
 
     Rows without a parent, often most of them, would all be shuffled to one task with the key NULL. A second part of the key spreads
     them: a hash of their own key, and 0 in rows with a parent and in parents (as a remainder, for a literal would be folded away).
     """
     own = F.xxhash64(key)
-    parent = df.select(F.col(key).alias(parent_key), F.pmod(own, F.lit(1)).alias("_spread"), *[F.col(c).alias(prefix + c) for c in cols])
+    parent = (df if parents is None else parents).select(F.col(key).alias(parent_key), F.pmod(own, F.lit(1)).alias("_spread"), *[F.col(c).alias(prefix + c) for c in cols])
     rows = df.withColumn("_spread", F.when(F.col(parent_key).isNull(), own).otherwise(F.lit(0).cast("long")))
     return lookup(rows, parent, [parent_key, "_spread"]).drop("_spread")
 

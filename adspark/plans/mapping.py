@@ -103,13 +103,17 @@ def order_book(orders: DataFrame, custom_fields: DataFrame, line_items: DataFram
     bookable = latest_per_key(products.where(F.col("booking_types") != NOT_BOOKABLE), ["product_id"], VERSION)
     lines = lookup(lines, bookable.select("product_id", "creative_spec"), "product_id")
     lines = lookup(lines, product_countries(product_fields), "product_id")
-    lines = with_parent(stage(lines), "parent_line_item_id", "line_item_id", PACKAGE)
+    line = ["sales_order_id", "product_country", "line_item_status", "parent_line_item_id", "line_item_id"]
+    lines = stage(lines.select(*line, *PACKAGE))
+    # Only lines in a package are shuffled to find it. Each term once, before the lines meet the orders: those are wide rows, and many.
+    packed = with_parent(lines.where(F.col("parent_line_item_id").isNotNull()), "parent_line_item_id", "line_item_id", PACKAGE, parents=lines)
+    packed = packed.select(*line, *[F.coalesce(F.col("parent_" + c), F.col(c)).alias(c) for c in PACKAGE])
+    lines = union_all(lines.where(F.col("parent_line_item_id").isNull()), packed)
 
     book = lookup(live.select(
         "sales_order_id", "sales_order_name", "order_start", "order_end", "advertiser_id", "advertiser_name",
         "sales_stage", "order_status"), order_numbers(custom_fields, live, prefix), "sales_order_id")
-    book = lookup(book, lines.drop("last_modified", "partition_time"), "sales_order_id")
-    packaged = {c: F.coalesce(F.col("parent_" + c), F.col(c)) for c in PACKAGE}
+    book = lookup(book, lines, "sales_order_id")
     name = F.coalesce(text_part("sales_order_name", "|", 2), text_part("sales_order_name", "|", 1),
                       F.col("sales_order_name"))
     book = book.where(~F.col("order_status").isin(*DEAD_ORDERS) & ~F.col("sales_stage").isin(*DEAD_STAGES))
@@ -117,7 +121,7 @@ def order_book(orders: DataFrame, custom_fields: DataFrame, line_items: DataFram
         "sales_order_id", F.trim(name).alias("sales_order_name"), "order_start", "order_end", "order_number",
         "advertiser_id", "advertiser_name", "sales_stage", "order_status", "product_country", "line_item_status",
         F.coalesce("parent_line_item_id", "line_item_id").alias("line_item_id"),
-        *[c.alias(n) for n, c in packaged.items()],
+        *PACKAGE,
         (last_update if last_update is not None else ts_literal(run_date)).alias("last_update"))
     since = shift_date("month", -ORDER_MONTHS, date_literal(run_date))
     return book.where(recent_or_null(["order_start", "order_end", "line_item_start", "line_item_end"], since))

@@ -488,3 +488,32 @@ def test_the_creative_mapping_is_distinct_before_lines_meet_what_ran(make):
     want += [(3, "FR", "FR", None, None, 11, "k11"), (4, None, "FR", None, None, 11, "k11")]
     assert values(got, "line_item_id", "target_country", "country", "flight_id", "flight_name", "creative_id", "creative_name") == sorted(want, key=repr)
     assert got._jdf.queryExecution().optimizedPlan().nodeName() == "Union"  # no Aggregate over it
+
+
+def test_order_book_lines_carry_each_term_once(make, monkeypatch):
+    """Staged lines have no columns that the book doesn't need, and meet the orders with one value of each term."""
+    staged, stage = [], mapping.stage
+    monkeypatch.setattr(mapping, "stage", lambda df: staged.append(df.columns) or stage(df))
+    at = "2024-01-01 00:00:00"
+    orders = make("sales_order_id long, sales_order_name string, order_start date, order_end date, advertiser_id long, advertiser_name string, "
+                  "sales_stage string, order_status string, last_modified timestamp_ntz, partition_time timestamp_ntz",
+                  (1, "IO | name", "2024-01-01", "2024-02-01", 1, "a", "Open", "active", at, at),
+                  (2, "empty", "2024-01-01", "2024-02-01", 1, "a", "Open", "active", at, at))
+    fields = make("sales_order_id long, field_name string, field_value string, field_status string, last_modified timestamp_ntz, "
+                  "partition_time timestamp_ntz", (1, "JIRA ID", "77", "active", at, at))
+    lines = make("sales_order_id long, line_item_id long, line_item_name string, product_name string, product_id long, start_date date, "
+                 "start_clock string, end_date date, end_clock string, cost_type string, quantity long, production_quantity long, "
+                 "unit_type string, is_added_value long, added_value_amount double, net_cost double, net_unit_cost double, "
+                 "line_item_status string, parent_line_item_id long, last_modified timestamp_ntz, partition_time timestamp_ntz",
+                 (1, 5, "package", "p", 1, "2024-01-01", "00:00:00", "2024-01-31", "23:59:59", None, 1, 2, "u", 0, 0.5, 9.0, 1.0, "live", None, at, at),
+                 (1, 6, "part", "p", 1, "2024-01-05", "00:00:00", "2024-01-06", "23:59:59", "CPM", 3, 4, "v", 1, 1.5, 8.0, 2.0, "live", 5, at, at))
+    products = make("product_id long, creative_spec string, booking_types string, last_modified timestamp_ntz, partition_time timestamp_ntz",
+                    (1, "spec", "Bookable", at, at))
+    countries = make("product_id long, field_id int, field_value string, last_modified timestamp_ntz, partition_time timestamp_ntz",
+                     (1, 72, "None", at, at))
+    got = mapping.order_book(orders, fields, lines, products, countries, date(2024, 2, 1))
+    assert values(got, "sales_order_id", "order_number", "line_item_id", "line_item_name", "cost_type", "net_cost", "product_country") == sorted([
+        (1, 77, 5, "package", None, 9.0, "USA"), (1, 77, 5, "package", "CPM", 9.0, "USA"), (2, None, None, None, None, None, None)], key=repr)
+    assert not {"start_clock", "end_clock", "last_modified", "partition_time", "product_id"} & set(staged[-1])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "parent_net_cost" not in plan[:plan.index("Union")]  # chosen below the join with the orders
