@@ -307,7 +307,8 @@ def campaign_meta_by_order(order_numbers: DataFrame, opportunities: DataFrame, o
     """
     crm = opportunities.withColumn("order_number", try_number("ticket", prefix))
     crm = latest_per_key(in_rel(crm, order_numbers, "order_number"), ["order_number"], ["last_modified"])
-    crm = crm.select("order_number", "crm_campaign_id", "sales_order_id", "sales_order_name")
+    # Written: orders, bookings and lines are all reduced by it, and its measured size lets Spark choose how.
+    crm = stage(crm.select("order_number", "crm_campaign_id", "sales_order_id", "sales_order_name"))
     order = latest_orders(orders.join(crm.select("sales_order_id").distinct(), "sales_order_id", "left_semi"),
                           version=["last_modified"]).select("sales_order_id", "order_start", "order_end")
     booked = in_rel(oms.withColumn("sales_order_id", F.col("order_external_id")), crm, "sales_order_id")
@@ -316,9 +317,10 @@ def campaign_meta_by_order(order_numbers: DataFrame, opportunities: DataFrame, o
     running = inner(campaigns.select("campaign_id", "campaign_name", "campaign_start", "campaign_end").distinct(),
                     booked, "campaign_id")
     if log is not None:
+        running = stage(running)  # read for both bounds, for the campaigns and for their lines, but booked lines are found once
         seen = scan_between_dim(log, "partition_time", running.select("campaign_start", "campaign_end"),
                                 "campaign_start", "campaign_end")
-        combinations = in_rel(seen, running, "campaign_id")
+        combinations = in_rel(seen, running.select("campaign_id").distinct(), "campaign_id")
     ran = combinations.select("campaign_id", "flight_id", "creative_id").distinct()
     lines = latest_lines(line_items, crm, version=["last_modified"], live_only=False)
     line_cols = ["sales_order_id", "line_item_id", "line_item_name", "line_item_start", "line_item_end"]

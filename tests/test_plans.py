@@ -67,6 +67,20 @@ def test_a_report_reads_the_log_once(spark, source, monkeypatch, tmp_path, repor
         assert sum(len(re.findall(rf"FileScan parquet [^\n]*{re.escape(path)}", x)) for x in plans) == 1
 
 
+def test_campaign_metadata_finds_booked_lines_once(spark, monkeypatch):
+    """Bounds of the log, campaigns that ran and lines are taken from one reading of the bookings; the lines' versions are the other one."""
+    from adspark.plans import mapping
+    plans = []
+
+    def spy(df, name=None):
+        plans.append(plan_of(df))
+        return stage(df, name)
+
+    monkeypatch.setattr(mapping, "stage", spy)
+    plans.append(plan_of(queries()["campaign_meta_from_log"](spark, FOLDER)))
+    assert sum(len(re.findall(r"FileScan parquet [^\n]*lineitem", x)) for x in plans) == 2
+
+
 def test_all_cuts_of_the_lift_meet_the_users_once(spark, source):
     usage, size = M.matched(source), identity.universe_size(M.universe(source))
     rows = lift.subscriber_lift(source.log, source.mapping, usage, size, P, 20)
