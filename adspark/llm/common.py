@@ -23,6 +23,8 @@ from pyspark.sql.types import StructType
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 #: Rows in an Arrow batch. Texts may be long, so batches are far below Spark's default.
 BATCH_ROWS = 500
+#: Bytes of text whose words a filter stage holds as arrays at once: several stages run in the same Python workers, which keep the most that any of them took.
+PIECE = 1 << 19
 
 
 def _home(spark: SparkSession) -> str:

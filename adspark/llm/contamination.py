@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from adspark.llm.common import keep, map_arrow, numbered, pieces, table, without
+from adspark.llm.common import PIECE, keep, map_arrow, numbered, pieces, table, without
 from adspark.llm.words import Words, gram, sums
 
 WINDOW, SHINGLE, MAP_BITS = 13, 3, 1 << 24
@@ -68,7 +68,7 @@ def _runs(spark: SparkSession, docs: DataFrame, windows: DataFrame) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE):
                 w = Words(part.column("text"), "alnum")
                 total = sums(w.hashes()) if shortest and len(w) else None
                 rows = np.repeat(np.arange(len(part)), w.count)

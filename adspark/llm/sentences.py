@@ -5,7 +5,8 @@ last piece first). No piece crosses from a word to the next mark, so marked word
 independent. The distinct marked words of a batch are sorted, which lays out their trie, and walked in that order depth first; a word keeps the forward scores of
 the prefix that it shares with the one before. Characters without a piece become byte pieces at the price of an unknown one, so that decoding returns the text.
 
-Words already seen stay in two tables of at most ``TABLE_BYTES`` each in a Python worker; long ones aren't kept. Null and empty texts have no ids and decode to empty. The mark U+2581
+Words already seen stay in two tables of at most ``TABLE_BYTES`` each in a Python worker; long ones aren't kept. The pipeline's
+stage empties them after each task, as other stages run in the same workers. Null and empty texts have no ids and decode to empty. The mark U+2581
 in a text decodes to a space. Rows are independent of one another, other columns don't matter.
 """
 
@@ -130,6 +131,10 @@ class Vocabulary:
                 self.known_bytes += ENTRY + 2 * len(word) + len(self.known[word])
         return out
 
+    def forget(self) -> None:
+        """Empty the tables of words."""
+        self.known, self.older, self.known_bytes = {}, {}, 0
+
     def decode(self, ids: bytes) -> str:
         text = b"".join(map(self.out.__getitem__, np.frombuffer(ids, "<u4").tolist()))
         return text.removeprefix(b" ").decode("utf-8", "replace")
@@ -149,17 +154,20 @@ def encoded(docs: DataFrame, model: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
-        for batch in batches:
-            texts = [t.as_py() or "" for t in batch.column("text")]
-            for k in range(0, max(1, len(texts)), 100):  # a bounded number of texts share a trie
-                part = batch.slice(k, 100)
-                ids = v.encode(texts[k:k + 100])
-                n = [len(x) // 4 for x in ids]
-                flat = pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32))
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), flat)
-                field = batch.schema.field(at)
-                part = part.set_column(at, pa.field("text", field.type, True), pa.array([v.decode(x) for x in ids], field.type))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists, pa.array(n, pa.int64())], [*part.schema.names, "token_ids", "n_tokens"])
+        try:
+            for batch in batches:
+                texts = [t.as_py() or "" for t in batch.column("text")]
+                for k in range(0, max(1, len(texts)), 100):  # a bounded number of texts share a trie
+                    part = batch.slice(k, 100)
+                    ids = v.encode(texts[k:k + 100])
+                    n = [len(x) // 4 for x in ids]
+                    flat = pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32))
+                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), flat)
+                    field = batch.schema.field(at)
+                    part = part.set_column(at, pa.field("text", field.type, True), pa.array([v.decode(x) for x in ids], field.type))
+                    yield pa.RecordBatch.from_arrays([*part.columns, lists, pa.array(n, pa.int64())], [*part.schema.names, "token_ids", "n_tokens"])
+        finally:
+            v.forget()
 
     small_batches(docs.sparkSession)
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("token_ids", ArrayType(IntegerType())), StructField("n_tokens", LongType())]))

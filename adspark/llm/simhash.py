@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from adspark.llm.common import components, keep, map_arrow, numbered, pieces, table, without
+from adspark.llm.common import PIECE, components, keep, map_arrow, numbered, pieces, table, without
 from adspark.llm.words import Words
 
 SEED, SHINGLE, BITS, MOST = 42, 3, 64, 2
@@ -85,7 +85,7 @@ def fingerprints(docs: DataFrame, *also: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE):
                 fp = fingerprint_arrays(part.column("text")).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fp), *map(part.column, also)], ["doc_id", "fp", *also])
 

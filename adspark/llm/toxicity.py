@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from adspark.llm.common import keep, map_arrow, pieces, table
+from adspark.llm.common import PIECE, keep, map_arrow, pieces, table
 from adspark.llm.words import Words
 
 BUCKETS, SAMPLE, PRIOR, SIGNIFICANT, DRIFT, THRESHOLD, E_VALUE = 1 << 20, 50_000, 2_000.0, 4.0, 0.5, 0.3, 0.05
@@ -72,7 +72,7 @@ def _counts(docs: DataFrame, ids: np.ndarray, toxic: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((3, BUCKETS), np.int64)
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE):
                 w, buckets = _buckets(part.column("text"))
                 total[0] += np.bincount(buckets.ravel(), minlength=BUCKETS)
                 label = _labels_of(ids, toxic, part.column("doc_id"))
@@ -148,7 +148,7 @@ def _segments(docs: DataFrame, weight: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE):
                 w, buckets = _buckets(part.column("text"))
                 s = weights[buckets].max(axis=0)
                 again = np.flatnonzero(np.diff(buckets[0], prepend=-1) == 0)  # a word that repeats the one before adds nothing

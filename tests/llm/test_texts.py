@@ -13,7 +13,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from adspark.llm import contamination, huffman, private, sentences, toxicity
+from adspark.llm import contamination, huffman, private, sentences, simhash, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, ids string, start string"
 ODD = [None, "", "   ", "a", "<|endoftext|> don't <|x", "it's WE'LL o'clock''s 'S", "é́x …, a≠b ≠ ≠", "İstanbul ΣΑΣ ﬁ ① x²", "日本語 text nb em",
@@ -307,3 +307,22 @@ def test_filters_judge_each_row_by_its_own_text(spark, tmp_path):
     for stage, bad in ((toxicity.stage, vile), (contamination.stage, bench)):
         kept = stage(spark, frame(spark, rows + extra(bad)), folder).collect()
         assert sorted(((x.doc_id, x.text) for x in kept if x.doc_id is None or x.doc_id >= 9000), key=str) == sorted(want, key=str)
+
+
+def test_stages_leave_little_in_their_workers(spark, monkeypatch):
+    """Stages that share Python workers hold half a MB of text at once, and no words when a task has ended."""
+    docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(400)), "text": ["word " * 1000] * 400})
+    for module, made in ((toxicity, lambda: toxicity._segments(docs, np.zeros(toxicity.BUCKETS))), (simhash, lambda: simhash.fingerprints(docs))):
+        monkeypatch.setattr(module, "map_arrow", lambda df, run, schema: run)
+        rows = [len(part) for part in made()(iter([batch]))]
+        assert sum(rows) == 400 and max(rows) * 5000 <= 1 << 19
+
+    class Frame:
+        columns, schema, sparkSession = docs.columns, docs.schema, spark
+        select = lambda self, *names: self
+        mapInArrow = lambda self, run, schema: run
+
+    assert sum(map(len, sentences.encoded(Frame())(iter([batch])))) == 400
+    v = sentences.vocabulary(sentences.default_model())
+    assert not v.known and not v.older and not v.known_bytes
