@@ -90,6 +90,26 @@ def product_countries(product_fields: DataFrame) -> DataFrame:
     return country.select("product_id", normalise(named, {DEFAULT_COUNTRY: "USA"}).alias("product_country"))
 
 
+def _book_lines(line_items: DataFrame, live: DataFrame) -> DataFrame:
+    """:func:`latest_lines` that the book needs: those of shown orders, and those that a line of a shown order names as its package.
+
+    A line that names a package leaves a narrow row with the package's key, so the one shuffle that finds the latest lines also finds
+    which of them are packages. Both are cut to one row per key in every map task.
+    """
+    terms = [c for c in PACKAGE if c not in ("creative_spec", "line_item_start", "line_item_end")]
+    lines = inner(line_items, live.select("sales_order_id", "_shown"), "sales_order_id").where(~F.col("line_item_status").isin(*DEAD_LINES))
+    line = F.struct("sales_order_id", "line_item_status", "parent_line_item_id", "product_id", *terms,
+                    "start_date", "start_clock", "end_date", "end_clock", "_shown")
+    none, parent = F.lit(None), F.col("parent_line_item_id")
+    own = F.struct(F.col("line_item_id").alias("line_item_id"), F.struct(*VERSION).alias("_version"), line.alias("_line"), F.lit(False).alias("_package"))
+    named = F.struct(parent.alias("line_item_id"), none.alias("_version"), none.alias("_line"), F.lit(True).alias("_package"))
+    rows = lines.select(F.inline(F.when(F.col("_shown") & parent.isNotNull(), F.array(own, named)).otherwise(F.array(own))))
+    latest = rows.groupBy("line_item_id").agg(F.max_by("_line", "_version").alias("_line"), F.max("_package").alias("_package"))
+    latest = latest.where(F.col("_line").isNotNull() & (F.col("_line._shown") | F.col("_package")))
+    return (latest.select("line_item_id", "_line.*", "_package").withColumn("line_item_start", ts_from_parts("start_date", "start_clock"))
+            .withColumn("line_item_end", ts_from_parts("end_date", "end_clock")))
+
+
 def order_book(orders: DataFrame, custom_fields: DataFrame, line_items: DataFrame, products: DataFrame,
                product_fields: DataFrame, run_date: date, advertiser_ids: DataFrame | None = None,
                prefix: str = "", last_update: Column | None = None) -> DataFrame:
@@ -98,25 +118,27 @@ def order_book(orders: DataFrame, custom_fields: DataFrame, line_items: DataFram
     A line item that belongs to a package takes each value from the package line, and its own
     value where the package has none.
     """
-    live = stage(latest_orders(orders, advertiser_ids))
-    lines = latest_lines(line_items, live)
+    dead = F.col("order_status").isin(*DEAD_ORDERS) | F.col("sales_stage").isin(*DEAD_STAGES)
+    live = stage(latest_orders(orders, advertiser_ids).withColumn("_shown", F.coalesce(~dead, F.lit(False))))
+    lines = _book_lines(line_items, live)
     bookable = latest_per_key(products.where(F.col("booking_types") != NOT_BOOKABLE), ["product_id"], VERSION)
     lines = lookup(lines, bookable.select("product_id", "creative_spec"), "product_id")
     lines = lookup(lines, product_countries(product_fields), "product_id")
     line = ["sales_order_id", "product_country", "line_item_status", "parent_line_item_id", "line_item_id"]
-    lines = stage(lines.select(*line, *PACKAGE))
-    # Only lines in a package are shuffled to find it. Each term once, before the lines meet the orders: those are wide rows, and many.
-    packed = with_parent(lines.where(F.col("parent_line_item_id").isNotNull()), "parent_line_item_id", "line_item_id", PACKAGE, parents=lines)
+    lines = stage(lines.select(*line, *PACKAGE, "_shown", "_package"))
+    # Only lines in a package, and packages, are shuffled to meet. Each term once, before the lines meet the orders: those are wide rows, and many.
+    shown = lines.where("_shown")
+    packed = with_parent(shown.where(F.col("parent_line_item_id").isNotNull()), "parent_line_item_id", "line_item_id", PACKAGE,
+                         parents=lines.where("_package"))
     packed = packed.select(*line, *[F.coalesce(F.col("parent_" + c), F.col(c)).alias(c) for c in PACKAGE])
-    lines = union_all(lines.where(F.col("parent_line_item_id").isNull()), packed)
+    lines = union_all(shown.where(F.col("parent_line_item_id").isNull()).select(*line, *PACKAGE), packed)
 
-    book = lookup(live.select(
+    book = lookup(live.where("_shown").select(
         "sales_order_id", "sales_order_name", "order_start", "order_end", "advertiser_id", "advertiser_name",
         "sales_stage", "order_status"), order_numbers(custom_fields, live, prefix), "sales_order_id")
     book = lookup(book, lines, "sales_order_id")
     name = F.coalesce(text_part("sales_order_name", "|", 2), text_part("sales_order_name", "|", 1),
                       F.col("sales_order_name"))
-    book = book.where(~F.col("order_status").isin(*DEAD_ORDERS) & ~F.col("sales_stage").isin(*DEAD_STAGES))
     book = book.select(
         "sales_order_id", F.trim(name).alias("sales_order_name"), "order_start", "order_end", "order_number",
         "advertiser_id", "advertiser_name", "sales_stage", "order_status", "product_country", "line_item_status",

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+#: Spark then deletes a query's shuffle files when it ends, not when the driver's memory is next collected.
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_lock, _writing = threading.Lock(), {"now": 0, "before": None}
 
 
 def shared_dir(spark: SparkSession) -> str | None:
@@ -20,6 +25,24 @@ def _base(spark: SparkSession) -> str | None:
     return shared and f"{shared.rstrip('/')}/adspark-{spark.sparkContext.applicationId}"
 
 
+@contextmanager
+def _no_files_left(spark: SparkSession):
+    """What a step shuffles isn't read again once it is written: without this it stays on the disks until the driver happens to collect it.
+    Steps may be written by several threads; the last one restores the setting."""
+    with _lock:
+        if not _writing["now"]:
+            _writing["before"] = spark.conf.get(CLEANUP_CONF, None)
+            spark.conf.set(CLEANUP_CONF, "true")
+        _writing["now"] += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            _writing["now"] -= 1
+            if not _writing["now"]:
+                spark.conf.unset(CLEANUP_CONF) if _writing["before"] is None else spark.conf.set(CLEANUP_CONF, _writing["before"])
+
+
 def stage(df: DataFrame, name: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -30,7 +53,8 @@ def stage(df: DataFrame, name: str | None = None) -> DataFrame:
     base = _base(df.sparkSession)
     if base:
         path = f"{base}/{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        with _no_files_left(df.sparkSession):
+            df.write.parquet(path)
         df = df.sparkSession.read.schema(df.schema).parquet(path)
     if name:
         df.createOrReplaceTempView(name)
@@ -42,7 +66,8 @@ def written(df: DataFrame) -> DataFrame:
     if _base(df.sparkSession):
         return stage(df)
     path = work_dir(df.sparkSession)
-    df.write.mode("overwrite").parquet(path)
+    with _no_files_left(df.sparkSession):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

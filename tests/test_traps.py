@@ -517,3 +517,54 @@ def test_order_book_lines_carry_each_term_once(make, monkeypatch):
     assert not {"start_clock", "end_clock", "last_modified", "partition_time", "product_id"} & set(staged[-1])
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "parent_net_cost" not in plan[:plan.index("Union")]  # chosen below the join with the orders
+
+
+def test_order_book_carries_lines_of_orders_that_are_not_shown_only_as_packages(make, monkeypatch):
+    """Of a closed order only the line that a shown line names stays; the latest version decides which, and lines without a key are kept."""
+    staged, stage = [], mapping.stage
+    monkeypatch.setattr(mapping, "stage", lambda df: staged.append(stage(df)) or staged[-1])
+    old, new = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
+    orders = make("sales_order_id long, sales_order_name string, order_start date, order_end date, advertiser_id long, advertiser_name string, "
+                  "sales_stage string, order_status string, last_modified timestamp_ntz, partition_time timestamp_ntz",
+                  *[(i, f"order {i}", "2024-01-01", "2024-02-01", 1, "a", s, t, old, old)
+                    for i, s, t in ((1, "Open", "active"), (2, "Closed Lost", "active"), (3, "Open", "deleted"), (4, None, "active"))])
+    fields = make("sales_order_id long, field_name string, field_value string, field_status string, last_modified timestamp_ntz, "
+                  "partition_time timestamp_ntz", (1, "JIRA ID", "77", "active", old, old))
+    line = lambda order, i, name, parent, at, cost=None, product=1, status="live": (
+        order, i, name, "p", product, "2024-01-01", "00:00:00", "2024-01-31", "23:59:59", "CPM", 1, 2, "u", 0, 0.5, cost, 1.0, status, parent, at, at, "wide")
+    lines = make("sales_order_id long, line_item_id long, line_item_name string, product_name string, product_id long, start_date date, "
+                 "start_clock string, end_date date, end_clock string, cost_type string, quantity long, production_quantity long, "
+                 "unit_type string, is_added_value long, added_value_amount double, net_cost double, net_unit_cost double, "
+                 "line_item_status string, parent_line_item_id long, last_modified timestamp_ntz, partition_time timestamp_ntz, not_needed string",
+                 line(2, 20, "old package", None, old, 7.0), line(2, 20, "package", None, new, 8.0), line(2, 21, "closed", None, new), line(3, 30, "dead", 31, new),
+                 line(3, 31, "package of a dead order's line", None, new), line(4, 40, "no stage", 41, new), line(4, 41, "unseen", None, new), line(9, 90, "no order", 20, new),
+                 line(1, 10, "in it", 20, new, 1.0), line(1, 11, "left it", 21, old, 2.0), line(1, 11, "left it", None, new, 3.0), line(1, 12, "of none", 99, new, 4.0),
+                 line(1, None, "without a key", None, old, 5.0), line(1, 13, "deleted", None, new, status="deleted"), line(1, 14, "own cost", 15, new, 6.0),
+                 line(1, 15, "free package", None, None), line(1, 15, "free package", None, old, None, 2))
+    products = make("product_id long, creative_spec string, booking_types string, last_modified timestamp_ntz, partition_time timestamp_ntz",
+                    (1, "spec", "Bookable", old, old), (2, "other", "Bookable", old, old))
+    countries = make("product_id long, field_id int, field_value string, last_modified timestamp_ntz, partition_time timestamp_ntz",
+                     (1, 72, "France", old, old))
+    got = mapping.order_book(orders, fields, lines, products, countries, date(2024, 2, 1))
+    assert values(got, "sales_order_id", "order_number", "line_item_id", "line_item_name", "net_cost", "creative_spec", "product_country") == sorted([
+        (1, 77, 20, "package", 8.0, "spec", "France"), (1, 77, 11, "left it", 3.0, "spec", "France"), (1, 77, 99, "of none", 4.0, "spec", "France"),
+        (1, 77, None, "without a key", 5.0, "spec", "France"), (1, 77, 15, "free package", 6.0, "other", "France"),
+        (1, 77, 15, "free package", None, "other", None)], key=repr)
+    assert "not_needed" not in staged[-1].columns
+    # 21 was a package before; 30, 31, 40, 41 and 90 are of orders that aren't shown, or none.
+    assert sorted(str(r[0]) for r in staged[-1].select("line_item_id").collect()) == ["10", "11", "12", "14", "15", "20", "21", "None"]
+
+
+def test_a_staged_step_leaves_no_shuffle_files(spark):
+    """The written rows stay, what was shuffled to find them goes at once; a setting of the session comes back."""
+    from adspark.stage import CLEANUP_CONF, stage
+    before = spark.conf.get(CLEANUP_CONF)
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = lambda: {str(f) for f in manager.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    old = names()
+    rows = spark.range(20000).groupBy((F.col("id") % 7).alias("k")).count().orderBy("k")
+    got = stage(rows)
+    assert not names() - old
+    assert [tuple(r) for r in got.orderBy("k").limit(2).collect()] == [(0, 2858), (1, 2857)]
+    assert [r["k"] for r in rows.collect()] == [r["k"] for r in stage(rows).orderBy("k").collect()] == list(range(7))
+    assert spark.conf.get(CLEANUP_CONF) == before
