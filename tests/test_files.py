@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from adspark.functions.time import date_literal
 from adspark.schemas import schema
 from adspark.sinks import append_new, current, export_csv, export_paged, refresh_table, with_placeholder
-from adspark.sinks.export import _move_single, export_by_country
+from adspark.sinks import export
+from adspark.sinks.export import _move_single, export_by_country, export_named
 from adspark.sources import BadRowsError, read_csv, read_csv_tolerant, report_manifest, split_to_rows
 
 ROWS = schema(id="int", name="str")
@@ -154,3 +155,49 @@ def test_files_by_country(spark, tmp_path):
     assert rows["abroad/BR_1.csv"] == [(None, day)]
     assert rows["abroad/SOUTH-X_1.csv"] == [(5, day)]
     assert [r for n in names[2:] for r in rows[n]] == [(i, day) for i in range(5)]
+
+
+@pytest.mark.parametrize("local", [True, False])
+def test_many_files_are_written_by_all_tasks_and_moved_together(spark, tmp_path, monkeypatch, local):
+    """200 files: adaptive execution may not leave them to one task, nor are local ones moved with calls of the JVM."""
+    move_all, move_single, fs_of, tasks, singles = export._move_all, export._move_single, export._fs, set(), []
+
+    class Remote:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return (lambda: "remote") if name == "getScheme" else getattr(self.fs, name)
+
+    def spy(spark, base, moves):
+        tasks.update(x.split("-")[1] for folder, _ in moves for x in os.listdir(folder.removeprefix("file:")) if x.startswith("part-"))
+        if not local:
+            monkeypatch.setattr(export, "_fs", lambda *of: (Remote(fs_of(*of)[0]), fs_of(*of)[1]))
+        move_all(spark, base, moves)
+
+    monkeypatch.setattr(export, "_move_all", spy)
+    monkeypatch.setattr(export, "_move_single", lambda *of: singles.append(of) or move_single(*of))
+    old = tmp_path / "home" / "list 7.csv"
+    spark.range(50).coalesce(1).write.csv(str(tmp_path / "before"))
+    old.parent.mkdir()
+    part = next((tmp_path / "before").glob("part-*.csv"))
+    part.rename(old)
+    (part.parent / f".{part.name}.crc").rename(old.parent / ".list 7.csv.crc")  # a checksum that no longer holds
+    name = lambda k: f"{tmp_path}/{'home' if k % 2 else 'abroad'}/list {k}.csv"
+    df = spark.range(1000).select("id", F.concat(F.lit(f"file:{tmp_path}/"), F.when(F.col("id") % 2 == 1, "home").otherwise("abroad"),
+                                                 F.lit("/list "), F.col("id") % 200, F.lit(".csv")).alias("at"))
+    files = export_named(df, "at", ["id"])
+    assert sorted(files) == sorted("file:" + name(k) for k in range(200))
+    for k in (0, 7, 199):
+        assert open(name(k)).read() == '"id"\n' + "".join(f'"{i}"\n' for i in range(k, 1000, 200))
+    assert read_csv(spark, f"{tmp_path}/{{home,abroad}}/*.csv", schema(id="int")).agg(F.sum("id")).first()[0] == 499500
+    assert len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions")) and len(singles) == (0 if local else 200)
+    assert {x for d in ("home", "abroad") for x in os.listdir(tmp_path / d) if "parts" in x} == set()
+
+
+def test_a_delivery_with_rows_left_behind_stops(spark, tmp_path):
+    """Two part files for one path stop a local delivery as they stop others."""
+    spark.range(10).repartition(2).write.csv(str(tmp_path / "base" / "a"))
+    with pytest.raises(RuntimeError, match="2 part files"):
+        export._move_all(spark, str(tmp_path / "base"), [(str(tmp_path / "base" / "a"), str(tmp_path / "x.csv"))])
+    assert not (tmp_path / "x.csv").exists()
